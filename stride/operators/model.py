@@ -17,6 +17,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,11 +67,16 @@ def tree(P: C.TreeParams = C.TreeParams()) -> DecisionTreeClassifier:
 
 def fit(train: DataFrame, kind: str = "rf", num_classes: int = C.NUM_CLASSES):
     """Fit a six-class model on labelled feature rows (``label`` + the eleven feature columns)."""
-    if train.isEmpty():
-        raise ValueError("no labelled rows to train on")
-    data = assemble(with_class_metadata(train, num_classes))
-    est = forest() if kind == "rf" else tree()
-    return est.fit(data)
+    # tree training makes several passes (metadata, splits, one per level);
+    # keep the feature rows instead of re-running the feature plan each time
+    data = assemble(with_class_metadata(train, num_classes)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if data.isEmpty():
+            raise ValueError("no labelled rows to train on")
+        est = forest() if kind == "rf" else tree()
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model, rows: DataFrame) -> DataFrame:

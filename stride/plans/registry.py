@@ -288,8 +288,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import streams
+
+    return {
+        "stream_progress": streams.q_stream_progress,
+        "stream_published": streams.q_stream_published,
+        "stream_scoring": streams.q_stream_scoring,
+        "stream_dead_letters": streams.q_stream_dead_letters,
+    }
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: (lambda f: (lambda spark, d: rounded(f(spark, d))))(f) for k, f in QUERIES.items()}
+    allq = {**QUERIES, **_stream_queries()}
+    return {k: (lambda f: (lambda spark, d: rounded(f(spark, d))))(f) for k, f in allq.items()}
 
 
 # ---------------------------------------------------------------- oracle side
@@ -464,5 +476,11 @@ ORACLE: dict[str, str] = {
 }
 
 
+# stream twins: the stream must reproduce its batch query exactly
+ORACLE["stream_progress"] = ORACLE["progress_states"]
+ORACLE["stream_published"] = ORACLE["published_numbers"]
+ORACLE["stream_dead_letters"] = ORACLE["requests_dead"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
