@@ -92,9 +92,15 @@ def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS) -> DataFr
     return local.select("user_id", series.BUCKET, "ts_ns", "acc_x", "acc_y", "acc_z", "first_of_ts")
 
 
-def request_features(parsed: DataFrame, readings: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS,
+def request_features(parsed: DataFrame, live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS,
                      peak_fraction: float = C.PEAK_FRACTION) -> DataFrame:
-    """Every parsed request with the eleven features of its closed range (NULL when empty)."""
+    """Every parsed request with the eleven features of its closed range (NULL when empty).
+
+    ``live`` is the live table; it is bucketed here with the same
+    ``bucket_ns`` as the request spans.  A span explodes into one row per
+    bucket it covers (no cap), so long ranges stay exact.
+    """
+    readings = live_readings(live, bucket_ns)
     spans = parsed.filter(F.col("valid_user") & (F.col("start_ts") <= F.col("finish_ts"))).select(
         "request_id", "user_id", "start_ts", "finish_ts"
     )

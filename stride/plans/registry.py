@@ -22,6 +22,7 @@ from ..operators import requests as rq
 from ..operators import series
 from ..sources import fixtures as fx
 from . import oracle as O
+from ..session import ensure_checkpoint_dir
 from .motion import motion_plan
 
 DIGITS = 9
@@ -163,8 +164,17 @@ def q_train_test_split(spark, d):
     return lf.groupBy(part.alias("part"), "label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def _messages(spark, d):
+    # Materialise the fixture messages (reliable checkpoint in the shared
+    # folder): downstream the parser then sees a plain column, as it would
+    # from a message source, instead of inlining the seven-shape generator
+    # expression into every reference.
+    ensure_checkpoint_dir(spark)
+    return fx.requests(_ev(spark, d)).checkpoint(eager=True)
+
+
 def _requests(spark, d):
-    return rq.parse_requests(fx.requests(_ev(spark, d)))
+    return rq.parse_requests(_messages(spark, d))
 
 
 def q_requests_parsed(spark, d):
@@ -177,7 +187,7 @@ def q_requests_dead(spark, d):
 
 def q_request_features(spark, d):
     parsed, _ = _requests(spark, d)
-    return rq.request_features(parsed, rq.live_readings(fx.live(_ev(spark, d))))
+    return rq.request_features(parsed, fx.live(_ev(spark, d)))
 
 
 def _moving(spark, d):
@@ -248,7 +258,7 @@ def q_request_predictions(spark, d):
     train, _ = _train_test(spark, d)
     model = ml.fit(train, "rf")
     parsed, _ = _requests(spark, d)
-    f = rq.request_features(parsed, rq.live_readings(fx.live(_ev(spark, d))))
+    f = rq.request_features(parsed, fx.live(_ev(spark, d)))
     return ml.predict(model, f).select("request_id", "user_id", "start_ts", "finish_ts", "n_rows", "prediction")
 
 

@@ -74,11 +74,11 @@ def run_scoring_stream(spark: SparkSession, sf_dir: str) -> str:
     train, _ = _train_test(spark, sf_dir)
     path = ml.save_model(ml.fit(train, "rf"), f"{root}/model")
     model = ml.load_model(path, "rf")  # loaded once for the whole stream
-    readings = rq.live_readings(fx.live(fx.events(spark, sf_dir)))
+    live = fx.live(fx.events(spark, sf_dir))
 
     def start_query(stream):
         return (stream.writeStream.option("checkpointLocation", f"{root}/checkpoint")
-                .foreachBatch(sscore.write_scoring_sinks(readings, model, f"{root}/out"))
+                .foreachBatch(sscore.write_scoring_sinks(live, model, f"{root}/out"))
                 .trigger(availableNow=True).start())
 
     msgs = fx.requests(fx.events(spark, sf_dir))

@@ -16,20 +16,20 @@ from ..operators import model as ml
 from ..operators import requests as rq
 
 
-def score_batch(msgs: DataFrame, readings: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
+def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
     """(scored requests, dead letters) for a batch of messages."""
     parsed, dead = rq.parse_requests(msgs)
-    f = rq.request_features(parsed, readings, bucket_ns)
+    f = rq.request_features(parsed, live, bucket_ns)
     return ml.predict(model, f), dead
 
 
-def write_scoring_sinks(readings: DataFrame, model, out_dir: str, bucket_ns: int = rq.REQUEST_BUCKET_NS):
+def write_scoring_sinks(live: DataFrame, model, out_dir: str, bucket_ns: int = rq.REQUEST_BUCKET_NS):
     """foreachBatch writer: results and dead letters to ``batch_id=N`` folders (overwrite = idempotent)."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            scored, dead = score_batch(batch, readings, model, bucket_ns)
+            scored, dead = score_batch(batch, live, model, bucket_ns)
             part = f"batch_id={batch_id}"
             scored.write.mode("overwrite").parquet(f"{out_dir}/results/{part}")
             dead.write.mode("overwrite").parquet(f"{out_dir}/dead/{part}")

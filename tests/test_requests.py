@@ -1,0 +1,46 @@
+"""Request messages: dead letters, identifier check, range features, -1 path."""
+
+from stride.operators import model as ml
+from stride.operators import requests as rq
+
+U = "00000000-0000-0000-0000-000000000001"
+
+
+def _msgs(spark, bodies):
+    return spark.createDataFrame([(i, 0, b) for i, b in enumerate(bodies)], "request_id long, request_ts long, value string")
+
+
+def test_parse_classes(spark):
+    bodies = [f"{U},5", "", f"{U},abc,5", f"not-a-uuid,1,5", f"{U},5,1,extra", f"{U},1,5,extra", f"{U},1,5",
+              f"{U},1,99999999999999999999", None, "1-2-3-4-5,1,5", f"{U.upper()},1,5"]
+    parsed, dead = rq.parse_requests(_msgs(spark, bodies))
+    d = {r.request_id: r.dead_reason for r in dead.collect()}
+    assert d == {0: "too_few_fields", 1: "empty", 2: "bad_number", 7: "bad_number", 8: "empty"}
+    p = {r.request_id: r for r in parsed.collect()}
+    assert not p[3].valid_user and p[3].user_id is None
+    assert p[4].start_ts == 5 and p[4].finish_ts == 1
+    assert p[5].start_ts == 1 and p[5].finish_ts == 5
+    assert p[9].user_id == "00000001-0002-0003-0004-000000000005"
+    assert p[10].user_id == U
+
+
+def test_request_features_and_minus_one(spark):
+    live = spark.createDataFrame(
+        [(U, t, t, float(t % 3), 9.0 if t % 2 else 1.0, 0.5) for t in range(1, 11)],
+        "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
+    bodies = [f"{U},1,5", f"{U},5,1", f"{U},100,200", "bad,1,5", f"{U},3,3"]
+    parsed, _ = rq.parse_requests(_msgs(spark, bodies))
+    f = rq.request_features(parsed, live, bucket_ns=4).collect()
+    by = {r.request_id: r for r in f}
+    assert by[0].n_rows == 5 and by[0].scored  # closed range [1, 5]
+    assert by[0].mean_x == (1 + 2 + 0 + 1 + 2) / 5
+    assert by[4].n_rows == 1
+    for i in (1, 2, 3):
+        assert by[i].n_rows == 0 and not by[i].scored and by[i].mean_x is None
+    # prediction -1 for every request without features
+    train = spark.createDataFrame([(float(i % 3), *[float(i + j) for j in range(11)]) for i in range(30)],
+                                  "label double, " + ", ".join(f"{c} double" for c in ml.C.FEATURE_COLUMNS))
+    model = ml.fit(train, "dt")
+    pred = {r.request_id: r.prediction for r in ml.predict(model, rq.request_features(parsed, live, bucket_ns=4)).collect()}
+    assert all(pred[i] == -1.0 for i in (1, 2, 3))
+    assert pred[0] >= 0
