@@ -97,6 +97,13 @@ def latest_progress(history: DataFrame) -> DataFrame:
     )
 
 
+def progress_for(users: DataFrame, history: DataFrame) -> DataFrame:
+    """Stored progress of each user, 0 when the user has none."""
+    latest = latest_progress(history).select("user_id", "walking_progress")
+    return users.select("user_id").distinct().join(latest, on="user_id", how="left").select(
+        "user_id", F.coalesce(F.col("walking_progress"), F.lit(0)).alias("walking_progress"))
+
+
 def published_rows(states: DataFrame, ts: str = "ts_ns") -> DataFrame:
     """Rows of the published-score table: the eleven feature columns are written as zeros."""
     zeros = [F.lit(0.0).alias(c) for c in C.FEATURE_COLUMNS]

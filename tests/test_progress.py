@@ -107,3 +107,23 @@ def test_latest_progress(spark):
                               "user_id string, walking_progress int, timestamp long")
     got = {r.user_id: r.walking_progress for r in prog.latest_progress(h).collect()}
     assert got == {"a": 30, "b": 5}
+
+
+def test_sinks_round_trip(spark):
+    from stride.session import scratch_path
+    from stride.sources import sinks
+
+    path = scratch_path(spark, "progress-sink")
+    sinks.upsert_progress(spark.createDataFrame([("a", 10, 1), ("b", 4, 1)],
+                                                "user_id string, walking_progress int, timestamp long"), path, 0)
+    sinks.upsert_progress(spark.createDataFrame([("a", 12, 2)], "user_id string, walking_progress int, timestamp long"),
+                          path, 1)
+    # a retried batch 1 replaces its own folder
+    sinks.upsert_progress(spark.createDataFrame([("a", 14, 2)], "user_id string, walking_progress int, timestamp long"),
+                          path, 1)
+    cur = {r.user_id: r.walking_progress for r in sinks.current_progress(spark, path).collect()}
+    assert cur == {"a": 14, "b": 4}
+    users = spark.createDataFrame([("a",), ("c",)], "user_id string")
+    got = {r.user_id: r.walking_progress for r in prog.progress_for(users, sinks.current_progress(spark, path)
+                                                                     .select("user_id", "walking_progress", "timestamp")).collect()}
+    assert got == {"a": 14, "c": 0}
