@@ -19,15 +19,20 @@ from .series import BUCKET
 CHUNK = 4096
 
 
-def explode_range(df: DataFrame, lo: str, hi: str, out: str, chunk: int = CHUNK) -> DataFrame:
-    """One row per integer in [lo, hi] (none when lo > hi), arrays bounded by ``chunk``."""
-    c = F.col
-    df = df.filter(c(lo) <= c(hi))
-    n_chunks = F.expr(f"(`{hi}` - `{lo}`) div {chunk}L")
-    df = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)))
-    start = c(lo) + c("_chunk") * F.lit(chunk)
-    stop = F.least(c(hi), start + F.lit(chunk - 1))
-    return df.withColumn(out, F.explode(F.sequence(start, stop))).drop("_chunk")
+def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int = CHUNK) -> DataFrame:
+    """One row per integer in [lo, hi] (none when lo > hi), arrays bounded by ``chunk``.
+
+    Two generator levels: chunks of ``chunk`` integers, then the integers of
+    each chunk, so no row ever builds an array longer than ``chunk`` however
+    long the range is.
+    """
+    cols = df.columns
+    d = df.filter(lo <= hi).select(*cols, lo.alias("_lo"), hi.alias("_hi"))
+    n_chunks = F.expr(f"(_hi - _lo) div {chunk}L")
+    d = d.select(*cols, "_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("_chunk"))
+    start = F.col("_lo") + F.col("_chunk") * F.lit(chunk)
+    stop = F.least(F.col("_hi"), start + F.lit(chunk - 1))
+    return d.select(*cols, F.explode(F.sequence(start, stop)).alias(out))
 
 
 def end_anchored_windows(iv: DataFrame, window_ns: int) -> DataFrame:
@@ -36,20 +41,22 @@ def end_anchored_windows(iv: DataFrame, window_ns: int) -> DataFrame:
     Window 0 is the last W before the interval end; j >= 1 lie after it (the
     original anchoring, kept for parity).
     """
-    w = explode_range(iv.withColumn("_zero", F.lit(0).cast("bigint")), "_zero", "n_windows", "window_index").drop("_zero")
-    return w.withColumn("window_lo", F.col("interval_end") + (F.col("window_index") - 1) * F.lit(window_ns)).withColumn(
-        "window_hi", F.col("interval_end") + F.col("window_index") * F.lit(window_ns)
+    w = explode_range(iv, F.lit(0).cast("bigint"), F.col("n_windows"), "window_index")
+    return w.select(
+        "*",
+        (F.col("interval_end") + (F.col("window_index") - 1) * F.lit(window_ns)).alias("window_lo"),
+        (F.col("interval_end") + F.col("window_index") * F.lit(window_ns)).alias("window_hi"),
     )
 
 
+def _bucket_of(expr: str, bucket_ns: int) -> Column:
+    return F.expr(f"(({expr}) - pmod({expr}, {bucket_ns}L)) div {bucket_ns}L")
+
+
 def _span_buckets(spans: DataFrame, lo: str, hi: str, closed: bool, bucket_ns: int) -> DataFrame:
-    first = F.col(lo) if closed else F.col(lo) + 1
-    last = F.col(hi) if closed else F.col(hi) - 1
-    s = spans.withColumn("_blo", first).withColumn("_bhi", last)
-    s = s.withColumn("_blo", F.expr(f"(_blo - pmod(_blo, {bucket_ns}L)) div {bucket_ns}L")).withColumn(
-        "_bhi", F.expr(f"(_bhi - pmod(_bhi, {bucket_ns}L)) div {bucket_ns}L")
-    )
-    return explode_range(s, "_blo", "_bhi", BUCKET).drop("_blo", "_bhi")
+    first = f"`{lo}`" if closed else f"(`{lo}` + 1)"
+    last = f"`{hi}`" if closed else f"(`{hi}` - 1)"
+    return explode_range(spans, _bucket_of(first, bucket_ns), _bucket_of(last, bucket_ns), BUCKET)
 
 
 def in_span(ts: Column, lo: Column, hi: Column, closed: bool) -> Column:

@@ -21,9 +21,13 @@ BUCKET = "_bucket"
 
 
 def with_bucket(df: DataFrame, ts: str, bucket_ns: int) -> DataFrame:
-    return df.withColumn(BUCKET, floor_div(ts, bucket_ns))
+    return df.select("*", floor_div(ts, bucket_ns).alias(BUCKET))
 
 
+# The builders below use few select() calls instead of withColumn chains:
+# every DataFrame step is analysed eagerly, and on these self-joined plans a
+# chain of withColumn costs seconds of driver time before any task runs.
+
 def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap_ns: int,
                 tie_desc: str | None = None) -> DataFrame:
     """Per (key, bucket), ordered by ts (ties: ``tie_desc`` descending).
@@ -40,14 +44,15 @@ def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap
     b = b.filter(F.col(BUCKET).isNotNull())
     order = [F.col(ts).asc()] + ([F.col(tie_desc).desc()] if tie_desc else [])
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    prev = F.lag(ts).over(w)
-    b = b.withColumn("_prev_local", prev)
-    b = b.withColumn(
-        "_jump_local",
-        F.coalesce((F.col(ts) - F.col("_prev_local") > F.lit(gap_ns)).cast("int"), F.lit(0)),
-    ).withColumn("first_of_ts", F.coalesce(F.col("_prev_local") != F.col(ts), F.lit(True)))
+    b = b.select("*", F.lag(ts).over(w).alias("_prev_local"))
+    jump = F.coalesce((F.col(ts) - F.col("_prev_local") > F.lit(gap_ns)).cast("int"), F.lit(0))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return b.withColumn("_cum_local", F.sum("_jump_local").over(running))
+    return b.select(
+        "*",
+        jump.alias("_jump_local"),
+        F.coalesce(F.col("_prev_local") != F.col(ts), F.lit(True)).alias("first_of_ts"),
+        F.sum(jump).over(running).alias("_cum_local"),
+    )
 
 
 def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int) -> DataFrame:
@@ -61,21 +66,15 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
     wk = Window.partitionBy(*keys).orderBy(BUCKET)
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)
-    s = s.withColumn("_prev_last", F.lag("_blast").over(wk))
-    s = s.withColumn(
-        "_edge_jump",
-        F.coalesce((F.col("_bfirst") - F.col("_prev_last") > F.lit(gap_ns)).cast("bigint"), F.lit(0).cast("bigint")),
-    )
-    s = s.withColumn(
-        "_jumps_before",
-        F.coalesce(F.sum(F.col("_edge_jump") + F.col("_bjumps")).over(before), F.lit(0)).cast("bigint"),
-    )
+    s = s.select("*", F.lag("_blast").over(wk).alias("_prev_last"))
+    edge = F.coalesce((F.col("_bfirst") - F.col("_prev_last") > F.lit(gap_ns)).cast("bigint"),
+                      F.lit(0).cast("bigint"))
     return s.select(
         *keys,
         BUCKET,
         "_prev_last",
-        "_edge_jump",
-        "_jumps_before",
+        edge.alias("_edge_jump"),
+        F.coalesce(F.sum(edge + F.col("_bjumps")).over(before), F.lit(0)).cast("bigint").alias("_jumps_before"),
         F.sum("_bn").over(whole).alias("key_rows"),
         F.min("_bfirst").over(whole).alias("key_first"),
         F.max("_blast").over(whole).alias("key_last"),
@@ -89,19 +88,23 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
     Adds ``prev_ts`` (previous reading of the same key, NULL for the first),
     ``delta``, ``is_jump`` (delta > gap), ``interval_id`` (number of jumps at or
     before the row, so the first interval is 0), ``key_rows``, ``key_first``,
-    ``key_last`` and ``first_of_ts``.
+    ``key_last`` and ``first_of_ts``.  ``df`` may already be the output of
+    ``local_order`` (then its shuffle is shared with other consumers of it).
     """
     local = df if "_cum_local" in df.columns else local_order(df, keys, ts, bucket_ns, gap_ns, tie_desc)
     summ = bucket_summaries(local, keys, ts, gap_ns)
     j = local.join(summ, on=[*keys, BUCKET], how="inner")
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_last"))
-    out = (
-        j.withColumn("prev_ts", prev)
-        .withColumn("delta", F.col(ts) - F.col("prev_ts"))
-        .withColumn("is_jump", F.coalesce(F.col("delta") > F.lit(gap_ns), F.lit(False)))
-        .withColumn("interval_id", F.col("_jumps_before") + F.col("_edge_jump") + F.col("_cum_local"))
+    delta = F.col(ts) - prev
+    internal = {"_prev_local", "_jump_local", "_cum_local", "_prev_last", "_edge_jump", "_jumps_before"}
+    keep = [c for c in j.columns if c not in internal]
+    return j.select(
+        *keep,
+        prev.alias("prev_ts"),
+        delta.alias("delta"),
+        F.coalesce(delta > F.lit(gap_ns), F.lit(False)).alias("is_jump"),
+        (F.col("_jumps_before") + F.col("_edge_jump") + F.col("_cum_local")).alias("interval_id"),
     )
-    return out.drop("_prev_local", "_jump_local", "_cum_local", "_prev_last", "_edge_jump", "_jumps_before")
 
 
 def group_gate(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
