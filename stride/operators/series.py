@@ -55,34 +55,81 @@ def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap
     )
 
 
-def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int) -> DataFrame:
-    """One row per non-empty (key, bucket) with the cross-bucket carry values."""
+SUPER = "_super"
+# Buckets per super-bucket.  The carry values (previous reading, jumps before)
+# are computed on two levels so that no window partition holds more than
+# FANOUT bucket rows or span / (bucket * FANOUT) super-bucket rows of one key.
+FANOUT = 1024
+
+
+def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int,
+                     fanout: int = FANOUT) -> DataFrame:
+    """One row per non-empty (key, bucket) with the cross-bucket carry values.
+
+    ``_prev_last``: last reading of the previous non-empty bucket of the key;
+    ``_edge_jump``: whether the bucket's first reading starts an interval;
+    ``_jumps_before``: jumps strictly before the bucket's first reading.
+
+    Level 1 orders the buckets inside a super-bucket (key, bucket div fanout);
+    level 2 orders the super-buckets of a key (one row each).
+    """
     s = local.groupBy(*keys, BUCKET).agg(
         F.min(ts).alias("_bfirst"),
         F.max(ts).alias("_blast"),
         F.count(F.lit(1)).alias("_bn"),
         F.sum("_jump_local").cast("bigint").alias("_bjumps"),
     )
-    wk = Window.partitionBy(*keys).orderBy(BUCKET)
-    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    s = s.select("*", floor_div(BUCKET, fanout).alias(SUPER))
+    ws = Window.partitionBy(*keys, SUPER).orderBy(BUCKET)
+    s = s.select("*", F.lag("_blast").over(ws).alias("_prev_last_local"))
+    edge_local = F.coalesce((F.col("_bfirst") - F.col("_prev_last_local") > F.lit(gap_ns)).cast("bigint"),
+                            F.lit(0).cast("bigint"))
+    s = s.select(
+        "*",
+        edge_local.alias("_edge_local"),
+        F.coalesce(F.sum(edge_local + F.col("_bjumps")).over(ws.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).cast("bigint").alias("_local_before"),
+    )
+    # level 2: one row per (key, super-bucket); same partitioning, no exchange
+    ss = s.groupBy(*keys, SUPER).agg(
+        F.min("_bfirst").alias("_sfirst"),
+        F.max("_blast").alias("_slast"),
+        F.sum("_bn").alias("_sn"),
+        F.sum(F.col("_edge_local") + F.col("_bjumps")).alias("_sinternal"),
+    )
+    wk = Window.partitionBy(*keys).orderBy(SUPER)
     whole = Window.partitionBy(*keys)
-    s = s.select("*", F.lag("_blast").over(wk).alias("_prev_last"))
-    edge = F.coalesce((F.col("_bfirst") - F.col("_prev_last") > F.lit(gap_ns)).cast("bigint"),
-                      F.lit(0).cast("bigint"))
-    return s.select(
+    ss = ss.select("*", F.lag("_slast").over(wk).alias("_prev_slast"))
+    edge_super = F.coalesce((F.col("_sfirst") - F.col("_prev_slast") > F.lit(gap_ns)).cast("bigint"),
+                            F.lit(0).cast("bigint"))
+    ss = ss.select(
+        *keys,
+        SUPER,
+        "_prev_slast",
+        edge_super.alias("_edge_super"),
+        F.coalesce(F.sum(edge_super + F.col("_sinternal")).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).cast("bigint").alias("_super_before"),
+        F.sum("_sn").over(whole).alias("key_rows"),
+        F.min("_sfirst").over(whole).alias("key_first"),
+        F.max("_slast").over(whole).alias("key_last"),
+    )
+    j = s.join(ss, on=[*keys, SUPER], how="inner")
+    first_in_super = F.col("_prev_last_local").isNull()
+    return j.select(
         *keys,
         BUCKET,
-        "_prev_last",
-        edge.alias("_edge_jump"),
-        F.coalesce(F.sum(edge + F.col("_bjumps")).over(before), F.lit(0)).cast("bigint").alias("_jumps_before"),
-        F.sum("_bn").over(whole).alias("key_rows"),
-        F.min("_bfirst").over(whole).alias("key_first"),
-        F.max("_blast").over(whole).alias("key_last"),
+        F.coalesce(F.col("_prev_last_local"), F.col("_prev_slast")).alias("_prev_last"),
+        F.when(first_in_super, F.col("_edge_super")).otherwise(F.col("_edge_local")).alias("_edge_jump"),
+        (F.col("_super_before") + F.when(first_in_super, F.lit(0)).otherwise(F.col("_edge_super"))
+         + F.col("_local_before")).alias("_jumps_before"),
+        "key_rows",
+        "key_first",
+        "key_last",
     )
 
 
 def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket_ns: int,
-                tie_desc: str | None = None) -> DataFrame:
+                tie_desc: str | None = None, fanout: int = FANOUT) -> DataFrame:
     """Every row with its series context.
 
     Adds ``prev_ts`` (previous reading of the same key, NULL for the first),
@@ -92,7 +139,7 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
     ``local_order`` (then its shuffle is shared with other consumers of it).
     """
     local = df if "_cum_local" in df.columns else local_order(df, keys, ts, bucket_ns, gap_ns, tie_desc)
-    summ = bucket_summaries(local, keys, ts, gap_ns)
+    summ = bucket_summaries(local, keys, ts, gap_ns, fanout)
     j = local.join(summ, on=[*keys, BUCKET], how="inner")
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_last"))
     delta = F.col(ts) - prev
@@ -156,19 +203,26 @@ def intervals(scanned: DataFrame, keys: Sequence[str], ts: str, window_ns: int,
 
 
 def running_count(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str], bucket_ns: int,
-                  out: str = "k") -> DataFrame:
+                  out: str = "k", fanout: int = FANOUT) -> DataFrame:
     """1-based position of each row in its key's order (ts, then tiebreak).
 
-    Same two-level layout as ``series_scan``: a row number inside each
-    (key, time bucket), plus the count of all earlier buckets of the key
-    from a per-key window over one row per bucket.  No key is sent through
-    one task whole.
+    Same layout as ``series_scan``: a row number inside each (key, time
+    bucket), plus the count of all earlier buckets of the key from a
+    two-level prefix over one row per bucket / super-bucket.  No key is sent
+    through one task whole.
     """
     b = with_bucket(df, ts, bucket_ns).filter(F.col(BUCKET).isNotNull())
     w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
-    local = b.withColumn("_rn", F.row_number().over(w))
+    local = b.select("*", F.row_number().over(w).alias("_rn"))
     counts = local.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_bn"))
-    wk = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("_before", F.coalesce(F.sum("_bn").over(wk), F.lit(0)).cast("bigint")).drop("_bn")
+    counts = counts.select("*", floor_div(BUCKET, fanout).alias(SUPER))
+    ws = Window.partitionBy(*keys, SUPER).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("*", F.coalesce(F.sum("_bn").over(ws), F.lit(0)).cast("bigint").alias("_local_before"))
+    supers = counts.groupBy(*keys, SUPER).agg(F.sum("_bn").alias("_sn"))
+    wk = Window.partitionBy(*keys).orderBy(SUPER).rowsBetween(Window.unboundedPreceding, -1)
+    supers = supers.select(*keys, SUPER, F.coalesce(F.sum("_sn").over(wk), F.lit(0)).cast("bigint").alias("_super_before"))
+    counts = counts.join(supers, on=[*keys, SUPER], how="inner").select(
+        *keys, BUCKET, (F.col("_super_before") + F.col("_local_before")).alias("_before"))
     j = local.join(counts, on=[*keys, BUCKET], how="inner")
-    return j.withColumn(out, F.col("_before") + F.col("_rn")).drop("_before", "_rn", BUCKET)
+    keep = [c for c in j.columns if c not in ("_before", "_rn", BUCKET)]
+    return j.select(*keep, (F.col("_before") + F.col("_rn")).alias(out))

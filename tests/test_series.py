@@ -64,8 +64,9 @@ def test_bucketed_scan_equals_whole_series_lag(spark):
             rows.append((f"u{u}", "Walking" if u % 2 else "Jogging", t))
     pdf = pd.DataFrame(rows, columns=["user_id", "activity", "ts_ns"])
     ref = _reference_scan(pdf, gap=100)
-    for bucket in (7, 50, 1000, 10**9):
-        sc = series.series_scan(spark.createDataFrame(pdf), ["user_id", "activity"], "ts_ns", 100, bucket)
+    for bucket, fanout in ((7, 2), (7, 5), (50, 3), (50, 1024), (1000, 2), (10**9, 1024)):
+        sc = series.series_scan(spark.createDataFrame(pdf), ["user_id", "activity"], "ts_ns", 100, bucket,
+                                fanout=fanout)
         got = sc.select("user_id", "activity", "ts_ns", "prev_ts", "interval_id", "key_rows").toPandas()
         m = ref.merge(got, on=["user_id", "activity", "ts_ns"], suffixes=("_r", "_s"))
         assert len(m) == len(ref)
@@ -81,11 +82,13 @@ def test_running_count_equals_rank(spark):
         "ts_ns": rng.integers(0, 10_000, 500),
         "event_id": np.arange(500),
     })
-    got = series.running_count(spark.createDataFrame(pdf), ["user_id"], "ts_ns", ["event_id"], 97).toPandas()
     ref = pdf.sort_values(["user_id", "ts_ns", "event_id"]).copy()
     ref["k_ref"] = ref.groupby("user_id").cumcount() + 1
-    m = ref.merge(got, on=["user_id", "ts_ns", "event_id"])
-    assert len(m) == 500 and (m["k"] == m["k_ref"]).all()
+    for fanout in (2, 7, 1024):
+        got = series.running_count(spark.createDataFrame(pdf), ["user_id"], "ts_ns", ["event_id"], 97,
+                                   fanout=fanout).toPandas()
+        m = ref.merge(got, on=["user_id", "ts_ns", "event_id"])
+        assert len(m) == 500 and (m["k"] == m["k_ref"]).all()
 
 
 def test_gate_is_strict(spark):
