@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from ..functions.scalar import floor_div
 
 BUCKET = "_bucket"
+SUPER = "_super"
+# Buckets per super-bucket.  The carry values (previous reading, jumps before)
+# are computed on two levels so that no window partition holds more than
+# FANOUT bucket rows or span / (bucket * FANOUT) super-bucket rows of one key.
+FANOUT = 1024
 
 
 def with_bucket(df: DataFrame, ts: str, bucket_ns: int) -> DataFrame:
@@ -28,8 +33,17 @@ def with_bucket(df: DataFrame, ts: str, bucket_ns: int) -> DataFrame:
 # every DataFrame step is analysed eagerly, and on these self-joined plans a
 # chain of withColumn costs seconds of driver time before any task runs.
 
+def _carry_keys_present(fanout: int) -> F.Column:
+    # Trivially true once ts is present; stated explicitly so that every
+    # consumer of the (key, bucket) shuffle carries the same constraints.  The
+    # joins on bucket / super-bucket would otherwise infer these not-null
+    # filters on some branches only, the exchanges would differ and Spark
+    # could not reuse one shuffle for all of them.
+    return F.col(BUCKET).isNotNull() & floor_div(BUCKET, fanout).isNotNull()
+
+
 def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap_ns: int,
-                tie_desc: str | None = None) -> DataFrame:
+                tie_desc: str | None = None, fanout: int = FANOUT) -> DataFrame:
     """Per (key, bucket), ordered by ts (ties: ``tie_desc`` descending).
 
     Adds ``_prev_local`` (previous ts inside the bucket), ``_jump_local``,
@@ -38,10 +52,7 @@ def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap
     largest tie value).  The result is hash partitioned by (keys, bucket).
     """
     b = df if BUCKET in df.columns else with_bucket(df, ts, bucket_ns)
-    # explicit, so that every consumer of this shuffle carries the same filter
-    # (join-inferred not-null filters would otherwise make the exchanges differ
-    # and defeat exchange reuse)
-    b = b.filter(F.col(BUCKET).isNotNull())
+    b = b.filter(_carry_keys_present(fanout))
     order = [F.col(ts).asc()] + ([F.col(tie_desc).desc()] if tie_desc else [])
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
     b = b.select("*", F.lag(ts).over(w).alias("_prev_local"))
@@ -55,13 +66,6 @@ def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap
     )
 
 
-SUPER = "_super"
-# Buckets per super-bucket.  The carry values (previous reading, jumps before)
-# are computed on two levels so that no window partition holds more than
-# FANOUT bucket rows or span / (bucket * FANOUT) super-bucket rows of one key.
-FANOUT = 1024
-
-
 def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int,
                      fanout: int = FANOUT) -> DataFrame:
     """One row per non-empty (key, bucket) with the cross-bucket carry values.
@@ -138,7 +142,7 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
     ``key_last`` and ``first_of_ts``.  ``df`` may already be the output of
     ``local_order`` (then its shuffle is shared with other consumers of it).
     """
-    local = df if "_cum_local" in df.columns else local_order(df, keys, ts, bucket_ns, gap_ns, tie_desc)
+    local = df if "_cum_local" in df.columns else local_order(df, keys, ts, bucket_ns, gap_ns, tie_desc, fanout)
     summ = bucket_summaries(local, keys, ts, gap_ns, fanout)
     j = local.join(summ, on=[*keys, BUCKET], how="inner")
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_last"))
@@ -211,7 +215,7 @@ def running_count(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequenc
     two-level prefix over one row per bucket / super-bucket.  No key is sent
     through one task whole.
     """
-    b = with_bucket(df, ts, bucket_ns).filter(F.col(BUCKET).isNotNull())
+    b = with_bucket(df, ts, bucket_ns).filter(_carry_keys_present(fanout))
     w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     local = b.select("*", F.row_number().over(w).alias("_rn"))
     counts = local.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_bn"))
