@@ -31,8 +31,9 @@ def with_class_metadata(df: DataFrame, num_classes: int = C.NUM_CLASSES, label:
     return df.withColumn(label, F.col(label).cast("double").alias(label, metadata=meta))
 
 
-def assemble(df: DataFrame, cols: Sequence[str] = C.FEATURE_COLUMNS, out: str = FEATURES_VEC) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
+def assemble(df: DataFrame, cols: Sequence[str] = C.FEATURE_COLUMNS, out: str = FEATURES_VEC,
+             handle_invalid: str = "error") -> DataFrame:
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
 def split_bucket(key_cols: Sequence[str], seed: int = 0, buckets: int = 1000) -> F.Column:
@@ -81,14 +82,17 @@ def fit(train: DataFrame, kind: str = "rf", num_classes: int = C.NUM_CLASSES):
 
 def predict(model, rows: DataFrame) -> DataFrame:
     """``prediction`` for every row; rows without features get NO_PREDICTION."""
+    # one pass over the rows (a filter + union would run the feature plan
+    # twice): missing features become NaN in the vector, and the model's
+    # answer for those rows is replaced by NO_PREDICTION
     has = F.lit(True)
     for c in C.FEATURE_COLUMNS:
         has = has & F.col(c).isNotNull()
-    ok = rows.filter(has)
-    rest = rows.filter(~has)
-    scored = model.transform(assemble(ok)).drop(FEATURES_VEC, "rawPrediction", "probability")
-    rest = rest.withColumn("prediction", F.lit(C.NO_PREDICTION))
-    return scored.unionByName(rest)
+    scored = model.transform(assemble(rows.withColumn("_has_features", has), handle_invalid="keep"))
+    pred = F.when(F.col("_has_features"), F.col("prediction")).otherwise(F.lit(C.NO_PREDICTION))
+    keep = [c for c in scored.columns if c not in (FEATURES_VEC, "rawPrediction", "probability", "prediction",
+                                                   "_has_features")]
+    return scored.select(*keep, pred.alias("prediction"))
 
 
 def test_error(pred: DataFrame) -> DataFrame:

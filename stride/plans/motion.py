@@ -78,11 +78,21 @@ class MotionPlan:
         return f.withColumn("label", activity_label("activity"))
 
 
-def motion_plan(labelled: DataFrame, params: C.MotionParams | None = None) -> MotionPlan:
-    """Validate the labelled readings and lay out the shared bucketed shuffle."""
+def motion_plan(labelled: DataFrame, params: C.MotionParams | None = None, users: list | None = None,
+                activities: list | None = None) -> MotionPlan:
+    """Validate the labelled readings and lay out the shared bucketed shuffle.
+
+    ``users`` / ``activities`` restrict the run (the original trained one user
+    over six activities); the predicates reach the scan as pushed filters.
+    """
     params = params or C.MotionParams()
     cols = [*params.keys, TS, *AXES]
-    ok, bad = split_valid(labelled.select(*cols), cols)
+    src = labelled.select(*cols)
+    if users is not None:
+        src = src.filter(F.col(params.keys[0]).isin(list(users)))
+    if activities is not None:
+        src = src.filter(F.col(params.keys[1]).isin(list(activities)))
+    ok, bad = split_valid(src, cols)
     keys = list(params.keys)
     # readings for the range join: ties ordered by y (largest first) for the
     # distinct-peak count; one shuffle shared by both feature passes

@@ -17,8 +17,18 @@ from ..operators import requests as rq
 
 
 def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
-    """(scored requests, dead letters) for a batch of messages."""
+    """(scored requests, dead letters) for a batch of messages.
+
+    The live table is first cut to the time span the batch asks about (one
+    small aggregate over the batch); the range predicate reaches the scan,
+    so a micro-batch does not re-read and re-shuffle the whole live table.
+    """
     parsed, dead = rq.parse_requests(msgs)
+    lo, hi = parsed.filter("valid_user AND start_ts <= finish_ts").agg(F.min("start_ts"), F.max("finish_ts")).first()
+    if lo is None:
+        live = live.limit(0)
+    else:
+        live = live.filter((F.col("timestamp") >= F.lit(lo)) & (F.col("timestamp") <= F.lit(hi)))
     f = rq.request_features(parsed, live, bucket_ns)
     return ml.predict(model, f), dead
 

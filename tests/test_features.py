@@ -80,3 +80,20 @@ def test_java_long_cast(spark):
     df = spark.createDataFrame([(1.7,), (-1.7,), (-0.5,), (float("nan"),), (float("inf"),), (float("-inf"),)], "y double")
     got = [r[0] for r in df.select(java_long("y")).collect()]
     assert got == [1, -1, 0, 0, C.LONG_MAX, C.LONG_MIN]
+
+
+def test_user_activity_selection_is_pushed_to_scan(spark, tmp_path_factory):
+    from stride.plans.motion import motion_plan
+    from stride.session import scratch_path
+    from stride.sources.tables import read_labelled
+
+    path = scratch_path(spark, "labelled")
+    rows = [(u, a, t * 50 * MS, 0.0, 1.0, 0.0) for u in (17, 20, 33) for a in ("Walking", "Jogging") for t in range(120)]
+    spark.createDataFrame(rows, "user_id long, activity string, ts_ns long, acc_x double, acc_y double, "
+                                "acc_z double").write.parquet(path)
+    p = motion_plan(read_labelled(spark, path), C.MotionParams(), users=[33], activities=list(C.ACTIVITIES))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = p.intervals()._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,33)" in plan and "In(activity, [Downstairs" in plan
+    got = p.intervals().collect()
+    assert {r.user_id for r in got} == {33} and len(got) == 2
