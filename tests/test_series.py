@@ -97,3 +97,26 @@ def test_gate_is_strict(spark):
     assert g.n_rows == 101 and g.passes
     g = series.group_gate(df.limit(100), ["user_id", "activity"], 100).first()
     assert g.n_rows == 100 and not g.passes
+
+
+def test_hot_key_is_split_across_tasks(spark):
+    """One key holding a third of all rows must not land in one task."""
+    from pyspark.sql import functions as F
+
+    rows = [("hot", "Walking", t * 10) for t in range(3000)]  # 1/3 of all rows, one key
+    rows += [(f"u{i}", "Walking", t * 10) for i in range(60) for t in range(100)]
+    df = spark.createDataFrame(rows, "user_id string, activity string, ts_ns long")
+    local = series.local_order(df, ["user_id", "activity"], "ts_ns", 1000, 100)
+    # look at the raw hash spread (AQE would merge these tiny partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (local.filter(F.col("user_id") == "hot").select(F.spark_partition_id().alias("p"))
+                 .groupBy("p").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(parts) >= 4  # the hot key's 30 time buckets are hashed over many partitions
+    assert max(r["count"] for r in parts) < 3000 / 2
+    # and the result is still whole and right
+    sc = series.series_scan(df, ["user_id", "activity"], "ts_ns", 100, 1000, fanout=4)
+    hot = sc.filter(F.col("user_id") == "hot")
+    assert hot.count() == 3000 and hot.filter("interval_id <> 0").count() == 0
