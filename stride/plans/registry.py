@@ -22,7 +22,7 @@ from ..operators import requests as rq
 from ..operators import series
 from ..sources import fixtures as fx
 from . import oracle as O
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .motion import motion_plan
 
 DIGITS = 9
@@ -165,12 +165,11 @@ def q_train_test_split(spark, d):
 
 
 def _messages(spark, d):
-    # Materialise the fixture messages (reliable checkpoint in the shared
-    # folder): downstream the parser then sees a plain column, as it would
-    # from a message source, instead of inlining the seven-shape generator
+    # Materialise the fixture messages (a written table in the shared folder):
+    # downstream the parser then sees a plain column, as it would from a
+    # message source, instead of inlining the seven-shape generator
     # expression into every reference.
-    ensure_checkpoint_dir(spark)
-    return fx.requests(_ev(spark, d)).checkpoint(eager=True)
+    return materialize(fx.requests(_ev(spark, d)), "request-messages")
 
 
 def _requests(spark, d):
@@ -228,7 +227,10 @@ def q_published_numbers(spark, d):
 # ---- machine learning (rows-only checks: tree training has no SQL form)
 
 def _train_test(spark, d):
-    lf = _plan(spark, d).labelled_features()
+    # the labelled feature rows feed several passes (tree training) and the
+    # test predictions: cut the lineage once with a reliable checkpoint in the
+    # shared folder instead of re-running the feature plan for each
+    lf = materialize(_plan(spark, d).labelled_features(), "labelled-features")
     return ml.train_test(lf, SPLIT_KEY)
 
 

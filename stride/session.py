@@ -56,3 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/stride/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet below the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` but computes the plan once (an eager
+    RDD checkpoint computes it twice unless persisted) and keeps a columnar,
+    pruned and pushed-down scan for the readers.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
