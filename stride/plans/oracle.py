@@ -73,7 +73,8 @@ def _feature_ctes(members: str = "members", gkey: str = GKEY, ts: str = "ts_ns")
   SELECT {gkey}, count(*) AS n_rows, count(DISTINCT {ts}) AS n_distinct_ts,
          avg(acc_x) AS mean_x, avg(acc_y) AS mean_y, avg(acc_z) AS mean_z,
          coalesce(var_samp(acc_x), 0.0) AS variance_x, coalesce(var_samp(acc_y), 0.0) AS variance_y,
-         coalesce(var_samp(acc_z), 0.0) AS variance_z, max(acc_y) AS max_y,
+         coalesce(var_samp(acc_z), 0.0) AS variance_z, max(acc_x) AS max_x, max(acc_y) AS max_y,
+         max(acc_z) AS max_z,
          avg(sqrt(acc_x * acc_x + acc_y * acc_y + acc_z * acc_z)) AS resultant
   FROM {members} GROUP BY {gkey}),
 m2 AS (

@@ -130,7 +130,7 @@ def q_feat_variance(spark, d):
 
 
 def q_feat_max(spark, d):
-    return _plan(spark, d).moments().select(*GKEY, "max_y")
+    return _plan(spark, d).moments().select(*GKEY, "max_x", "max_y", "max_z")
 
 
 def q_feat_resultant(spark, d):
@@ -454,7 +454,7 @@ ORACLE: dict[str, str] = {
     "feat_mean": FEAT + "\n" + _sel([G, "n_rows", "mean_x", "mean_y", "mean_z"], ["mean_x", "mean_y", "mean_z"], "s1"),
     "feat_variance": FEAT + "\n" + _sel([G, "variance_x", "variance_y", "variance_z"],
                                         ["variance_x", "variance_y", "variance_z"], "s1"),
-    "feat_max": FEAT + "\n" + _sel([G, "max_y"], ["max_y"], "s1"),
+    "feat_max": FEAT + "\n" + _sel([G, "max_x", "max_y", "max_z"], ["max_x", "max_y", "max_z"], "s1"),
     "feat_resultant": FEAT + "\n" + _sel([G, "resultant"], ["resultant"], "s1"),
     "feat_abs_dev": FEAT + "\n" + _sel([G, "avg_abs_diff_x", "avg_abs_diff_y", "avg_abs_diff_z"],
                                        ["avg_abs_diff_x", "avg_abs_diff_y", "avg_abs_diff_z"], "feat"),

@@ -26,7 +26,7 @@ def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQ
     parsed, dead = rq.parse_requests(msgs)
     lo, hi = parsed.filter("valid_user AND start_ts <= finish_ts").agg(F.min("start_ts"), F.max("finish_ts")).first()
     if lo is None:
-        live = live.limit(0)
+        live = live.filter(F.lit(False))  # no valid range in this batch
     else:
         live = live.filter((F.col("timestamp") >= F.lit(lo)) & (F.col("timestamp") <= F.lit(hi)))
     f = rq.request_features(parsed, live, bucket_ns)

@@ -36,3 +36,19 @@ def test_split_is_deterministic(spark, split):
     t2, s2 = R._train_test(spark, SF_CHECK)
     assert train.count() == t2.count() and test.count() == s2.count()
     assert train.count() > 3 * test.count()
+
+
+# FIXED VALUES: the hand-typed feature vector the original kept as a smoke row
+# (mean xyz, variance xyz, mean absolute deviation xyz, resultant, peak gap).
+SAMPLE_VECTOR = [3.3809183673469394, -6.880102040816324, 0.8790816326530612, 50.08965378708187, 84.13105050494424,
+                 20.304453787081833, 5.930491461890875, 7.544194085797583, 3.519248229904206, 12.968485972481643,
+                 7.50031E8]
+
+
+@pytest.mark.parametrize("kind", ["rf", "dt"])
+def test_sample_vector_smoke(spark, split, kind):
+    train, _ = split
+    model = ml.fit(train, kind)
+    row = spark.createDataFrame([tuple(SAMPLE_VECTOR)], ", ".join(f"{c} double" for c in C.FEATURE_COLUMNS))
+    p = ml.predict(model, row).first().prediction
+    assert p in [float(i) for i in range(C.NUM_CLASSES)]
