@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..operators import model as ml
 from ..operators import progress as prog
-from ..operators import requests as rq
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.tables import REQUEST_SCHEMA

@@ -1,7 +1,6 @@
 """End-anchored windows and the eleven features (golden rows from FIXTURES.md)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from stride import config as C
 from stride.operators import ranges, series

@@ -1,7 +1,6 @@
 """Walking-progress closed form vs a step simulation of the three calls."""
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from stride import config as C
@@ -127,3 +126,11 @@ def test_sinks_round_trip(spark):
     got = {r.user_id: r.walking_progress for r in prog.progress_for(users, sinks.current_progress(spark, path)
                                                                      .select("user_id", "walking_progress", "timestamp")).collect()}
     assert got == {"a": 14, "c": 0}
+
+
+def test_next_progress_column(spark):
+    from stride.functions.scalar import next_progress
+
+    df = spark.createDataFrame([(p,) for p in (0, 88, 93, 94, 95, 99, 100, 101)], "p int")
+    got = [r[0] for r in df.select(next_progress("p")).collect()]
+    assert got == [2, 90, 95, 96, 100, 100, 100, 101]
