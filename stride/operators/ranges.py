@@ -19,17 +19,23 @@ from .series import BUCKET
 CHUNK = 4096
 
 
-def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int = CHUNK) -> DataFrame:
+def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int = CHUNK,
+                  spread_by: list[str] | None = None) -> DataFrame:
     """One row per integer in [lo, hi] (none when lo > hi), arrays bounded by ``chunk``.
 
     Two generator levels: chunks of ``chunk`` integers, then the integers of
     each chunk, so no row ever builds an array longer than ``chunk`` however
-    long the range is.
+    long the range is.  With ``spread_by`` the chunk rows are hash
+    distributed on (spread_by, chunk) before the second level, so one very
+    long range is generated by many tasks (AQE merges the partitions again
+    when the chunk rows are few).
     """
     cols = df.columns
     d = df.filter(lo <= hi).select(*cols, lo.alias("_lo"), hi.alias("_hi"))
     n_chunks = F.expr(f"(_hi - _lo) div {chunk}L")
     d = d.select(*cols, "_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks)).alias("_chunk"))
+    if spread_by:
+        d = d.repartition(*spread_by, "_chunk")
     start = F.col("_lo") + F.col("_chunk") * F.lit(chunk)
     stop = F.least(F.col("_hi"), start + F.lit(chunk - 1))
     return d.select(*cols, F.explode(F.sequence(start, stop)).alias(out))
@@ -41,7 +47,9 @@ def end_anchored_windows(iv: DataFrame, window_ns: int) -> DataFrame:
     Window 0 is the last W before the interval end; j >= 1 lie after it (the
     original anchoring, kept for parity).
     """
-    w = explode_range(iv, F.lit(0).cast("bigint"), F.col("n_windows"), "window_index")
+    # one long recording can have millions of windows: spread their generation
+    w = explode_range(iv, F.lit(0).cast("bigint"), F.col("n_windows"), "window_index",
+                      spread_by=[c for c in iv.columns if c in ("user_id", "activity", "interval_id")])
     return w.select(
         "*",
         (F.col("interval_end") + (F.col("window_index") - 1) * F.lit(window_ns)).alias("window_lo"),

@@ -96,3 +96,15 @@ def test_user_activity_selection_is_pushed_to_scan(spark, tmp_path_factory):
     assert "EqualTo(user_id,33)" in plan and "In(activity, [Downstairs" in plan
     got = p.intervals().collect()
     assert {r.user_id for r in got} == {33} and len(got) == 2
+
+
+def test_long_interval_windows_are_generated_exactly(spark):
+    # 3 * CHUNK + 5 windows: several chunks, spread over tasks, nothing lost
+    n = 3 * ranges.CHUNK + 5
+    iv = spark.createDataFrame([("u", "Walking", 7, 0, n * S, n)],
+                               "user_id string, activity string, interval_id long, interval_start long, "
+                               "interval_end long, n_windows long")
+    w = ranges.end_anchored_windows(iv, S)
+    got = w.agg({"window_index": "count"}).first()[0]
+    assert got == n + 1
+    assert w.select("window_index").distinct().count() == n + 1
