@@ -46,29 +46,35 @@ def progress_states(events: DataFrame, start: DataFrame | None, prior_scores: Da
     ``events``: user_id, ts, tiebreak columns, score (already the moving ones).
     ``start``: user_id, walking_progress (one row per user; missing -> 0).
     ``prior_scores``: user_id, perfect_number (scores stored before this batch).
+
+    The events stay partitioned by (user, time bucket) from the running count;
+    per-user values (start progress, published mean) are attached to the small
+    one-row-per-bucket table and joined back on (user, bucket), so no event is
+    re-shuffled by user and a user with a third of all events is not one task.
     """
-    ev = series.running_count(events, ["user_id"], ts, list(tiebreak), bucket_ns, out="k")
+    keys = ["user_id"]
+    ev = series.running_count(events, keys, ts, list(tiebreak), bucket_ns, out="k", keep_bucket=True)
+    buckets = series.bucket_counts(events, keys, ts, bucket_ns).select(*keys, series.BUCKET)
     if start is not None:
-        ev = ev.join(start.select("user_id", F.col("walking_progress").alias("p0")), on="user_id", how="left")
+        buckets = buckets.join(start.select("user_id", F.col("walking_progress").alias("p0")), on="user_id",
+                               how="left")
     else:
-        ev = ev.withColumn("p0", F.lit(None).cast("int"))
-    ev = ev.withColumn("p0", F.coalesce(F.col("p0"), F.lit(0)).cast("bigint"))
-    m = first_publish(F.col("p0"), P)
-    ev = ev.withColumn("_m", m)
-    raise_at_m = F.when(
-        F.col("p0") + F.lit(P.step) * (F.col("_m") - 1) >= F.lit(P.snap_from), F.lit(P.full)
-    ).otherwise(F.col("p0") + F.lit(P.step) * F.col("_m"))
-    below_full = F.col("p0") < F.lit(P.full)
-    saved = below_full & (
-        F.col("_m").isNull() | (F.col("k") < F.col("_m")) | ((F.col("k") == F.col("_m")) & (raise_at_m < F.lit(P.full)))
-    )
-    published = F.col("_m").isNotNull() & (F.col("k") >= F.col("_m"))
+        buckets = buckets.select("*", F.lit(None).cast("int").alias("p0"))
+    buckets = buckets.select(*keys, series.BUCKET, F.coalesce(F.col("p0"), F.lit(0)).cast("bigint").alias("p0"))
+    ev = ev.join(buckets, on=[*keys, series.BUCKET], how="inner")
+
+    p0, k = F.col("p0"), F.col("k")
+    m = first_publish(p0, P)
+    raise_at_m = F.when(p0 + F.lit(P.step) * (m - 1) >= F.lit(P.snap_from), F.lit(P.full)).otherwise(
+        p0 + F.lit(P.step) * m)
+    saved = (p0 < F.lit(P.full)) & (m.isNull() | (k < m) | ((k == m) & (raise_at_m < F.lit(P.full))))
+    published = m.isNotNull() & (k >= m)
     progress = (
-        F.when(F.col("p0") > F.lit(P.full), F.col("p0"))
+        F.when(p0 > F.lit(P.full), p0)
         .when(published, F.lit(P.full))
-        .otherwise(F.col("p0") + F.lit(P.step) * F.col("k"))
+        .otherwise(p0 + F.lit(P.step) * k)
     )
-    ev = ev.withColumn("saved", saved).withColumn("published", published).withColumn("progress", progress.cast("int"))
+    ev = ev.select("*", saved.alias("saved"), published.alias("published"), progress.cast("int").alias("progress"))
 
     # saved scores form a prefix of each user's events: one grouped aggregate
     per_user = ev.groupBy("user_id").agg(
@@ -81,12 +87,15 @@ def progress_states(events: DataFrame, start: DataFrame | None, prior_scores: Da
         )
         per_user = per_user.join(prior, on="user_id", how="left")
     else:
-        per_user = per_user.withColumn("_psum", F.lit(None).cast("double")).withColumn("_pn", F.lit(None).cast("bigint"))
+        per_user = per_user.select("*", F.lit(None).cast("double").alias("_psum"),
+                                   F.lit(None).cast("bigint").alias("_pn"))
     total_n = F.coalesce(F.col("_sn"), F.lit(0)) + F.coalesce(F.col("_pn"), F.lit(0))
     total = F.coalesce(F.col("_ssum"), F.lit(0.0)) + F.coalesce(F.col("_psum"), F.lit(0.0))
     per_user = per_user.select("user_id", F.when(total_n > 0, total / total_n).otherwise(F.lit(0.0)).alias("_mean"))
-    ev = ev.join(per_user, on="user_id", how="left")
-    return ev.withColumn("published_value", F.when(F.col("published"), F.col("_mean"))).drop("_m", "_mean")
+    means = buckets.select(*keys, series.BUCKET).join(per_user, on="user_id", how="left")
+    ev = ev.join(means, on=[*keys, series.BUCKET], how="inner")
+    keep = [c for c in ev.columns if c not in ("_mean", series.BUCKET)]
+    return ev.select(*keep, F.when(F.col("published"), F.col("_mean")).alias("published_value"))
 
 
 def latest_progress(history: DataFrame) -> DataFrame:

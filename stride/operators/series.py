@@ -206,19 +206,31 @@ def intervals(scanned: DataFrame, keys: Sequence[str], ts: str, window_ns: int,
     )
 
 
+def bucketed(df: DataFrame, ts: str, bucket_ns: int, fanout: int = FANOUT) -> DataFrame:
+    """Rows with their time bucket (filtered the same way for every consumer)."""
+    return with_bucket(df, ts, bucket_ns).filter(_carry_keys_present(fanout))
+
+
+def bucket_counts(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, fanout: int = FANOUT) -> DataFrame:
+    """One row per non-empty (key, bucket) with its row count (pre-aggregated before the shuffle)."""
+    return bucketed(df, ts, bucket_ns, fanout).groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_bn"))
+
+
 def running_count(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequence[str], bucket_ns: int,
-                  out: str = "k", fanout: int = FANOUT) -> DataFrame:
+                  out: str = "k", fanout: int = FANOUT, keep_bucket: bool = False) -> DataFrame:
     """1-based position of each row in its key's order (ts, then tiebreak).
 
     Same layout as ``series_scan``: a row number inside each (key, time
     bucket), plus the count of all earlier buckets of the key from a
     two-level prefix over one row per bucket / super-bucket.  No key is sent
-    through one task whole.
+    through one task whole.  The result is partitioned by (keys, bucket);
+    ``keep_bucket`` keeps the bucket column so later per-bucket joins reuse
+    that partitioning.
     """
-    b = with_bucket(df, ts, bucket_ns).filter(_carry_keys_present(fanout))
+    b = bucketed(df, ts, bucket_ns, fanout)
     w = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts), *[F.col(c) for c in tiebreak])
     local = b.select("*", F.row_number().over(w).alias("_rn"))
-    counts = local.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_bn"))
+    counts = bucket_counts(df, keys, ts, bucket_ns, fanout)
     counts = counts.select("*", floor_div(BUCKET, fanout).alias(SUPER))
     ws = Window.partitionBy(*keys, SUPER).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("*", F.coalesce(F.sum("_bn").over(ws), F.lit(0)).cast("bigint").alias("_local_before"))
@@ -228,5 +240,6 @@ def running_count(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: Sequenc
     counts = counts.join(supers, on=[*keys, SUPER], how="inner").select(
         *keys, BUCKET, (F.col("_super_before") + F.col("_local_before")).alias("_before"))
     j = local.join(counts, on=[*keys, BUCKET], how="inner")
-    keep = [c for c in j.columns if c not in ("_before", "_rn", BUCKET)]
+    drop = ("_before", "_rn") if keep_bucket else ("_before", "_rn", BUCKET)
+    keep = [c for c in j.columns if c not in drop]
     return j.select(*keep, (F.col("_before") + F.col("_rn")).alias(out))
