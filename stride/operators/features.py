@@ -2,8 +2,8 @@
 
 Two aggregation passes, both pre-aggregated map side:
 
-1. count, mean, sample variance (0 for one row), max y and mean resultant
-   per span;
+1. count, distinct times, mean, sample variance (0 for one row), max per
+   axis and mean resultant per span;
 2. the spans with their means / max are range-joined to the readings again
    (the readings' shuffle is reused) for the mean absolute deviation and the
    peaks.
@@ -11,8 +11,9 @@ Two aggregation passes, both pre-aggregated map side:
 Mean time between peaks: the peaks are readings with trunc(y) > f * max(y);
 the mean of the positive gaps between consecutive distinct peak times
 telescopes to (last - first) / (distinct peak times - 1), so no per-span sort
-is needed.  ``first_of_ts`` (computed by the series scan, largest y first)
-makes the distinct count exact when timestamps repeat.
+is needed.  ``first_of_ts`` (from ``series.local_order`` on the readings,
+largest y first among equal times) makes the distinct count exact when
+timestamps repeat.
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
 """Training-side plan: readings -> intervals -> windows -> features -> labelled rows.
 
-One logical plan, no driver loop.  The readings are shuffled once by
-(user, activity, time bucket); that exchange feeds the interval scan and
-both feature passes.
+One logical plan, no driver loop.  The readings are shuffled by
+(user, activity, time bucket) twice at most: a narrow (key, ts) shuffle
+shared by the three consumers of the interval scan, and the full readings
+shuffle shared by both feature passes (see PLANS.md).
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ class MotionPlan:
         return list(self.params.keys)
 
     def readings(self) -> DataFrame:
-        """Bucketed readings for the range join (shares the scan's shuffle)."""
+        """Bucketed readings for the range join (one shuffle, reused by both feature passes)."""
         return self.local.select(*self.keys, series.BUCKET, TS, *AXES, "first_of_ts")
 
     def scanned(self) -> DataFrame:
