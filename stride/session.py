@@ -39,13 +39,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; a default is set only where the setting is unset
-    (tests on one machine).
+    Read from the session (or a checkpoint dir already set on the context);
+    a default is used only where nothing is set (tests on one machine).
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = os.environ.get("STRIDE_CHECKPOINT_DIR", "/tmp/stride-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a core config may be read-only at runtime; the context dir below still applies
+            pass
     return d.rstrip("/")
 
 
