@@ -306,6 +306,8 @@ def _stream_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "stream_progress": streams.q_stream_progress,
         "stream_published": streams.q_stream_published,
+        "stream_progress_latest": streams.q_stream_progress_latest,
+        "stream_scores": streams.q_stream_scores,
         "stream_scoring": streams.q_stream_scoring,
         "stream_dead_letters": streams.q_stream_dead_letters,
     }
@@ -492,6 +494,11 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_progress"] = ORACLE["progress_states"]
 ORACLE["stream_published"] = ORACLE["published_numbers"]
 ORACLE["stream_dead_letters"] = ORACLE["requests_dead"]
+ORACLE["stream_progress_latest"] = PROGRESS_SIM + """
+SELECT user_id, CAST(arg_max(p, k) AS INTEGER) AS walking_progress, max(ts_ns) AS "timestamp"
+FROM st WHERE k > 0 GROUP BY user_id"""
+ORACLE["stream_scores"] = PROGRESS_SIM + f"""
+SELECT user_id, ts_ns AS "timestamp", {round_sql('score')} AS perfect_number FROM st WHERE k > 0 AND saved"""
 
 
 def oracle_sql() -> dict[str, str]:

@@ -98,6 +98,16 @@ def q_stream_published(spark, d):
     return _read(spark, f"{run_progress_stream(spark, d)}/out/published")
 
 
+def q_stream_progress_latest(spark, d):
+    """Current progress per user from the stream's upsert sink (latest row wins)."""
+    return prog.latest_progress(_read(spark, f"{run_progress_stream(spark, d)}/out/progress"))
+
+
+def q_stream_scores(spark, d):
+    """Per-event scores the stream stored (saved events only)."""
+    return _read(spark, f"{run_progress_stream(spark, d)}/out/scores")
+
+
 def q_stream_scoring(spark, d):
     return _read(spark, f"{run_scoring_stream(spark, d)}/out/results").select(
         "request_id", "user_id", "start_ts", "finish_ts", "n_rows", "prediction")
