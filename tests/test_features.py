@@ -1,5 +1,7 @@
 """End-anchored windows and the eleven features (golden rows from FIXTURES.md)."""
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from stride import config as C
@@ -108,3 +110,43 @@ def test_long_interval_windows_are_generated_exactly(spark):
     got = w.agg({"window_index": "count"}).first()[0]
     assert got == n + 1
     assert w.select("window_index").distinct().count() == n + 1
+
+
+def _brute_features(g: pd.DataFrame) -> list[float]:
+    x, y, z, t = g.acc_x.to_numpy(), g.acc_y.to_numpy(), g.acc_z.to_numpy(), g.ts_ns.to_numpy()
+    n = len(g)
+    var = (lambda a: float(np.var(a, ddof=1)) if n > 1 else 0.0)
+    peaks = np.sort(t[np.trunc(y) > 0.9 * y.max()])
+    d = np.diff(peaks)
+    d = d[d > 0]
+    gap = float(d.mean()) if len(d) else 0.0
+    return [x.mean(), y.mean(), z.mean(), var(x), var(y), var(z), np.abs(x - x.mean()).mean(),
+            np.abs(y - y.mean()).mean(), np.abs(z - z.mean()).mean(), np.sqrt(x * x + y * y + z * z).mean(), gap]
+
+
+def test_features_equal_brute_force_with_repeated_times(spark):
+    rng = np.random.default_rng(11)
+    n = 4000
+    pdf = pd.DataFrame({
+        "user_id": rng.choice(["a", "b"], n), "activity": "Walking",
+        "ts_ns": rng.integers(0, 2000, n) * 5,  # many repeated timestamps
+        "acc_x": rng.normal(size=n).round(3), "acc_y": rng.normal(3, 4, n).round(2), "acc_z": rng.normal(size=n),
+    })
+    spans = pd.DataFrame({"user_id": rng.choice(["a", "b"], 60), "activity": "Walking",
+                          "span": np.arange(60), "lo": rng.integers(-10, 9000, 60)})
+    spans["hi"] = spans.lo + rng.choice([7, 60, 400], 60)
+    rd = series.local_order(spark.createDataFrame(pdf), ["user_id", "activity"], "ts_ns", 100, 1, tie_desc="acc_y")
+    got = feat.span_features(spark.createDataFrame(spans), rd, ["user_id", "activity"],
+                             ["user_id", "activity", "span", "lo", "hi"], "ts_ns", "lo", "hi", False, 100).toPandas()
+    got = got.set_index("span")
+    checked = 0
+    for s in spans.itertuples():
+        g = pdf[(pdf.user_id == s.user_id) & (pdf.ts_ns > s.lo) & (pdf.ts_ns < s.hi)]
+        if g.empty:
+            assert s.span not in got.index
+            continue
+        row = got.loc[s.span]
+        assert row.n_rows == len(g) and row.n_distinct_ts == g.ts_ns.nunique()
+        assert [row[c] for c in C.FEATURE_COLUMNS] == pytest.approx(_brute_features(g), rel=1e-9, abs=1e-9)
+        checked += 1
+    assert checked > 40
