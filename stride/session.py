@@ -36,15 +36,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session has none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Read from the session (or a checkpoint dir already set on the context);
     a default is used only where nothing is set (tests on one machine).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = os.environ.get("STRIDE_CHECKPOINT_DIR", "/tmp/stride-checkpoints")
         try:
@@ -56,8 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
