@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
-from ..operators.progress import published_rows
+from ..sources import sinks
 
 STATE_SCHEMA = "progress long, tot double, cnt long, seen long"
 OUT_SCHEMA = ("user_id string, event_id long, ts_ns long, k long, score double, progress int, saved boolean, "
@@ -113,17 +113,17 @@ def write_progress_sinks(out_dir: str):
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            part = f"batch_id={batch_id}"
-            batch.write.mode("overwrite").parquet(f"{out_dir}/states/{part}")
-            batch.filter("saved").select(
-                "user_id", F.col("ts_ns").alias("timestamp"), F.col("score").alias("perfect_number")
-            ).write.mode("overwrite").parquet(f"{out_dir}/scores/{part}")
-            published_rows(batch).write.mode("overwrite").parquet(f"{out_dir}/published/{part}")
+            batch.write.mode("overwrite").parquet(f"{out_dir}/states/batch_id={batch_id}")
+            sinks.append_scores(
+                batch.filter("saved").select(
+                    "user_id", F.col("ts_ns").alias("timestamp"), F.col("score").alias("perfect_number")),
+                f"{out_dir}/scores", batch_id)
+            sinks.append_published(batch, f"{out_dir}/published", batch_id)
             last = batch.groupBy("user_id").agg(
                 F.max_by("progress", F.struct("ts_ns", "event_id")).alias("walking_progress"),
                 F.max("ts_ns").alias("timestamp"),
             )
-            last.write.mode("overwrite").parquet(f"{out_dir}/progress/{part}")
+            sinks.upsert_progress(last, f"{out_dir}/progress", batch_id)
         finally:
             batch.unpersist()
 
