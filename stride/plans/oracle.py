@@ -15,7 +15,6 @@ GAP = fx.FIXTURE_GAP_NS
 WIN = fx.FIXTURE_WINDOW_NS
 GATE = C.MIN_GROUP_ROWS
 SPAN = fx.FIXTURE_REQUEST_SPAN_NS
-DIGITS = 6
 
 _ACTIVITY_CASE = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in fx.EVENT_ACTIVITY.items()
