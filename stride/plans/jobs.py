@@ -103,6 +103,9 @@ def _main() -> None:
     t.add_argument("--model", required=True)
     t.add_argument("--kind", default="rf", choices=["rf", "dt"])
     t.add_argument("--users", type=int, nargs="*")
+    t.add_argument("--gap-ns", type=int, default=C.GAP_NS)
+    t.add_argument("--window-ns", type=int, default=C.WINDOW_NS)
+    t.add_argument("--min-rows", type=int, default=C.MIN_GROUP_ROWS)
     s = sub.add_parser("serve")
     s.add_argument("--requests", required=True)
     s.add_argument("--live", required=True)
@@ -112,7 +115,8 @@ def _main() -> None:
     a = ap.parse_args()
     spark = SparkSession.builder.appName(f"stride-{a.cmd}").getOrCreate()
     if a.cmd == "train":
-        r = train(tables.read_labelled(spark, a.labelled, a.format), a.model, a.kind, users=a.users)
+        params = C.MotionParams(gap_ns=a.gap_ns, window_ns=a.window_ns, min_rows=a.min_rows)
+        r = train(tables.read_labelled(spark, a.labelled, a.format), a.model, a.kind, params=params, users=a.users)
         print("sample size", r.sample_size)
         r.test_error.show()
     else:
