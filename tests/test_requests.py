@@ -44,3 +44,15 @@ def test_request_features_and_minus_one(spark):
     pred = {r.request_id: r.prediction for r in ml.predict(model, rq.request_features(parsed, live, bucket_ns=4)).collect()}
     assert all(pred[i] == -1.0 for i in (1, 2, 3))
     assert pred[0] >= 0
+
+
+def test_number_and_identifier_edge_cases(spark):
+    bodies = [f"{U}, 12,15", f"{U},+12,-3", f"{U},12,15,", "g0000000-0000-0000-0000-000000000001,1,2",
+              f"{U},,5"]
+    parsed, dead = rq.parse_requests(_msgs(spark, bodies))
+    d = {r.request_id: r.dead_reason for r in dead.collect()}
+    p = {r.request_id: r for r in parsed.collect()}
+    assert d == {0: "bad_number", 4: "bad_number"}  # spaces and empty fields are not integers
+    assert (p[1].start_ts, p[1].finish_ts) == (12, -3)  # explicit signs parse
+    assert (p[2].start_ts, p[2].finish_ts) == (12, 15)  # trailing empty field is ignored
+    assert not p[3].valid_user and p[3].user_id is None  # non-hex identifier -> answered with -1 later
