@@ -126,6 +126,8 @@ def test_sinks_round_trip(spark):
     got = {r.user_id: r.walking_progress for r in prog.progress_for(users, sinks.current_progress(spark, path)
                                                                      .select("user_id", "walking_progress", "timestamp")).collect()}
     assert got == {"a": 14, "c": 0}
+    compacted = spark.read.parquet(sinks.compact_progress(spark, path, scratch_path(spark, "progress-v2")))
+    assert sorted((r.user_id, r.walking_progress) for r in compacted.collect()) == [("a", 14), ("b", 4)]
 
 
 def test_next_progress_column(spark):
