@@ -65,8 +65,12 @@ def _state_fn(P: C.ProgressParams):
         if state.exists:
             p0, tot, cnt, seen = state.get
         else:
-            p0 = int(pdf["p0"].iloc[0]) if pd.notna(pdf["p0"].iloc[0]) else 0
-            tot, cnt, seen = 0.0, 0, 0
+            first = pdf.iloc[0]
+            p0 = int(first["p0"]) if pd.notna(first["p0"]) else 0
+            # scores stored before the stream started count in every published mean
+            tot = float(first["_psum"]) if pd.notna(first["_psum"]) else 0.0
+            cnt = int(first["_pn"]) if pd.notna(first["_pn"]) else 0
+            seen = 0
         scores = pdf["score"].to_numpy(dtype="float64")
         progress, saved, published, value, tot2, cnt2 = advance(int(p0), float(tot), int(cnt), scores, P)
         n = len(pdf)
@@ -86,11 +90,14 @@ def _state_fn(P: C.ProgressParams):
     return fn
 
 
-def progress_stream(moving: DataFrame, start: DataFrame | None, P: C.ProgressParams = C.ProgressParams()) -> DataFrame:
+def progress_stream(moving: DataFrame, start: DataFrame | None, P: C.ProgressParams = C.ProgressParams(),
+                    prior_scores: DataFrame | None = None) -> DataFrame:
     """Streaming state rows from a stream of (user_id, event_id, ts_ns, score) moving events.
 
     ``start`` (static): user_id, walking_progress -- the stored progress of
-    users seen for the first time.
+    users seen for the first time.  ``prior_scores`` (static): user_id,
+    perfect_number -- scores stored before the stream, which seed a new
+    user's score sum and count.
     """
     s = moving.select("user_id", "event_id", "ts_ns", "score")
     if start is not None:
@@ -98,6 +105,12 @@ def progress_stream(moving: DataFrame, start: DataFrame | None, P: C.ProgressPar
                    how="left")
     else:
         s = s.withColumn("p0", F.lit(None).cast("long"))
+    if prior_scores is not None:
+        prior = prior_scores.groupBy("user_id").agg(
+            F.sum("perfect_number").alias("_psum"), F.count(F.lit(1)).alias("_pn"))
+        s = s.join(prior, on="user_id", how="left")
+    else:
+        s = s.select("*", F.lit(None).cast("double").alias("_psum"), F.lit(None).cast("long").alias("_pn"))
     return s.groupBy("user_id").applyInPandasWithState(
         _state_fn(P), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
     )

@@ -32,3 +32,32 @@ def test_scoring_stream_dead_letters_and_rows(spark):
     assert scored.count() == parsed.count()
     # every request without features is answered with -1
     assert scored.filter("n_rows = 0 AND prediction <> -1.0").count() == 0
+
+
+def test_progress_stream_with_prior_scores_equals_batch(spark):
+    """Scores stored before the stream count in every published mean (stream = batch)."""
+    import numpy as np
+
+    from stride.operators import progress as prog
+    from stride.session import scratch_path
+    from stride.streaming import progress as sprog
+
+    rng = np.random.default_rng(4)
+    rows = [(f"u{u}", i, 1000 * i + u, float(s)) for u in range(4) for i, s in enumerate(rng.normal(size=60))]
+    events = spark.createDataFrame(rows, "user_id string, event_id long, ts_ns long, score double")
+    start = spark.createDataFrame([("u0", 0), ("u1", 88), ("u2", 93)], "user_id string, walking_progress int")
+    prior = spark.createDataFrame([("u0", 1, 10.0), ("u0", 2, 20.0), ("u3", 1, -5.0)],
+                                  "user_id string, timestamp long, perfect_number double")
+    batch = prog.progress_states(events, start, prior)
+    root = scratch_path(spark, "prior-stream")
+    events.write.parquet(f"{root}/in")
+    stream = spark.readStream.schema("user_id string, event_id long, ts_ns long, score double").parquet(f"{root}/in")
+    q = (sprog.progress_stream(stream, start, prior_scores=prior).writeStream.outputMode("append")
+         .option("checkpointLocation", f"{root}/chk").foreachBatch(sprog.write_progress_sinks(f"{root}/out"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(f"{root}/out/states").drop("batch_id")
+    cols = ["user_id", "event_id", "k", "progress", "saved", "published", "published_value"]
+    a = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in got.select(*cols).collect())
+    b = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in batch.select(*cols).collect())
+    assert a == b and len(a) == 240
