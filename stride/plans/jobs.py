@@ -74,23 +74,24 @@ def serve_scoring(requests: DataFrame, live: DataFrame, model_path: str, out_dir
 
 
 def serve_progress(spark: SparkSession, out_dir: str, checkpoint: str, progress_history: DataFrame | None = None,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None, stored_scores: DataFrame | None = None):
     """Progress stream over the scoring results: keyed state and its four sinks."""
     results = spark.readStream.schema(RESULTS_SCHEMA).parquet(f"{out_dir}/results")
     start = prog.latest_progress(progress_history) if progress_history is not None else None
-    states = sprog.progress_stream(sscore.moving_events(results), start)
+    states = sprog.progress_stream(sscore.moving_events(results), start, prior_scores=stored_scores)
     return (states.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/progress")
             .foreachBatch(sprog.write_progress_sinks(f"{out_dir}/progress"))
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
 def serve(spark: SparkSession, requests: DataFrame, live: DataFrame, model_path: str, out_dir: str,
-          progress_history: DataFrame | None = None, checkpoint: str | None = None, kind: str = "rf"):
+          progress_history: DataFrame | None = None, checkpoint: str | None = None, kind: str = "rf",
+          stored_scores: DataFrame | None = None):
     """Start the scoring stream and the progress stream behind it; returns both queries."""
     checkpoint = checkpoint or scratch_path(spark, "serve")
     spark.createDataFrame([], RESULTS_SCHEMA).write.mode("append").parquet(f"{out_dir}/results")
     q1 = serve_scoring(requests, live, model_path, out_dir, checkpoint, kind)
-    q2 = serve_progress(spark, out_dir, checkpoint, progress_history)
+    q2 = serve_progress(spark, out_dir, checkpoint, progress_history, stored_scores=stored_scores)
     return q1, q2
 
 
@@ -112,6 +113,7 @@ def _main() -> None:
     s.add_argument("--model", required=True)
     s.add_argument("--out", required=True)
     s.add_argument("--progress")
+    s.add_argument("--scores")
     a = ap.parse_args()
     spark = SparkSession.builder.appName(f"stride-{a.cmd}").getOrCreate()
     if a.cmd == "train":
@@ -121,8 +123,9 @@ def _main() -> None:
         r.test_error.show()
     else:
         hist = tables.read_progress(spark, a.progress) if a.progress else None
+        scores = tables.read_scores(spark, a.scores) if a.scores else None
         q1, q2 = serve(spark, tables.read_requests_stream(spark, a.requests), tables.read_live(spark, a.live),
-                       a.model, a.out, hist)
+                       a.model, a.out, hist, stored_scores=scores)
         spark.streams.awaitAnyTermination()
 
 
