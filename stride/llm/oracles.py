@@ -46,3 +46,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
            AND 100 * lost_chars <= {r.max_lost_pct} * word_chars AS kept,
        n_lines, n_bad_lines, lost_chars
 FROM b"""
+
+
+def decontamination(window: int = 10) -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents),
+i AS (SELECT item_id, {words} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), {window}) AS n, array_to_string(w[s + 1:s + {window}], ' ') AS g
+       FROM i, unnest(range(0, greatest(len(w) - {window - 1}, 1))) AS u(s) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (SELECT rid, s, n, array_to_string(w[s + 1:s + n], ' ') AS g
+       FROM d, sizes, unnest(range(0, len(w) - n + 1)) AS u(s)),
+h AS (SELECT rid, s, dw.n, item_id FROM dw JOIN iw ON iw.n = dw.n AND iw.g = dw.g),
+hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM h, unnest(range(s, s + n)) AS u(p) GROUP BY rid),
+its AS (SELECT rid, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids FROM h GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (rid) LEFT JOIN its USING (rid)"""

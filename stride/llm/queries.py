@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm import language_id, oracles, quality_rules
+from stride.llm import bagminhash, decontamination, language_id, oracles, packing, quality_rules
 from stride.llm.common import held_out, table
 
 
@@ -23,13 +23,36 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(table(spark, sf_dir, "documents")).drop("_hash")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.contamination(docs, benchmark).drop("item_ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_language_id": op3_language_id,
+    "op4_minhash_neardup": op4_minhash_neardup,
+    "op5_packing": op5_packing,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
+    "op9_decontamination": oracles.decontamination(),
 }
 
 
