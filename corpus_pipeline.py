@@ -1,23 +1,55 @@
-"""Corpus pipeline: language ID, then further stages (in progress)."""
+"""Corpus pipeline: language ID, near-duplicates, benchmark decontamination, secret scans, packing.
+
+Each stage takes (spark, docs, sf_dir), works on everything its predecessor
+kept and returns the columns of documents; the last returns the packed pieces.
+Between stages the documents are written and read again.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stride.llm import language_id
-from stride.llm.common import cut, table
-from stride.llm.common import held_out
+from stride.llm import bagminhash, decontamination, language_id, packing, secret_scan
+from stride.llm.common import cut, held_out, table
+from stride.llm.queries import tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents of an identified language; the model learns from the documents table's training rows."""
-    model = language_id.train(table(spark, sf_dir, "documents").where(~held_out("doc_id", 4, 2)))
+    """Keep documents of an identified language; the model learns from the training rows of the given documents."""
+    model = language_id.train(docs.where(~held_out("doc_id", 4, 2)))
     return language_id.keep_identified(docs, model)
 
 
-STAGES = [("language_id", identify_language)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays."""
+    return bagminhash.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reported secrets are replaced by a mark; every document stays, n_chars follows its text."""
+    clean = secret_scan.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in clean.columns else clean
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secret_scan", redact_secrets),
+    ("packing", pack_sequences),
+]
 
-ORACLE_SQL = None  # naive Bayes scores have no SQL form; the stages are tested against brute force
+ORACLE_SQL = None  # naive Bayes, signatures and packing have no SQL form; tests/llm/test_pipeline.py compares with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,3 +161,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, broad
         F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"), "item_ids")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, broadcast_windows: int = 50_000) -> DataFrame:
+    """The rows of docs (all columns) without any benchmark window."""
+    found = occurrences(docs, benchmark, window, broadcast_windows).where(F.col("_start").isNotNull())
+    bad = found.select(F.col("_id").alias("_dc_id"), F.col("_hash").alias("_dc_hash")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_dc_id")) & (F.xxhash64("text") == F.col("_dc_hash")), "left_anti")

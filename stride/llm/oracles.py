@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stride.llm import secret_scan as secrets
 from stride.llm.quality_rules import BOILERPLATE, LineRules
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -65,3 +66,74 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (rid) LEFT JOIN its USING (rid)"""
+
+
+def _positions(name: str, pattern: str, keep: str = "true") -> str:
+    """CTEs: matches of a pattern in d (rid, text) with start and end."""
+    p = pattern.replace("'", "''")
+    return f"""
+{name}_m AS (SELECT rid, i, len(g[i]) AS gap, len(m[i]) AS size, m[i] AS match
+  FROM (SELECT rid, regexp_split_to_array(text, '{p}') AS g, regexp_extract_all(text, '{p}') AS m FROM d),
+       unnest(range(1, len(m) + 1)) AS u(i)),
+{name} AS (SELECT rid, match, s AS start, s + size AS "end"
+  FROM (SELECT *, sum(gap + size) OVER (PARTITION BY rid ORDER BY i) - size AS s FROM {name}_m) WHERE {keep})"""
+
+
+def secret_scan(linking: secrets.Linking = secrets.Linking()) -> str:
+    assign = secrets.ASSIGN.replace("'", "''")
+    spans = ",".join((
+        _positions("assign", secrets.ASSIGN, f"length(regexp_extract(match, '{assign}', 2)) >= 6"),
+        _positions("access", secrets.ACCESS, "length(match) >= 20"),
+        _positions("hex", secrets.HEX, "length(match) >= 24"),
+        _positions("weak_id", secrets.IDENTIFIER),
+        _positions("weak_secret", secrets.WEAK_SECRET),
+        _positions("weak_endpoint", secrets.ENDPOINT)))
+    near = f'b.rid = a.rid AND b.start <= a."end" + {linking.scope} AND a.start <= b."end" + {linking.scope}'
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents), {spans},
+ids AS (SELECT rid, start, "end" FROM weak_id UNION SELECT rid, start, "end" FROM access),
+vals AS (SELECT rid, start, "end" FROM weak_secret UNION SELECT rid, start, "end" FROM assign
+         UNION SELECT rid, start, "end" FROM hex),
+anchored AS (SELECT * FROM vals a WHERE EXISTS (SELECT 1 FROM ids b WHERE {near})),
+base AS (SELECT rid, start, "end", 0 AS o, 'assign' AS kind FROM assign UNION ALL
+         SELECT rid, start, "end", 1, 'access' FROM access UNION ALL SELECT rid, start, "end", 2, 'hex' FROM hex),
+links AS (SELECT rid, start, "end", 3 AS o, 'link_id' AS kind FROM weak_id a
+          WHERE EXISTS (SELECT 1 FROM vals b WHERE {near}) UNION ALL
+          SELECT rid, start, "end", 4, 'link_secret' FROM weak_secret a
+          WHERE EXISTS (SELECT 1 FROM ids b WHERE {near}) UNION ALL
+          SELECT rid, start, "end", 5, 'link_endpoint' FROM weak_endpoint a
+          WHERE EXISTS (SELECT 1 FROM anchored b WHERE {near})),
+added AS (SELECT * FROM links a
+          WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = a.rid AND b.start < a."end" AND a.start < b."end")),
+text_of AS (SELECT *, kind || ':' || start || ':' || "end" AS t FROM base),
+n AS (SELECT rid, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access,
+             count(*) FILTER (o = 2) AS n_hex, string_agg(t, ',' ORDER BY start, o) AS t FROM text_of GROUP BY rid),
+s AS (SELECT rid, string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, o, "end") AS spans
+      FROM (SELECT * FROM base UNION ALL SELECT * FROM added) GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(t, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN n USING (rid) LEFT JOIN s USING (rid)"""
+
+
+def url_filters() -> str:
+    scheme = r"^\s*[A-Za-z][A-Za-z0-9+.-]*://"
+    return rf"""
+WITH a AS (SELECT row_number() OVER () AS rid, page_id, 1704067200 + (page_id * 7919) % 2592000 AS fetch_ts,
+             regexp_replace(lower(regexp_replace(regexp_extract(url, '{scheme}([^/?#\s]*)', 1), '^.*@|:[0-9]*$', '', 'g')), '\.+$', '') AS h,
+             regexp_replace(regexp_extract(url, '{scheme}[^/?#\s]*(/[^?#\s]*)', 1), '/+$', '') AS p
+           FROM pages),
+e AS (SELECT event_id, event_type IN ('purchase', 'signup') AS gone, epoch_us(ts) AS ts,
+             CASE event_id % 4 WHEN 0 THEN 'host:' || h
+               WHEN 1 THEN 'domain:' || regexp_replace(h, '^[^.]*\.([^.]*\..*)$', '\1')
+               WHEN 2 THEN 'prefix:' || h || regexp_extract(p, '^(/[^/]*)', 1) ELSE 'url:' || h || p END AS key
+      FROM events JOIN a ON event_id = page_id WHERE h <> ''),
+f AS (SELECT key, ts, gone, lead(ts) OVER (PARTITION BY key ORDER BY ts) AS until
+      FROM (SELECT *, row_number() OVER (PARTITION BY key, ts ORDER BY event_id DESC) AS nth FROM e) WHERE nth = 1),
+k AS (SELECT rid, fetch_ts * 1000000 AS asked, unnest(list_distinct(list_concat(['host:' || h, 'url:' || h || p],
+             [('domain:' || array_to_string(string_split(h, '.')[i:], '.')) FOR i IN range(1, greatest(len(string_split(h, '.')), 2))],
+             [('prefix:' || h || array_to_string(string_split(p, '/')[1:i], '/')) FOR i IN range(1, len(string_split(p, '/')) + 1)]))) AS key
+      FROM a WHERE h <> ''),
+hit AS (SELECT rid, count(*) AS n, string_agg(k.key, ',' ORDER BY k.key) AS keys
+        FROM k JOIN f ON f.key = k.key AND NOT gone AND ts <= asked AND (until IS NULL OR asked < until) GROUP BY rid)
+SELECT page_id, fetch_ts, coalesce(h, '') AS host, n IS NOT NULL AS blocked, coalesce(n, 0) AS n_active, coalesce(keys, '') AS entries
+FROM a LEFT JOIN hit USING (rid)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm import bagminhash, decontamination, language_id, oracles, packing, quality_rules
+from stride.llm import bagminhash, decontamination, language_id, oracles, packing, private_data, quality_rules, secret_scan, span_dedup, toxicity, url_filters
 from stride.llm.common import held_out, table
 
 
@@ -16,6 +16,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("clean_text")
 
 
+def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated list entries made of the tables: event n adds or removes a key of the page with the same number."""
+    events, pages = table(spark, sf_dir, "events"), table(spark, sf_dir, "pages")
+    host, path = url_filters.host_of(F.col("url")), url_filters.path_of(F.col("url"))
+    # the events' wall clock read as UTC, whatever the session's zone
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
+    rows = events.join(pages, F.col("event_id") == F.col("page_id")).select(
+        "event_id", F.timestamp_micros(micros).alias("ts"), "event_type", host.alias("h"), path.alias("p"))
+    key = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("host:"), "h"))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit("domain:"), F.regexp_replace("h", r"^[^.]*\.([^.]*\..*)$", "$1")))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit("prefix:"), "h", F.regexp_extract("p", "^(/[^/]*)", 1)))
+        .otherwise(F.concat(F.lit("url:"), "h", "p")))
+    action = F.when(F.col("event_type").isin("purchase", "signup"), "remove").otherwise("add")
+    return rows.where(F.length("h") > 0).select(F.col("event_id").alias("entry_id"), key.alias("key"), action.alias("action"), "ts")
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    second = F.pmod(F.col("page_id") * 7919, F.lit(30 * 86400))
+    captures = table(spark, sf_dir, "pages").select(
+        "page_id", "url", F.timestamp_seconds(F.lit(1704067200) + second).alias("fetch_ts"))
+    found = url_filters.filter_captures(captures, list_entries(spark, sf_dir))
+    return found.withColumn("fetch_ts", F.unix_seconds("fetch_ts"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.where(~held_out("doc_id", 4, 2)))
@@ -37,21 +62,47 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out("doc_id", 5, 0)))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
+def op7_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private_data.digest(private_data.find(table(spark, sf_dir, "documents")))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontamination.contamination(docs, benchmark).drop("item_ids")
 
 
+def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_url_filters": op2_url_filters,
     "op3_language_id": op3_language_id,
     "op4_minhash_neardup": op4_minhash_neardup,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
+    "op7_private_data": op7_private_data,
+    "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
+    "op10_span_dedup": op10_span_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": oracles.quality_rules(),
+    "op2_url_filters": oracles.url_filters(),
+    "op8_secret_scan": oracles.secret_scan(),
     "op9_decontamination": oracles.decontamination(),
 }
 
