@@ -17,9 +17,10 @@ Signatures are banded; texts that share a band are candidates.  Exact copies
 (equal multisets) are folded first.  Candidates are verified by the exact
 multiset overlap in three passes: every text against the smallest text of the
 band it meets most often, then the remaining pairs with band pivots, then every
-pair of a band whose ends are still in different classes.  A pair is skipped
-only if its ends are already connected, so no link between classes is lost and
-groups are never expanded into all pairs.
+pair of a band whose ends are still in different classes (crowded bands: block
+against block, only links leave a block).  A pair is skipped only if its ends
+are already connected, so no link between classes is lost and groups are never
+expanded into all pairs.
 
 Cases: texts without words (null, empty, blanks) are copies of one another;
 repeated rows and null ids are ordinary members; other columns are ignored by
@@ -44,6 +45,7 @@ class Banding:
     threshold: float = 0.8
     bands: int = 26
     rows: int = 6  # recall at similarity 0.8: 1 - (1 - 0.8**6) ** 26 = 0.9996
+    block: int = 128  # bands with more texts are compared block against block
 
     @property
     def registers(self) -> int:
@@ -284,15 +286,86 @@ def links(docs: DataFrame, rows: DataFrame, banding: Banding = Banding()) -> Dat
 
     # pass 3: whatever pair of a band still crosses classes
     crossing = cut(_with_class(met, classes).select("band", "id", "cls"), "crossing")
-    mixed = crossing.groupBy("band").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where(F.col("lo") != F.col("hi"))
-    crossing = cut(crossing.join(mixed.select(F.col("band").alias("_b")), F.col("band") == F.col("_b")).drop("_b"), "crossing")
-    other = crossing.select(F.col("band").alias("_b"), F.col("id").alias("b"), F.col("cls").alias("_c"))
+    sizes = crossing.groupBy("band", "cls").agg(F.count(F.lit(1)).alias("n")).groupBy("band").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "cls")).alias("most"), F.count(F.lit(1)).alias("n_classes"))
+    mixed = sizes.where(F.col("n_classes") > 1).select(
+        F.col("band").alias("_b"), "n", F.col("most.cls").alias("main"), (F.col("n") - F.col("most.n")).alias("n_minor"))
+    crossing = cut(crossing.join(mixed, F.col("band") == F.col("_b")).drop("_b"), "crossing")
+    few, many = crossing.where(F.col("n") <= banding.block), crossing.where(F.col("n") > banding.block)
+    other = few.select(F.col("band").alias("_b"), F.col("id").alias("b"), F.col("cls").alias("_c"))
     pairs = (
-        crossing.withColumnRenamed("id", "a").join(other, (F.col("band") == F.col("_b")) & (F.col("a") < F.col("b")) & (F.col("cls") != F.col("_c")))
+        few.withColumnRenamed("id", "a").join(other, (F.col("band") == F.col("_b")) & (F.col("a") < F.col("b")) & (F.col("cls") != F.col("_c")))
         .select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
     )
     rest = confirm(pairs, "links")
-    return good(tested.unionByName(rest))
+    return good(tested.unionByName(rest)).unionByName(cut(_block_links(many, texts, banding), "links"))
+
+
+def _block_links(rows: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+    """Links across classes inside crowded bands, without a row per pair.
+
+    rows is (band, id, cls, main, n, n_minor).  Texts outside a band's largest
+    class meet all texts of the band block against block; a block pair is one
+    bounded group, compared by matrix products, and only links leave it.
+    """
+    block = banding.block
+
+    def dealt(df, own, others):
+        mine = F.ceil(F.col(own) / block)
+        return df.select("band", F.pmod(F.xxhash64("id", F.lit(own)), mine).alias("mine"),
+                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col(others) / block) - 1)).alias("theirs"), "id", "cls")
+
+    left = dealt(rows.where(F.col("cls") != F.col("main")), "n_minor", "n").select(
+        "band", F.col("mine").alias("i"), F.col("theirs").alias("j"), "id", "cls", F.lit(True).alias("minor"))
+    right = dealt(rows, "n", "n_minor").select(
+        "band", F.col("theirs").alias("i"), F.col("mine").alias("j"), "id", "cls", F.lit(False).alias("minor"))
+    both = left.unionByName(right).join(texts.withColumnRenamed("id", "_t"), F.col("id") == F.col("_t")).drop("_t")
+
+    def units(part):
+        import pandas as pd
+
+        ids, kinds, minor = part["id"].tolist(), part["cls"].tolist(), part["minor"].to_numpy(dtype=bool)
+        left, right = minor.nonzero()[0], (~minor).nonzero()[0]
+        near = block_similarities(part["text"].tolist(), left, right, banding.shingle) >= banding.threshold
+        found: dict = {}
+        for x, y in zip(*near.nonzero()):
+            x, y = left[x], right[y]
+            if kinds[x] != kinds[y]:  # one link of a text to a class is enough
+                found.setdefault((ids[x], kinds[y]), (ids[x], ids[y]))
+        return pd.DataFrame(list(found.values()), columns=["a", "b"])
+
+    return both.groupBy("band", "i", "j").applyInPandas(units, "a binary, b binary")
+
+
+def block_similarities(texts: list, left, right, size: int, columns: int = 8192):
+    """(left, right) weighted Jaccard similarities; a shingle of weight w is w unit columns."""
+    import numpy as np
+
+    key, weight, who = multisets(texts, size)
+    total = np.bincount(who, weights=weight, minlength=len(texts))
+    level = np.arange(int(weight.sum())) - np.repeat(np.cumsum(weight) - weight, weight)
+    unit = mix(np.repeat(key, weight) + level.astype(np.uint64) * np.uint64(GOLDEN))
+    owner = np.repeat(who, weight)
+    side = np.full(len(texts), -1)
+    side[right] = np.arange(len(right))
+    rows = np.full(len(texts), -1)
+    rows[left] = np.arange(len(left))
+    is_left = rows[owner] >= 0
+    shared = np.intersect1d(unit[is_left], unit[~is_left])
+    at = np.searchsorted(shared, unit)
+    known = at < len(shared)
+    known[known] = shared[at[known]] == unit[known]
+    owner, at, is_left = owner[known], at[known], is_left[known]
+    both = np.zeros((len(left), len(right)))
+    for c in range(0, len(shared), columns):
+        part = (at >= c) & (at < c + columns)
+        a = np.zeros((len(left), columns), np.float32)
+        b = np.zeros((len(right), columns), np.float32)
+        a[rows[owner[part & is_left]], at[part & is_left] - c] = 1
+        b[side[owner[part & ~is_left]], at[part & ~is_left] - c] = 1
+        both += a @ b.T
+    whole = total[left][:, None] + total[right][None, :] - both
+    return np.where(whole > 0, both / np.maximum(whole, 1), 1.0)
 
 
 def classes(docs: DataFrame, banding: Banding = Banding()) -> DataFrame:
