@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.scalar import floor_div
 from . import series
 
 
@@ -40,12 +41,14 @@ def first_publish(p0: F.Column, P: C.ProgressParams) -> F.Column:
 
 def progress_states(events: DataFrame, start: DataFrame | None, prior_scores: DataFrame | None,
                     P: C.ProgressParams = C.ProgressParams(), ts: str = "ts_ns", tiebreak: tuple[str, ...] = ("event_id",),
-                    score: str = "score", bucket_ns: int = 86_400_000_000_000) -> DataFrame:
+                    score: str = "score", bucket_ns: int = 86_400_000_000_000,
+                    prior: DataFrame | None = None) -> DataFrame:
     """Per moving event: k, progress after it, saved / published flags and the published value.
 
     ``events``: user_id, ts, tiebreak columns, score (already the moving ones).
     ``start``: user_id, walking_progress (one row per user; missing -> 0).
-    ``prior_scores``: user_id, perfect_number (scores stored before this batch).
+    ``prior_scores``: user_id, perfect_number (scores stored before this batch),
+    or ``prior``: their totals per user (see :func:`score_totals`).
 
     The events stay partitioned by (user, time bucket) from the running count;
     per-user values (start progress, published mean) are attached to the small
@@ -82,9 +85,8 @@ def progress_states(events: DataFrame, start: DataFrame | None, prior_scores: Da
         F.count(F.when(F.col("saved"), F.lit(1))).alias("_sn"),
     )
     if prior_scores is not None:
-        prior = prior_scores.groupBy("user_id").agg(
-            F.sum("perfect_number").alias("_psum"), F.count(F.lit(1)).alias("_pn")
-        )
+        prior = score_totals(prior_scores)
+    if prior_scores is not None or prior is not None:
         per_user = per_user.join(prior, on="user_id", how="left")
     else:
         per_user = per_user.select("*", F.lit(None).cast("double").alias("_psum"),
@@ -98,10 +100,15 @@ def progress_states(events: DataFrame, start: DataFrame | None, prior_scores: Da
     return ev.select(*keep, F.when(F.col("published"), F.col("_mean")).alias("published_value"))
 
 
+def score_totals(scores: DataFrame) -> DataFrame:
+    """user_id, _psum, _pn: sum and number of stored scores."""
+    return scores.groupBy("user_id").agg(F.sum("perfect_number").alias("_psum"), F.count(F.lit(1)).alias("_pn"))
+
+
 def latest_progress(history: DataFrame) -> DataFrame:
-    """Latest stored progress per user (value of the row with the largest timestamp)."""
+    """Latest stored progress per user (row with the largest timestamp; of equal ones the largest progress)."""
     return history.groupBy("user_id").agg(
-        F.max_by("walking_progress", "timestamp").alias("walking_progress"),
+        F.max_by("walking_progress", F.struct("timestamp", "walking_progress")).alias("walking_progress"),
         F.max("timestamp").alias("timestamp"),
     )
 
@@ -113,14 +120,30 @@ def progress_for(users: DataFrame, history: DataFrame) -> DataFrame:
         "user_id", F.coalesce(F.col("walking_progress"), F.lit(0)).alias("walking_progress"))
 
 
+def stored_time(ts: str) -> F.Column:
+    """Event time as the stored tables count it: milliseconds."""
+    return floor_div(ts, 1_000_000)
+
+
+def stored_scores(states: DataFrame, ts: str = "ts_ns", score: str = "score") -> DataFrame:
+    """Rows of the per-event score table: the saved events."""
+    return states.filter("saved").select("user_id", stored_time(ts).alias("timestamp"), F.col(score).alias("perfect_number"))
+
+
+def progress_upserts(states: DataFrame, ts: str = "ts_ns", P: C.ProgressParams = C.ProgressParams()) -> DataFrame:
+    """The stored progress after the given states; a user beyond full is never written."""
+    return states.filter(F.col("progress") <= F.lit(P.full)).groupBy("user_id").agg(
+        F.max_by("progress", "k").alias("walking_progress"), F.max(stored_time(ts)).alias("timestamp"))
+
+
 def published_rows(states: DataFrame, ts: str = "ts_ns") -> DataFrame:
     """Rows of the published-score table: the eleven feature columns are written as zeros."""
     zeros = [F.lit(0.0).alias(c) for c in C.FEATURE_COLUMNS]
     p = states.filter("published")
     return p.select(
         "user_id",
-        F.col(ts).alias("timestamp"),
-        F.col(ts).alias("timestamp_long"),
+        stored_time(ts).alias("timestamp"),
+        stored_time(ts).alias("timestamp_long"),
         *zeros,
         F.col("published_value").alias("perfect_number"),
     )

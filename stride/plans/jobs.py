@@ -4,31 +4,32 @@
             directory + test error (the batch training job).
 ``score``   request messages + live readings -> predictions and dead letters
             (one bulk job for a batch of requests).
-``serve``   the same as a Structured Streaming query with the progress state
-            behind it (the live consumer service).
+``serve``   the same as a Structured Streaming query that also advances the
+            progress state (the live consumer service).
 
     python -m stride.plans.jobs train --labelled PATH --model PATH [--kind rf|dt]
-    python -m stride.plans.jobs serve --requests PATH --live PATH --model PATH --out PATH
+    python -m stride.plans.jobs score --requests PATH --live PATH --model PATH --out PATH
+    python -m stride.plans.jobs serve --requests PATH --live PATH --model PATH --out PATH --checkpoint PATH
+        [--format kafka --option kafka.bootstrap.servers=HOST:PORT --option subscribe=TOPIC]
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import config as C
 from ..operators import model as ml
-from ..operators import progress as prog
 from ..operators import requests as rq
-from ..session import materialize, scratch_path
+from ..session import materialize
 from ..sources import tables
 from ..streaming import progress as sprog
 from ..streaming import scoring as sscore
 from .motion import motion_plan
 
-SPLIT_KEY = ["user_id", "activity", "interval_id", "window_index"]
 
 
 @dataclass
@@ -44,7 +45,8 @@ def train(labelled: DataFrame, model_path: str, kind: str = "rf", params: C.Moti
     """Features of every window of every selected series, then fit, save and evaluate."""
     plan = motion_plan(labelled, params, users=users, activities=activities)
     rows = materialize(plan.labelled_features(), "training-rows")
-    train_rows, test_rows = ml.train_test(rows, SPLIT_KEY, seed=seed)
+    keys = (params or C.MotionParams()).keys
+    train_rows, test_rows = ml.train_test(rows, [*keys, "interval_id", "window_index"], seed=seed)
     model = ml.fit(train_rows, kind)
     ml.save_model(model, model_path)
     err = ml.test_error(ml.predict(model, test_rows))
@@ -56,77 +58,76 @@ def score(messages: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUE
     return sscore.score_batch(messages, live, model, bucket_ns)
 
 
-RESULTS_SCHEMA = (
-    "request_id long, request_ts long, user_text string, valid_user boolean, user_id string, start_ts long, "
-    "finish_ts long, n_rows long, n_distinct_ts long, "
-    + ", ".join(f"{c} double" for c in C.FEATURE_COLUMNS)
-    + ", scored boolean, prediction double"
-)
+def serve(spark: SparkSession, requests: DataFrame, read_live: Callable[[], DataFrame], model_path: str, out_dir: str,
+          checkpoint: str, progress_history: DataFrame | None = None, kind: str = "rf",
+          stored_scores: DataFrame | None = None, trigger: dict | None = None, compact_every: int = 50):
+    """Start the live service: one query that scores requests and advances the progress behind them.
 
-
-def serve_scoring(requests: DataFrame, live: DataFrame, model_path: str, out_dir: str, checkpoint: str,
-                  kind: str = "rf", trigger: dict | None = None):
-    """Scoring stream: results and dead letters per micro-batch under ``out_dir``."""
+    ``read_live`` is called in every micro-batch, so readings that arrived
+    since are found.  A restart with the same ``checkpoint`` and ``out_dir``
+    goes on where the last run stopped; a batch that was cut off is done again
+    and replaces its own output.
+    """
     model = ml.load_model(model_path, kind)  # once, not per request
-    return (requests.writeStream.option("checkpointLocation", f"{checkpoint}/scoring")
-            .foreachBatch(sscore.write_scoring_sinks(live, model, out_dir))
-            .trigger(**(trigger or {"processingTime": "1 second"})).start())
-
-
-def serve_progress(spark: SparkSession, out_dir: str, checkpoint: str, progress_history: DataFrame | None = None,
-                   trigger: dict | None = None, stored_scores: DataFrame | None = None):
-    """Progress stream over the scoring results: keyed state and its four sinks."""
-    results = spark.readStream.schema(RESULTS_SCHEMA).parquet(f"{out_dir}/results")
-    start = prog.latest_progress(progress_history) if progress_history is not None else None
-    states = sprog.progress_stream(sscore.moving_events(results), start, prior_scores=stored_scores)
-    return (states.writeStream.outputMode("append").option("checkpointLocation", f"{checkpoint}/progress")
-            .foreachBatch(sprog.write_progress_sinks(f"{out_dir}/progress"))
+    sprog.start_state(spark, f"{out_dir}/progress", progress_history, stored_scores)
+    return (requests.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(sscore.service_writer(read_live, model, out_dir, compact_every=compact_every))
             .trigger(**(trigger or {"processingTime": "1 second"})).start())
 
 
-def serve(spark: SparkSession, requests: DataFrame, live: DataFrame, model_path: str, out_dir: str,
-          progress_history: DataFrame | None = None, checkpoint: str | None = None, kind: str = "rf",
-          stored_scores: DataFrame | None = None):
-    """Start the scoring stream and the progress stream behind it; returns both queries."""
-    checkpoint = checkpoint or scratch_path(spark, "serve")
-    spark.createDataFrame([], RESULTS_SCHEMA).write.mode("append").parquet(f"{out_dir}/results")
-    q1 = serve_scoring(requests, live, model_path, out_dir, checkpoint, kind)
-    q2 = serve_progress(spark, out_dir, checkpoint, progress_history, stored_scores=stored_scores)
-    return q1, q2
-
-
 def _main() -> None:
     ap = argparse.ArgumentParser(prog="stride")
     sub = ap.add_subparsers(dest="cmd", required=True)
     t = sub.add_parser("train")
     t.add_argument("--labelled", required=True)
     t.add_argument("--format", default="parquet")
+    t.add_argument("--column", action="append", default=[], metavar="OURS=THEIRS", help="column that has another name")
+    t.add_argument("--time-unit", default="ns", choices=list(tables.TIME_UNITS))
     t.add_argument("--model", required=True)
     t.add_argument("--kind", default="rf", choices=["rf", "dt"])
     t.add_argument("--users", type=int, nargs="*")
     t.add_argument("--gap-ns", type=int, default=C.GAP_NS)
     t.add_argument("--window-ns", type=int, default=C.WINDOW_NS)
     t.add_argument("--min-rows", type=int, default=C.MIN_GROUP_ROWS)
-    s = sub.add_parser("serve")
-    s.add_argument("--requests", required=True)
-    s.add_argument("--live", required=True)
-    s.add_argument("--model", required=True)
-    s.add_argument("--out", required=True)
-    s.add_argument("--progress")
-    s.add_argument("--scores")
+    for name in ("score", "serve"):
+        s = sub.add_parser(name)
+        s.add_argument("--requests", help="folder of request messages (not for a message bus)")
+        s.add_argument("--format", default="parquet", help="format of the requests")
+        s.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option of the requests")
+        s.add_argument("--live", required=True)
+        s.add_argument("--model", required=True)
+        s.add_argument("--kind", default="rf", choices=["rf", "dt"])
+        s.add_argument("--out", required=True)
+        if name == "serve":
+            s.add_argument("--checkpoint", required=True, help="folder that keeps offsets across restarts")
+            s.add_argument("--progress")
+            s.add_argument("--scores")
     a = ap.parse_args()
     spark = SparkSession.builder.appName(f"stride-{a.cmd}").getOrCreate()
     if a.cmd == "train":
         params = C.MotionParams(gap_ns=a.gap_ns, window_ns=a.window_ns, min_rows=a.min_rows)
-        r = train(tables.read_labelled(spark, a.labelled, a.format), a.model, a.kind, params=params, users=a.users)
+        labelled = tables.read_labelled(spark, a.labelled, a.format, columns=dict(o.split("=", 1) for o in a.column),
+                                        time_unit=a.time_unit)
+        r = train(labelled, a.model, a.kind, params=params, users=a.users)
         print("sample size", r.sample_size)
         r.test_error.show()
-    else:
-        hist = tables.read_progress(spark, a.progress) if a.progress else None
-        scores = tables.read_scores(spark, a.scores) if a.scores else None
-        q1, q2 = serve(spark, tables.read_requests_stream(spark, a.requests), tables.read_live(spark, a.live),
-                       a.model, a.out, hist, stored_scores=scores)
-        spark.streams.awaitAnyTermination()
+        return
+    options = dict(o.split("=", 1) for o in a.option)
+
+    def read_live() -> DataFrame:
+        return tables.read_live(spark, a.live)
+
+    if a.cmd == "score":
+        messages = spark.read.format(a.format).options(**options).load(a.requests)
+        results, dead = score(messages, read_live(), ml.load_model(a.model, a.kind))
+        results.write.mode("overwrite").parquet(f"{a.out}/results")
+        dead.write.mode("overwrite").parquet(f"{a.out}/dead")
+        return
+    hist = tables.read_progress(spark, a.progress) if a.progress else None
+    scores = tables.read_scores(spark, a.scores) if a.scores else None
+    serve(spark, tables.read_requests_stream(spark, a.requests, a.format, options), read_live, a.model, a.out,
+          a.checkpoint, hist, a.kind, stored_scores=scores)
+    spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":

@@ -1,10 +1,10 @@
-"""Registered stream queries: the streams are run to completion, their sinks read back.
+"""Registered stream queries: every call runs its stream to completion and reads the sinks back.
 
-The input is written in time-ordered chunks below the shared checkpoint
-folder, and the query is started once per chunk with ``availableNow``, so
-every run after the first restarts from the checkpoint with live state.
-Processing chunks in time order makes arrival order equal to (time, id)
-order, so the stream result must equal its batch twin (same oracle).
+The input is written once, partitioned by ten-day chunk, below the shared
+checkpoint folder.  The query is started once per chunk with ``availableNow``,
+so every run after the first restarts from the checkpoint with live state.
+Chunks arrive in time order, so the stream result must equal its batch twin
+(same oracle).
 """
 
 from __future__ import annotations
@@ -23,67 +23,46 @@ from ..streaming import scoring as sscore
 CHUNK_NS = 10 * 24 * fx.HOUR_NS  # ten days of input per run
 PROGRESS_IN_SCHEMA = "user_id string, event_id long, ts_ns long, score double"
 
-_runs: dict[tuple, str] = {}
 
-
-def _chunked_runs(spark: SparkSession, src: DataFrame, ts: str, root: str, schema, start_query) -> None:
-    """Write ``src`` chunk by chunk (time order) and run the stream after each chunk."""
-    src = src.withColumn("_chunk", F.expr(f"{ts} div {CHUNK_NS}L"))
-    lo, hi = src.agg(F.min("_chunk"), F.max("_chunk")).first()
-    if lo is None:
-        return
-    for c in range(int(lo), int(hi) + 1):
-        src.filter(F.col("_chunk") == c).drop("_chunk").write.mode("overwrite").parquet(f"{root}/in/c{c:06d}")
+def _chunked_runs(spark: SparkSession, src: DataFrame, ts: str, root: str, schema, writer) -> None:
+    """Write ``src`` partitioned by chunk; run the stream once per chunk, in time order."""
+    src.withColumn("_chunk", F.expr(f"{ts} div {CHUNK_NS}L")).write.partitionBy("_chunk").parquet(f"{root}/chunks")
+    chunks = spark.read.parquet(f"{root}/chunks")
+    # one row per chunk, from folder names
+    for (c,) in chunks.select("_chunk").distinct().orderBy("_chunk").collect():
+        # arrival of one chunk: only its folder is read
+        chunks.filter(F.col("_chunk") == c).drop("_chunk").write.parquet(f"{root}/in/c{int(c):06d}")
         stream = spark.readStream.schema(schema).parquet(f"{root}/in/*")
-        q = start_query(stream)
+        q = (stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(writer)
+             .trigger(availableNow=True).start())
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
 
 
-def run_progress_stream(spark: SparkSession, sf_dir: str) -> str:
-    key = ("progress", sf_dir)
-    if key in _runs:
-        return _runs[key]
-    root = scratch_path(spark, "stream-progress")
+def run_progress_stream(spark: SparkSession, sf_dir: str, history: DataFrame | None = None,
+                        scores: DataFrame | None = None) -> str:
     from .registry import _progress_events  # the moving events of the fixture
 
+    root = scratch_path(spark, "stream-progress")
     ev = fx.events(spark, sf_dir)
-    start = prog.latest_progress(fx.progress_history(ev))
-
-    def start_query(stream):
-        states = sprog.progress_stream(stream, start)
-        return (states.writeStream.outputMode("append")
-                .option("checkpointLocation", f"{root}/checkpoint")
-                .foreachBatch(sprog.write_progress_sinks(f"{root}/out"))
-                .trigger(availableNow=True).start())
-
-    _chunked_runs(spark, _progress_events(spark, sf_dir), "ts_ns", root, PROGRESS_IN_SCHEMA, start_query)
-    _runs[key] = root
-    return root
+    sprog.start_state(spark, f"{root}/out", fx.progress_history(ev) if history is None else history, scores)
+    _chunked_runs(spark, _progress_events(spark, sf_dir), "ts_ns", root, PROGRESS_IN_SCHEMA,
+                  sprog.progress_writer(f"{root}/out"))
+    return f"{root}/out"
 
 
 def run_scoring_stream(spark: SparkSession, sf_dir: str) -> str:
-    key = ("scoring", sf_dir)
-    if key in _runs:
-        return _runs[key]
-    root = scratch_path(spark, "stream-scoring")
     from .registry import _train_test
 
+    root = scratch_path(spark, "stream-scoring")
     train, _ = _train_test(spark, sf_dir)
     path = ml.save_model(ml.fit(train, "rf"), f"{root}/model")
     model = ml.load_model(path, "rf")  # loaded once for the whole stream
-    live = fx.live(fx.events(spark, sf_dir))
-
-    def start_query(stream):
-        return (stream.writeStream.option("checkpointLocation", f"{root}/checkpoint")
-                .foreachBatch(sscore.write_scoring_sinks(live, model, f"{root}/out"))
-                .trigger(availableNow=True).start())
-
-    msgs = fx.requests(fx.events(spark, sf_dir))
-    _chunked_runs(spark, msgs, "request_ts", root, REQUEST_SCHEMA, start_query)
-    _runs[key] = root
-    return root
+    ev = fx.events(spark, sf_dir)
+    _chunked_runs(spark, fx.requests(ev), "request_ts", root, REQUEST_SCHEMA,
+                  sscore.scoring_writer(lambda: fx.live(fx.events(spark, sf_dir)), model, f"{root}/out"))
+    return f"{root}/out"
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -91,27 +70,27 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def q_stream_progress(spark, d):
-    return _read(spark, f"{run_progress_stream(spark, d)}/out/states")
+    return _read(spark, f"{run_progress_stream(spark, d)}/states")
 
 
 def q_stream_published(spark, d):
-    return _read(spark, f"{run_progress_stream(spark, d)}/out/published")
+    return _read(spark, f"{run_progress_stream(spark, d)}/published")
 
 
 def q_stream_progress_latest(spark, d):
     """Current progress per user from the stream's upsert sink (latest row wins)."""
-    return prog.latest_progress(_read(spark, f"{run_progress_stream(spark, d)}/out/progress"))
+    return prog.latest_progress(_read(spark, f"{run_progress_stream(spark, d)}/progress"))
 
 
 def q_stream_scores(spark, d):
     """Per-event scores the stream stored (saved events only)."""
-    return _read(spark, f"{run_progress_stream(spark, d)}/out/scores")
+    return _read(spark, f"{run_progress_stream(spark, d)}/scores")
 
 
 def q_stream_scoring(spark, d):
-    return _read(spark, f"{run_scoring_stream(spark, d)}/out/results").select(
+    return _read(spark, f"{run_scoring_stream(spark, d)}/results").select(
         "request_id", "user_id", "start_ts", "finish_ts", "n_rows", "prediction")
 
 
 def q_stream_dead_letters(spark, d):
-    return _read(spark, f"{run_scoring_stream(spark, d)}/out/dead")
+    return _read(spark, f"{run_scoring_stream(spark, d)}/dead")

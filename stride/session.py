@@ -7,6 +7,7 @@ session it is handed.  ``local_session`` is only for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -26,9 +27,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("STRIDE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # keyed progress state off-heap, as on a cluster with many users
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -47,19 +45,19 @@ def _context(spark: SparkSession):
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session (or a checkpoint dir already set on the context);
-    a default is used only where nothing is set (tests on one machine).
+    Read from the session (or a checkpoint dir already set on the context).
+    Where nothing is set, a local master gets a folder of this machine (tests);
+    any other master is refused: executors could not see the driver's disk.
     """
     sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        master = sc.master if sc is not None else ""
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = os.environ.get("STRIDE_CHECKPOINT_DIR", "/tmp/stride-checkpoints")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # a core config may be read-only at runtime; the context dir below still applies
-            pass
     return d.rstrip("/")
 
 

@@ -1,142 +1,103 @@
-"""Walking progress as keyed streaming state.
-
-Moving predictions arrive on a stream; per user the state holds
-(progress, stored score sum, stored score count, events seen).  Each
-micro-batch applies the same closed form as ``operators.progress`` to the
-user's events of that batch, in (time, id) order, starting from the state
-(or, for a new user, from the stored progress joined in from the static
-table).  The state function is vectorised over the batch; no per-event loop.
+"""Walking progress on a stream: one bulk step per micro-batch.
+
+The state is a table of per-user rows (progress, sum and number of stored
+scores, events seen), appended once per batch into ``state/batch_id=N``.  A
+batch reads only versions below its own number, so a retried batch starts from
+the same state and replaces its own output.  Stored progress and scores enter
+once, as version -1, when the service first starts.  Every ``compact_every``
+batches the versions are folded into one row per user, so a batch never reads
+more than that many small folders beside the last fold.
+
+Events advance with the bucketed closed form of ``operators.progress``: no
+user's events meet in one task, and nothing of this package runs on executors.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import config as C
+from ..operators import progress as prog
 from ..sources import sinks
 
-STATE_SCHEMA = "progress long, tot double, cnt long, seen long"
-OUT_SCHEMA = ("user_id string, event_id long, ts_ns long, k long, score double, progress int, saved boolean, "
-              "published boolean, published_value double")
-
-
-def _first_publish(p0: int, P: C.ProgressParams) -> int | None:
-    if p0 > P.full:
-        return None
-    if p0 > P.publish_above:
-        return 1
-    by_step = math.floor((P.publish_above - p0) / P.step) + 1
-    by_snap = math.ceil((P.snap_from - p0) / P.step) + 1
-    return min(by_step, by_snap)
-
-
-def advance(p0: int, tot: float, cnt: int, scores: np.ndarray, P: C.ProgressParams = C.ProgressParams()):
-    """Closed form over one ordered run of moving events from state (p0, tot, cnt)."""
-    n = len(scores)
-    k = np.arange(1, n + 1)
-    m = _first_publish(p0, P)
-    if m is None:
-        saved = np.zeros(n, dtype=bool)
-        published = np.zeros(n, dtype=bool)
-        progress = np.full(n, p0)
-    else:
-        raise_m = P.full if p0 + P.step * (m - 1) >= P.snap_from else p0 + P.step * m
-        below = p0 < P.full
-        saved = below & ((k < m) | ((k == m) & (raise_m < P.full)))
-        published = k >= m
-        progress = np.where(published, P.full, p0 + P.step * k)
-    tot2 = tot + float(scores[saved].sum())
-    cnt2 = cnt + int(saved.sum())
-    mean = tot2 / cnt2 if cnt2 > 0 else 0.0
-    value = np.where(published, mean, np.nan)
-    return progress, saved, published, value, tot2, cnt2
-
-
-def _state_fn(P: C.ProgressParams):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts_ns", "event_id"], kind="mergesort")
-        if state.exists:
-            p0, tot, cnt, seen = state.get
-        else:
-            first = pdf.iloc[0]
-            p0 = int(first["p0"]) if pd.notna(first["p0"]) else 0
-            # scores stored before the stream started count in every published mean
-            tot = float(first["_psum"]) if pd.notna(first["_psum"]) else 0.0
-            cnt = int(first["_pn"]) if pd.notna(first["_pn"]) else 0
-            seen = 0
-        scores = pdf["score"].to_numpy(dtype="float64")
-        progress, saved, published, value, tot2, cnt2 = advance(int(p0), float(tot), int(cnt), scores, P)
-        n = len(pdf)
-        state.update((int(progress[-1]) if n else int(p0), tot2, cnt2, int(seen) + n))
-        yield pd.DataFrame({
-            "user_id": pdf["user_id"].astype(str),
-            "event_id": pdf["event_id"].astype("int64"),
-            "ts_ns": pdf["ts_ns"].astype("int64"),
-            "k": np.arange(int(seen) + 1, int(seen) + n + 1, dtype="int64"),
-            "score": scores,
-            "progress": progress.astype("int32"),
-            "saved": saved.astype(bool),
-            "published": published.astype(bool),
-            "published_value": value.astype("float64"),
-        })
-
-    return fn
-
-
-def progress_stream(moving: DataFrame, start: DataFrame | None, P: C.ProgressParams = C.ProgressParams(),
-                    prior_scores: DataFrame | None = None) -> DataFrame:
-    """Streaming state rows from a stream of (user_id, event_id, ts_ns, score) moving events.
-
-    ``start`` (static): user_id, walking_progress -- the stored progress of
-    users seen for the first time.  ``prior_scores`` (static): user_id,
-    perfect_number -- scores stored before the stream, which seed a new
-    user's score sum and count.
-    """
-    s = moving.select("user_id", "event_id", "ts_ns", "score")
-    if start is not None:
-        s = s.join(start.select("user_id", F.col("walking_progress").cast("long").alias("p0")), on="user_id",
-                   how="left")
-    else:
-        s = s.withColumn("p0", F.lit(None).cast("long"))
-    if prior_scores is not None:
-        prior = prior_scores.groupBy("user_id").agg(
-            F.sum("perfect_number").alias("_psum"), F.count(F.lit(1)).alias("_pn"))
-        s = s.join(prior, on="user_id", how="left")
-    else:
-        s = s.select("*", F.lit(None).cast("double").alias("_psum"), F.lit(None).cast("long").alias("_pn"))
-    return s.groupBy("user_id").applyInPandasWithState(
-        _state_fn(P), OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
-    )
-
-
-def write_progress_sinks(out_dir: str):
-    """foreachBatch writer: states, stored scores, published rows and progress upserts.
-
-    Every sink is written to its ``batch_id=N`` folder with overwrite, so a
-    retried batch replaces its own output (exactly once per batch).
-    """
+STATE = "user_id string, progress bigint, psum double, pn bigint, seen bigint"
+
+
+def start_state(spark: SparkSession, root: str, history: DataFrame | None = None,
+                scores: DataFrame | None = None) -> None:
+    """Write version -1 from the stored progress and scores; does nothing where the service has run before."""
+    start = prog.latest_progress(history) if history is not None else spark.createDataFrame(
+        [], "user_id string, walking_progress int")
+    totals = prog.score_totals(scores) if scores is not None else spark.createDataFrame(
+        [], "user_id string, _psum double, _pn bigint")
+    both = start.select("user_id", "walking_progress").join(totals, "user_id", "full_outer").select(
+        "user_id", F.coalesce("walking_progress", F.lit(0)).cast("bigint").alias("progress"),
+        F.coalesce("_psum", F.lit(0.0)).alias("psum"), F.coalesce("_pn", F.lit(0)).cast("bigint").alias("pn"),
+        F.lit(0).cast("bigint").alias("seen"))
+    both.write.mode("ignore").parquet(f"{root}/folded/upto=-1")
+    spark.createDataFrame([], STATE).write.mode("ignore").parquet(f"{root}/state/batch_id=-1")
+
+
+def read_state(spark: SparkSession, root: str, below: int) -> DataFrame:
+    """Latest row per user among the versions before batch ``below``."""
+    folds = spark.read.schema(f"{STATE}, upto bigint").parquet(f"{root}/folded").filter(F.col("upto") < below)
+    upto = folds.agg(F.max("upto")).first()[0]  # one number, from folder names
+    steps = spark.read.schema(f"{STATE}, batch_id bigint").parquet(f"{root}/state").filter(
+        (F.col("batch_id") < below) & (F.col("batch_id") > upto))
+    rows = folds.filter(F.col("upto") == upto).withColumnRenamed("upto", "batch_id").unionByName(steps)
+    last = F.max_by(F.struct("progress", "psum", "pn", "seen"), "batch_id").alias("s")
+    return rows.groupBy("user_id").agg(last).select("user_id", "s.*")
+
+
+def advance(events: DataFrame, state: DataFrame, P: C.ProgressParams = C.ProgressParams()) -> DataFrame:
+    """progress_states of a batch of (user_id, event_id, ts_ns, score) moving events from the given state."""
+    users = events.select("user_id").distinct()
+    mine = state.join(users, "user_id", "left_semi")
+    start = mine.select("user_id", F.col("progress").alias("walking_progress"))
+    prior = mine.select("user_id", F.col("psum").alias("_psum"), F.col("pn").alias("_pn"))
+    seen = mine.select(F.col("user_id").alias("_user"), "seen")
+    rows = prog.progress_states(events, start, None, P, prior=prior)
+    rows = rows.join(seen, F.col("user_id") == F.col("_user"), "left")
+    return rows.select("user_id", "event_id", "ts_ns", (F.col("k") + F.coalesce("seen", F.lit(0))).alias("k"), "score",
+                       "progress", "saved", "published", "published_value")
+
+
+def next_state(states: DataFrame, state: DataFrame) -> DataFrame:
+    """The state rows of the users of a batch after it."""
+    after = states.groupBy("user_id").agg(
+        F.max_by("progress", "k").cast("bigint").alias("_p"), F.max("k").alias("_k"),
+        F.sum(F.when(F.col("saved"), F.col("score"))).alias("_s"), F.count(F.when(F.col("saved"), 1)).alias("_n"))
+    before = state.withColumnRenamed("user_id", "_user")
+    return after.join(before, F.col("user_id") == F.col("_user"), "left").select(
+        "user_id", F.col("_p").alias("progress"),
+        (F.coalesce("psum", F.lit(0.0)) + F.coalesce("_s", F.lit(0.0))).alias("psum"),
+        (F.coalesce("pn", F.lit(0)) + F.col("_n")).alias("pn"), F.col("_k").alias("seen"))
+
+
+def step(events: DataFrame, batch_id: int, root: str, P: C.ProgressParams = C.ProgressParams(),
+         compact_every: int = 50) -> None:
+    """One micro-batch: states, stored scores, published rows, progress upserts and the next state version."""
+    spark = events.sparkSession
+    state = read_state(spark, root, batch_id)
+    part = f"batch_id={batch_id}"
+    advance(events, state, P).write.mode("overwrite").parquet(f"{root}/states/{part}")
+    states = spark.read.parquet(f"{root}/states/{part}")  # computed once for all sinks
+    sinks.append_scores(prog.stored_scores(states), f"{root}/scores", batch_id)
+    sinks.append_published(states, f"{root}/published", batch_id)
+    sinks.upsert_progress(prog.progress_upserts(states, P=P), f"{root}/progress", batch_id)
+    next_state(states, state).write.mode("overwrite").parquet(f"{root}/state/{part}")
+    if (batch_id + 1) % compact_every == 0:
+        read_state(spark, root, batch_id + 1).write.mode("overwrite").parquet(f"{root}/folded/upto={batch_id}")
+
+
+def progress_writer(root: str, P: C.ProgressParams = C.ProgressParams(), compact_every: int = 50):
+    """foreachBatch function for a stream of moving events."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(f"{out_dir}/states/batch_id={batch_id}")
-            sinks.append_scores(
-                batch.filter("saved").select(
-                    "user_id", F.col("ts_ns").alias("timestamp"), F.col("score").alias("perfect_number")),
-                f"{out_dir}/scores", batch_id)
-            sinks.append_published(batch, f"{out_dir}/published", batch_id)
-            last = batch.groupBy("user_id").agg(
-                F.max_by("progress", F.struct("ts_ns", "event_id")).alias("walking_progress"),
-                F.max("ts_ns").alias("timestamp"),
-            )
-            sinks.upsert_progress(last, f"{out_dir}/progress", batch_id)
+            step(batch.select("user_id", "event_id", "ts_ns", "score"), batch_id, root, P, compact_every)
         finally:
             batch.unpersist()
 

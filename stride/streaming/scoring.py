@@ -7,6 +7,8 @@ requests is range-joined to the live readings at once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,15 @@ from .. import config as C
 from ..functions.scalar import perfect_number
 from ..operators import model as ml
 from ..operators import requests as rq
+from . import progress
 
 
 def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
     """(scored requests, dead letters) for a batch of messages.
 
     The live table is first cut to the time span the batch asks about (one
-    small aggregate over the batch); the range predicate reaches the scan,
-    so a micro-batch does not re-read and re-shuffle the whole live table.
+    small aggregate over the batch; the predicate reaches the scan), then to
+    the users and time buckets asked for.
     """
     parsed, dead = rq.parse_requests(msgs)
     lo, hi = parsed.filter("valid_user AND start_ts <= finish_ts").agg(F.min("start_ts"), F.max("finish_ts")).first()
@@ -33,16 +36,42 @@ def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQ
     return ml.predict(model, f), dead
 
 
-def write_scoring_sinks(live: DataFrame, model, out_dir: str, bucket_ns: int = rq.REQUEST_BUCKET_NS):
-    """foreachBatch writer: results and dead letters to ``batch_id=N`` folders (overwrite = idempotent)."""
+def score_step(msgs: DataFrame, batch_id: int, read_live: Callable[[], DataFrame], model, out_dir: str,
+               bucket_ns: int = rq.REQUEST_BUCKET_NS) -> DataFrame:
+    """Score one micro-batch against the live table as it is now; returns the written results.
+
+    Results and dead letters go to ``batch_id=N`` folders (overwritten by a
+    retry).
+    """
+    scored, dead = score_batch(msgs, read_live(), model, bucket_ns)
+    part = f"batch_id={batch_id}"
+    scored.write.mode("overwrite").parquet(f"{out_dir}/results/{part}")
+    dead.write.mode("overwrite").parquet(f"{out_dir}/dead/{part}")
+    return msgs.sparkSession.read.parquet(f"{out_dir}/results/{part}")
+
+
+def scoring_writer(read_live: Callable[[], DataFrame], model, out_dir: str, bucket_ns: int = rq.REQUEST_BUCKET_NS):
+    """foreachBatch function: scoring alone."""
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
+        finally:
+            batch.unpersist()
+
+    return fn
+
+
+def service_writer(read_live: Callable[[], DataFrame], model, out_dir: str, bucket_ns: int = rq.REQUEST_BUCKET_NS,
+                   compact_every: int = 50):
+    """foreachBatch function of the live service: score, then advance the progress of the moving users."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            scored, dead = score_batch(batch, live, model, bucket_ns)
-            part = f"batch_id={batch_id}"
-            scored.write.mode("overwrite").parquet(f"{out_dir}/results/{part}")
-            dead.write.mode("overwrite").parquet(f"{out_dir}/dead/{part}")
+            results = score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
+            progress.step(moving_events(results), batch_id, f"{out_dir}/progress", compact_every=compact_every)
         finally:
             batch.unpersist()
 

@@ -5,7 +5,6 @@ import pytest
 
 from stride import config as C
 from stride.operators import progress as prog
-from stride.streaming.progress import advance
 
 P = C.ProgressParams()
 
@@ -37,8 +36,6 @@ def simulate(p0, scores, prior=()):
 def test_golden_single_event(start, after, saved, published, end):
     p, sv, pb, _ = simulate(start, [1.0])[0]
     assert (p, sv, pb) == (end, saved, published)
-    prog_, sv2, pb2, _, _, _ = advance(start, 0.0, 0, np.array([1.0]))
-    assert (int(prog_[0]), bool(sv2[0]), bool(pb2[0])) == (end, saved, published)
 
 
 def test_hundred_events_from_zero():
@@ -49,33 +46,21 @@ def test_hundred_events_from_zero():
     assert all(o[3] == pytest.approx(np.mean(scores[:46])) for o in out if o[2])
 
 
-def test_closed_form_equals_simulation_everywhere():
+def test_closed_form_equals_simulation_everywhere(spark):
     rng = np.random.default_rng(1)
+    rows, starts, sims = [], [], {}
     for p0 in range(-3, 106):
         scores = rng.normal(size=70)
-        sim = simulate(p0, scores)
-        progress, saved, published, value, _, _ = advance(p0, 0.0, 0, scores)
-        for i, (p, sv, pb, val) in enumerate(sim):
-            assert (int(progress[i]), bool(saved[i]), bool(published[i])) == (p, sv, pb), (p0, i)
-            if pb:
-                assert value[i] == pytest.approx(val)
-
-
-def test_split_batches_equal_one_batch():
-    """State carried across micro-batches gives the same result as one batch."""
-    rng = np.random.default_rng(2)
-    scores = rng.normal(size=80)
-    for p0 in (0, 37, 88, 93, 97, 100, 120):
-        whole = advance(p0, 0.0, 0, scores)
-        p, tot, cnt, parts = p0, 0.0, 0, []
-        for chunk in np.array_split(scores, 5):
-            pr, sv, pb, val, tot, cnt = advance(p, tot, cnt, chunk)
-            p = int(pr[-1])
-            parts.append((pr, sv, pb, val))
-        for j, name in enumerate(["progress", "saved", "published"]):
-            assert np.array_equal(np.concatenate([x[j] for x in parts]), whole[j]), (p0, name)
-        got = np.concatenate([x[3] for x in parts])
-        assert np.allclose(np.nan_to_num(got, nan=-9), np.nan_to_num(whole[3], nan=-9))
+        starts.append((f"u{p0}", p0))
+        rows += [(f"u{p0}", i, 1000 * i, float(s)) for i, s in enumerate(scores)]
+        sims[f"u{p0}"] = simulate(p0, scores)
+    ev = spark.createDataFrame(rows, "user_id string, event_id long, ts_ns long, score double")
+    st = spark.createDataFrame(starts, "user_id string, walking_progress int")
+    for r in prog.progress_states(ev, st, None, bucket_ns=20_000).collect():
+        p, sv, pb, val = sims[r.user_id][r.k - 1]
+        assert (r.progress, r.saved, r.published) == (p, sv, pb), (r.user_id, r.k)
+        if pb:
+            assert r.published_value == pytest.approx(val)
 
 
 def test_spark_closed_form_matches_simulation(spark):
@@ -130,9 +115,15 @@ def test_sinks_round_trip(spark):
     assert sorted((r.user_id, r.walking_progress) for r in compacted.collect()) == [("a", 14), ("b", 4)]
 
 
-def test_next_progress_column(spark):
-    from stride.functions.scalar import next_progress
+def test_upserts_leave_users_beyond_full_alone(spark):
+    rows = [("a", 1, 5_000_000, 1, 2, True, False, None), ("b", 2, 7_999_999, 1, 101, False, False, None),
+            ("c", 3, 9_000_000, 1, 100, False, True, 4.0)]
+    st = spark.createDataFrame(rows, "user_id string, event_id long, ts_ns long, k long, progress int, saved boolean, "
+                                     "published boolean, published_value double")
+    got = {r.user_id: (r.walking_progress, r.timestamp) for r in prog.progress_upserts(st).collect()}
+    assert got == {"a": (2, 5), "c": (100, 9)}  # milliseconds
+
 
-    df = spark.createDataFrame([(p,) for p in (0, 88, 93, 94, 95, 99, 100, 101)], "p int")
-    got = [r[0] for r in df.select(next_progress("p")).collect()]
-    assert got == [2, 90, 95, 96, 100, 100, 100, 101]
+def test_latest_progress_of_equal_times(spark):
+    h = spark.createDataFrame([("a", 10, 1), ("a", 30, 1), ("a", 20, 1)], "user_id string, walking_progress int, timestamp long")
+    assert prog.latest_progress(h).first().walking_progress == 30

@@ -34,8 +34,8 @@ def test_scoring_stream_dead_letters_and_rows(spark):
     assert scored.filter("n_rows = 0 AND prediction <> -1.0").count() == 0
 
 
-def test_progress_stream_with_prior_scores_equals_batch(spark):
-    """Scores stored before the stream count in every published mean (stream = batch)."""
+def test_progress_steps_with_prior_scores_equal_batch(spark):
+    """Scores and progress stored before the stream count; batches, retries and folds change nothing."""
     import numpy as np
 
     from stride.operators import progress as prog
@@ -45,19 +45,18 @@ def test_progress_stream_with_prior_scores_equals_batch(spark):
     rng = np.random.default_rng(4)
     rows = [(f"u{u}", i, 1000 * i + u, float(s)) for u in range(4) for i, s in enumerate(rng.normal(size=60))]
     events = spark.createDataFrame(rows, "user_id string, event_id long, ts_ns long, score double")
-    start = spark.createDataFrame([("u0", 0), ("u1", 88), ("u2", 93)], "user_id string, walking_progress int")
+    history = spark.createDataFrame([("u0", 0, 5), ("u1", 88, 5), ("u2", 93, 5), ("u2", 3, 4)],
+                                    "user_id string, walking_progress int, timestamp long")
     prior = spark.createDataFrame([("u0", 1, 10.0), ("u0", 2, 20.0), ("u3", 1, -5.0)],
                                   "user_id string, timestamp long, perfect_number double")
-    batch = prog.progress_states(events, start, prior)
-    root = scratch_path(spark, "prior-stream")
-    events.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema("user_id string, event_id long, ts_ns long, score double").parquet(f"{root}/in")
-    q = (sprog.progress_stream(stream, start, prior_scores=prior).writeStream.outputMode("append")
-         .option("checkpointLocation", f"{root}/chk").foreachBatch(sprog.write_progress_sinks(f"{root}/out"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = spark.read.parquet(f"{root}/out/states").drop("batch_id")
+    batch = prog.progress_states(events, prog.latest_progress(history), prior)
+    root = scratch_path(spark, "steps")
+    sprog.start_state(spark, root, history, prior)
+    for n in (0, 1, 1, 2, 3, 2, 3):  # batches 1, 2 and 3 are done twice, as after a crash
+        sprog.step(events.filter(f"event_id div 15 = {n}"), n, root, compact_every=2)
+        sprog.start_state(spark, root, history, prior)  # a restart leaves the state alone
+    got = spark.read.parquet(f"{root}/states").drop("batch_id")
     cols = ["user_id", "event_id", "k", "progress", "saved", "published", "published_value"]
-    a = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in got.select(*cols).collect())
-    b = sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in batch.select(*cols).collect())
-    assert a == b and len(a) == 240
+    clean = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*cols).collect())
+    assert clean(got) == clean(batch) and got.count() == 240
+    assert spark.read.parquet(f"{root}/scores").count() == batch.filter("saved").count()
