@@ -69,8 +69,8 @@ NO_PREDICTION = -1.0
 # Request message: comma separated "user,start,finish[,ignored...]".
 REQUEST_SEPARATOR = ","
 # Identifier check (five hex groups) and integer check for the two times.
-UUID_PATTERN = r"^[0-9a-fA-F]{1,8}(-[0-9a-fA-F]{1,12}){4}$"
-LONG_PATTERN = r"^[+-]?[0-9]+$"
+UUID_PATTERN = r"^[0-9a-fA-F]{1,8}(-[0-9a-fA-F]{1,12}){4}\z"
+LONG_PATTERN = r"^[+-]?[0-9]+\z"
 
 # Names of the eleven features, in model order.
 FEATURE_COLUMNS = (

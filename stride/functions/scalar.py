@@ -17,12 +17,16 @@ def col(c: str | Column) -> Column:
 def java_long(c: str | Column) -> Column:
     """double -> long the way a Java narrowing cast does it.
 
-    Truncates toward zero, NaN -> 0, values beyond the long range saturate.
+    Truncates toward zero, NaN -> 0, NULL stays NULL, values beyond the long range saturate.
     (Spark's ANSI ``cast`` raises on NaN / overflow, so use ``try_cast``.)
     """
     c = col(c)
     sat = F.when(c > 0, F.lit(C.LONG_MAX)).otherwise(F.lit(C.LONG_MIN))
-    return F.when(F.isnan(c), F.lit(0).cast("bigint")).otherwise(F.coalesce(c.try_cast("bigint"), sat))
+    return (
+        F.when(c.isNull(), F.lit(None).cast("bigint"))
+        .when(F.isnan(c), F.lit(0).cast("bigint"))
+        .otherwise(F.coalesce(c.try_cast("bigint"), sat))
+    )
 
 
 def floor_div(name: str, n: int) -> Column:
@@ -58,9 +62,3 @@ def is_uuid(c: str | Column) -> Column:
 def is_long_text(c: str | Column) -> Column:
     return F.coalesce(col(c).rlike(C.LONG_PATTERN), F.lit(False))
 
-
-def next_progress(p: str | Column, step: int = C.PROGRESS_STEP, snap_from: int = C.PROGRESS_SNAP_FROM,
-                  full: int = C.PROGRESS_FULL) -> Column:
-    """One raise of the walking progress: below full, snap at snap_from, else +step."""
-    p = col(p)
-    return F.when(p < full, F.when(p >= snap_from, F.lit(full)).otherwise(p + step)).otherwise(p)

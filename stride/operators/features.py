@@ -40,9 +40,10 @@ def _moments(group_cols: Sequence[str]) -> list:
         F.coalesce(F.var_samp(x), F.lit(0.0)).alias("variance_x"),
         F.coalesce(F.var_samp(y), F.lit(0.0)).alias("variance_y"),
         F.coalesce(F.var_samp(z), F.lit(0.0)).alias("variance_z"),
-        F.max(x).alias("max_x"),
-        F.max(y).alias("max_y"),
-        F.max(z).alias("max_z"),
+        # a NaN reading is not a maximum (it would hide every peak of the span)
+        F.max(F.when(~F.isnan(x), x)).alias("max_x"),
+        F.max(F.when(~F.isnan(y), y)).alias("max_y"),
+        F.max(F.when(~F.isnan(z), z)).alias("max_z"),
         F.avg(F.sqrt(x * x + y * y + z * z)).alias("resultant"),
         # distinct reading times; reading first_of_ts here also keeps both
         # passes on one readings plan, so pass 2 reuses the readings' shuffle

@@ -41,7 +41,7 @@ def explode_range(df: DataFrame, lo: Column, hi: Column, out: str, chunk: int =
     return d.select(*cols, F.explode(F.sequence(start, stop)).alias(out))
 
 
-def end_anchored_windows(iv: DataFrame, window_ns: int) -> DataFrame:
+def end_anchored_windows(iv: DataFrame, window_ns: int, keys: Sequence[str] = ("user_id", "activity")) -> DataFrame:
     """Windows j = 0..n of each interval: (end + (j-1)W, end + jW), open at both ends.
 
     Window 0 is the last W before the interval end; j >= 1 lie after it (the
@@ -49,7 +49,7 @@ def end_anchored_windows(iv: DataFrame, window_ns: int) -> DataFrame:
     """
     # one long recording can have millions of windows: spread their generation
     w = explode_range(iv, F.lit(0).cast("bigint"), F.col("n_windows"), "window_index",
-                      spread_by=[c for c in iv.columns if c in ("user_id", "activity", "interval_id")])
+                      spread_by=[*keys, "interval_id"])
     return w.select(
         "*",
         (F.col("interval_end") + (F.col("window_index") - 1) * F.lit(window_ns)).alias("window_lo"),

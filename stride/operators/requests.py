@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.scalar import is_long_text, is_uuid
+from ..functions.scalar import floor_div, is_long_text, is_uuid
 from . import features as feat
 from . import series
+from .ranges import explode_range
 
 # Hex digits of the five identifier groups.
 UUID_GROUP_WIDTHS = (8, 4, 4, 4, 12)
@@ -44,13 +45,10 @@ def classify(msgs: DataFrame) -> DataFrame:
 
 
 def canonical_uuid(txt: F.Column) -> F.Column:
-    """Lower-case 8-4-4-4-12 form, groups left padded as a UUID parser reads them."""
+    """Lower-case 8-4-4-4-12 form; like a UUID parser, a group is its lowest digits, zeros in front."""
     g = F.split(txt, "-", -1)
-    padded = [F.lpad(F.get(g, i), w, "0") for i, w in enumerate(UUID_GROUP_WIDTHS)]
-    groups_fit = F.lit(True)
-    for i, w in enumerate(UUID_GROUP_WIDTHS):
-        groups_fit = groups_fit & (F.length(F.get(g, i)) <= w)
-    return F.when(groups_fit, F.lower(F.concat_ws("-", *padded))).otherwise(F.lower(txt))
+    groups = [F.right(F.concat(F.lit("0" * w), F.get(g, i)), F.lit(w)) for i, w in enumerate(UUID_GROUP_WIDTHS)]
+    return F.lower(F.concat_ws("-", *groups))
 
 
 def parse_requests(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,21 +71,49 @@ def parse_requests(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed, dead
 
 
-def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS) -> DataFrame:
+def live_spans(live: DataFrame) -> DataFrame:
+    """First and last reading time per (canonical) user."""
+    user = F.col("user_id")
+    return live.filter(is_uuid(user)).groupBy(canonical_uuid(user).alias("_live_user")).agg(
+        F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"))
+
+
+def clamped(parsed: DataFrame, live: DataFrame) -> DataFrame:
+    """Distinct request spans cut to the time their user has readings for.
+
+    Adds ``_from`` and ``_to``; spans of users without readings, and spans
+    beyond all readings, disappear.  However long a request's range is, it
+    then covers no more buckets than the user's readings do.
+    """
+    spans = parsed.filter(F.col("valid_user") & (F.col("start_ts") <= F.col("finish_ts"))).select(
+        "user_id", "start_ts", "finish_ts").distinct()
+    cut = spans.join(live_spans(live), F.col("user_id") == F.col("_live_user")).select(
+        "user_id", "start_ts", "finish_ts", F.greatest("start_ts", "_first").alias("_from"),
+        F.least("finish_ts", "_last").alias("_to"))
+    return cut.filter(F.col("_from") <= F.col("_to"))
+
+
+def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: DataFrame | None = None) -> DataFrame:
     """Live table -> bucketed readings keyed by user.
 
     The original filters the range on ``timestamp`` and times peaks on
     ``timestamp_long``; its writer stores the same value in both, so
     ``timestamp`` is used for both here.
     """
+    user = F.col("user_id")
     r = live.select(
-        "user_id",
+        F.when(is_uuid(user), canonical_uuid(user)).alias("user_id"),
         F.col("timestamp").alias("ts_ns"),
         F.col("x").alias("acc_x"),
         F.col("y").alias("acc_y"),
         F.col("z").alias("acc_z"),
     ).filter(F.col("user_id").isNotNull() & F.col("ts_ns").isNotNull() & F.col("acc_x").isNotNull()
              & F.col("acc_y").isNotNull() & F.col("acc_z").isNotNull())
+    if spans is not None:
+        # only (user, bucket) pairs that a request asks about are shuffled and ordered
+        asked = explode_range(spans, floor_div("_from", bucket_ns), floor_div("_to", bucket_ns), "_asked").select(
+            F.col("user_id").alias("_user"), "_asked").distinct()
+        r = r.join(asked, (F.col("user_id") == F.col("_user")) & (floor_div("ts_ns", bucket_ns) == F.col("_asked")), "left_semi")
     local = series.local_order(r, ["user_id"], "ts_ns", bucket_ns, 0, tie_desc="acc_y")
     return local.select("user_id", series.BUCKET, "ts_ns", "acc_x", "acc_y", "acc_z", "first_of_ts")
 
@@ -98,17 +124,18 @@ def request_features(parsed: DataFrame, live: DataFrame, bucket_ns: int = REQUES
 
     ``live`` is the live table; it is bucketed here with the same
     ``bucket_ns`` as the request spans.  A span explodes into one row per
-    bucket it covers (no cap), so long ranges stay exact.
+    bucket it shares with the user's readings (no cap), so long ranges stay
+    exact.  Equal ranges of a user are computed once and joined back to every
+    request that asks for them, so repeated request ids change nothing.
     """
-    readings = live_readings(live, bucket_ns)
-    spans = parsed.filter(F.col("valid_user") & (F.col("start_ts") <= F.col("finish_ts"))).select(
-        "request_id", "user_id", "start_ts", "finish_ts"
-    )
-    gcols = ["request_id", "user_id", "start_ts", "finish_ts"]
-    f = feat.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "start_ts", "finish_ts", True, bucket_ns,
-                           peak_fraction)
-    f = f.drop("user_id", "start_ts", "finish_ts")
-    out = parsed.join(f, on="request_id", how="left")
+    spans = clamped(parsed, live)
+    readings = live_readings(live, bucket_ns, spans)
+    gcols = ["user_id", "start_ts", "finish_ts", "_from", "_to"]
+    f = feat.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "_from", "_to", True, bucket_ns, peak_fraction)
+    ren = {"user_id": "_u", "start_ts": "_s", "finish_ts": "_f"}
+    f = f.drop("_from", "_to").withColumnsRenamed(ren)
+    same = (F.col("user_id") == F.col("_u")) & (F.col("start_ts") == F.col("_s")) & (F.col("finish_ts") == F.col("_f"))
+    out = parsed.join(f, same, "left").drop(*ren.values())
     out = out.withColumn("n_distinct_ts", F.coalesce(F.col("n_distinct_ts"), F.lit(0).cast("bigint")))
     return out.withColumn("n_rows", F.coalesce(F.col("n_rows"), F.lit(0).cast("bigint"))).withColumn(
         "scored", F.col("n_rows") > 0

@@ -49,7 +49,7 @@ class MotionPlan:
         return series.intervals(self.scanned(), self.keys, TS, self.params.window_ns, self.params.min_rows)
 
     def windows(self) -> DataFrame:
-        return ranges.end_anchored_windows(self.intervals(), self.params.window_ns)
+        return ranges.end_anchored_windows(self.intervals(), self.params.window_ns, self.params.keys)
 
     def group_cols(self) -> list[str]:
         return [*self.keys, *WINDOW_KEY]

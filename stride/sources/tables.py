@@ -57,21 +57,30 @@ REQUEST_SCHEMA = T.StructType(
     ]
 )
 
-# live column -> canonical column
-LIVE_TO_CANONICAL = {"timestamp_long": "ts_ns", "x": "acc_x", "y": "acc_y", "z": "acc_z"}
+#: Nanoseconds per unit of a stored time.
+TIME_UNITS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
 
 
-def _read(spark: SparkSession, path: str | None, schema: T.StructType, fmt: str, options: dict | None) -> DataFrame:
+def _read(spark: SparkSession, path: str | None, schema: T.StructType, fmt: str, options: dict | None,
+          columns: dict[str, str] | None = None) -> DataFrame:
+    """``columns``: our column name -> the table's, for those that differ."""
+    names = {f.name: (columns or {}).get(f.name, f.name) for f in schema.fields}
     r = spark.read.format(fmt).options(**(options or {}))
     if fmt not in ("parquet", "orc", "delta"):
-        r = r.schema(schema)
+        r = r.schema(T.StructType([T.StructField(names[f.name], f.dataType) for f in schema.fields]))
     df = r.load(path) if path else r.load()
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f"`{names[f.name]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_labelled(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
-    """Labelled accelerations: user_id, activity, ts_ns, acc_x, acc_y, acc_z."""
-    return _read(spark, path, LABELLED_SCHEMA, fmt, options)
+def read_labelled(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None,
+                  columns: dict[str, str] | None = None, time_unit: str = "ns") -> DataFrame:
+    """Labelled accelerations: user_id, activity, ts_ns, acc_x, acc_y, acc_z.
+
+    A table that names its time ``timestamp`` is read with
+    ``columns={"ts_ns": "timestamp"}``; ``time_unit`` is what it counts.
+    """
+    df = _read(spark, path, LABELLED_SCHEMA, fmt, options, columns)
+    return df.withColumn("ts_ns", F.col("ts_ns") * F.lit(TIME_UNITS[time_unit]))
 
 
 def read_live(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
@@ -92,7 +101,7 @@ def read_requests_stream(spark: SparkSession, path: str | None = None, fmt: str
     """Request messages as a stream.
 
     For a message bus pass e.g. ``fmt="kafka"`` with its options (the
-    connector jar must be on the cluster); ``value`` is decoded as UTF-8 and
+    connector jar must be on the cluster); ``value`` is read as UTF-8 and
     the bus offset becomes ``request_id``.
     """
     r = spark.readStream.format(fmt).options(**(options or {}))
@@ -101,7 +110,8 @@ def read_requests_stream(spark: SparkSession, path: str | None = None, fmt: str
         return df.select(
             (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("request_id"),
             (F.unix_micros(F.col("timestamp")) * 1000).alias("request_ts"),
-            F.decode(F.col("value"), "UTF-8").alias("value"),
+            # bad bytes are kept as they are: the parser sends them to the dead letters
+            F.col("value").cast("string").alias("value"),
         )
     r = r.schema(schema)
     return r.load(path) if path else r.load()

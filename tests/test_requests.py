@@ -56,3 +56,23 @@ def test_number_and_identifier_edge_cases(spark):
     assert (p[1].start_ts, p[1].finish_ts) == (12, -3)  # explicit signs parse
     assert (p[2].start_ts, p[2].finish_ts) == (12, 15)  # trailing empty field is ignored
     assert not p[3].valid_user and p[3].user_id is None  # non-hex identifier -> answered with -1 later
+
+
+def test_identifiers_take_one_form_whatever_their_length(spark):
+    from stride.functions.scalar import is_uuid
+
+    rows = [("1-2-3-4-5",), ("ABCDEF00-1234-1234-1234-123456789ABC",), ("00000001-00002-3-4-5",), ("1-2ffff-3-4-5",), ("x-2-3-4-5",), ("1-2-3-4-5\n",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] if r[1] else None for r in df.select(rq.canonical_uuid(df.t), is_uuid("t")).collect()]
+    short = "00000001-0002-0003-0004-000000000005"
+    assert got == [short, "abcdef00-1234-1234-1234-123456789abc", short, "00000001-ffff-0003-0004-000000000005", None, None]
+
+
+def test_only_requested_users_are_ordered(spark):
+    other = U[:-1] + "2"
+    live = spark.createDataFrame([(u, t, t, 1.0, 1.0, 1.0) for u in (U, other) for t in range(20)],
+                                 "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
+    parsed, _ = rq.parse_requests(_msgs(spark, [f"{U},3,6"]))
+    spans = rq.clamped(parsed, live)
+    assert {r.user_id for r in rq.live_readings(live, 4, spans).collect()} == {U}
+    assert {r.ts_ns for r in rq.live_readings(live, 4, spans).collect()} == set(range(0, 8))
