@@ -81,20 +81,32 @@ def fit(train: DataFrame, kind: str = "rf", num_classes: int = C.NUM_CLASSES):
 
 
 def predict(model, rows: DataFrame) -> DataFrame:
-    """``prediction`` for every row; rows without features get NO_PREDICTION."""
+    """``prediction`` for every row, by the trees' votes; rows without features get NO_PREDICTION."""
     # one pass over the rows (a filter + union would run the feature plan
     # twice): missing features become NaN in the vector, and the model's
     # answer for those rows is replaced by NO_PREDICTION
     has = F.lit(True)
     for c in C.FEATURE_COLUMNS:
         has = has & F.col(c).isNotNull()
-    scored = model.transform(assemble(rows.withColumn("_has_features", has), handle_invalid="keep"))
-    pred = F.when(F.col("_has_features"), F.col("prediction")).otherwise(F.lit(C.NO_PREDICTION))
-    keep = [c for c in scored.columns if c not in (FEATURES_VEC, "rawPrediction", "probability", "prediction",
-                                                   "_has_features")]
+    scored = assemble(rows.withColumn("_has_features", has), handle_invalid="keep")
+    trees = getattr(model, "trees", [model])
+    votes = [f"_tree_{i}" for i in range(len(trees))]
+    for tree_model, out in zip(trees, votes):
+        # one prediction column per tree, nothing else
+        scored = tree_model.copy({tree_model.featuresCol: FEATURES_VEC, tree_model.predictionCol: out,
+                                  tree_model.rawPredictionCol: "", tree_model.probabilityCol: ""}).transform(scored)
+    pred = F.when(F.col("_has_features"), majority(votes, model.numClasses)).otherwise(F.lit(C.NO_PREDICTION))
+    keep = [c for c in scored.columns if c not in (FEATURES_VEC, "_has_features", *votes)]
     return scored.select(*keep, pred.alias("prediction"))
 
 
+def majority(votes: Sequence[str], num_classes: int) -> F.Column:
+    """The class most trees voted for; of equally many the smallest class."""
+    n = [sum((F.col(v) == F.lit(float(c))).cast("int") for v in votes) for c in range(num_classes)]
+    most = F.greatest(*n) if len(n) > 1 else n[0]
+    return F.coalesce(*[F.when(n[c] == most, F.lit(float(c))) for c in range(num_classes)])
+
+
 def test_error(pred: DataFrame) -> DataFrame:
     """Share of test rows whose prediction differs from the label (NULL on an empty test set)."""
     return pred.agg(

@@ -52,3 +52,21 @@ def test_sample_vector_smoke(spark, split, kind):
     row = spark.createDataFrame([tuple(SAMPLE_VECTOR)], ", ".join(f"{c} double" for c in C.FEATURE_COLUMNS))
     p = ml.predict(model, row).first().prediction
     assert p in [float(i) for i in range(C.NUM_CLASSES)]
+
+
+def test_forest_counts_votes(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(0.0, 0.0, 1.0), (2.0, 1.0, 1.0), (1.0, 2.0, 0.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    assert [r[0] for r in df.select(ml.majority(["a", "b", "c"], 3)).collect()] == [0.0, 1.0, 0.0]  # a tie: the smallest class
+    import random
+
+    rng = random.Random(1)
+    noise = [(float(rng.randrange(3)), *[rng.random() for _ in range(11)]) for _ in range(300)]
+    train = spark.createDataFrame(noise, "label double, " + ", ".join(f"{c} double" for c in C.FEATURE_COLUMNS))
+    model = ml.fit(train, "rf")
+    single = [ml.predict(t, train).select("prediction").collect() for t in model.trees]
+    for i, r in enumerate(ml.predict(model, train).select("prediction").collect()):
+        votes = [s[i][0] for s in single]
+        assert r[0] == min(set(votes), key=lambda v: (-votes.count(v), v))
