@@ -1,9 +1,8 @@
 """Registered queries over the driver's tables, each with its DuckDB oracle.
 
 Every query reads the whole ``events`` table (through the fixture mapping of
-``sources.fixtures``), so its work grows with the table.  Doubles are
-rounded to ``DIGITS`` places on both sides: see ``round_col`` for why the
-rounding is shifted.
+``sources.fixtures``), so its work grows with the table.  Doubles keep nine
+significant digits on both sides: see ``SCALE``.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from . import oracle as O
 from ..session import materialize
 from .motion import motion_plan
 
-DIGITS = 9
 FIXTURE_PARAMS = C.MotionParams(gap_ns=fx.FIXTURE_GAP_NS, window_ns=fx.FIXTURE_WINDOW_NS,
                                 min_rows=C.MIN_GROUP_ROWS)
 GKEY = ["user_id", "activity", "interval_id", "window_index", "window_lo", "window_hi"]
@@ -35,35 +33,27 @@ SPLIT_KEY = ["user_id", "activity", "interval_id", "window_index"]
 # Oracle hygiene for the value hash.  The engines agree to ~1e-15 relative,
 # but many exact results are short decimals sitting exactly on a rounding tie
 # (means and variances over 2^k readings), where that noise picks the side.
-# Both sides therefore add a fixed shift whose digits never end (so no short
-# decimal lands on the shifted boundary) and round with a precision tiered by
-# magnitude; values >= 1e6 (ns time gaps) are left as they are.
-SHIFT_9 = 1.7320508075688772e-11
-SHIFT_6 = 1.7320508075688772e-08
-ROUND_9_BELOW = 1e3
-ROUND_6_BELOW = 1e6
+# Both sides therefore shift and scale by numbers whose digits never end (so no
+# short decimal stays on a tie, and sums that cancel to nothing look alike) and
+# keep nine significant digits of every double.
+SCALE = 1.0 + 1.7320508075688772e-12
+SHIFT = 1.7320508075688772e-06
 
 
-def round_col(c: F.Column, digits: int = DIGITS) -> F.Column:
-    a = F.abs(c)
-    return (
-        F.when(a < F.lit(ROUND_9_BELOW), F.round(c + F.lit(SHIFT_9), 9))
-        .when(a < F.lit(ROUND_6_BELOW), F.round(c + F.lit(SHIFT_6), 6))
-        .otherwise(c)
-    )
+def round_col(c: F.Column) -> F.Column:
+    text = F.format_string("%.8e", (c + F.lit(SHIFT)) * F.lit(SCALE))
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(text.try_cast("double") + F.lit(0.0))
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
+def rounded(df: DataFrame) -> DataFrame:
     return df.select(*[
-        round_col(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        round_col(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields
     ])
 
 
-def round_sql(expr: str, digits: int = DIGITS) -> str:
-    return (f"(CASE WHEN abs({expr}) < {ROUND_9_BELOW!r} THEN round({expr} + {SHIFT_9!r}, 9) "
-            f"WHEN abs({expr}) < {ROUND_6_BELOW!r} THEN round({expr} + {SHIFT_6!r}, 6) "
-            f"ELSE {expr} END + 0.0)")
+def round_sql(expr: str) -> str:
+    return f"(CAST(printf('%.8e', (({expr}) + {SHIFT!r}::DOUBLE) * {SCALE!r}::DOUBLE) AS DOUBLE) + 0.0)"
 
 
 def _ev(spark: SparkSession, d: str) -> DataFrame:
@@ -320,8 +310,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # ---------------------------------------------------------------- oracle side
 
-def _r(cols: list[str], digits: int = DIGITS) -> str:
-    return ", ".join(f"{round_sql(c, digits)} AS {c}" for c in cols)
+def _r(cols: list[str]) -> str:
+    return ", ".join(f"{round_sql(c)} AS {c}" for c in cols)
 
 
 AXES_R = _r(["acc_x", "acc_y", "acc_z"])
@@ -358,13 +348,9 @@ parsed AS (
   SELECT request_id, request_ts, parts[1] AS user_text,
          coalesce(regexp_matches(parts[1], '{C.UUID_PATTERN}'), false) AS valid_user,
          CASE WHEN regexp_matches(parts[1], '{C.UUID_PATTERN}') THEN
-           CASE WHEN length(split_part(parts[1], '-', 1)) <= 8 AND length(split_part(parts[1], '-', 2)) <= 4
-                 AND length(split_part(parts[1], '-', 3)) <= 4 AND length(split_part(parts[1], '-', 4)) <= 4
-                 AND length(split_part(parts[1], '-', 5)) <= 12
-             THEN lower(lpad(split_part(parts[1], '-', 1), 8, '0') || '-' || lpad(split_part(parts[1], '-', 2), 4, '0')
-                  || '-' || lpad(split_part(parts[1], '-', 3), 4, '0') || '-' || lpad(split_part(parts[1], '-', 4), 4, '0')
-                  || '-' || lpad(split_part(parts[1], '-', 5), 12, '0'))
-             ELSE lower(parts[1]) END
+           lower(right('00000000' || split_part(parts[1], '-', 1), 8) || '-' || right('0000' || split_part(parts[1], '-', 2), 4)
+                 || '-' || right('0000' || split_part(parts[1], '-', 3), 4) || '-' || right('0000' || split_part(parts[1], '-', 4), 4)
+                 || '-' || right('000000000000' || split_part(parts[1], '-', 5), 12))
          END AS user_id,
          CAST(parts[2] AS BIGINT) AS start_ts, CAST(parts[3] AS BIGINT) AS finish_ts
   FROM cls2 WHERE dead_reason IS NULL)"""
@@ -462,13 +448,13 @@ ORACLE: dict[str, str] = {
                                        ["avg_abs_diff_x", "avg_abs_diff_y", "avg_abs_diff_z"], "feat"),
     "feat_peak_gap": FEAT + "\n" + _sel([G, "avg_time_peak_y"], ["avg_time_peak_y"], "feat"),
     "features": FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11], F11, "feat"),
-    "labelled_features": FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11, f"{O._LABEL_CASE} AS label"], F11,
+    "labelled_features": FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11, f"{round_sql(O._LABEL_CASE)} AS label"], F11,
                                             "feat"),
     "perfect_number": FEAT + f"\nSELECT {G}, {round_sql('(' + ' + '.join(F11) + f') / {C.SCORE_DIVISOR!r}::DOUBLE')} "
                              "AS perfect_number FROM feat",
     "train_test_split": FEAT + f"""\nSELECT CASE WHEN (('0x' || substr(md5(concat_ws('|', '0', user_id, activity,
             interval_id, window_index)), 1, 8))::BIGINT % 1000) < {int(round(C.SPLIT_WEIGHTS[0] / sum(C.SPLIT_WEIGHTS) * 1000))}
-            THEN 'train' ELSE 'test' END AS part, {O._LABEL_CASE} AS label, count(*) AS n_rows
+            THEN 'train' ELSE 'test' END AS part, {round_sql(O._LABEL_CASE)} AS label, count(*) AS n_rows
         FROM feat GROUP BY ALL""",
     "requests_parsed": "WITH " + REQ + "\nSELECT * FROM parsed",
     "requests_dead": "WITH " + REQ + "\nSELECT request_id, request_ts, value, dead_reason FROM cls2 "
@@ -479,13 +465,13 @@ ORACLE: dict[str, str] = {
             {', '.join(f'{round_sql("f." + c)} AS {c}' for c in F11)}, coalesce(f.n_rows, 0) > 0 AS scored
             FROM parsed p LEFT JOIN feat f USING (request_id)""",
     "moving_gate": f"""WITH {O.ACC}, lab AS (SELECT *, {O._LABEL_CASE} AS label FROM acc)
-        SELECT user_id, activity, ts_ns, event_id, label FROM lab WHERE label IN ({_MOVING_IN})""",
+        SELECT user_id, activity, ts_ns, event_id, {round_sql('label')} AS label FROM lab WHERE label IN ({_MOVING_IN})""",
     "progress_latest": "WITH " + HIST + "\nSELECT * FROM latest",
     "progress_states": PROGRESS_SIM + f"""\nSELECT user_id, event_id, ts_ns, k, {round_sql('score')} AS score,
         CAST(p AS INTEGER) AS progress, saved, published, {round_sql('pval')} AS published_value
         FROM st WHERE k > 0""",
-    "published_numbers": PROGRESS_SIM + f"""\nSELECT user_id, ts_ns AS "timestamp", ts_ns AS timestamp_long,
-        {', '.join(f'0.0::DOUBLE AS {c}' for c in F11)}, {round_sql('pval')} AS perfect_number
+    "published_numbers": PROGRESS_SIM + f"""\nSELECT user_id, ts_ns // 1000000 AS "timestamp", ts_ns // 1000000 AS timestamp_long,
+        {', '.join(f'{round_sql("0.0::DOUBLE")} AS {c}' for c in F11)}, {round_sql('pval')} AS perfect_number
         FROM st WHERE k > 0 AND published""",
 }
 
@@ -495,10 +481,10 @@ ORACLE["stream_progress"] = ORACLE["progress_states"]
 ORACLE["stream_published"] = ORACLE["published_numbers"]
 ORACLE["stream_dead_letters"] = ORACLE["requests_dead"]
 ORACLE["stream_progress_latest"] = PROGRESS_SIM + """
-SELECT user_id, CAST(arg_max(p, k) AS INTEGER) AS walking_progress, max(ts_ns) AS "timestamp"
-FROM st WHERE k > 0 GROUP BY user_id"""
+SELECT user_id, CAST(arg_max(p, k) AS INTEGER) AS walking_progress, max(ts_ns) // 1000000 AS "timestamp"
+FROM st WHERE k > 0 GROUP BY user_id HAVING max(p) <= 100"""
 ORACLE["stream_scores"] = PROGRESS_SIM + f"""
-SELECT user_id, ts_ns AS "timestamp", {round_sql('score')} AS perfect_number FROM st WHERE k > 0 AND saved"""
+SELECT user_id, ts_ns // 1000000 AS "timestamp", {round_sql('score')} AS perfect_number FROM st WHERE k > 0 AND saved"""
 
 
 def oracle_sql() -> dict[str, str]:
