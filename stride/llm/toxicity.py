@@ -1,7 +1,7 @@
 """Toxicity: a subsequence string-kernel SVM on Nystroem landmarks.
 
-The kernel compares two words by their common subsequences of three characters
-that span at most ``max_span`` characters, each weighted by ``decay**span``:
+The kernel compares two words (with a mark before and after each) by their
+common subsequences of three characters that span at most ``max_span`` characters, each weighted by ``decay**span``:
 inserted or dropped characters lower it, they do not break it.  Words are runs
 of letters and digits; single symbols inside a word are dropped and single
 letters standing apart are joined, so ``i.d.i.o.t`` and ``i d i o t`` are read
@@ -53,9 +53,9 @@ class Kernel:
 @dataclass(frozen=True)
 class Training:
     max_train_rows: int = 20_000
-    landmarks: int = 192
+    landmarks: int = 256
     candidates: int = 1500       # best separating words that landmarks are chosen from
-    max_alike: float = 0.75      # a landmark is skipped if it is this similar to one chosen before
+    max_alike: float = 0.9      # a landmark is skipped if it is this similar to one chosen before
     min_docs: int = 3
     regularisation: float = 1e-4
 
@@ -114,14 +114,17 @@ def split_words(texts: list, kinds):
 
 
 def subsequences(chars, starts, sizes, kernel: Kernel):
-    """(word, bucket, weight) of every subsequence of every word."""
+    """(word, bucket, weight) of every subsequence of every word; marks stand before and after a word."""
     import numpy as np
 
+    sizes = sizes + 2
     total = int(sizes.sum())
     word = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    c = chars[np.repeat(starts, sizes) + place].astype(np.uint32)
     left = np.repeat(sizes, sizes) - place
+    c = np.where(place == 0, np.uint32(1), np.uint32(2))
+    inside = (place > 0) & (left > 1)
+    c[inside] = chars[(np.repeat(starts, sizes) + place - 1)[inside]]
     words, buckets, weights = [], [], []
     for a, b, weight in kernel.offsets:
         i = np.flatnonzero(left > b)

@@ -21,7 +21,7 @@ def test_kernel_equals_plain_version():
     k = T.Kernel(floor=0.0)
 
     def features(word):
-        out = {}
+        out, word = {}, f"\x01{word}\x02"
         for a, b, c in itertools.combinations(range(len(word)), 3):
             if c - a < k.max_span:
                 f = word[a] + word[b] + word[c]
