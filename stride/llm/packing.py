@@ -43,31 +43,123 @@ class Packing:
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt bigint"
-CACHE_CHUNKS = 400_000  # entries of a worker's chunk cache before it is emptied
+KNOWN_CHUNKS = 400_000  # chunks a worker remembers (the first, hence the frequent ones); others are encoded per batch
+CALL_CHUNKS = 20_000  # chunks or words joined into one call
+SEPARATOR = "<|endoftext|>"
+WORD_END = "</w>"
+#: A lower-case Latin word and marks after it: one token run each, untouched by normalisation.  No apostrophe.
+SIMPLE_CHUNK = r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)"
+
+
+def _worker_state() -> dict:
+    """A dict that lives as long as the Python worker, not just the task."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_packing_worker_state", types.ModuleType("_packing_worker_state")).__dict__
+
+
+class ChunkCoder:
+    """Ids (little-endian bytes) of blank-separated chunks, by the tokenizer, many per call.
+
+    Most chunks are a Latin word and marks: their words are encoded once each,
+    joined by blanks, and told apart by the tokens that end a word.  All other
+    chunks are joined by a special token.
+    """
+
+    def __init__(self, path: str):
+        import re
+
+        import numpy as np
+        from tokenizers import Tokenizer, normalizers
+
+        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # plain gets words that are normalised already; whether that holds for this tokenizer is tested once
+        self.plain.normalizer = normalizers.Sequence([])
+        self.separator = self.whole.token_to_id(SEPARATOR)
+        vocabulary = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        probe = ["the", "m\u00e4dchen", "ab"]
+        self.by_words = [self.whole.encode(p.upper(), add_special_tokens=False).ids for p in probe] == [
+            self.plain.encode(p, add_special_tokens=False).ids for p in probe] and all(
+            self.ends[self.plain.encode(p, add_special_tokens=False).ids].sum() == 1 for p in probe)
+        self.simple = re.compile(SIMPLE_CHUNK).fullmatch
+        self.known: dict = {}
+        self.marks: dict = {"": b""}
+
+    def _split(self, texts: list, tokenizer, glue: str, stop) -> dict:
+        """Encode joined texts; stop tells where one ends (and whether that token is its own)."""
+        import numpy as np
+
+        out: dict = {}
+        for at in range(0, len(texts), CALL_CHUNKS):
+            part = texts[at:at + CALL_CHUNKS]
+            ids = np.array(tokenizer.encode_batch_fast([glue.join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, begin = ids.tobytes(), 0
+            ends, skip = stop(ids)
+            if len(ends) != len(part):
+                raise ValueError(f"{len(part)} chunks gave {len(ends)} runs of tokens")
+            for text, end in zip(part, ends):
+                out[text] = data[begin:end]
+                begin = end + skip
+        return out
+
+    def words(self, words: list) -> dict:
+        return self._split(words, self.plain, " ", lambda ids: ((4 * self.ends[ids].nonzero()[0] + 4).tolist(), 0))
+
+    def chunks(self, chunks: list) -> dict:
+        if self.separator is None:
+            joined, alone = [], chunks
+        else:
+            joined, alone = [c for c in chunks if "<|" not in c], [c for c in chunks if "<|" in c]
+        out = self._split(joined, self.whole, SEPARATOR,
+                          lambda ids: ((4 * (ids == self.separator).nonzero()[0]).tolist() + [4 * len(ids)], 4))
+        for c in alone:
+            out[c] = b"".join(i.to_bytes(4, "little") for i in self.whole.encode(c, add_special_tokens=False).ids)
+        return out
+
+    def code(self, chunks: set) -> dict:
+        """chunk -> bytes for the given distinct chunks."""
+        look = {c: v for c in chunks if (v := self.known.get(c)) is not None}
+        fresh = [c for c in chunks if c not in look]
+        simple, other = {}, []
+        for c in fresh:
+            m = self.simple(c.lower()) if self.by_words else None
+            if m:
+                simple[c] = m.groups()
+            else:
+                other.append(c)
+        words = self.words(list({w for w, _ in simple.values()}))
+        marks = [m for m in {m for _, m in simple.values()} if m not in self.marks]
+        if len(self.marks) > 10_000:
+            self.marks = {"": b""}
+            marks = list({m for _, m in simple.values()} - {""})
+        self.marks.update(self.chunks(marks))
+        coded = self.chunks(other)
+        for c, (w, m) in simple.items():
+            coded[c] = words[w] + self.marks[m]
+        if len(self.known) < KNOWN_CHUNKS:
+            self.known.update(coded)
+        look.update(coded)
+        return look
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096) -> DataFrame:
     """One row per piece; ``salt`` spreads the pieces at random."""
-    state: dict = {}
 
     def apply(ids, texts):
         import zlib
 
-        if "tokenizer" not in state:
-            from tokenizers import Tokenizer
-
-            state["tokenizer"], state["known"] = Tokenizer.from_file(tokenizer_path), {}
-        known = state["known"]
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
+        state = _worker_state()
+        if tokenizer_path not in state:
+            state[tokenizer_path] = ChunkCoder(tokenizer_path)
         chunked = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        fresh = sorted(set().union(*chunked) - known.keys()) if chunked else []
-        for chunk, e in zip(fresh, state["tokenizer"].encode_batch(fresh, add_special_tokens=False)):
-            known[chunk] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        look = state[tokenizer_path].code(set().union(*chunked))
         end = end_id.to_bytes(4, "little")
         out: dict = {k.split()[0]: [] for k in PIECES.split(", ")}
         for i, chunks in zip(ids, chunked):
-            data = b"".join(map(known.__getitem__, chunks)) + end
+            data = b"".join(map(look.__getitem__, chunks)) + end
             for p, at in enumerate(range(0, len(data), 4 * capacity)):
                 part = data[at:at + 4 * capacity]
                 crc = zlib.crc32(part)

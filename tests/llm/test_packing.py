@@ -75,7 +75,9 @@ def test_crossover_injects_whole_bins():
     rng = random.Random(9)
     lengths = [rng.randrange(50, 500) for _ in range(200)]
     cfg = P.Packing(capacity=1000, well_filled=0.95)
-    a, b = (P.Bins.read(lengths, 1000, w) for w in P.evolve(lengths, [], 3, cfg)[:2])
+    a, b = P.Bins(lengths, 1000), P.Bins(lengths, 1000)
+    a.best_fit(sorted(range(200), key=lambda i: -lengths[i]))
+    b.best_fit(rng.sample(range(200), 200))
     child = P.crossover(a, b, rng, cfg)
     assert sorted(i for x in child.bins for i in x) == list(range(200))
 
