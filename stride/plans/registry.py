@@ -21,7 +21,8 @@ from ..operators import requests as rq
 from ..operators import series
 from ..sources import fixtures as fx
 from . import oracle as O
-from ..session import materialize
+from ..session import materialize, scratch_path
+from . import saved_models
 from .motion import motion_plan
 
 FIXTURE_PARAMS = C.MotionParams(gap_ns=fx.FIXTURE_GAP_NS, window_ns=fx.FIXTURE_WINDOW_NS,
@@ -214,7 +215,7 @@ def q_published_numbers(spark, d):
     return prog.published_rows(st)
 
 
-# ---- machine learning (rows-only checks: tree training has no SQL form)
+# ---- machine learning: the saved models are applied (their trees are the oracle); fits are checked by invariants
 
 def _train_test(spark, d):
     # the labelled feature rows feed several passes (tree training) and the
@@ -225,9 +226,8 @@ def _train_test(spark, d):
 
 
 def _predictions(spark, d, kind):
-    train, test = _train_test(spark, d)
-    model = ml.fit(train, kind)
-    return ml.predict(model, test).select(*GKEY, "label", "prediction")
+    _, test = _train_test(spark, d)
+    return ml.predict(saved_models.load(spark, kind), test).select(*GKEY, "label", "prediction")
 
 
 def q_rf_predictions(spark, d):
@@ -246,12 +246,46 @@ def q_dt_test_error(spark, d):
     return ml.test_error(_predictions(spark, d, "dt"))
 
 
+def _fit_check(spark, d, kind):
+    """Fit on all training rows: size, classes, trees, depth, and answers that differ after a reload or a second fit."""
+    train, test = _train_test(spark, d)
+    first, second = ml.fit(train, kind), ml.fit(train, kind)
+    again = ml.load_model(ml.save_model(first, scratch_path(spark, f"fit-{kind}")), kind)
+    key = ["user_id", "activity", "interval_id", "window_index"]
+    rows = [ml.predict(m, test).select(*key, F.col("prediction").alias(f"p{i}")) for i, m in enumerate((first, again, second))]
+    both = rows[0].join(rows[1], key).join(rows[2], key)
+    trees = getattr(first, "trees", [first])
+    differ = lambda a, b: F.coalesce(F.sum((F.col(a) != F.col(b)).cast("bigint")), F.lit(0))
+    counts = both.agg(F.count(F.lit(1)).alias("n_test"), differ("p0", "p1").alias("n_reload"), differ("p0", "p2").alias("n_refit"))
+    return counts.crossJoin(train.agg(F.count(F.lit(1)).alias("n_train"))).select(  # two rows of one value each
+        "n_train", "n_test", F.lit(first.numClasses).alias("n_classes"), F.lit(len(trees)).alias("n_trees"),
+        F.lit(max(t.depth for t in trees) <= C.RF_MAX_DEPTH).alias("depth_ok"), "n_reload", "n_refit")
+
+
+def q_rf_fit_check(spark, d):
+    return _fit_check(spark, d, "rf")
+
+
+def q_dt_fit_check(spark, d):
+    return _fit_check(spark, d, "dt")
+
+
 def q_request_predictions(spark, d):
-    train, _ = _train_test(spark, d)
-    model = ml.fit(train, "rf")
     parsed, _ = _requests(spark, d)
     f = rq.request_features(parsed, fx.live(_ev(spark, d)))
-    return ml.predict(model, f).select("request_id", "user_id", "start_ts", "finish_ts", "n_rows", "prediction")
+    return ml.predict(saved_models.load(spark, "rf"), f).select(
+        "request_id", "user_id", "start_ts", "finish_ts", "n_rows", "prediction")
+
+
+def q_progress_from_zero(spark, d):
+    st = prog.progress_states(_progress_events(spark, d), None, None)
+    return st.select("user_id", "event_id", "ts_ns", "k", "score", "progress", "saved", "published", "published_value")
+
+
+def q_published_with_stored_scores(spark, d):
+    ev = _ev(spark, d)
+    start = prog.latest_progress(fx.progress_history(ev, fx.HISTORY_EVERY))
+    return prog.published_rows(prog.progress_states(_progress_events(spark, d), start, fx.stored_scores(ev)))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -282,6 +316,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "progress_latest": q_progress_latest,
     "progress_states": q_progress_states,
     "published_numbers": q_published_numbers,
+    "progress_from_zero": q_progress_from_zero,
+    "published_with_stored_scores": q_published_with_stored_scores,
+    "rf_fit_check": q_rf_fit_check,
+    "dt_fit_check": q_dt_fit_check,
     "rf_predictions": q_rf_predictions,
     "dt_predictions": q_dt_predictions,
     "rf_test_error": q_rf_test_error,
@@ -368,15 +406,23 @@ REQ_MEMBERS = """rmembers AS (
     ON v.valid_user AND v.start_ts <= v.finish_ts AND l.user_id = v.user_id
    AND l.ts_ns >= v.start_ts AND l.ts_ns <= v.finish_ts)"""
 
-HIST = f"""hist AS (
+def _hist(where: str = "") -> str:
+    return f"""hist AS (
   SELECT {DEVICE_UUID} AS user_id,
          CAST({fx.PROGRESS_BASE} + event_id % {fx.PROGRESS_SPREAD} AS INTEGER) AS walking_progress,
          epoch_us(ts) // 1000 AS timestamp
-  FROM events WHERE event_type = '{fx.PROGRESS_EVENT}'),
+  FROM events WHERE event_type = '{fx.PROGRESS_EVENT}' {where}),
 latest AS (
   SELECT user_id, arg_max(walking_progress, timestamp) AS walking_progress, max(timestamp) AS timestamp
   FROM hist GROUP BY user_id)"""
 
+
+HIST = _hist()
+PRIOR = f"""SELECT {DEVICE_UUID} AS user_id, sum(value / 10.0::DOUBLE) AS psum, count(*) AS pn FROM events
+  WHERE event_type = '{fx.SCORE_EVENT}' AND (user_id // {fx.USERS_PER_DEVICE}) % 2 = 1 GROUP BY ALL"""
+NO_PRIOR = "SELECT '' AS user_id, 0.0::DOUBLE AS psum, CAST(0 AS BIGINT) AS pn WHERE false"
+PART = f"AND (user_id // {fx.USERS_PER_DEVICE}) % {fx.HISTORY_EVERY} = 0"
+
 _MOVING_IN = ", ".join(f"{v!r}::DOUBLE" for v in C.MOVING_LABELS)
 P = C.ProgressParams()
 _R = f"(CASE WHEN s.p < {P.full} THEN (CASE WHEN s.p >= {P.snap_from} THEN {P.full} ELSE s.p + {P.step} END) ELSE s.p END)"
@@ -387,18 +433,21 @@ _PUB = f"({_R} > {P.publish_above} AND {_R} <= {P.full})"
 
 # step-by-step simulation of the three calls per moving event (recursive CTE):
 # an independent check of the closed form used on the Spark side
-PROGRESS_SIM = f"""WITH RECURSIVE {O.ACC},
-{HIST},
+def progress_sim(hist: str, prior: str = NO_PRIOR) -> str:
+    return f"""WITH RECURSIVE {O.ACC},
+{hist},
+prior AS ({prior}),
 mv AS (
   SELECT '{fx.UUID_PREFIX}' || lpad(CAST(user_id AS VARCHAR), 12, '0') AS user_id, event_id, ts_ns,
          (acc_x + acc_y + acc_z) / {C.SCORE_DIVISOR!r}::DOUBLE AS score,
          row_number() OVER (PARTITION BY user_id ORDER BY ts_ns, event_id) AS k
   FROM acc WHERE {O._LABEL_CASE} IN ({_MOVING_IN})),
 users AS (
-  SELECT DISTINCT mv.user_id, CAST(coalesce(l.walking_progress, 0) AS BIGINT) AS p0
-  FROM mv LEFT JOIN latest l USING (user_id)),
+  SELECT DISTINCT mv.user_id, CAST(coalesce(l.walking_progress, 0) AS BIGINT) AS p0,
+         coalesce(q.psum, 0.0)::DOUBLE AS psum, CAST(coalesce(q.pn, 0) AS BIGINT) AS pn
+  FROM mv LEFT JOIN latest l USING (user_id) LEFT JOIN prior q USING (user_id)),
 st AS (
-  SELECT user_id, CAST(0 AS BIGINT) AS k, p0 AS p, 0.0::DOUBLE AS tot, CAST(0 AS BIGINT) AS cnt,
+  SELECT user_id, CAST(0 AS BIGINT) AS k, p0 AS p, psum AS tot, pn AS cnt,
          CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS ts_ns, CAST(NULL AS DOUBLE) AS score,
          CAST(NULL AS BOOLEAN) AS saved, CAST(NULL AS BOOLEAN) AS published, CAST(NULL AS DOUBLE) AS pval
   FROM users
@@ -411,12 +460,26 @@ st AS (
   FROM st s JOIN mv m ON m.user_id = s.user_id AND m.k = s.k + 1)"""
 
 
+PROGRESS_SIM = progress_sim(HIST)
+PART_SIM = progress_sim(_hist(PART), PRIOR)
+ZERO_SIM = progress_sim(_hist("AND false"))
+
+
 def _sel(cols: list[str], doubles: list[str], frm: str) -> str:
     parts = [c if c not in doubles else f"{round_sql(c)} AS {c}" for c in cols]
     return f"SELECT {', '.join(parts)} FROM {frm}"
 
 
 F11 = list(C.FEATURE_COLUMNS)
+STATES = f"""\nSELECT user_id, event_id, ts_ns, k, {round_sql('score')} AS score,
+        CAST(p AS INTEGER) AS progress, saved, published, {round_sql('pval')} AS published_value
+        FROM st WHERE k > 0"""
+PUBLISHED = f"""\nSELECT user_id, ts_ns // 1000000 AS "timestamp", ts_ns // 1000000 AS timestamp_long,
+        {', '.join(f'{round_sql("0.0::DOUBLE")} AS {c}' for c in F11)}, {round_sql('pval')} AS perfect_number
+        FROM st WHERE k > 0 AND published"""
+IN_TRAIN = f"""((('0x' || substr(md5(concat_ws('|', '0', user_id, activity, interval_id, window_index)), 1, 8))::BIGINT % 1000)
+        < {int(round(C.SPLIT_WEIGHTS[0] / sum(C.SPLIT_WEIGHTS) * 1000))})"""
+REQUEST_FEATURES = "WITH " + REQ + ",\n" + LIVE + ",\n" + REQ_MEMBERS + ",\n" + O._feature_ctes("rmembers", "request_id", "ts_ns")
 
 ORACLE: dict[str, str] = {
     "accel_scan": f"WITH {O.ACC}\nSELECT user_id, activity, ts_ns, {AXES_R}, CAST(trunc(acc_y) AS BIGINT) AS trunc_y FROM acc",
@@ -467,12 +530,19 @@ ORACLE: dict[str, str] = {
     "moving_gate": f"""WITH {O.ACC}, lab AS (SELECT *, {O._LABEL_CASE} AS label FROM acc)
         SELECT user_id, activity, ts_ns, event_id, {round_sql('label')} AS label FROM lab WHERE label IN ({_MOVING_IN})""",
     "progress_latest": "WITH " + HIST + "\nSELECT * FROM latest",
-    "progress_states": PROGRESS_SIM + f"""\nSELECT user_id, event_id, ts_ns, k, {round_sql('score')} AS score,
-        CAST(p AS INTEGER) AS progress, saved, published, {round_sql('pval')} AS published_value
-        FROM st WHERE k > 0""",
-    "published_numbers": PROGRESS_SIM + f"""\nSELECT user_id, ts_ns // 1000000 AS "timestamp", ts_ns // 1000000 AS timestamp_long,
-        {', '.join(f'{round_sql("0.0::DOUBLE")} AS {c}' for c in F11)}, {round_sql('pval')} AS perfect_number
-        FROM st WHERE k > 0 AND published""",
+    "progress_states": PROGRESS_SIM + STATES,
+    "published_numbers": PROGRESS_SIM + PUBLISHED,
+    "published_with_stored_scores": PART_SIM + PUBLISHED,
+    "progress_from_zero": ZERO_SIM + STATES,
+    **{f"{k}_predictions": FEAT + f"""\nSELECT {G}, {round_sql(O._LABEL_CASE)} AS label, {round_sql('prediction')} AS prediction
+        FROM {saved_models.prediction_sql(k, 'feat')} WHERE NOT {IN_TRAIN}""" for k in ("rf", "dt")},
+    **{f"{k}_test_error": FEAT + f"""\nSELECT count(*) AS n_test, {round_sql(f'avg(CAST(prediction <> {O._LABEL_CASE} AS DOUBLE))')} AS test_error
+        FROM {saved_models.prediction_sql(k, 'feat')} WHERE NOT {IN_TRAIN}""" for k in ("rf", "dt")},
+    **{f"{k}_fit_check": FEAT + f"""\nSELECT count(*) FILTER ({IN_TRAIN}) AS n_train, count(*) FILTER (NOT {IN_TRAIN}) AS n_test,
+        {C.NUM_CLASSES} AS n_classes, {n} AS n_trees, true AS depth_ok, CAST(0 AS BIGINT) AS n_reload, CAST(0 AS BIGINT) AS n_refit
+        FROM feat""" for k, n in (("rf", C.RF_NUM_TREES), ("dt", 1))},
+    "request_predictions": REQUEST_FEATURES + f"""\nSELECT request_id, user_id, start_ts, finish_ts, n_rows, {round_sql('prediction')} AS prediction
+        FROM {saved_models.prediction_sql('rf', "(SELECT p.*, coalesce(f.n_rows, 0) AS n_rows, " + ', '.join('f.' + c for c in F11) + " FROM parsed p LEFT JOIN feat f USING (request_id))")}""",
 }
 
 
@@ -480,10 +550,11 @@ ORACLE: dict[str, str] = {
 ORACLE["stream_progress"] = ORACLE["progress_states"]
 ORACLE["stream_published"] = ORACLE["published_numbers"]
 ORACLE["stream_dead_letters"] = ORACLE["requests_dead"]
+ORACLE["stream_scoring"] = ORACLE["request_predictions"]
 ORACLE["stream_progress_latest"] = PROGRESS_SIM + """
 SELECT user_id, CAST(arg_max(p, k) AS INTEGER) AS walking_progress, max(ts_ns) // 1000000 AS "timestamp"
 FROM st WHERE k > 0 GROUP BY user_id HAVING max(p) <= 100"""
-ORACLE["stream_scores"] = PROGRESS_SIM + f"""
+ORACLE["stream_scores"] = PART_SIM + f"""
 SELECT user_id, ts_ns // 1000000 AS "timestamp", {round_sql('score')} AS perfect_number FROM st WHERE k > 0 AND saved"""
 
 

@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import model as ml
 from ..operators import progress as prog
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.tables import REQUEST_SCHEMA
 from ..streaming import progress as sprog
 from ..streaming import scoring as sscore
+from . import saved_models
 
 CHUNK_NS = 10 * 24 * fx.HOUR_NS  # ten days of input per run
 PROGRESS_IN_SCHEMA = "user_id string, event_id long, ts_ns long, score double"
@@ -53,12 +53,8 @@ def run_progress_stream(spark: SparkSession, sf_dir: str, history: DataFrame | N
 
 
 def run_scoring_stream(spark: SparkSession, sf_dir: str) -> str:
-    from .registry import _train_test
-
     root = scratch_path(spark, "stream-scoring")
-    train, _ = _train_test(spark, sf_dir)
-    path = ml.save_model(ml.fit(train, "rf"), f"{root}/model")
-    model = ml.load_model(path, "rf")  # loaded once for the whole stream
+    model = saved_models.load(spark, "rf")  # loaded once for the whole stream
     ev = fx.events(spark, sf_dir)
     _chunked_runs(spark, fx.requests(ev), "request_ts", root, REQUEST_SCHEMA,
                   sscore.scoring_writer(lambda: fx.live(fx.events(spark, sf_dir)), model, f"{root}/out"))
@@ -83,8 +79,10 @@ def q_stream_progress_latest(spark, d):
 
 
 def q_stream_scores(spark, d):
-    """Per-event scores the stream stored (saved events only)."""
-    return _read(spark, f"{run_progress_stream(spark, d)}/scores")
+    """Per-event scores the stream stored; part of the devices start from zero or with stored scores."""
+    ev = fx.events(spark, d)
+    out = run_progress_stream(spark, d, fx.progress_history(ev, fx.HISTORY_EVERY), fx.stored_scores(ev))
+    return _read(spark, f"{out}/scores")
 
 
 def q_stream_scoring(spark, d):

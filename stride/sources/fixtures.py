@@ -29,6 +29,8 @@ FIXTURE_REQUEST_SPAN_NS = 24 * HOUR_NS
 # Request message shapes, chosen by event_id % 7 (every event is one message).
 REQUEST_SHAPES = 7
 # Stored progress history: 'signup' events carry a progress of 88 + event_id % 15.
+SCORE_EVENT = "error"  # its rows are scores stored earlier
+HISTORY_EVERY = 3  # the second mapping: only every third device has stored progress
 PROGRESS_EVENT = "signup"
 PROGRESS_BASE = 88
 PROGRESS_SPREAD = 15
@@ -114,10 +116,20 @@ def requests(ev: DataFrame, span_ns: int = FIXTURE_REQUEST_SPAN_NS) -> DataFrame
     return ev.select(F.col("event_id").alias("request_id"), ts.alias("request_ts"), body.alias("value"))
 
 
-def progress_history(ev: DataFrame) -> DataFrame:
-    """events -> stored progress rows (user uuid, walking_progress, timestamp in ms)."""
-    return ev.filter(F.col("event_type") == PROGRESS_EVENT).select(
+def _stored_ms() -> F.Column:
+    return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000")
+
+
+def stored_scores(ev: DataFrame) -> DataFrame:
+    """events -> scores stored earlier, for every second device (user uuid, timestamp in ms, perfect_number)."""
+    return ev.filter((F.col("event_type") == SCORE_EVENT) & (device_id() % 2 == 1)).select(
+        device_uuid().alias("user_id"), _stored_ms().alias("timestamp"), (F.col("value") / F.lit(10.0)).alias("perfect_number"))
+
+
+def progress_history(ev: DataFrame, every: int = 1) -> DataFrame:
+    """events -> stored progress rows of every n-th device (user uuid, walking_progress, timestamp in ms)."""
+    return ev.filter((F.col("event_type") == PROGRESS_EVENT) & (device_id() % every == 0)).select(
         device_uuid().alias("user_id"),
         (F.lit(PROGRESS_BASE) + (F.col("event_id") % F.lit(PROGRESS_SPREAD))).cast("int").alias("walking_progress"),
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000").alias("timestamp"),
+        _stored_ms().alias("timestamp"),
     )
