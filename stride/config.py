@@ -7,7 +7,7 @@ that the rest of the package never repeats a literal.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES -- these must equal the original application's values for the
@@ -115,9 +115,6 @@ class MotionParams:
             raise ValueError("bucket_ns must be >= window_ns")
         return b
 
-    def with_(self, **kw) -> "MotionParams":
-        return replace(self, **kw)
-
 
 @dataclass(frozen=True)
 class ForestParams:

@@ -38,11 +38,16 @@ class TrainResult:
     model_path: str
     test_error: DataFrame  # one row: n_test, test_error
     sample_size: int
+    rejected: int  # readings with a missing column, left out
 
 
 def train(labelled: DataFrame, model_path: str, kind: str = "rf", params: C.MotionParams | None = None,
-          users: list | None = None, activities: list | None = None, seed: int = 0) -> TrainResult:
-    """Features of every window of every selected series, then fit, save and evaluate."""
+          users: list | None = None, activities: list | None = None, seed: int = 0,
+          rejected_path: str | None = None) -> TrainResult:
+    """Features of every window of every selected series, then fit, save and evaluate.
+
+    Readings with a missing column are counted and, with ``rejected_path``, written there.
+    """
     plan = motion_plan(labelled, params, users=users, activities=activities)
     rows = materialize(plan.labelled_features(), "training-rows")
     keys = (params or C.MotionParams()).keys
@@ -50,7 +55,9 @@ def train(labelled: DataFrame, model_path: str, kind: str = "rf", params: C.Moti
     model = ml.fit(train_rows, kind)
     ml.save_model(model, model_path)
     err = ml.test_error(ml.predict(model, test_rows))
-    return TrainResult(model, model_path, err, rows.count())
+    if rejected_path:
+        plan.rejected.write.mode("overwrite").parquet(rejected_path)
+    return TrainResult(model, model_path, err, rows.count(), plan.rejected.count())
 
 
 def score(messages: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
@@ -82,6 +89,7 @@ def _main() -> None:
     t.add_argument("--labelled", required=True)
     t.add_argument("--format", default="parquet")
     t.add_argument("--column", action="append", default=[], metavar="OURS=THEIRS", help="column that has another name")
+    t.add_argument("--rejected", help="folder for readings with a missing column")
     t.add_argument("--time-unit", default="ns", choices=list(tables.TIME_UNITS))
     t.add_argument("--model", required=True)
     t.add_argument("--kind", default="rf", choices=["rf", "dt"])
@@ -108,8 +116,8 @@ def _main() -> None:
         params = C.MotionParams(gap_ns=a.gap_ns, window_ns=a.window_ns, min_rows=a.min_rows)
         labelled = tables.read_labelled(spark, a.labelled, a.format, columns=dict(o.split("=", 1) for o in a.column),
                                         time_unit=a.time_unit)
-        r = train(labelled, a.model, a.kind, params=params, users=a.users)
-        print("sample size", r.sample_size)
+        r = train(labelled, a.model, a.kind, params=params, users=a.users, rejected_path=a.rejected)
+        print("sample size", r.sample_size, "rejected readings", r.rejected)
         r.test_error.show()
         return
     options = dict(o.split("=", 1) for o in a.option)

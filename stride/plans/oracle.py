@@ -106,4 +106,3 @@ def motion_prefix(gated: bool = True) -> str:
     return with_ctes(ACC, GATED, SCANNED.format(src=src), INTERVALS, WINDOWS, MEMBERS)
 
 
-FEATURE_SELECT = ", ".join(C.FEATURE_COLUMNS)

@@ -78,9 +78,9 @@ def test_duplicate_timestamps_peak_gap(spark):
 
 
 def test_java_long_cast(spark):
-    df = spark.createDataFrame([(1.7,), (-1.7,), (-0.5,), (float("nan"),), (float("inf"),), (float("-inf"),)], "y double")
+    df = spark.createDataFrame([(1.7,), (-1.7,), (-0.5,), (float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "y double")
     got = [r[0] for r in df.select(java_long("y")).collect()]
-    assert got == [1, -1, 0, 0, C.LONG_MAX, C.LONG_MIN]
+    assert got == [1, -1, 0, 0, C.LONG_MAX, C.LONG_MIN, None]
 
 
 def test_user_activity_selection_is_pushed_to_scan(spark, tmp_path_factory):

@@ -1,6 +1,7 @@
 """The training job and the live service itself."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from stride.operators import model as ml
 from stride.operators import progress as prog
@@ -124,8 +125,10 @@ def test_checkpoint_folder_is_needed_on_a_cluster(spark):
 def test_train_then_serve(spark):
     ev = fx.events(spark, SF_SMALL)
     model_path = scratch_path(spark, "job-model")
-    r = jobs.train(fx.labelled(ev), model_path, "rf", params=R.FIXTURE_PARAMS)
-    assert r.sample_size == 192
+    missing = fx.labelled(ev).limit(3).withColumn("acc_y", F.lit(None).cast("double"))  # three readings without y
+    rejected = scratch_path(spark, "job-rejected")
+    r = jobs.train(fx.labelled(ev).unionByName(missing), model_path, "rf", params=R.FIXTURE_PARAMS, rejected_path=rejected)
+    assert r.sample_size == 192 and r.rejected == spark.read.parquet(rejected).count() == 3
     err = r.test_error.first()
     assert err.n_test > 0 and 0.0 <= err.test_error <= 1.0
 

@@ -27,3 +27,13 @@ def test_split_valid_sends_nulls_to_side_output(spark):
                                 (1, "Walking", None, 1.0, 2.0, 3.0)], tables.LABELLED_SCHEMA)
     ok, bad = tables.split_valid(df, [f.name for f in tables.LABELLED_SCHEMA.fields])
     assert ok.count() == 1 and bad.count() == 2
+
+
+def test_column_map_and_time_unit(spark, tmp_path):
+    from stride.sources.tables import read_labelled
+
+    rows = [(1, "Walking", 5, 1.0, 2.0, 3.0)]
+    path = str(tmp_path / "labelled")
+    spark.createDataFrame(rows, "user_id long, activity string, timestamp long, acc_x double, acc_y double, acc_z double").write.parquet(path)
+    got = read_labelled(spark, path, columns={"ts_ns": "timestamp"}, time_unit="ms").first()
+    assert got.ts_ns == 5_000_000 and got.activity == "Walking"
