@@ -43,7 +43,8 @@ class LanguageModel:
     letters: object   # letter_table()
 
     def shared(self, spark):
-        return spark.sparkContext.broadcast((self.languages, self.log_prob, self.grams, self.letters))
+        """Plain lists and arrays only: a broadcast is unpickled where this package may be missing."""
+        return spark.sparkContext.broadcast((self.languages, self.log_prob, self.letters))
 
 
 def letter_table():
@@ -124,7 +125,7 @@ def train(docs: DataFrame, max_train_rows: int = 4000, grams: NGrams = NGrams())
                          letters)
 
 
-def score_texts(texts: list, languages: list, log_prob, grams: NGrams, letters) -> tuple[list, list]:
+def score_texts(texts: list, languages: list, log_prob, letters, grams: NGrams) -> tuple[list, list]:
     """(language, posterior under equal priors) for each text."""
     import numpy as np
 
@@ -146,10 +147,10 @@ SCHEMA = "doc_id bigint, lang_pred string, score double"
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """(doc_id, lang_pred, score) for every row; only the text is read."""
-    shared = model.shared(docs.sparkSession)  # languages x 2**bits floats
+    shared, grams = model.shared(docs.sparkSession), model.grams  # languages x 2**bits floats
 
     def apply(ids, texts):
-        langs, scores = score_texts(texts, *shared.value)
+        langs, scores = score_texts(texts, *shared.value, grams)
         return {"doc_id": ids, "lang_pred": langs, "score": scores}
 
     return map_texts(docs, apply, SCHEMA, "doc_id", "text")
@@ -157,7 +158,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.5) -> DataFrame:
     """The rows (all columns) whose language is learned and certain enough."""
-    shared = model.shared(docs.sparkSession)
+    shared, grams = model.shared(docs.sparkSession), model.grams
 
     @F.pandas_udf("boolean")
     def identified(texts):
@@ -166,7 +167,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
         values = [None if t is None else str(t) for t in texts]
         kept = []
         for a, b in pieces([len(t or "") for t in values]):
-            langs, scores = score_texts(values[a:b], *shared.value)
+            langs, scores = score_texts(values[a:b], *shared.value, grams)
             kept += [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
         return pd.Series(kept, dtype=bool)
 

@@ -115,3 +115,25 @@ def test_components(make, spark):
     got = {r.node: r.root for r in components(make(edges, "a bigint, b bigint"), "a", "b").collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in (100, 101, 102)}, **{k: 500 for k in range(500, 560)}}
     assert components(make([], "a bigint, b bigint"), "a", "b").count() == 0
+
+
+def test_crowded_bands_block_by_block(make):
+    """A group whose texts are similar to a base but often not to one another, compared in blocks of eight."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for k in range(120):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randrange(1, 5)):
+            words[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(words)))
+    got = {r.doc_id: r.class_id for r in B.classes(make(rows), B.Banding(block=8)).collect()}
+    assert got == brute_classes(rows) and len(set(got.values())) > 3
+
+
+def test_block_similarities_equal_pairs():
+    texts = ["a b c d e f g", "a b c d e f g h", "z z z z z z z z z", "z z z z z z z", "", "q"]
+    bags = [multiset(t) for t in texts]
+    got = B.block_similarities(texts, np.array([0, 2, 4]), np.array([1, 3, 5]), 5, columns=2)
+    want = [[jaccard(bags[i], bags[j]) for j in (1, 3, 5)] for i in (0, 2, 4)]
+    assert np.allclose(got, want)

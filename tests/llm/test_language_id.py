@@ -38,8 +38,8 @@ def test_cases(make, model):
 
 def test_scores_do_not_depend_on_neighbours(make, model):
     texts = ["The and of", "la les des que", "", "x", "der die das"]
-    alone = [L.score_texts([t], model.languages, model.log_prob, model.grams, model.letters) for t in texts]
-    together = L.score_texts(texts, model.languages, model.log_prob, model.grams, model.letters)
+    alone = [L.score_texts([t], model.languages, model.log_prob, model.letters, model.grams) for t in texts]
+    together = L.score_texts(texts, model.languages, model.log_prob, model.letters, model.grams)
     assert [a[0][0] for a in alone] == together[0]
     assert [a[1][0] for a in alone] == pytest.approx(together[1])
 
