@@ -53,12 +53,13 @@ def map_texts(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *col
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            lengths = [len(t) if t is not None else 0 for t in columns[-1].to_pylist()]
+            lengths = pc.fill_null(pc.utf8_length(columns[-1]), 0).to_pylist()
             for a, b in pieces(lengths):
                 out = fn(*[c.slice(a, b - a).to_pylist() for c in columns])
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)

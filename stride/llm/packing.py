@@ -43,7 +43,7 @@ class Packing:
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt bigint"
-KNOWN_CHUNKS = 400_000  # chunks a worker remembers (the first, hence the frequent ones); others are encoded per batch
+KNOWN_CHUNKS = 600_000  # chunks a worker remembers (the first, hence the frequent ones); others are encoded per batch
 CALL_CHUNKS = 20_000  # chunks or words joined into one call
 SEPARATOR = "<|endoftext|>"
 WORD_END = "</w>"
@@ -254,16 +254,16 @@ def evolve(lengths: list, population: list, seed: int, cfg: Packing) -> list:
     rng = random.Random(seed)
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     people = [Bins.read(lengths, cfg.capacity, w) for w in population]
-    while len(people) < cfg.population:
+    ideal = -(-sum(lengths) // cfg.capacity)
+    while len(people) < cfg.population and not any(len(s.bins) <= ideal for s in people):
         s = Bins(lengths, cfg.capacity)
         # the first is best-fit decreasing, others follow a blurred order
         blur = 0.0 if not people else 0.15 * len(people)
         s.best_fit(order if not blur else sorted(order, key=lambda i: -lengths[i] * (1 + blur * rng.random())))
         people.append(s)
-    ideal = -(-sum(lengths) // cfg.capacity)
     for _ in range(cfg.generations):
         people.sort(key=Bins.fitness, reverse=True)
-        if len(people[0].bins) <= ideal:
+        if len(people[0].bins) <= ideal:  # no solution has fewer
             break
         half = people[: max(2, cfg.population // 2)]
         children = [crossover(*rng.sample(half, 2), rng, cfg), mutate(half[0], rng)]
