@@ -27,14 +27,16 @@ labels among the training rows every score is their base rate (0 without any).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stride.llm.common import cut, map_texts, pieces
+from stride.llm.common import cut, map_texts
 
-PIECE = 500_000  # characters per numpy step
+KNOWN_WORDS = 1_000_000  # words whose comparison a worker remembers (8 bytes each)
+KNOWN_SIMILAR = 4_000_000  # their similarities to landmarks (8 bytes each)
 
 
 @dataclass(frozen=True)
@@ -69,10 +71,12 @@ class ToxicityModel:
     shift: float
     kernel: Kernel
     rate: float
+    name: str = ""
 
     def shared(self, spark):
+        """Plain lists and arrays only: a broadcast is unpickled where this package may be missing."""
         return spark.sparkContext.broadcast((self.landmarks, self.weights, self.bias, self.scale, self.shift, self.rate,
-                                             self.kernel, character_kinds()))
+                                             character_kinds()))
 
 
 def character_kinds():
@@ -187,40 +191,83 @@ class Landmarks:
         return some[seen], rows[seen].astype(np.float32)
 
 
-def pooled(texts: list, landmarks: Landmarks, kinds):
+class Memory:
+    """Compared words by key, with the landmarks each of them is near to (lists laid end to end)."""
+
+    def __init__(self, landmarks: Landmarks):
+        import numpy as np
+
+        self.landmarks = landmarks
+        self.keys, self.row_of = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.lists = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
+
+    def look(self, keys, chars, starts, sizes):
+        """(list number per key or -1, (begins, landmarks, similarities)); keys are sorted and distinct."""
+        import numpy as np
+
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        result = np.full(len(keys), -1)
+        result[known] = self.row_of[at[known]]
+        fresh = np.flatnonzero(~known)
+        found, rows = self.landmarks.similarities(chars, starts[fresh], sizes[fresh])
+        begins, near, similar = self.lists
+        result[fresh[found]] = len(begins) - 1 + np.arange(len(found))
+        word, landmark = rows.nonzero()
+        ends = begins[-1] + np.cumsum(np.bincount(word, minlength=len(found)))
+        lists = (np.concatenate([begins, ends]), np.concatenate([near, landmark.astype(np.int32)]),
+                 np.concatenate([similar, rows[word, landmark]]))
+        if len(self.keys) + len(fresh) <= KNOWN_WORDS and len(lists[1]) <= KNOWN_SIMILAR:
+            self.keys = np.insert(self.keys, at[fresh], keys[fresh])
+            self.row_of = np.insert(self.row_of, at[fresh], result[fresh])
+            self.lists = lists
+        return result, lists
+
+
+def _worker_state() -> dict:
+    """A dict that lives as long as the Python worker, not just the task."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_toxicity_worker_state", types.ModuleType("_toxicity_worker_state")).__dict__
+
+
+def _memory(name: str, words: list, kernel: Kernel) -> Memory:
+    """The worker's memory for one model; another model's is dropped."""
+    state = _worker_state()
+    if state.get("name") != name:
+        state["name"], state["memory"] = name, Memory(Landmarks(words, kernel))
+    return state["memory"]
+
+
+def pooled(texts: list, memory: Memory, kinds):
     """(texts, landmarks): the highest similarity of any word of the text."""
     import numpy as np
 
-    result = np.zeros((len(texts), landmarks.n), dtype=np.float32)
+    result = np.zeros((len(texts), memory.landmarks.n), dtype=np.float32)
     chars, starts, sizes, text = split_words(texts, kinds)
     long = np.flatnonzero(sizes >= 3)
-    if not len(long) or not landmarks.n:
+    if not len(long) or not memory.landmarks.n:
         return result
     starts, sizes, text = starts[long], sizes[long], text[long]
     place = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     power = np.cumprod(np.full(int(sizes.max()), 0x100000001B3, dtype=np.uint64))
     letters = chars[np.repeat(starts, sizes) + place].astype(np.uint64) + np.uint64(7)
     key = np.add.reduceat(letters * power[place], np.cumsum(sizes) - sizes) ^ (sizes.astype(np.uint64) << np.uint64(56))
-    _, one, which = np.unique(key, return_index=True, return_inverse=True)
-    found, rows = landmarks.similarities(chars, starts[one], sizes[one])
-    row_of = np.full(len(one), -1)
-    row_of[found] = np.arange(len(found))
+    key, one, which = np.unique(key, return_index=True, return_inverse=True)
+    row_of, (begins, near, similar) = memory.look(key, chars, starts[one], sizes[one])
     at = row_of[which]
-    seen = np.flatnonzero(at >= 0)  # words stand in text order
-    if len(seen):
-        owner = text[seen]
-        begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        result[owner[begin]] = np.maximum.reduceat(rows[at[seen]], begin, axis=0)
+    seen = at >= 0
+    # a text's repeats of a word add nothing
+    pair = np.unique(text[seen] * np.int64(len(begins)) + at[seen])
+    owner, at = pair // len(begins), pair % len(begins)
+    n = begins[at + 1] - begins[at]
+    entry = np.repeat(begins[at], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    np.maximum.at(result.reshape(-1), np.repeat(owner, n) * memory.landmarks.n + near[entry], similar[entry])
     return result
 
 
-def pooled_in_pieces(texts: list, landmarks: Landmarks, kinds):
-    import numpy as np
-
-    parts = [pooled(texts[a:b], landmarks, kinds) for a, b in pieces([len(t or "") for t in texts], PIECE)]
-    return np.concatenate(parts) if parts else np.zeros((0, landmarks.n), np.float32)
-
-
 def _training_rows(docs: DataFrame, labels: DataFrame, t: Training) -> DataFrame:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy(
         F.col("doc_id").alias("_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -293,11 +340,12 @@ def train(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), t: Trai
     gram = word_similarities(words, kernel)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-2))) @ vectors.T
-    given = spark.sparkContext.broadcast((words, kernel, root))
+    name = uuid.uuid4().hex
+    given = spark.sparkContext.broadcast((words, root))
 
     def features(labels_, texts):
-        words_, kernel_, root_ = given.value
-        z = pooled_in_pieces(texts, Landmarks(words_, kernel_), kinds.value) @ root_
+        words_, root_ = given.value
+        z = pooled(texts, _memory(name, words_, kernel), kinds.value) @ root_
         return {"toxic": labels_, "z": z.tolist()}
 
     mapped = map_texts(rows, features, "toxic int, z array<double>", "toxic", "text")
@@ -307,7 +355,7 @@ def train(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), t: Trai
     scored = svm.transform(table).select("label", "rawPrediction").toPandas()  # about max_train_rows margins
     margin = np.array([v[1] for v in scored["rawPrediction"]])
     scale, shift = calibrate(margin, scored["label"].to_numpy())
-    return ToxicityModel(words, weights, float(svm.intercept), scale, shift, kernel, rate)
+    return ToxicityModel(words, weights, float(svm.intercept), scale, shift, kernel, rate, name)
 
 
 def calibrate(margin, label) -> tuple:
@@ -334,19 +382,16 @@ SCHEMA = "doc_id bigint, score double, predicted int"
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """(doc_id, score, predicted) of every row; only the text is read."""
-    shared = model.shared(docs.sparkSession)
-    made: dict = {}
+    shared, name, kernel = model.shared(docs.sparkSession), model.name, model.kernel
 
     def apply(ids, texts):
         import numpy as np
 
-        words, weights, bias, scale, shift, rate, kernel, kinds = shared.value
+        words, weights, bias, scale, shift, rate, kinds = shared.value
         if not words:
             scores = np.full(len(texts), rate)
         else:
-            if "marks" not in made:
-                made["marks"] = Landmarks(words, kernel)
-            margin = pooled_in_pieces(texts, made["marks"], kinds) @ weights + bias
+            margin = pooled(texts, _memory(name, words, kernel), kinds) @ weights + bias
             scores = 1 / (1 + np.exp(-np.clip(scale * margin + shift, -30, 30)))
         return {"doc_id": ids, "score": scores.tolist(), "predicted": (scores >= 0.5).astype(int).tolist()}
 
