@@ -80,7 +80,7 @@ def _near(rows: DataFrame, others: DataFrame, scope: int) -> DataFrame:
 def linked_parts(parts: DataFrame, linking: Linking = Linking()) -> DataFrame:
     """(_id, _hash, spans): linked weak parts per document."""
     both = ((F.size("weak_id") + F.size("access")) > 0) & ((F.size("weak_secret") + F.size("assign") + F.size("hex")) > 0)
-    some = parts.where(both & (F.size("weak_id") + F.size("weak_secret") > 0))
+    some = parts.where(both & (F.size("weak_id") + F.size("weak_secret") + F.size("weak_endpoint") > 0))
 
     def rows(*columns: str) -> DataFrame:
         spans = F.concat(*[F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for c in columns])

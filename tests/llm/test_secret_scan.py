@@ -55,6 +55,17 @@ def test_weak_parts_need_company(make):
     assert sorted(s.split(":")[0] for s in got[5].split(",")) == ["assign", "link_endpoint", "link_id"]
 
 
+def test_endpoint_of_base_parts_is_linked(make):
+    """Identifier and secret may both be base spans; the endpoint is then the only weak part."""
+    key = "AKIA" + "Z" * 16
+    rows = [(1, f"{key} token=abcdef123 https://h.example/x"), (2, f"{key} " + "0" * 24 + " s3://b/x"), (3, f"{key} https://h.example/x"),
+            (4, f"{key} token=abcdef123 " + "far " * 200 + "https://h.example/x")]
+    docs = make(rows)
+    got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")] for r in S.digest(S.scan(docs)).collect()}
+    assert got == {1: ["access", "assign", "link_endpoint"], 2: ["access", "hex", "link_endpoint"], 3: ["access"], 4: ["access", "assign"]}
+    assert {r.doc_id: r.text for r in S.redact(docs).collect()}[1] == "[SECRET] [SECRET] [SECRET]"
+
+
 def test_redaction(make):
     rows = [(1, "a token=abcdef123 b " + "0" * 24 + " c", 5), (2, "nothing", 6), (3, None, 7), (None, "secret: 'zzzzzzz'", 8)]
     docs = make(rows, "doc_id bigint, text string, _ss int")
