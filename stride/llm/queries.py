@@ -83,7 +83,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return span_dedup.dedup(table(spark, sf_dir, "documents"))
+    return span_dedup.dedup(table(spark, sf_dir, "documents"), span_dedup.WHOLE)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

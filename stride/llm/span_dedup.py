@@ -8,6 +8,14 @@ sentences holding at least ``min_words`` words.  Spans are hashed (lower case,
 blanks folded) and joined globally: the first one in (doc_id, text hash,
 position) order stays, the sentences covered by any other are removed.
 
+``WHOLE``, the rules of op10_span_dedup, leaves no repeat of enough sentences and
+words behind.  Long sentences are cut by winnowing, after the words with the
+smallest hash of any ``window`` words in a row: a cut comes every ``window``
+words at least, and a repeat of 49 words is found whatever stands beside it.
+With ``tails`` the shortest run that ends with each sentence is hashed too, so
+a repeat is covered up to its last sentence; such a run takes part only where
+the shorter span at its start is met twice.
+
 The first span of a hash is a pre-aggregated minimum; only hashes met twice
 are joined back, a hash with a third of all spans is split by the skew join.
 
@@ -34,6 +42,11 @@ class Spans:
     min_words: int = 20
     long_words: int = 12
     cut_every: int = 6
+    window: int = 0  # at most long_words; 0: cuts by cut_every
+    tails: bool = False
+
+
+WHOLE = Spans(window=10, tails=True)
 
 
 def words_of(texts: list):
@@ -62,6 +75,27 @@ def words_of(texts: list):
     return value, mark, ends_line, np.searchsorted(ends, begin, side="right")
 
 
+def smallest(value, size, long, window: int):
+    """True for words with the smallest hash of some ``window`` words in a row of one long sentence."""
+    import numpy as np
+
+    def slide(x, least):
+        wide = 1
+        while wide < window:
+            step = min(wide, window - wide)
+            x = least(x[:-step], x[step:])
+            wide += step
+        return x
+
+    if len(value) < window:
+        return np.zeros(len(value), dtype=bool)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(value))
+    inside = (long & (left >= window))[:len(value) - window + 1]
+    low = np.where(inside, slide(value, np.minimum), np.uint64(0))
+    edge = np.zeros(window - 1, dtype=np.uint64)
+    return long & (value == slide(np.r_[edge, low, edge], np.maximum))
+
+
 def sentence_starts(value, mark, ends_line, owner, cfg: Spans):
     """Numbers of the words that begin a sentence."""
     import numpy as np
@@ -74,18 +108,18 @@ def sentence_starts(value, mark, ends_line, owner, cfg: Spans):
     starts = np.flatnonzero(begin)
     size = np.diff(np.r_[starts, len(value)])
     long = np.repeat(size > cfg.long_words, size)
-    cuts = long & (value % np.uint64(cfg.cut_every) == 0)
+    cuts = smallest(value, size, long, cfg.window) if cfg.window else long & (value % np.uint64(cfg.cut_every) == 0)
     return np.flatnonzero(begin | np.r_[False, cuts[:-1]])
 
 
 def runs(texts: list, cfg: Spans):
-    """(span hash, first word, word after it, text; words count from the text's own first)."""
+    """(span hash, hash of the shortest span at its start, first word, word after it, text; words count from the text's own first)."""
     import numpy as np
 
     value, mark, ends_line, owner = words_of(texts)
     starts = sentence_starts(value, mark, ends_line, owner, cfg)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return *[np.zeros(0, np.uint64)] * 2, *[np.zeros(0, np.int64)] * 3
     ends = np.r_[starts[1:], len(value)]
     i = np.arange(len(starts))
     # the last sentence: enough of them, and enough words
@@ -93,7 +127,19 @@ def runs(texts: list, cfg: Spans):
     ok = j < len(starts)
     i, j = i[ok], j[ok]
     same = owner[starts[i]] == owner[starts[j]]
-    a, b = starts[i[same]], ends[j[same]]
+    i, j = i[same], j[same]
+    n, lead = len(i), np.arange(len(i))
+    if cfg.tails:
+        # the shortest run before each end, where it is not the shortest one at its start
+        last = np.arange(len(starts))
+        begin = np.minimum(last - cfg.sentences + 1, np.searchsorted(starts, ends - cfg.min_words, side="right") - 1)
+        number = np.full(len(starts), -1)
+        number[i] = lead
+        short = (begin >= 0) & (owner[starts[begin]] == owner[starts])
+        begin, last = begin[short], last[short]
+        more = j[number[begin]] < last
+        i, j, lead = np.r_[i, begin[more]], np.r_[j, last[more]], np.r_[lead, number[begin[more]]]
+    a, b = starts[i], ends[j]
     # polynomial prefix sums; the factor's inverse takes the position out
     factor = np.uint64(0x100000001B3)
     inverse = np.uint64(pow(int(factor), -1, 1 << 64))
@@ -103,31 +149,43 @@ def runs(texts: list, cfg: Spans):
     key = mix((prefix[b] - prefix[a]) * back[a] + (b - a).astype(np.uint64) * np.uint64(GOLDEN))
     text = owner[a]
     zero = np.searchsorted(owner, np.arange(len(texts)), side="left")
-    return key, a - zero[text], b - zero[text], text
+    return key, key[:n][lead], a - zero[text], b - zero[text], text
 
 
 def spans(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
-    """(span, _id, _hash, a, b): one row per span, a document's words [a, b)."""
+    """(span, lead, _id, _hash, a, b): one row per span, a document's words [a, b); lead is the shortest span at a."""
     import numpy as np
 
     def apply(ids, hashes, texts):
-        key, a, b, text = runs(texts, cfg)
+        key, lead, a, b, text = runs(texts, cfg)
         at = text.tolist()
-        return {"span": key.view(np.int64), "_id": [ids[k] for k in at], "_hash": [hashes[k] for k in at],
+        return {"span": key.view(np.int64), "lead": lead.view(np.int64), "_id": [ids[k] for k in at], "_hash": [hashes[k] for k in at],
                 "a": a.astype(np.int32), "b": b.astype(np.int32)}
 
     rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").cast("string").alias("text"))
-    return map_texts(rows, apply, "span bigint, _id bigint, _hash bigint, a int, b int", "_id", "_hash", "text")
+    return map_texts(rows, apply, "span bigint, lead bigint, _id bigint, _hash bigint, a int, b int", "_id", "_hash", "text")
 
 
 def repeated_ranges(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
     """(_id, _hash, ranges): word ranges covered by spans that are not the first of their hash."""
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "a")
     all_spans = spans(docs, cfg)
-    # two different places at least: the smallest and the largest differ
-    first = all_spans.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = cut(first.where(F.col("first") != F.col("last")).select(F.col("span").alias("_s"), "first"), "span-firsts")
-    other = all_spans.join(first, F.col("span") == F.col("_s")).where(place != F.col("first"))
+
+    def firsts(rows: DataFrame) -> DataFrame:
+        # two different places at least: the smallest and the largest differ
+        first = rows.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        return first.where(F.col("first") != F.col("last")).select(F.col("span").alias("_s"), "first")
+
+    first = cut(firsts(all_spans.where(F.col("span") == F.col("lead"))), "span-firsts")
+    met = all_spans.join(first, F.col("lead") == F.col("_s"))
+    if cfg.tails:
+        met = cut(met.select("span", "_id", "_hash", "a", "b", (F.col("span") != F.col("lead")).alias("tail"),
+                             (place != F.col("first")).alias("again")), "span-met")
+        tails = met.where("tail").drop("again")
+        more = tails.join(firsts(tails), F.col("span") == F.col("_s")).where(place != F.col("first"))
+        other = met.where("NOT tail AND again").select("_id", "_hash", "a", "b").unionByName(more.select("_id", "_hash", "a", "b"))
+    else:
+        other = met.where(place != F.col("first"))
     return other.groupBy("_id", "_hash").agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
 
 

@@ -116,3 +116,45 @@ def test_removed_ranges_rebuild_the_text(spark):
             keep.append(texts[r.doc_id][at:a])
             at = b
         assert "".join(keep) + texts[r.doc_id][at:] == r.text
+
+
+def whole_brute(rows, cfg=S.WHOLE):
+    """doc_id -> (sentences, removed words): every run of consecutive sentences is a span, cut or not."""
+    found, per = {}, {}
+    for d, t in rows:
+        value, mark, ends_line, owner = S.words_of([t])
+        starts = S.sentence_starts(value, mark, ends_line, owner, cfg).tolist() + [len(value)]
+        words, per[d] = t.lower().split(), (len(starts) - 1, set())
+        for i in range(len(starts) - 1):
+            for j in range(i + cfg.sentences, len(starts)):
+                a, b = starts[i], starts[j]
+                if b - a >= cfg.min_words and found.setdefault(tuple(words[a:b]), (d, a)) != (d, a):
+                    per[d][1].update(range(a, b))
+    return {d: (n, len(gone)) for d, (n, gone) in per.items()}
+
+
+def test_whole_rules_remove_every_repeated_run(make):
+    rng = random.Random(5)
+    shared = [prose(rng, n, mark) + "." for n in (25, 50, 70) for mark in (0.0, 0.1, 0.3)]
+    rows = [(i, " ".join(rng.choice([prose(rng, 15, 0.1), rng.choice(shared)]) for _ in range(6))) for i in range(40)]
+    got = {r.doc_id: (r.n_sentences, r.removed_words) for r in S.dedup(make(rows), S.WHOLE).collect()}
+    assert got == whole_brute(rows)
+
+
+def test_whole_rules_reach_the_tail_of_an_exact_copy(make):
+    rng = random.Random(6)
+    text = " ".join(prose(rng, n, 0.0) + "." for n in (10, 10, 12, 5, 4, 3, 2))
+    got = {r.doc_id: r.text for r in S.dedup(make([(1, text), (2, text + "\n" + prose(rng, 9, 0.0))]), S.WHOLE).collect()}
+    assert got[1] == text and len(got[2].split()) == 9
+
+
+def test_whole_rules_find_unmarked_passages_of_49_words():
+    """Cuts come every ``window`` words, whatever the words hash to and whatever stands beside them."""
+    rng = random.Random(7)
+    for n in range(300):
+        passage = prose(rng, 49, 0.0)
+        a, b = (f"{prose(rng, 30, 0.0)} {passage} {prose(rng, 30, 0.0)}" for _ in range(2))
+        key, _, _, _, text = S.runs([a, b], S.WHOLE)
+        assert set(key[text == 0].tolist()) & set(key[text == 1].tolist()), n
+    same = [w for w in ("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)) if not word_cut(w, Spans())][:60]
+    assert len(S.runs([" ".join(same)], S.WHOLE)[0]) > 0
