@@ -2,7 +2,9 @@
 
 Base entities (email, ip, card, phone) are found by pattern and checks and are
 always reported.  They seed a graph between lexical patterns (the two words
-before an entity) and instances (identifier-like tokens).  Spark scores the
+before an entity, an earlier token counting as a word) and instances
+(identifier-like tokens; number chunks standing together are one, unless they
+hold a base entity or too many digits).  Spark scores the
 graph in ``iterations`` rounds: a pattern's confidence for a kind is the score
 mass of its instances known to be of that kind over all its distinct
 instances; an unknown instance's score is the noisy-or of the confident
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stride.llm.common import cut, no_doc_text
-from stride.llm.spans import SPANS, joined, labelled, regex_spans
+from stride.llm.spans import SPANS, joined, labelled, let, regex_spans
 
 #: The base patterns, written so that a run of the leading class is scanned once (same matches, linear time).
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -38,7 +40,15 @@ IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
 #: An identifier-like token: a blank-separated chunk with a digit or an at sign.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Number chunks of at most nine digits that stand together (blanks, a dash or a slash between) are one token.
+GROUP = r"[0-9](?:[().-]*+[0-9]){0,8}+\)?+"
+NUMBERS = (rf"(?<!\S)[^\p{{L}}\p{{N}}\s@]*+{GROUP}"
+           rf"(?:\x20{{1,2}}+(?:[-/]\x20)?+\(?+{GROUP}(?=[^\p{{L}}\p{{N}}\s@]*+(?:\s|\z)))++\S*+")
+MAX_DIGITS = 19
 LEFT_CHARS = 64
+#: Stands for an earlier token among the words before a token; no other word has a digit.
+EARLIER = "0"
+ADDRESS = "[A-Za-z0-9]@[A-Za-z0-9]"
 
 KINDS = {"email": 0, "ip": 1, "card": 2, "phone": 3}
 CONTEXT_KINDS = {f"ctx_{k}": 4 + i for k, i in KINDS.items()}
@@ -50,7 +60,7 @@ class Bootstrap:
     min_support: float = 3.0     # score mass of known instances a pattern needs
     min_confidence: float = 0.6
     min_score: float = 0.6
-    min_digits: int = 4          # digits of an unknown instance
+    min_digits: int = 4          # digits of an unknown instance, unless it is an address of kind email
 
 
 def _digits(m: Column) -> Column:
@@ -87,9 +97,35 @@ def _occurrences(docs: DataFrame) -> DataFrame:
     """doc_id, _hash, base spans per kind, tokens (start, end, match, left) per row; the text is not carried on."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), no_doc_text(F.col("text")).alias("text"))
     found = rows.select("doc_id", "_hash", *[v.alias(k) for k, v in base_spans(F.col("text")).items()],
-                        regex_spans(F.col("text"), TOKEN, LEFT_CHARS).alias("tokens"))
+                        regex_spans(F.col("text"), f"{NUMBERS}|{TOKEN}", LEFT_CHARS).alias("tokens"))
     seeds = F.concat(*[_seeds(k) for k in KINDS])
-    return found.select("doc_id", "_hash", *[labelled(F.col(k), k, KINDS[k]).alias(k) for k in KINDS], seeds.alias("seeds"), "tokens")
+    found = found.select("doc_id", "_hash", *[labelled(F.col(k), k, KINDS[k]).alias(k) for k in KINDS], seeds.alias("seeds"), "tokens")
+    return found.withColumn("tokens", let(F.flatten(F.transform("tokens", _single)), _in_context))
+
+
+def _single(t: Column) -> Column:
+    """The token, or its chunks if several of them hold a base entity or more digits than an identifier has."""
+    chunks = F.transform(regex_spans(t["match"], TOKEN, LEFT_CHARS), lambda s, i: F.struct(
+        (t["start"] + s["start"]).alias("start"), (t["start"] + s["end"]).alias("end"), s["match"].alias("match"),
+        F.when(i == 0, t["left"]).otherwise(s["left"]).alias("left")))
+    held = F.exists("seeds", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    apart = t["match"].rlike(r"\s") & (held | (F.length(_digits(t["match"])) > MAX_DIGITS))
+    return F.when(apart, chunks).otherwise(F.array(t))
+
+
+def _in_context(tokens: Column) -> Column:
+    """Tokens with the text before them; two tokens back are enough for two words."""
+    def one(t, i):
+        before = F.concat(F.when(i > 1, F.lit(EARLIER)).otherwise(F.lit("")), F.get(tokens, i - 1)["left"], F.lit(EARLIER))
+        left = F.when((i > 0) & (F.length(t["left"]) < LEFT_CHARS), F.concat(before, t["left"])).otherwise(t["left"])
+        return F.struct(t["start"].alias("start"), t["end"].alias("end"), t["match"].alias("match"), left.alias("left"))
+
+    return F.transform(tokens, one)
+
+
+def _may_be(instance: Column, kind: Column, boot: Bootstrap) -> Column:
+    """Unknown instances of every kind but email need digits."""
+    return ((kind == "email") & instance.rlike(ADDRESS)) | (F.length(_digits(instance)) >= boot.min_digits)
 
 
 def _pattern(left: Column) -> Column:
@@ -119,7 +155,7 @@ def learn(tokens: DataFrame, boot: Bootstrap) -> tuple[DataFrame, DataFrame]:
         patterns = cut(good.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("best")).select(
             "pattern", F.col("best.kind").alias("kind"), F.col("best.confidence").alias("confidence")), "pii-patterns")
         odds = F.sum(F.log(1.0 - 0.95 * F.least(F.col("confidence"), F.lit(1.0))))
-        found = unknown.join(patterns, "pattern").groupBy("instance", "kind").agg((1.0 - F.exp(odds)).alias("score"))
+        found = unknown.join(patterns, "pattern").where(_may_be(F.col("instance"), F.col("kind"), boot)).groupBy("instance", "kind").agg((1.0 - F.exp(odds)).alias("score"))
         found = cut(found.where(F.col("score") >= boot.min_score), "pii-instances")
         known = seeds.unionByName(found.join(seeds.select("instance").distinct(), "instance", "left_anti"))
     return patterns, known
@@ -141,7 +177,7 @@ def find(docs: DataFrame, boot: Bootstrap = Bootstrap()) -> DataFrame:
         "_id", "_hash", (F.col("t.start") + lead).alias("start"), (F.col("t.start") + lead + F.length(core)).alias("end"),
         F.when(opens, first["match"]).otherwise(core).alias("instance"), _pattern(F.col("t.left")).alias("pattern"),
         F.size(over).alias("_over"), F.when(opens, first["kind"]).alias("kind"))
-    useful = (F.col("kind").isNotNull()) | ((F.col("_over") == 0) & (F.length(_digits(F.col("instance"))) >= boot.min_digits))
+    useful = (F.col("kind").isNotNull()) | ((F.col("_over") == 0) & _may_be(F.col("instance"), F.lit("email"), boot))
     tokens = cut(tokens.where(useful & (F.col("pattern") != "")), "pii-tokens")
     patterns, known = learn(tokens.dropDuplicates(["_id", "_hash", "start"]), boot)
     hit = (

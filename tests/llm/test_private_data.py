@@ -82,6 +82,32 @@ def test_rare_or_mixed_patterns_find_nothing(make):
     assert not any("ctx" in r.spans for r in P.digest(P.find(make(rows))).collect())
 
 
+def test_numbers_with_blanks_addresses_and_earlier_numbers(make):
+    seeds = [(i, f"Please call office +1 (555) 010-{1000 + i} or write to anna{i}@example.com, phone 2: +1 (555) 030-{1000 + i}.") for i in range(12)]
+    said = {
+        20: ("You may call office (555) 010-7777 today.", "ctx_phone", "(555) 010-7777"),
+        21: ("You may call office 555 010 - 7777.", "ctx_phone", "555 010 - 7777"),
+        22: ("Or write to jane@corp, they said.", "ctx_email", "jane@corp"),
+        23: ("Room 7, phone 2: 555-030-7777.", "ctx_phone", "555-030-7777"),
+        24: ("You may call office jane@corp now.", None, None),
+        25: ("You may call office 12 of 30 days.", None, None),
+    }
+    got = {r.doc_id: r.spans for r in P.digest(P.find(make(seeds + [(i, t) for i, (t, _, _) in said.items()]))).collect()}
+    for i, (text, kind, part) in said.items():
+        assert got[i] == (f"{kind}:{text.index(part)}:{text.index(part) + len(part)}" if kind else ""), i
+    assert all("ctx" not in got[i] and got[i].count("phone") == 2 for i in range(12))
+
+
+def test_many_number_chunks_stay_apart(make):
+    """Chunks holding a base entity, or more digits than an identifier has, are tokens of their own."""
+    docs = make([(1, "a 1.2.3.4 55 b"), (2, "a 555-010-7777 555-020-7777 555-030-7777 b"), (3, "a 12345 12345 12345 12345 b"), (4, "a 12345 12345. b 6")])
+    got = {r.doc_id: [(t.match, t.left) for t in r.tokens] for r in P._occurrences(docs).collect()}
+    assert got[1] == [("1.2.3.4", "a "), ("55", "a 0 ")]
+    assert [m for m, _ in got[2]] == ["555-010-7777", "555-020-7777", "555-030-7777"]
+    assert got[3] == [("12345", "a "), ("12345", "a 0 "), ("12345", "0 0 "), ("12345", "0 0 ")]
+    assert got[4] == [("12345 12345.", "a "), ("6", "a 0 b ")]
+
+
 def test_empty_and_plan(make):
     assert P.find(make([])).count() == 0
     plan = P.digest(P.find(make([(1, "a@b.co")])))._jdf.queryExecution().toString()
