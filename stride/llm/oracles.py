@@ -126,7 +126,7 @@ e AS (SELECT event_id, event_type IN ('purchase', 'signup') AS gone, epoch_us(ts
              CASE event_id % 4 WHEN 0 THEN 'host:' || h
                WHEN 1 THEN 'domain:' || regexp_replace(h, '^[^.]*\.([^.]*\..*)$', '\1')
                WHEN 2 THEN 'prefix:' || h || regexp_extract(p, '^(/[^/]*)', 1) ELSE 'url:' || h || p END AS key
-      FROM events JOIN a ON event_id = page_id WHERE h <> ''),
+      FROM events JOIN a ON event_id % (SELECT count(*) FROM pages) = page_id WHERE h <> ''),
 f AS (SELECT key, ts, gone, lead(ts) OVER (PARTITION BY key ORDER BY ts) AS until
       FROM (SELECT *, row_number() OVER (PARTITION BY key, ts ORDER BY event_id DESC) AS nth FROM e) WHERE nth = 1),
 k AS (SELECT rid, fetch_ts * 1000000 AS asked, unnest(list_distinct(list_concat(['host:' || h, 'url:' || h || p],

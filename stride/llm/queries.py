@@ -17,12 +17,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated list entries made of the tables: event n adds or removes a key of the page with the same number."""
+    """Dated list entries made of the tables: event n adds or removes a key of page n modulo the number of pages."""
     events, pages = table(spark, sf_dir, "events"), table(spark, sf_dir, "pages")
     host, path = url_filters.host_of(F.col("url")), url_filters.path_of(F.col("url"))
     # the events' wall clock read as UTC, whatever the session's zone
     micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
-    rows = events.join(pages, F.col("event_id") == F.col("page_id")).select(
+    n_pages = pages.agg(F.count(F.lit(1)).alias("n_pages"))
+    numbered = events.crossJoin(F.broadcast(n_pages)).withColumn("_page", F.expr("pmod(event_id, n_pages)"))  # one row of one number
+    rows = numbered.join(pages, F.col("_page") == F.col("page_id")).select(
         "event_id", F.timestamp_micros(micros).alias("ts"), "event_type", host.alias("h"), path.alias("p"))
     key = (
         F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("host:"), "h"))

@@ -135,7 +135,7 @@ def runs(texts: list, cfg: Spans):
         begin = np.minimum(last - cfg.sentences + 1, np.searchsorted(starts, ends - cfg.min_words, side="right") - 1)
         number = np.full(len(starts), -1)
         number[i] = lead
-        short = (begin >= 0) & (owner[starts[begin]] == owner[starts])
+        short = (begin >= 0) & (owner[starts[np.maximum(begin, 0)]] == owner[starts])
         begin, last = begin[short], last[short]
         more = j[number[begin]] < last
         i, j, lead = np.r_[i, begin[more]], np.r_[j, last[more]], np.r_[lead, number[begin[more]]]

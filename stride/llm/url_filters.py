@@ -25,7 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_SECONDS = 6 * 3600
+#: Entries and captures of one key are dealt over tasks by this much time; a summary row stands for each key and non-empty bucket.
+BUCKET_SECONDS = 900
 
 
 def _address(url: Column) -> tuple[Column, Column]:

@@ -54,7 +54,8 @@ def test_equals_plain_version(make):
 
 
 def test_clean_text_loses_failing_lines(make):
-    docs = make([(1, "Home | About | Shop\n" + "Plain prose goes here. " * 20)])
+    prose = "Plain prose " + " ".join(f"word{n} of{n} its{n} own{n}." for n in range(20))
+    docs = make([(1, "Home | About | Shop\n" + prose)])
     row = Q.clean_lines(docs).first()
     assert row.kept and "About" not in row.clean_text and row.clean_text.startswith("Plain prose")
 

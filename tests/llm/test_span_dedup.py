@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from stride.llm import span_dedup as S
 from stride.llm.span_dedup import Spans
 from tests.conftest import SF_SMALL
@@ -90,12 +92,14 @@ def test_planted_passages_go_and_the_rest_stays(make):
         assert left[: len(a.split()) - 12] == a.split()[: len(a.split()) - 12] and len(inside & set(left)) < len(inside)
 
 
-def test_cases(make):
+@pytest.mark.parametrize("cfg", [Spans(), S.WHOLE])
+def test_cases(make, cfg):
     rng = random.Random(4)
     text = prose(rng, 120)
-    rows = [(1, None), (2, ""), (3, " \n "), (4, text), (4, text), (None, text), (5, "x" * 100_000), (6, "Une phrase. Deux.")]
-    docs = make([(i, t, "c", 1) for i, t in rows], "doc_id bigint, text string, span string, a int")
-    got = S.dedup(docs).collect()
+    rows = [(1, None), (2, ""), (3, " \n "), (4, text), (4, text), (None, text), (5, "x" * 100_000), (6, "Une phrase. Deux."),
+            (7, "a b c d e f"), (8, "w " * 50_000)]
+    docs = make([(i, t, "c", 1) for i, t in rows], "doc_id bigint, text string, span string, a int").repartition(len(rows))
+    got = S.dedup(docs, cfg).collect()
     assert len(got) == len(rows)
     by = {}
     for r in got:
@@ -103,7 +107,15 @@ def test_cases(make):
     assert by[1][0].text is None and by[2][0].text == "" and by[3][0].text == " \n "
     assert all(r.n_removed == 0 and r.text == text for r in by[4])  # repeated rows are one document
     assert by[None][0].n_removed > 0
-    assert S.dedup(make([])).count() == 0
+    assert S.dedup(make([]), cfg).count() == 0
+
+
+@pytest.mark.parametrize("text", ["a b c d e f", "a", "a. b.", "a b c. d e f. g h i."])
+def test_a_batch_of_few_sentences(make, text):
+    """Each row alone in its task, fewer sentences than a span needs."""
+    assert len(S.runs([text], S.WHOLE)[0]) == 0
+    rows = S.dedup(make([(1, text), (2, text)]).repartition(2, "doc_id"), S.WHOLE).collect()
+    assert [r.text for r in rows] == [text, text]
 
 
 def test_removed_ranges_rebuild_the_text(spark):

@@ -64,3 +64,22 @@ def test_empty_tables(make):
     assert not U.filter_captures(captures, entries.limit(0)).first().blocked
     assert U.filter_captures(captures, entries).first().blocked
     assert U.filter_captures(captures.limit(0), entries).count() == 0
+
+
+def test_long_history_of_one_key_in_one_bucket(make):
+    """10,000 dated entries of a key within one bucket, added and removed in turn; captures in between and hours later."""
+    start = T0 + dt.timedelta(seconds=5)
+    entries = [(n, "host:a.example.com", "remove" if n % 2 else "add", start + dt.timedelta(milliseconds=50 * n)) for n in range(10_000)]
+    captures = [(n, "https://a.example.com/x", start + dt.timedelta(milliseconds=50 * n + 20)) for n in range(0, 10_000, 7)]
+    captures += [(20_000, "https://a.example.com/x", at(9)), (20_001, "https://a.example.com/x", T0)]
+    got = {r.page_id: r.blocked for r in U.filter_captures(make(captures, "page_id bigint, url string, fetch_ts timestamp"),
+                                                         make(entries, "entry_id bigint, key string, action string, ts timestamp")).collect()}
+    assert got == {n: n < 10_000 and n % 2 == 0 for n, _, _ in captures}
+
+
+def test_address_of_many_segments(make):
+    path = "/s" * 2000
+    captures = make([(1, "https://a.b" + path, at(1))], "page_id bigint, url string, fetch_ts timestamp")
+    entries = make([(1, "prefix:a.b" + "/s" * 1500, "add", at(0)), (2, "url:a.b" + path + "/s", "add", at(0))], "entry_id bigint, key string, action string, ts timestamp")
+    row = U.filter_captures(captures, entries).first()
+    assert row.n_active == 1 and row.entries == "prefix:a.b" + "/s" * 1500
