@@ -59,7 +59,8 @@ def map_texts(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *col
             if not batch.num_rows:
                 continue
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            lengths = pc.fill_null(pc.utf8_length(columns[-1]), 0).to_pylist()
+            length = pc.binary_length if pa.types.is_binary(columns[-1].type) or pa.types.is_large_binary(columns[-1].type) else pc.utf8_length
+            lengths = pc.fill_null(length(columns[-1]), 0).to_pylist()
             for a, b in pieces(lengths):
                 out = fn(*[c.slice(a, b - a).to_pylist() for c in columns])
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)

@@ -68,6 +68,41 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hits USING (rid) LEFT JOIN its USING (rid)"""
 
 
+def _crc32(text: str, table: str = "t") -> str:
+    """crc32 of an ASCII text; needs a row of CRC_TABLE's list."""
+    codes = f"[ascii(_x) FOR _x IN string_split({text}, '')]"
+    step = f"xor(_c >> 8, {table}[(xor(_c, _b) & 255) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda _c, _b: {step}), 4294967295::BIGINT)"
+
+
+CRC_TABLE = """(SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda _c, _z: CASE WHEN _c & 1 = 1 THEN xor(_c >> 1, 3988292384::BIGINT) ELSE _c >> 1 END) FOR i IN range(0, 256)] AS t)"""
+
+
+def periodic_runs() -> str:
+    """All pairs of equal stretches of 16 words in a document; consecutive pairs of one lag are a run's line."""
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+             {_crc32("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h FROM documents, {CRC_TABLE}),
+g AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+r AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 AND doc_id IS NOT NULL
+               THEN [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END] FOR i IN range(0, n)] ELSE w END AS w
+      FROM g),
+x AS (SELECT rid, n, i, md5(array_to_string(w[i - 14:i + 1], ' ')) AS s FROM r, unnest(range(15, n)) AS u(i)),
+m AS (SELECT a.rid, a.i, a.i - b.i AS q FROM x a JOIN x b ON a.rid = b.rid AND a.s = b.s AND b.i < a.i AND 3 * (a.i - b.i) <= a.n),
+l AS (SELECT rid, q, min(i) - 15 - q AS start, max(i) + 1 AS stop
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM m) GROUP BY rid, q, k),
+runs AS (SELECT rid, start, stop - start AS length, min(q) AS q FROM l WHERE stop - start >= greatest(24, 3 * q) GROUP BY ALL),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY rid ORDER BY CAST(length AS DOUBLE) / q DESC, start, q) = 1),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || q || chr(10), '' ORDER BY start, q) AS t FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, j FROM runs, unnest(range(start + q, start + length)) AS u(j)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY j) AS t
+         FROM (SELECT rid, j, w[j + 1] AS word FROM r, unnest(range(0, n)) AS u(j)) ANTI JOIN gone USING (rid, j) GROUP BY rid)
+SELECT doc_id, r.n AS n_words, coalesce(n_runs, 0) AS n_runs, best.start, best.length, best.q AS period,
+       1000 * best.length // best.q AS exponent_milli, sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM r LEFT JOIN best USING (rid) LEFT JOIN listed USING (rid) LEFT JOIN kept USING (rid)"""
+
+
 def _positions(name: str, pattern: str, keep: str = "true") -> str:
     """CTEs: matches of a pattern in d (rid, text) with start and end."""
     p = pattern.replace("'", "''")

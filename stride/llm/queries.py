@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm import bagminhash, decontamination, language_id, oracles, packing, private_data, quality_rules, secret_scan, span_dedup, toxicity, url_filters
+from stride.llm import bagminhash, decontamination, language_id, oracles, packing, periodic_runs, private_data, quality_rules, secret_scan, simhash, span_dedup, toxicity, url_filters
 from stride.llm.common import held_out, table
 
 
@@ -88,6 +88,27 @@ def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.dedup(table(spark, sf_dir, "documents"), span_dedup.WHOLE)
 
 
+def op12_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def reread(doc_id: int | None, n: int):
+    """The order in which op13_periodic_runs reads a document's n words: every tenth document repeats a part of itself to its end."""
+    import zlib
+
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or n == 0 or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*range(a), *(a + (i - a) % p for i in range(a, n))]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find(table(spark, sf_dir, "documents"), order=reread))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -99,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
     "op10_span_dedup": op10_span_dedup,
+    "op12_simhash_neardup": op12_simhash_neardup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -106,6 +129,7 @@ ORACLES: dict[str, str] = {
     "op2_url_filters": oracles.url_filters(),
     "op8_secret_scan": oracles.secret_scan(),
     "op9_decontamination": oracles.decontamination(),
+    "op13_periodic_runs": oracles.periodic_runs(),
 }
 
 
