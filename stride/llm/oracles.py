@@ -79,6 +79,28 @@ CRC_TABLE = """(SELECT [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
     lambda _c, _z: CASE WHEN _c & 1 = 1 THEN xor(_c >> 1, 3988292384::BIGINT) ELSE _c >> 1 END) FOR i IN range(0, 256)] AS t)"""
 
 
+def conversation_trie() -> str:
+    """A prefix is the text of its turns' hashes; a node's subtree is every node whose prefix begins with its own."""
+    return rf"""
+WITH t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS size,
+             md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS m FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(m ORDER BY turn NULLS FIRST, m) AS ms, list(size ORDER BY turn NULLS FIRST, m) AS ss FROM t GROUP BY conv_id),
+h AS (SELECT o.*, CAST({_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h FROM o, {CRC_TABLE}),
+b AS (SELECT h.conv_id, list_concat(coalesce(p.ms[1:h.h], []), h.ms[h.h + 1:]) AS ms, list_concat(coalesce(p.ss[1:h.h], []), h.ss[h.h + 1:]) AS ss
+      FROM h LEFT JOIN o p ON p.conv_id = h.conv_id - h.conv_id % 100),
+x AS (SELECT conv_id, d, len(ms) AS n, coalesce(array_to_string(ms[1:d], ''), '') AS k, coalesce(ss[d], 0) AS size
+      FROM b, unnest(range(0, len(ms) + 1)) AS u(d)),
+n AS (SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+             coalesce(string_agg(CASE WHEN n = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends FROM x GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, left(k, 32 * (d - 1)) AS k, count(*) AS c FROM n WHERE d > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(c, 0) AS n_children FROM n LEFT JOIN kids USING (d, k)),
+sub AS (SELECT a.d, a.k, count(*) FILTER (f.n_children = 0) AS n_leaves, sum((f.n_convs - 1) * f.size) AS saved
+        FROM f, unnest(range(0, f.d + 1)) AS u(up) JOIN n a ON a.d = up AND a.k = left(f.k, 32 * up) GROUP BY ALL)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, sub.n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens,
+       sha256(f.ends) AS ends_sha256
+FROM f JOIN sub USING (d, k) LEFT JOIN n p ON p.d = f.d - 1 AND p.k = left(f.k, 32 * (f.d - 1))"""
+
+
 def periodic_runs() -> str:
     """All pairs of equal stretches of 16 words in a document; consecutive pairs of one lag are a run's line."""
     return rf"""

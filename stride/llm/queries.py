@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stride.llm import bagminhash, decontamination, language_id, oracles, packing, periodic_runs, private_data, quality_rules, secret_scan, simhash, span_dedup, toxicity, url_filters
-from stride.llm.common import held_out, table
+from stride.llm import bagminhash, conversation_trie, decontamination, language_id, oracles, packing, periodic_runs, private_data, quality_rules, secret_scan, simhash, span_dedup, toxicity, url_filters
+from stride.llm.common import cut, held_out, table
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +88,33 @@ def op10_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_dedup.dedup(table(spark, sf_dir, "documents"), span_dedup.WHOLE)
 
 
+#: Conversation c begins with up to BRANCH_TURNS - 1 turns of the conversation c - c % BRANCH_CONVERSATIONS.
+BRANCH_CONVERSATIONS = 100
+BRANCH_TURNS = 6
+
+
+def rebuilt(turns: DataFrame, own: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Numbered turns and conversation lengths after every conversation's first h turns are those of its hundred's first one."""
+    c = F.col("conv_id")
+    base = own.select(c.alias("_base"), F.col("n_turns").alias("_n"))
+    heads = own.select("conv_id", "n_turns", (c - c % BRANCH_CONVERSATIONS).alias("base"),
+                       (F.crc32(c.cast("string").cast("binary")) % BRANCH_TURNS).alias("h"))
+    plan = heads.join(base, F.col("base") == F.col("_base"), "left").select(
+        c.alias("_c"), "base", "h", F.least("h", F.coalesce("_n", F.lit(0))).cast("bigint").alias("taken"),
+        F.greatest(F.col("n_turns") - F.col("h"), F.lit(0)).cast("bigint").alias("rest"))
+    later = turns.join(plan, c == F.col("_c")).where("place > h").select(
+        "conv_id", (F.col("taken") + F.col("place") - F.col("h")).alias("place"), "content", "size")
+    first = turns.where((c % BRANCH_CONVERSATIONS == 0) & (F.col("place") < BRANCH_TURNS))
+    shared = first.join(plan, c == F.col("base")).where("place <= taken").select(F.col("_c").alias("conv_id"), "place", "content", "size")
+    return later.unionByName(shared), plan.select(F.col("_c").alias("conv_id"), (F.col("taken") + F.col("rest")).alias("n_turns"))
+
+
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut(conversation_trie.numbered(table(spark, sf_dir, "conversations")), "trie-own-turns")
+    turns, members = rebuilt(turns, conversation_trie.lengths(turns))
+    return conversation_trie.digest(conversation_trie.build(cut(turns, "trie-turns"), cut(members, "trie-members")))
+
+
 def op12_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
@@ -120,6 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_decontamination": op9_decontamination,
     "op10_span_dedup": op10_span_dedup,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_simhash_neardup": op12_simhash_neardup,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -129,6 +157,7 @@ ORACLES: dict[str, str] = {
     "op2_url_filters": oracles.url_filters(),
     "op8_secret_scan": oracles.secret_scan(),
     "op9_decontamination": oracles.decontamination(),
+    "op11_conversation_trie": oracles.conversation_trie(),
     "op13_periodic_runs": oracles.periodic_runs(),
 }
 
