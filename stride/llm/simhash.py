@@ -13,15 +13,16 @@ bit's variant but not the bit; candidates therefore come from equality joins on
 the key, each at most once per segment, and are verified by the bits of both
 segments.
 
-A key shared by more than ``crowd`` fingerprints is not paired up.  Its
-fingerprints are looked up exactly instead, by the deletion variants of the
-whole: the 64 fingerprints one bit away, and themselves.  All that share such a
-variant are within two bits of each other and all within two bits share one, so
-each is linked to the smallest of every variant it meets.  That costs 65 rows a
+A segment value of more than ``crowd`` fingerprints is not indexed.  All
+fingerprints with such a value, or with one that differs from it in one bit, are
+looked up exactly instead, by the deletion variants of the whole: the 64
+fingerprints one bit away, and themselves.  All that share such a variant are
+within two bits of each other and all within two bits share one, so each is
+linked to the smallest of every variant it meets.  That costs 65 rows a
 fingerprint whatever the crowd's size, loses no link and forms no pairs.
 
-Key counts are pre-aggregated before the shuffle; only keys met twice are
-joined back (a key with many rows is split by the skew join).
+Values are counted by a pre-aggregated sum (two rows a fingerprint), so a key of
+the index has at most ``crowd`` rows on either side of its join.
 
 Cases: null and wordless texts have fingerprint zero and are linked like any
 other; texts of fewer words than a shingle are one shingle; repeated rows give
@@ -50,7 +51,7 @@ SLICE = 1 << 18
 class SimHashRules:
     shingle: int = 3
     seed: int = 42
-    crowd: int = 64  # fingerprints of one key that are still compared in pairs
+    crowd: int = 64  # fingerprints of one segment value that are still compared in pairs
 
 
 def hashes_of(text: bytes | None, rules: SimHashRules) -> list[int]:
@@ -105,19 +106,37 @@ def _difference(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def variants(nodes: DataFrame) -> DataFrame:
-    """(bits, segment, left_out, key, side): each segment whole (left_out -1), and with each of its bits left out; side is that bit."""
+def segments(nodes: DataFrame) -> DataFrame:
+    """(bits, segment, value): the two halves of each fingerprint."""
     low = F.lit((1 << HALF) - 1).cast("bigint")
     halves = F.explode(F.array(*[
         F.struct(F.lit(k).alias("segment"), F.shiftrightunsigned("bits", k * HALF).bitwiseAND(low).alias("value")) for k in (0, 1)]))
+    return nodes.select("bits", halves.alias("h")).select("bits", "h.segment", "h.value")
+
+
+def variants(rows: DataFrame) -> DataFrame:
+    """(bits, left_out, key, side) of segments: each whole (left_out -1), and with each of its bits left out; side is that bit."""
     cuts = F.explode(F.sequence(F.lit(-1), F.lit(HALF - 1)))
-    rows = nodes.select("bits", halves.alias("h")).select("bits", "h.segment", "h.value", cuts.alias("left_out"))
+    rows = rows.select("bits", "segment", "value", cuts.alias("left_out"))
     hole = F.when(F.col("left_out") < 0, F.lit(0).cast("bigint")).otherwise(F.expr("shiftleft(1L, left_out)"))
+    inside = F.col("value").bitwiseAND(hole)
     return rows.select(
-        "bits", "segment", "left_out",
+        "bits", "left_out",
         # value without the bit; segment and wildcard above it
-        (F.col("value") - F.col("value").bitwiseAND(hole) + F.expr("shiftleft(CAST(segment * 64 + left_out + 1 AS BIGINT), 32)")).alias("key"),
-        F.when(F.col("left_out") < 0, F.lit(None).cast("boolean")).otherwise(F.col("value").bitwiseAND(hole) != 0).alias("side"))
+        (F.col("value") - inside + F.expr("shiftleft(CAST(segment * 64 + left_out + 1 AS BIGINT), 32)")).alias("key"),
+        F.when(F.col("left_out") >= 0, inside != 0).alias("side"))
+
+
+def _marked(rows: DataFrame, crowd: int) -> DataFrame:
+    """Segments with ``crowded``: true where the value is, false where it is one bit from such a value, else null."""
+    counts = rows.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+    flips = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(
+        F.sequence(F.lit(0), F.lit(HALF - 1)), lambda k: F.call_function("shiftleft", F.lit(1).cast("bigint"), k)))
+    near = counts.select("segment", "value", F.explode(flips).alias("_flip")).groupBy(
+        F.col("segment").alias("_segment"), F.col("value").bitwiseXOR(F.col("_flip")).alias("_value")).agg(
+        F.max(F.col("_flip") == 0).alias("crowded"))
+    return rows.join(near, (F.col("segment") == F.col("_segment")) & (F.col("value") == F.col("_value")), "left").select(
+        "bits", "segment", "value", "crowded")
 
 
 def _crowded_links(bits: DataFrame) -> DataFrame:
@@ -132,20 +151,15 @@ def _crowded_links(bits: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame, rules: SimHashRules = SimHashRules()) -> DataFrame:
     """(a, b) links of distinct fingerprints (column bits) that reach whatever pairs within two bits reach, each within two bits."""
-    rows = variants(nodes)
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("bits").alias("lo"), F.max("bits").alias("hi")).where("n > 1")
-    counts = cut(counts, "simhash-keys")
-    # a key of two is its own pair
-    two = counts.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
-    more = counts.where("n > 2").select(F.col("key").alias("_key"), "n")
-    members = cut(rows.join(more, F.col("key") == F.col("_key")).select("bits", "left_out", "key", "side", "n"), "simhash-members")
-    few = members.where(F.col("n") <= rules.crowd)
+    marked = cut(_marked(segments(nodes), rules.crowd), "simhash-segments")
+    index = variants(marked.where(F.col("crowded").isNull() | ~F.col("crowded")))
     # plain keys: either order, once; variants: the two sides of the bit
-    left = few.where("left_out < 0 OR NOT side").select("key", F.col("bits").alias("a"), "left_out")
-    right = few.where("left_out < 0 OR side").select(F.col("key").alias("_key"), F.col("bits").alias("b"))
-    pairs = left.join(right, (F.col("key") == F.col("_key")) & ((F.col("left_out") >= 0) | (F.col("a") < F.col("b")))).select("a", "b")
-    close = two.unionByName(pairs).where(_difference("a", "b") <= 2).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crowds = members.where(F.col("n") > rules.crowd).select("bits").distinct()
+    left = index.where("left_out < 0 OR NOT side").select("key", F.col("bits").alias("a"), "left_out")
+    right = index.where("left_out < 0 OR side").select(F.col("key").alias("_key"), F.col("bits").alias("b"))
+    # merge: what is joined is 33 times what is scanned, so no side is small for being read from few bytes
+    pairs = left.hint("merge").join(right, (F.col("key") == F.col("_key")) & ((F.col("left_out") >= 0) | (F.col("a") < F.col("b"))))
+    close = pairs.where(_difference("a", "b") <= 2).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crowds = marked.where(F.col("crowded").isNotNull()).select("bits").distinct()
     return close.unionByName(_crowded_links(crowds)).distinct()
 
 

@@ -104,7 +104,7 @@ def test_links_reach_what_all_pairs_reach(spark, crowd):
 
 def test_variants_meet_exactly_where_a_segment_is_near(spark):
     rows = spark.createDataFrame([(0,), (1,), (3,), (-1,), (1 << 40,)], "bits bigint")
-    got = S.variants(rows)
+    got = S.variants(S.segments(rows))
     assert got.count() == 5 * 66 and got.select("bits", "key").distinct().count() == 5 * 66
     met = got.groupBy("key").agg(F.sort_array(F.collect_list("bits")).alias("b")).where(F.size("b") > 1).collect()
     pairs = {tuple(r.b) for r in met}
