@@ -44,8 +44,12 @@ def pieces(lengths: list[int], most: int = PIECE_CHARS) -> Iterator[tuple[int, i
         yield a, len(lengths)
 
 
-def map_texts(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *cols: str) -> DataFrame:
-    """mapInArrow with bounded pieces: ``fn(columns)`` gets one list per column and returns a dict of output columns."""
+def map_texts(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *cols: str, most: int = PIECE_CHARS,
+              after: Callable[[], None] | None = None) -> DataFrame:
+    """mapInArrow with bounded pieces: ``fn(columns)`` gets one list per column and returns a dict of output columns.
+
+    ``after`` runs at the end of every task that came to its end.
+    """
     from pyspark.sql.types import StructType
 
     arrow = _arrow_schema(StructType.fromDDL(schema))
@@ -61,13 +65,31 @@ def map_texts(df: DataFrame, fn: Callable[[list, list], dict], schema: str, *col
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
             length = pc.binary_length if pa.types.is_binary(columns[-1].type) or pa.types.is_large_binary(columns[-1].type) else pc.utf8_length
             lengths = pc.fill_null(length(columns[-1]), 0).to_pylist()
-            for a, b in pieces(lengths):
+            for a, b in pieces(lengths, most):
                 out = fn(*[c.slice(a, b - a).to_pylist() for c in columns])
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)
+        if after:
+            after()
 
     return df.select(*names).mapInArrow(run, schema)
 
 
+def filter_texts(df: DataFrame, keep: Callable[[list], list], col: str, most: int = PIECE_CHARS) -> DataFrame:
+    """The rows, all columns as they are, where ``keep(texts)`` is true of a column's text; record batches pass through whole."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(col)).cast(pa.string())
+            kept = []
+            for a, b in pieces(pc.fill_null(pc.utf8_length(texts), 0).to_pylist(), most):
+                kept += keep(texts.slice(a, b - a).to_pylist())
+            yield batch.filter(pa.array(kept, type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow_schema(schema):
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -4,8 +4,8 @@ The kernel compares two words (with a mark before and after each) by their
 common subsequences of three characters that span at most ``max_span`` characters, each weighted by ``decay**span``:
 inserted or dropped characters lower it, they do not break it.  Words are runs
 of letters and digits; single symbols inside a word are dropped and single
-letters standing apart are joined, so ``i.d.i.o.t`` and ``i d i o t`` are read
-as the word.  A word's squared norm is the sum of its squared subsequence
+letters up to three blanks or symbols apart are joined, so ``i.d.i.o.t``,
+``i d i o t`` and ``i - d - i - o - t`` are read as the word.  A word's squared norm is the sum of its squared subsequence
 weights; similarities are clipped to [0, 1] and cut below ``floor``.
 
 Landmarks are the words of the training texts that separate the labels most.
@@ -33,10 +33,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stride.llm.common import cut, map_texts
+from stride.llm.common import cut, map_texts, pieces
 
 KNOWN_WORDS = 1_000_000  # words whose comparison a worker remembers (8 bytes each)
 KNOWN_SIMILAR = 4_000_000  # their similarities to landmarks (8 bytes each)
+PIECE_CHARS = 500_000  # characters of texts scored at a time
+SLICE_CHARS = 65_536  # characters of new words compared at a time (one word is never cut)
+JOINED_OVER = 3  # blanks and symbols at most between single letters that are read as one word
 
 
 @dataclass(frozen=True)
@@ -108,38 +111,37 @@ def split_words(texts: list, kinds):
     new = np.r_[True, (gap > 1) & ~inner]
     first = np.flatnonzero(new)
     size = np.diff(np.r_[first, len(at)])
-    # single letters one blank apart belong together
+    # single letters a little apart belong together, within a text
     lone = size == 1
-    joined = np.r_[False, lone[1:] & lone[:-1] & (at[first[1:]] - at[first[:-1]] == 2)]
+    ends = np.cumsum([len(r) for r in raw])
+    text = np.searchsorted(ends, at[first], side="right")
+    near = (at[first[1:]] - at[first[:-1]] <= JOINED_OVER + 1) & (text[1:] == text[:-1])
+    joined = np.r_[False, lone[1:] & lone[:-1] & near]
     first = first[~joined]
     size = np.diff(np.r_[first, len(at)])
-    ends = np.cumsum([len(r) for r in raw])
-    return codes[at], first, size, np.searchsorted(ends, at[first], side="right")
+    return codes[at], first, size, text[~joined]
 
 
-def subsequences(chars, starts, sizes, kernel: Kernel):
-    """(word, bucket, weight) of every subsequence of every word; marks stand before and after a word."""
+def shapes(chars, starts, sizes, kernel: Kernel):
+    """(word, bucket, weight) of every word's subsequences, one shape after the other; marks stand before and after a word."""
     import numpy as np
 
     sizes = sizes + 2
     total = int(sizes.sum())
-    word = np.repeat(np.arange(len(sizes)), sizes)
+    word = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     place = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     left = np.repeat(sizes, sizes) - place
     c = np.where(place == 0, np.uint32(1), np.uint32(2))
     inside = (place > 0) & (left > 1)
     c[inside] = chars[(np.repeat(starts, sizes) + place - 1)[inside]]
-    words, buckets, weights = [], [], []
+    del place, inside
     for a, b, weight in kernel.offsets:
         i = np.flatnonzero(left > b)
         h = c[i] * np.uint32(0x9E3779B1)
         h = ((h ^ (h >> np.uint32(15))) + c[i + a]) * np.uint32(0x85EBCA6B)
         h = ((h ^ (h >> np.uint32(13))) + c[i + b]) * np.uint32(0xC2B2AE35)
         h ^= h >> np.uint32(16)
-        words.append(word[i])
-        buckets.append((h >> np.uint32(32 - kernel.bits)).astype(np.int32))
-        weights.append(np.full(len(i), weight))
-    return np.concatenate(words), np.concatenate(buckets), np.concatenate(weights)
+        yield word[i], (h >> np.uint32(32 - kernel.bits)).astype(np.int32), weight
 
 
 class Landmarks:
@@ -152,7 +154,9 @@ class Landmarks:
         codes = [np.array([ord(x) for x in w], dtype=np.uint32) for w in words]
         sizes = np.array([len(x) for x in codes], dtype=np.int64)
         chars = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-        owner, bucket, weight = subsequences(chars, np.cumsum(sizes) - sizes, sizes, kernel)
+        words_, buckets, weights = zip(*shapes(chars, np.cumsum(sizes) - sizes, sizes, kernel))
+        owner, bucket = np.concatenate(words_), np.concatenate(buckets)
+        weight = np.repeat(weights, [len(w) for w in words_])
         norm = np.sqrt(np.maximum(np.bincount(owner, weights=weight**2, minlength=self.n), 1e-300))
         # feature -> (landmark, weight / norm) lists
         pair, inverse = np.unique(bucket.astype(np.int64) * max(self.n, 1) + owner, return_inverse=True)
@@ -168,23 +172,25 @@ class Landmarks:
         """(numbers of the words that reach the floor, their rows of landmark similarities)."""
         import numpy as np
 
-        owner, bucket, weight = subsequences(chars, starts, sizes, self.kernel)
-        norm2 = np.bincount(owner, weights=weight**2, minlength=len(sizes))
-        feature = self.table[bucket]
-        hit = feature >= 0
-        owner, feature, weight = owner[hit], feature[hit], weight[hit]
+        norm2, covered, hits = np.zeros(len(sizes)), np.zeros(len(sizes)), []
+        for owner, bucket, weight in shapes(chars, starts, sizes, self.kernel):
+            norm2 += weight**2 * np.bincount(owner, minlength=len(sizes))
+            feature = self.table[bucket]
+            hit = feature >= 0
+            hits.append((owner[hit], feature[hit], weight))
+            covered += weight**2 * np.bincount(owner[hit], minlength=len(sizes))
         # a word can only reach the floor if known subsequences hold enough of its norm
-        covered = np.bincount(owner, weights=weight**2, minlength=len(sizes))
         possible = covered >= self.kernel.floor**2 * norm2 * (1 - 1e-9)
         possible &= norm2 > 0
         rank = np.cumsum(possible) - 1
         some = np.flatnonzero(possible)
-        hit = possible[owner]
-        owner, feature, weight = rank[owner[hit]], feature[hit], weight[hit]
-        n = self.begin[feature + 1] - self.begin[feature]
-        entry = np.repeat(self.begin[feature], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        sums = np.bincount(np.repeat(owner, n) * self.n + self.who[entry],
-                           weights=np.repeat(weight, n) * self.value[entry], minlength=len(some) * self.n)
+        sums = np.zeros(len(some) * self.n)
+        for owner, feature, weight in hits:
+            hit = possible[owner]
+            owner, feature = rank[owner[hit]], feature[hit]
+            n = self.begin[feature + 1] - self.begin[feature]
+            entry = np.repeat(self.begin[feature], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            sums += np.bincount(np.repeat(owner, n) * self.n + self.who[entry], weights=weight * self.value[entry], minlength=len(sums))
         rows = np.minimum(sums.reshape(len(some), self.n) / np.sqrt(norm2[some])[:, None], 1.0)
         rows[rows < self.kernel.floor] = 0.0
         seen = rows.any(axis=1)
@@ -211,13 +217,20 @@ class Memory:
         result = np.full(len(keys), -1)
         result[known] = self.row_of[at[known]]
         fresh = np.flatnonzero(~known)
-        found, rows = self.landmarks.similarities(chars, starts[fresh], sizes[fresh])
-        begins, near, similar = self.lists
-        result[fresh[found]] = len(begins) - 1 + np.arange(len(found))
-        word, landmark = rows.nonzero()
-        ends = begins[-1] + np.cumsum(np.bincount(word, minlength=len(found)))
-        lists = (np.concatenate([begins, ends]), np.concatenate([near, landmark.astype(np.int32)]),
-                 np.concatenate([similar, rows[word, landmark]]))
+        begins, near, similar = ([x] for x in self.lists)
+        count = len(begins[0]) - 1
+        for a, b in pieces((sizes[fresh] + 2).tolist(), SLICE_CHARS):
+            part = fresh[a:b]
+            found, rows = self.landmarks.similarities(chars, starts[part], sizes[part])
+            if not len(found):
+                continue
+            result[part[found]] = count + np.arange(len(found))
+            word, landmark = rows.nonzero()
+            begins.append(begins[-1][-1] + np.cumsum(np.bincount(word, minlength=len(found))))
+            near.append(landmark.astype(np.int32))
+            similar.append(rows[word, landmark])
+            count += len(found)
+        lists = np.concatenate(begins), np.concatenate(near), np.concatenate(similar)
         if len(self.keys) + len(fresh) <= KNOWN_WORDS and len(lists[1]) <= KNOWN_SIMILAR:
             self.keys = np.insert(self.keys, at[fresh], keys[fresh])
             self.row_of = np.insert(self.row_of, at[fresh], result[fresh])
@@ -348,7 +361,7 @@ def train(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), t: Trai
         z = pooled(texts, _memory(name, words_, kernel), kinds.value) @ root_
         return {"toxic": labels_, "z": z.tolist()}
 
-    mapped = map_texts(rows, features, "toxic int, z array<double>", "toxic", "text")
+    mapped = map_texts(rows, features, "toxic int, z array<double>", "toxic", "text", most=PIECE_CHARS)
     table = cut(mapped.select(F.col("toxic").cast("double").alias("label"), array_to_vector("z").alias("features")).coalesce(8), "toxic-z")
     svm = LinearSVC(maxIter=60, regParam=t.regularisation, standardization=False, aggregationDepth=2).fit(table)
     weights = root @ svm.coefficients.toArray()
@@ -395,4 +408,4 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             scores = 1 / (1 + np.exp(-np.clip(scale * margin + shift, -30, 30)))
         return {"doc_id": ids, "score": scores.tolist(), "predicted": (scores >= 0.5).astype(int).tolist()}
 
-    return map_texts(docs.withColumn("text", F.col("text").cast("string")), apply, SCHEMA, "doc_id", "text")
+    return map_texts(docs.withColumn("text", F.col("text").cast("string")), apply, SCHEMA, "doc_id", "text", most=PIECE_CHARS)
