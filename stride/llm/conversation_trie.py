@@ -121,7 +121,9 @@ def _placed(paths: DataFrame, rules: TrieRules) -> tuple[DataFrame, DataFrame]:
     nodes = paths.groupBy(*key).agg(
         F.min("conv_id").alias("owner"), F.count(F.lit(1)).alias("n_convs"), F.any_value("size").alias("_size"),
         F.sum(F.col("n_turns") - F.col("depth") + 1).alias("_weight"))
-    nodes = nodes.select(*[F.col(c).alias(f"_{c}") for c in key], "owner", "n_convs", "_size", _band(F.col("_weight"), rules.shard_rows).alias("band"))
+    # written first: a join of two plain shuffles is one whose hot node (a first turn that many share) the skew join splits
+    nodes = cut(nodes.select(*[F.col(c).alias(f"_{c}") for c in key], "owner", "n_convs", "_size",
+                             _band(F.col("_weight"), rules.shard_rows).alias("band")), "trie-distinct")
     same = (F.col("depth") == F.col("_depth")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2"))
     named = cut(paths.join(nodes, same).select("conv_id", "depth", "n_turns", "owner", "n_convs", F.col("_size").alias("size"), "band"), "trie-paths")
     tops = named.groupBy("conv_id", "band").agg(F.min(F.struct("depth", "owner")).alias("top")).select(
