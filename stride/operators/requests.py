@@ -9,14 +9,13 @@ is later given the prediction -1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.scalar import floor_div, is_long_text, is_uuid
-from . import features as feat
-from . import series
-from .ranges import explode_range
+from ..session import materialize
+from . import blocks, series
 
 # Hex digits of the five identifier groups.
 UUID_GROUP_WIDTHS = (8, 4, 4, 4, 12)
@@ -78,32 +77,41 @@ def live_spans(live: DataFrame) -> DataFrame:
         F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"))
 
 
-def clamped(parsed: DataFrame, live: DataFrame) -> DataFrame:
+def clamped(parsed: DataFrame, live) -> DataFrame:
     """Distinct request spans cut to the time their user has readings for.
 
+    ``live``: the live table, or a store that knows its users' spans.
+
     Adds ``_from`` and ``_to``; spans of users without readings, and spans
     beyond all readings, disappear.  However long a request's range is, it
     then covers no more buckets than the user's readings do.
     """
     spans = parsed.filter(F.col("valid_user") & (F.col("start_ts") <= F.col("finish_ts"))).select(
         "user_id", "start_ts", "finish_ts").distinct()
-    cut = spans.join(live_spans(live), F.col("user_id") == F.col("_live_user")).select(
+    known = live_spans(live) if isinstance(live, DataFrame) else live.spans()
+    cut = spans.join(known, F.col("user_id") == F.col("_live_user")).select(
         "user_id", "start_ts", "finish_ts", F.greatest("start_ts", "_first").alias("_from"),
         F.least("finish_ts", "_last").alias("_to"))
     return cut.filter(F.col("_from") <= F.col("_to"))
 
 
-def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: DataFrame | None = None) -> DataFrame:
+def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: DataFrame | None = None,
+                  counted: Observation | None = None) -> DataFrame:
     """Live table -> bucketed readings keyed by user.
 
-    The original filters the range on ``timestamp`` and times peaks on
-    ``timestamp_long``; its writer stores the same value in both, so
-    ``timestamp`` is used for both here.
+    The range is filtered on ``timestamp``, peaks are timed on
+    ``timestamp_long`` (``timestamp`` where it is missing), which may be finer.  ``counted``
+    receives ``n_read`` and ``n_rejected`` of the live rows read (no
+    identifier, time or axis) with the first action on the result.
     """
     user = F.col("user_id")
+    usable = is_uuid(user) & F.col("timestamp").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull()
+    if counted is not None:
+        live = live.observe(counted, F.count(F.lit(1)).alias("n_read"), F.count_if(~usable).alias("n_rejected"))
     r = live.select(
         F.when(is_uuid(user), canonical_uuid(user)).alias("user_id"),
         F.col("timestamp").alias("ts_ns"),
+        F.coalesce("timestamp_long", "timestamp").alias("peak_ns"),
         F.col("x").alias("acc_x"),
         F.col("y").alias("acc_y"),
         F.col("z").alias("acc_z"),
@@ -111,27 +119,31 @@ def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: Da
              & F.col("acc_y").isNotNull() & F.col("acc_z").isNotNull())
     if spans is not None:
         # only (user, bucket) pairs that a request asks about are shuffled and ordered
-        asked = explode_range(spans, floor_div("_from", bucket_ns), floor_div("_to", bucket_ns), "_asked").select(
-            F.col("user_id").alias("_user"), "_asked").distinct()
+        asked = blocks.touched(spans, ["user_id"], "_from", "_to", blocks.Blocks(bucket_ns)).select(
+            F.col("user_id").alias("_user"), F.col(series.BUCKET).alias("_asked"))
         r = r.join(asked, (F.col("user_id") == F.col("_user")) & (floor_div("ts_ns", bucket_ns) == F.col("_asked")), "left_semi")
-    local = series.local_order(r, ["user_id"], "ts_ns", bucket_ns, 0, tie_desc="acc_y")
-    return local.select("user_id", series.BUCKET, "ts_ns", "acc_x", "acc_y", "acc_z", "first_of_ts")
+    local = series.local_order(r, ["user_id"], "ts_ns", bucket_ns, 0, tie_desc="acc_y", tie_asc="peak_ns")
+    return local.select("user_id", series.BUCKET, "ts_ns", "peak_ns", "acc_x", "acc_y", "acc_z", "first_of_ts", "first_of_tie")
 
 
-def request_features(parsed: DataFrame, live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS,
-                     peak_fraction: float = C.PEAK_FRACTION) -> DataFrame:
+def request_features(parsed: DataFrame, live, bucket_ns: int = REQUEST_BUCKET_NS,
+                     peak_fraction: float = C.PEAK_FRACTION, counted: Observation | None = None) -> DataFrame:
     """Every parsed request with the eleven features of its closed range (NULL when empty).
 
-    ``live`` is the live table; it is bucketed here with the same
-    ``bucket_ns`` as the request spans.  A span explodes into one row per
-    bucket it shares with the user's readings (no cap), so long ranges stay
-    exact.  Equal ranges of a user are computed once and joined back to every
-    request that asks for them, so repeated request ids change nothing.
+    ``live`` is the live table, or a store of it (``sources.live_store``) that
+    is asked for the spans' readings only; it is bucketed here with the same
+    ``bucket_ns`` as the request spans.  A span is cut into its two edge buckets
+    and whole blocks that all spans share (``operators.blocks``), so long and
+    overlapping ranges cost a few blocks each, not their readings.  Equal ranges
+    of a user are computed once and joined back to every request that asks for
+    them, so repeated request ids change nothing.
     """
-    spans = clamped(parsed, live)
-    readings = live_readings(live, bucket_ns, spans)
+    spans = materialize(clamped(parsed, live), "request-spans")
+    rows = live if isinstance(live, DataFrame) else live.readings(spans)
+    readings = live_readings(rows, bucket_ns, spans, counted)
     gcols = ["user_id", "start_ts", "finish_ts", "_from", "_to"]
-    f = feat.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "_from", "_to", True, bucket_ns, peak_fraction)
+    f = blocks.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "_from", "_to", blocks.Blocks(bucket_ns), peak_fraction,
+                             peak=("peak_ns", "first_of_tie"))
     ren = {"user_id": "_u", "start_ts": "_s", "finish_ts": "_f"}
     f = f.drop("_from", "_to").withColumnsRenamed(ren)
     same = (F.col("user_id") == F.col("_u")) & (F.col("start_ts") == F.col("_s")) & (F.col("finish_ts") == F.col("_f"))

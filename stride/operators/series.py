@@ -43,19 +43,23 @@ def _carry_keys_present(fanout: int) -> F.Column:
 
 
 def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap_ns: int,
-                tie_desc: str | None = None, fanout: int = FANOUT) -> DataFrame:
-    """Per (key, bucket), ordered by ts (ties: ``tie_desc`` descending).
+                tie_desc: str | None = None, fanout: int = FANOUT, tie_asc: str | None = None) -> DataFrame:
+    """Per (key, bucket), ordered by ts (ties: ``tie_asc`` ascending, then ``tie_desc`` descending).
 
     Adds ``_prev_local`` (previous ts inside the bucket), ``_jump_local``,
-    ``_cum_local`` (running jump count inside the bucket) and ``first_of_ts``
+    ``_cum_local`` (running jump count inside the bucket), ``_start_so_far``
+    (last reading after a gap inside the bucket), with ``tie_asc`` also
+    ``first_of_tie`` (first row of its timestamp and tie), and ``first_of_ts``
     (first row of its timestamp; with ``tie_desc`` it is the one with the
     largest tie value).  The result is hash partitioned by (keys, bucket).
     """
     b = df if BUCKET in df.columns else with_bucket(df, ts, bucket_ns)
     b = b.filter(_carry_keys_present(fanout))
-    order = [F.col(ts).asc()] + ([F.col(tie_desc).desc()] if tie_desc else [])
+    order = [F.col(ts).asc()] + ([F.col(tie_asc).asc()] if tie_asc else []) + ([F.col(tie_desc).desc()] if tie_desc else [])
     w = Window.partitionBy(*keys, BUCKET).orderBy(*order)
-    b = b.select("*", F.lag(ts).over(w).alias("_prev_local"))
+    fresh = [] if tie_asc is None else [
+        F.coalesce((F.lag(ts).over(w) != F.col(ts)) | (F.lag(tie_asc).over(w) != F.col(tie_asc)), F.lit(True)).alias("first_of_tie")]
+    b = b.select("*", F.lag(ts).over(w).alias("_prev_local"), *fresh)
     jump = F.coalesce((F.col(ts) - F.col("_prev_local") > F.lit(gap_ns)).cast("int"), F.lit(0))
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return b.select(
@@ -63,6 +67,7 @@ def local_order(df: DataFrame, keys: Sequence[str], ts: str, bucket_ns: int, gap
         jump.alias("_jump_local"),
         F.coalesce(F.col("_prev_local") != F.col(ts), F.lit(True)).alias("first_of_ts"),
         F.sum(jump).over(running).alias("_cum_local"),
+        F.max(F.when(jump == 1, F.col(ts))).over(running).alias("_start_so_far"),
     )
 
 
@@ -72,7 +77,10 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
 
     ``_prev_last``: last reading of the previous non-empty bucket of the key;
     ``_edge_jump``: whether the bucket's first reading starts an interval;
-    ``_jumps_before``: jumps strictly before the bucket's first reading.
+    ``_jumps_before``: jumps strictly before the bucket's first reading;
+    ``_start``: start of the interval the bucket's first reading lies in.  An
+    interval starts at a key's first reading and at every reading after a gap,
+    and starts ascend, so the one in force is the greatest so far.
 
     Level 1 orders the buckets inside a super-bucket (key, bucket div fanout);
     level 2 orders the super-buckets of a key (one row each).
@@ -82,6 +90,7 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
         F.max(ts).alias("_blast"),
         F.count(F.lit(1)).alias("_bn"),
         F.sum("_jump_local").cast("bigint").alias("_bjumps"),
+        F.max(F.when(F.col("_jump_local") == 1, F.col(ts))).alias("_bstart"),
     )
     s = s.select("*", floor_div(BUCKET, fanout).alias(SUPER))
     ws = Window.partitionBy(*keys, SUPER).orderBy(BUCKET)
@@ -93,6 +102,9 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
         edge_local.alias("_edge_local"),
         F.coalesce(F.sum(edge_local + F.col("_bjumps")).over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).cast("bigint").alias("_local_before"),
+        # starts inside earlier buckets of the super-bucket, and at the edge of this one
+        F.greatest(F.max(F.greatest("_bstart", F.when(edge_local == 1, F.col("_bfirst")))).over(
+            ws.rowsBetween(Window.unboundedPreceding, -1)), F.when(edge_local == 1, F.col("_bfirst"))).alias("_start_local"),
     )
     # level 2: one row per (key, super-bucket); same partitioning, no exchange
     ss = s.groupBy(*keys, SUPER).agg(
@@ -100,6 +112,7 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
         F.max("_blast").alias("_slast"),
         F.sum("_bn").alias("_sn"),
         F.sum(F.col("_edge_local") + F.col("_bjumps")).alias("_sinternal"),
+        F.max(F.greatest("_bstart", "_start_local")).alias("_sstart"),
     )
     wk = Window.partitionBy(*keys).orderBy(SUPER)
     whole = Window.partitionBy(*keys)
@@ -113,6 +126,10 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
         edge_super.alias("_edge_super"),
         F.coalesce(F.sum(edge_super + F.col("_sinternal")).over(wk.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).cast("bigint").alias("_super_before"),
+        # the start in force when the super-bucket begins: its own edge, an earlier one's, or the key's first reading
+        F.greatest(F.max(F.greatest("_sstart", F.when(edge_super == 1, F.col("_sfirst")))).over(
+            wk.rowsBetween(Window.unboundedPreceding, -1)), F.when(edge_super == 1, F.col("_sfirst")),
+            F.min("_sfirst").over(whole)).alias("_super_start"),
         F.sum("_sn").over(whole).alias("key_rows"),
         F.min("_sfirst").over(whole).alias("key_first"),
         F.max("_slast").over(whole).alias("key_last"),
@@ -126,6 +143,7 @@ def bucket_summaries(local: DataFrame, keys: Sequence[str], ts: str, gap_ns: int
         F.when(first_in_super, F.col("_edge_super")).otherwise(F.col("_edge_local")).alias("_edge_jump"),
         (F.col("_super_before") + F.when(first_in_super, F.lit(0)).otherwise(F.col("_edge_super"))
          + F.col("_local_before")).alias("_jumps_before"),
+        F.greatest("_super_start", "_start_local").alias("_start"),
         "key_rows",
         "key_first",
         "key_last",
@@ -138,7 +156,8 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
 
     Adds ``prev_ts`` (previous reading of the same key, NULL for the first),
     ``delta``, ``is_jump`` (delta > gap), ``interval_id`` (number of jumps at or
-    before the row, so the first interval is 0), ``key_rows``, ``key_first``,
+    before the row, so the first interval is 0), ``interval_start`` (its first
+    reading), ``key_rows``, ``key_first``,
     ``key_last`` and ``first_of_ts``.  ``df`` may already be the output of
     ``local_order`` (then its shuffle is shared with other consumers of it).
     """
@@ -147,7 +166,7 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
     j = local.join(summ, on=[*keys, BUCKET], how="inner")
     prev = F.coalesce(F.col("_prev_local"), F.col("_prev_last"))
     delta = F.col(ts) - prev
-    internal = {"_prev_local", "_jump_local", "_cum_local", "_prev_last", "_edge_jump", "_jumps_before"}
+    internal = {"_prev_local", "_jump_local", "_cum_local", "_start_so_far", "_prev_last", "_edge_jump", "_jumps_before", "_start"}
     keep = [c for c in j.columns if c not in internal]
     return j.select(
         *keep,
@@ -155,6 +174,7 @@ def series_scan(df: DataFrame, keys: Sequence[str], ts: str, gap_ns: int, bucket
         delta.alias("delta"),
         F.coalesce(delta > F.lit(gap_ns), F.lit(False)).alias("is_jump"),
         (F.col("_jumps_before") + F.col("_edge_jump") + F.col("_cum_local")).alias("interval_id"),
+        F.greatest("_start", "_start_so_far").alias("interval_start"),
     )
 
 

@@ -19,7 +19,7 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .. import config as C
 from ..operators import model as ml
@@ -46,9 +46,11 @@ def train(labelled: DataFrame, model_path: str, kind: str = "rf", params: C.Moti
           rejected_path: str | None = None) -> TrainResult:
     """Features of every window of every selected series, then fit, save and evaluate.
 
-    Readings with a missing column are counted and, with ``rejected_path``, written there.
+    Readings with a missing column are counted in the pass that reads them and,
+    with ``rejected_path``, written there.
     """
-    plan = motion_plan(labelled, params, users=users, activities=activities)
+    counted = Observation("readings")
+    plan = motion_plan(labelled, params, users=users, activities=activities, counted=counted)
     rows = materialize(plan.labelled_features(), "training-rows")
     keys = (params or C.MotionParams()).keys
     train_rows, test_rows = ml.train_test(rows, [*keys, "interval_id", "window_index"], seed=seed)
@@ -57,7 +59,7 @@ def train(labelled: DataFrame, model_path: str, kind: str = "rf", params: C.Moti
     err = ml.test_error(ml.predict(model, test_rows))
     if rejected_path:
         plan.rejected.write.mode("overwrite").parquet(rejected_path)
-    return TrainResult(model, model_path, err, rows.count(), plan.rejected.count())
+    return TrainResult(model, model_path, err, rows.count(), counted.get["n_rejected"])
 
 
 def score(messages: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
@@ -103,6 +105,9 @@ def _main() -> None:
         s.add_argument("--format", default="parquet", help="format of the requests")
         s.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="source option of the requests")
         s.add_argument("--live", required=True)
+        s.add_argument("--live-format", default="parquet")
+        s.add_argument("--live-column", action="append", default=[], metavar="OURS=THEIRS", help="live column that has another name")
+        s.add_argument("--live-time-unit", default="ns", choices=list(tables.TIME_UNITS))
         s.add_argument("--model", required=True)
         s.add_argument("--kind", default="rf", choices=["rf", "dt"])
         s.add_argument("--out", required=True)
@@ -123,7 +128,8 @@ def _main() -> None:
     options = dict(o.split("=", 1) for o in a.option)
 
     def read_live() -> DataFrame:
-        return tables.read_live(spark, a.live)
+        return tables.read_live(spark, a.live, a.live_format, columns=dict(o.split("=", 1) for o in a.live_column),
+                                time_unit=a.live_time_unit)
 
     if a.cmd == "score":
         messages = spark.read.format(a.format).options(**options).load(a.requests)

@@ -67,7 +67,8 @@ def _read(spark: SparkSession, path: str | None, schema: T.StructType, fmt: str,
     names = {f.name: (columns or {}).get(f.name, f.name) for f in schema.fields}
     r = spark.read.format(fmt).options(**(options or {}))
     if fmt not in ("parquet", "orc", "delta"):
-        r = r.schema(T.StructType([T.StructField(names[f.name], f.dataType) for f in schema.fields]))
+        stored = {names[f.name]: f.dataType for f in schema.fields}  # two of our columns may be one of theirs
+        r = r.schema(T.StructType([T.StructField(n, t) for n, t in stored.items()]))
     df = r.load(path) if path else r.load()
     return df.select(*[F.col(f"`{names[f.name]}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
@@ -83,9 +84,17 @@ def read_labelled(spark: SparkSession, path: str | None = None, fmt: str = "parq
     return df.withColumn("ts_ns", F.col("ts_ns") * F.lit(TIME_UNITS[time_unit]))
 
 
-def read_live(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
-    """Live accelerations: user_id (uuid text), timestamp, timestamp_long, x, y, z."""
-    return _read(spark, path, LIVE_SCHEMA, fmt, options)
+def read_live(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None,
+              columns: dict[str, str] | None = None, time_unit: str = "ns") -> DataFrame:
+    """Live accelerations: user_id (uuid text), timestamp, timestamp_long, x, y, z.
+
+    ``columns``: our name -> the table's, e.g. ``{"timestamp_long": "timestamp"}``
+    for a table with one time column.  Both times count ``time_unit`` and become
+    nanoseconds; a time beyond the long range becomes NULL, its reading is left out.
+    """
+    df = _read(spark, path, LIVE_SCHEMA, fmt, options, columns)
+    unit = F.lit(TIME_UNITS[time_unit])
+    return df.withColumns({c: F.try_multiply(F.col(c), unit) for c in ("timestamp", "timestamp_long")})
 
 
 def read_progress(spark: SparkSession, path: str | None = None, fmt: str = "parquet", options: dict | None = None) -> DataFrame:
@@ -96,6 +105,20 @@ def read_scores(spark: SparkSession, path: str | None = None, fmt: str = "parque
     return _read(spark, path, SCORES_SCHEMA, fmt, options)
 
 
+def bus_messages(records: DataFrame) -> DataFrame:
+    """Records of a message bus (binary value, partition, offset, timestamp) -> request_id, request_ts, value.
+
+    The identifier orders the records of a partition and keeps partitions
+    apart, so records read by many consumers in parallel need no coordination.
+    """
+    return records.select(
+        (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("request_id"),
+        (F.unix_micros(F.col("timestamp")) * 1000).alias("request_ts"),
+        # bad bytes are kept as they are: the parser sends them to the dead letters
+        F.col("value").cast("string").alias("value"),
+    )
+
+
 def read_requests_stream(spark: SparkSession, path: str | None = None, fmt: str = "parquet",
                          options: dict | None = None, schema: T.StructType = REQUEST_SCHEMA) -> DataFrame:
     """Request messages as a stream.
@@ -106,20 +129,24 @@ def read_requests_stream(spark: SparkSession, path: str | None = None, fmt: str
     """
     r = spark.readStream.format(fmt).options(**(options or {}))
     if fmt == "kafka":
-        df = r.load()
-        return df.select(
-            (F.col("partition").cast("bigint") * F.lit(1 << 40) + F.col("offset")).alias("request_id"),
-            (F.unix_micros(F.col("timestamp")) * 1000).alias("request_ts"),
-            # bad bytes are kept as they are: the parser sends them to the dead letters
-            F.col("value").cast("string").alias("value"),
-        )
+        return bus_messages(r.load())
     r = r.schema(schema)
     return r.load(path) if path else r.load()
 
 
-def split_valid(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with every required column present, and the rejected rest (side output)."""
+def _complete(required: list[str]):
     ok = F.lit(True)
     for c in required:
         ok = ok & F.col(c).isNotNull()
+    return ok
+
+
+def read_counts(required: list[str]) -> list:
+    """``n_read`` and ``n_rejected`` for ``DataFrame.observe``: counted in the pass that reads the rows anyway."""
+    return [F.count(F.lit(1)).alias("n_read"), F.count_if(~_complete(required)).alias("n_rejected")]
+
+
+def split_valid(df: DataFrame, required: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows with every required column present, and the rejected rest (side output)."""
+    ok = _complete(required)
     return df.filter(ok), df.filter(~ok)

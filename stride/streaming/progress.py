@@ -4,9 +4,16 @@ The state is a table of per-user rows (progress, sum and number of stored
 scores, events seen), appended once per batch into ``state/batch_id=N``.  A
 batch reads only versions below its own number, so a retried batch starts from
 the same state and replaces its own output.  Stored progress and scores enter
-once, as version -1, when the service first starts.  Every ``compact_every``
-batches the versions are folded into one row per user, so a batch never reads
-more than that many small folders beside the last fold.
+once, as version -1, when the service first starts.
+
+Every ``compact_every`` batches the versions are folded into one row per user,
+and a pointer file, published in one step, names the last two folds.  A batch
+opens the fold and the versions after it by name, so it reads a bounded number
+of folders and lists none; versions older than the fold before the last are
+dropped (a repeated batch may still need the last but one).
+
+The outputs of a batch (states, scores, published rows, progress) count once its
+commit record is written, after all of them: ``read_output`` shows whole batches.
 
 Events advance with the bucketed closed form of ``operators.progress``: no
 user's events meet in one task, and nothing of this package runs on executors.
@@ -19,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators import progress as prog
-from ..sources import sinks
+from ..sources import commits, sinks
 
 STATE = "user_id string, progress bigint, psum double, pn bigint, seen bigint"
 
@@ -37,19 +44,53 @@ def start_state(spark: SparkSession, root: str, history: DataFrame | None = None
         F.lit(0).cast("bigint").alias("seen"))
     both.write.mode("ignore").parquet(f"{root}/folded/upto=-1")
     spark.createDataFrame([], STATE).write.mode("ignore").parquet(f"{root}/state/batch_id=-1")
+    if commits.get(spark, f"{root}/folded/current") is None:
+        commits.put(spark, f"{root}/folded/current", "-1")
+
+
+def folds(spark: SparkSession, root: str) -> list[int]:
+    """The last folds by number, oldest first: at most two."""
+    return [int(n) for n in commits.get(spark, f"{root}/folded/current").split()]
+
+
+def state_folders(spark: SparkSession, root: str, below: int) -> tuple[str, list[str]]:
+    """The fold and the later versions that hold the state before batch ``below``."""
+    upto = max(n for n in folds(spark, root) if n < below)
+    return f"{root}/folded/upto={upto}", [f"{root}/state/batch_id={k}" for k in range(upto + 1, below)]
 
 
 def read_state(spark: SparkSession, root: str, below: int) -> DataFrame:
     """Latest row per user among the versions before batch ``below``."""
-    folds = spark.read.schema(f"{STATE}, upto bigint").parquet(f"{root}/folded").filter(F.col("upto") < below)
-    upto = folds.agg(F.max("upto")).first()[0]  # one number, from folder names
-    steps = spark.read.schema(f"{STATE}, batch_id bigint").parquet(f"{root}/state").filter(
-        (F.col("batch_id") < below) & (F.col("batch_id") > upto))
-    rows = folds.filter(F.col("upto") == upto).withColumnRenamed("upto", "batch_id").unionByName(steps)
+    fold, steps = state_folders(spark, root, below)
+    rows = spark.read.schema(STATE).parquet(fold).select("*", F.lit(-1).cast("bigint").alias("batch_id"))
+    if steps:
+        later = spark.read.schema(f"{STATE}, batch_id bigint").option("basePath", f"{root}/state").parquet(*steps)
+        rows = rows.unionByName(later)
     last = F.max_by(F.struct("progress", "psum", "pn", "seen"), "batch_id").alias("s")
     return rows.groupBy("user_id").agg(last).select("user_id", "s.*")
 
 
+def fold(spark: SparkSession, root: str, batch_id: int) -> None:
+    """One row per user as of a committed batch; the pointer moves, then what two folds have replaced goes."""
+    named = folds(spark, root)
+    before = max(n for n in named if n < batch_id)
+    read_state(spark, root, batch_id + 1).write.mode("overwrite").parquet(f"{root}/folded/upto={batch_id}")
+    # nothing is dropped before the pointer is published, and nothing that it names
+    commits.put(spark, f"{root}/folded/current", f"{before} {batch_id}")
+    for n in named:
+        if n < before:
+            commits.remove(spark, f"{root}/folded/upto={n}")
+    for name in commits.names(spark, f"{root}/state"):
+        if int(name.removeprefix("batch_id=")) <= before:
+            commits.remove(spark, f"{root}/state/{name}")
+    commits.settle(spark, root, before)
+
+
+def read_output(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """``states``, ``scores``, ``published`` or ``progress`` of committed batches."""
+    return commits.read_committed(spark, root, name)
+
+
 def advance(events: DataFrame, state: DataFrame, P: C.ProgressParams = C.ProgressParams()) -> DataFrame:
     """progress_states of a batch of (user_id, event_id, ts_ns, score) moving events from the given state."""
     users = events.select("user_id").distinct()
@@ -79,6 +120,7 @@ def step(events: DataFrame, batch_id: int, root: str, P: C.ProgressParams = C.Pr
          compact_every: int = 50) -> None:
     """One micro-batch: states, stored scores, published rows, progress upserts and the next state version."""
     spark = events.sparkSession
+    commits.withdraw(spark, root, batch_id)  # a repeated batch does not count until it is whole again
     state = read_state(spark, root, batch_id)
     part = f"batch_id={batch_id}"
     advance(events, state, P).write.mode("overwrite").parquet(f"{root}/states/{part}")
@@ -87,8 +129,9 @@ def step(events: DataFrame, batch_id: int, root: str, P: C.ProgressParams = C.Pr
     sinks.append_published(states, f"{root}/published", batch_id)
     sinks.upsert_progress(prog.progress_upserts(states, P=P), f"{root}/progress", batch_id)
     next_state(states, state).write.mode("overwrite").parquet(f"{root}/state/{part}")
+    commits.commit(spark, root, batch_id)
     if (batch_id + 1) % compact_every == 0:
-        read_state(spark, root, batch_id + 1).write.mode("overwrite").parquet(f"{root}/folded/upto={batch_id}")
+        fold(spark, root, batch_id)
 
 
 def progress_writer(root: str, P: C.ProgressParams = C.ProgressParams(), compact_every: int = 50):

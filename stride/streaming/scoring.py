@@ -19,14 +19,17 @@ from ..operators import requests as rq
 from . import progress
 
 
-def score_batch(msgs: DataFrame, live: DataFrame, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
+def score_batch(msgs: DataFrame, live, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
     """(scored requests, dead letters) for a batch of messages.
 
-    The live table is first cut to the time span the batch asks about (one
+    A live table is first cut to the time span the batch asks about (one
     small aggregate over the batch; the predicate reaches the scan), then to
-    the users and time buckets asked for.
+    the users and time buckets asked for.  A live store opens the folders that
+    are asked for.
     """
     parsed, dead = rq.parse_requests(msgs)
+    if not isinstance(live, DataFrame):
+        return ml.predict(model, rq.request_features(parsed, live, bucket_ns)), dead
     lo, hi = parsed.filter("valid_user AND start_ts <= finish_ts").agg(F.min("start_ts"), F.max("finish_ts")).first()
     if lo is None:
         live = live.filter(F.lit(False))  # no valid range in this batch

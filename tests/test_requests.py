@@ -76,3 +76,24 @@ def test_only_requested_users_are_ordered(spark):
     spans = rq.clamped(parsed, live)
     assert {r.user_id for r in rq.live_readings(live, 4, spans).collect()} == {U}
     assert {r.ts_ns for r in rq.live_readings(live, 4, spans).collect()} == set(range(0, 8))
+
+
+def test_rejected_live_readings_are_counted_in_the_same_pass(spark):
+    from pyspark.sql import Observation
+
+    live = spark.createDataFrame([(U, t, t, 1.0, 1.0, 1.0) for t in range(10)] + [("no user", 3, 3, 1.0, 1.0, 1.0), (U, None, 3, 1.0, 1.0, 1.0), (U, 4, 4, None, 1.0, 1.0)],
+                                 "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
+    parsed, _ = rq.parse_requests(_msgs(spark, [f"{U},0,9"]))
+    seen = Observation("live")
+    assert rq.request_features(parsed, live, bucket_ns=4, counted=seen).first().n_rows == 10
+    assert seen.get == {"n_read": 13, "n_rejected": 3}
+
+
+def test_peaks_are_timed_on_the_long_column(spark):
+    """Ranges in milliseconds, peaks in nanoseconds: several readings share a ``timestamp``."""
+    rows = [(U, t // 4, 1000 * t, 0.0, 9.0 if t % 3 == 0 else 1.0, 0.0) for t in range(24)]
+    live = spark.createDataFrame(rows, "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
+    parsed, _ = rq.parse_requests(_msgs(spark, [f"{U},0,5", f"{U},1,2"]))
+    got = {r.request_id: r for r in rq.request_features(parsed, live, bucket_ns=2).collect()}
+    assert (got[0].n_rows, got[0].n_distinct_ts, got[0].avg_time_peak_y) == (24, 6, 3000.0)
+    assert (got[1].n_rows, got[1].avg_time_peak_y) == (8, 3000.0)  # peaks at 6 and 9
