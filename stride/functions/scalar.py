@@ -39,11 +39,12 @@ def floor_div(name: str, n: int) -> Column:
     return F.expr(f"({q} - pmod({q}, {int(n)}L)) div {int(n)}L")
 
 
-def activity_label(activity: str | Column, labels: dict[str, float] | None = None) -> Column:
-    """Activity name -> class label; unknown names get the default label."""
+def activity_label(activity: str | Column, strict: bool = False, labels: dict[str, float] | None = None) -> Column:
+    """Activity name -> class label; unknown names get the default label, or NULL where ``strict``."""
     labels = labels or C.ACTIVITY_LABELS
     m = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k), F.lit(float(v)))])
-    return F.coalesce(m[col(activity)], F.lit(C.DEFAULT_LABEL))
+    known = m[col(activity)]
+    return known if strict else F.coalesce(known, F.lit(C.DEFAULT_LABEL))
 
 
 def feature_sum(cols=C.FEATURE_COLUMNS) -> Column:

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -30,25 +30,30 @@ from .ranges import range_members
 X, Y, Z = "acc_x", "acc_y", "acc_z"
 
 
-def _moments(group_cols: Sequence[str]) -> list:
+def statistics() -> dict:
+    """Pass 1: name -> (aggregate, value instead of NULL)."""
     x, y, z = F.col(X), F.col(Y), F.col(Z)
-    return [
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg(x).alias("mean_x"),
-        F.avg(y).alias("mean_y"),
-        F.avg(z).alias("mean_z"),
-        F.coalesce(F.var_samp(x), F.lit(0.0)).alias("variance_x"),
-        F.coalesce(F.var_samp(y), F.lit(0.0)).alias("variance_y"),
-        F.coalesce(F.var_samp(z), F.lit(0.0)).alias("variance_z"),
+    axes = (("x", x), ("y", y), ("z", z))
+    return {
+        "n_rows": (F.count(F.lit(1)), None),
+        **{f"mean_{a}": (F.avg(c), None) for a, c in axes},
+        **{f"variance_{a}": (F.var_samp(c), 0.0) for a, c in axes},
         # a NaN reading is not a maximum (it would hide every peak of the span)
-        F.max(F.when(~F.isnan(x), x)).alias("max_x"),
-        F.max(F.when(~F.isnan(y), y)).alias("max_y"),
-        F.max(F.when(~F.isnan(z), z)).alias("max_z"),
-        F.avg(F.sqrt(x * x + y * y + z * z)).alias("resultant"),
+        **{f"max_{a}": (F.max(F.when(~F.isnan(c), c)), None) for a, c in axes},
+        "resultant": (F.avg(F.sqrt(x * x + y * y + z * z)), None),
         # distinct reading times; reading first_of_ts here also keeps both
         # passes on one readings plan, so pass 2 reuses the readings' shuffle
-        F.count(F.when(F.col("first_of_ts"), F.lit(1))).alias("n_distinct_ts"),
-    ]
+        "n_distinct_ts": (F.count(F.when(F.col("first_of_ts"), F.lit(1))), None),
+    }
+
+
+def _moments(window=None) -> list:
+    """The statistics as aggregates, or as columns over a window of the group's rows."""
+    out = []
+    for name, (agg, default) in statistics().items():
+        c = agg if window is None else agg.over(window)
+        out.append((c if default is None else F.coalesce(c, F.lit(default))).alias(name))
+    return out
 
 
 def _second_pass(ts: str, peak_fraction: float) -> list:
@@ -74,7 +79,7 @@ def span_moments(spans: DataFrame, readings: DataFrame, keys: Sequence[str], gro
                  lo: str, hi: str, closed: bool, bucket_ns: int) -> DataFrame:
     """Pass 1 per non-empty span (group_cols must include keys, lo and hi)."""
     m = range_members(spans, readings, keys, ts, lo, hi, closed, bucket_ns)
-    return m.groupBy(*group_cols).agg(*_moments(group_cols))
+    return m.groupBy(*group_cols).agg(*_moments())
 
 
 def span_features(spans: DataFrame, readings: DataFrame, keys: Sequence[str], group_cols: Sequence[str], ts: str,
@@ -99,6 +104,20 @@ def _two_passes(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns
     return m2.groupBy(*group_cols).agg(*agg).withColumn("avg_time_peak_y", peak_gap())
 
 
+def member_features(members: DataFrame, group_cols: Sequence[str], ts: str,
+                    peak_fraction: float = C.PEAK_FRACTION) -> DataFrame:
+    """The features of groups given by their readings (group columns, ts, axes, first_of_ts).
+
+    One shuffle by group: the statistics of pass 1 are window aggregates over
+    the group's readings, pass 2 groups by the same columns.  For groups of a
+    bounded number of readings, such as the windows of a recording.
+    """
+    first = members.select(*group_cols, ts, X, Y, Z, "first_of_ts", *_moments(Window.partitionBy(*group_cols)))
+    agg = [F.any_value(c).alias(c) for c in statistics()] + _second_pass(ts, peak_fraction)
+    return first.groupBy(*group_cols).agg(*agg).withColumn("avg_time_peak_y", peak_gap()).select(
+        *group_cols, "n_rows", "n_distinct_ts", *C.FEATURE_COLUMNS)
+
+
 def span_abs_dev_and_peaks(spans: DataFrame, readings: DataFrame, keys: Sequence[str], group_cols: Sequence[str],
                            ts: str, lo: str, hi: str, closed: bool, bucket_ns: int,
                            peak_fraction: float = C.PEAK_FRACTION) -> DataFrame:

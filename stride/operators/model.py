@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from . import forest_table
 
 FEATURES_VEC = "features"
 
@@ -81,7 +82,12 @@ def fit(train: DataFrame, kind: str = "rf", num_classes: int = C.NUM_CLASSES):
 
 
 def predict(model, rows: DataFrame) -> DataFrame:
-    """``prediction`` for every row, by the trees' votes; rows without features get NO_PREDICTION."""
+    """``prediction`` for every row, by the trees' votes; rows without features get NO_PREDICTION.
+
+    ``model``: a fitted Spark ML model, or its table of nodes (``forest_table``).
+    """
+    if isinstance(model, forest_table.ForestTable):
+        return forest_table.predict(model, rows)
     # one pass over the rows (a filter + union would run the feature plan
     # twice): missing features become NaN in the vector, and the model's
     # answer for those rows is replaced by NO_PREDICTION

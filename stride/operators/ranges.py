@@ -57,6 +57,18 @@ def end_anchored_windows(iv: DataFrame, window_ns: int, keys: Sequence[str] = ("
     )
 
 
+def start_anchored_windows(scanned: DataFrame, ts: str, window_ns: int) -> DataFrame:
+    """Every reading with its window of its own interval, half open: [start + jW, start + (j + 1)W).
+
+    ``scanned`` carries the start of the reading's interval (``series_scan``), so
+    the window is arithmetic on the row: no join, and a reading has one window.
+    """
+    j = F.expr(f"(`{ts}` - interval_start) div {int(window_ns)}L")
+    lo = F.col("interval_start") + F.col("window_index") * F.lit(window_ns)
+    return scanned.select("*", j.alias("window_index")).select(
+        "*", lo.alias("window_lo"), (lo + F.lit(window_ns)).alias("window_hi"))
+
+
 def _bucket_of(expr: str, bucket_ns: int) -> Column:
     return F.expr(f"(({expr}) - pmod({expr}, {bucket_ns}L)) div {bucket_ns}L")
 

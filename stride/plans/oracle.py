@@ -64,6 +64,17 @@ MEMBERS = """members AS (
   FROM windows w JOIN acc a
     ON a.user_id = w.user_id AND a.activity = w.activity AND a.ts_ns > w.window_lo AND a.ts_ns < w.window_hi)"""
 
+# every window of an interval, counted from its start, joined with the readings of the half-open range
+START_MEMBERS = f"""swindows AS (
+  SELECT user_id, activity, interval_id, j AS window_index, interval_start + j * {WIN} AS window_lo,
+         interval_start + (j + 1) * {WIN} AS window_hi, interval_end
+  FROM intervals, LATERAL (SELECT unnest(range(0, n_windows + 1)) AS j)),
+smembers AS (
+  SELECT w.user_id, w.activity, w.interval_id, w.window_index, w.window_lo, w.window_hi,
+         a.ts_ns, a.acc_x, a.acc_y, a.acc_z
+  FROM swindows w JOIN acc a ON a.user_id = w.user_id AND a.activity = w.activity
+   AND a.ts_ns >= w.window_lo AND a.ts_ns < w.window_hi AND a.ts_ns <= w.interval_end)"""
+
 GKEY = "user_id, activity, interval_id, window_index, window_lo, window_hi"
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.scalar import activity_label, java_long, perfect_number
+from ..operators import forest_table
 from ..operators import model as ml
 from ..operators import progress as prog
 from ..operators import requests as rq
@@ -28,6 +29,7 @@ from .motion import motion_plan
 FIXTURE_PARAMS = C.MotionParams(gap_ns=fx.FIXTURE_GAP_NS, window_ns=fx.FIXTURE_WINDOW_NS,
                                 min_rows=C.MIN_GROUP_ROWS)
 GKEY = ["user_id", "activity", "interval_id", "window_index", "window_lo", "window_hi"]
+UNLABELLED = "Jogging"
 SPLIT_KEY = ["user_id", "activity", "interval_id", "window_index"]
 
 
@@ -144,6 +146,21 @@ def q_labelled_features(spark, d):
     return _plan(spark, d).labelled_features()
 
 
+def q_windows_start(spark, d):
+    return _plan(spark, d).start_windows()
+
+
+def q_features_start(spark, d):
+    return _plan(spark, d).start_features()
+
+
+def q_labelled_strict(spark, d):
+    """One activity is renamed to a name no label has; its windows go."""
+    lab = fx.labelled(_ev(spark, d))
+    renamed = lab.withColumn("activity", F.when(F.col("activity") == UNLABELLED, F.lit("Cycling")).otherwise(F.col("activity")))
+    return motion_plan(renamed, FIXTURE_PARAMS).labelled_features(anchor="start", strict=True)
+
+
 def q_perfect_number(spark, d):
     f = _plan(spark, d).features()
     return f.select(*GKEY, perfect_number().alias("perfect_number"))
@@ -180,6 +197,13 @@ def q_request_features(spark, d):
     return rq.request_features(parsed, fx.live(_ev(spark, d)))
 
 
+def q_request_features_two_times(spark, d):
+    """The live table's two time columns differ: ranges go by ``timestamp``, peaks are timed on ``timestamp_long``."""
+    parsed, _ = _requests(spark, d)
+    live = fx.live(_ev(spark, d)).withColumn("timestamp_long", F.col("timestamp_long") * 2 + 7)
+    return rq.request_features(parsed, live)
+
+
 def _moving(spark, d):
     lab = fx.labelled(_ev(spark, d), with_event_id=True).withColumn("label", activity_label("activity"))
     return lab.filter(F.col("label").isin(*C.MOVING_LABELS))
@@ -246,20 +270,46 @@ def q_dt_test_error(spark, d):
     return ml.test_error(_predictions(spark, d, "dt"))
 
 
-def _fit_check(spark, d, kind):
-    """Fit on all training rows: size, classes, trees, depth, and answers that differ after a reload or a second fit."""
+def _fitted(spark, d, kind):
+    """(train rows, test rows, model fitted on all training rows, folder it is saved in)"""
     train, test = _train_test(spark, d)
-    first, second = ml.fit(train, kind), ml.fit(train, kind)
-    again = ml.load_model(ml.save_model(first, scratch_path(spark, f"fit-{kind}")), kind)
+    model = ml.fit(train, kind)
+    return train, test, model, ml.save_model(model, scratch_path(spark, f"fit-{kind}"))
+
+
+def _fit_check(spark, d, kind):
+    """Fit on all training rows: size, classes, trees, depth, and answers that differ after a reload, after a second fit and from the nodes' table."""
+    train, test, first, path = _fitted(spark, d, kind)
+    models = first, ml.load_model(path, kind), ml.fit(train, kind), forest_table.load(spark, path)
     key = ["user_id", "activity", "interval_id", "window_index"]
-    rows = [ml.predict(m, test).select(*key, F.col("prediction").alias(f"p{i}")) for i, m in enumerate((first, again, second))]
-    both = rows[0].join(rows[1], key).join(rows[2], key)
+    rows = [ml.predict(m, test).select(*key, F.col("prediction").alias(f"p{i}")) for i, m in enumerate(models)]
+    both = rows[0].join(rows[1], key).join(rows[2], key).join(rows[3], key)
     trees = getattr(first, "trees", [first])
     differ = lambda a, b: F.coalesce(F.sum((F.col(a) != F.col(b)).cast("bigint")), F.lit(0))
-    counts = both.agg(F.count(F.lit(1)).alias("n_test"), differ("p0", "p1").alias("n_reload"), differ("p0", "p2").alias("n_refit"))
+    counts = both.agg(F.count(F.lit(1)).alias("n_test"), differ("p0", "p1").alias("n_reload"), differ("p0", "p2").alias("n_refit"),
+                      differ("p0", "p3").alias("n_table"))
     return counts.crossJoin(train.agg(F.count(F.lit(1)).alias("n_train"))).select(  # two rows of one value each
         "n_train", "n_test", F.lit(first.numClasses).alias("n_classes"), F.lit(len(trees)).alias("n_trees"),
-        F.lit(max(t.depth for t in trees) <= C.RF_MAX_DEPTH).alias("depth_ok"), "n_reload", "n_refit")
+        F.lit(max(t.depth for t in trees) <= C.RF_MAX_DEPTH).alias("depth_ok"), "n_reload", "n_refit", "n_table")
+
+
+def _fitted_error(spark, d, kind):
+    """The test error of the model just fitted, by transform and by its table of nodes, per label and in all (label null)."""
+    _, test, model, path = _fitted(spark, d, kind)
+    key = ["user_id", "activity", "interval_id", "window_index"]
+    table = ml.predict(forest_table.load(spark, path), test).select(*key, F.col("prediction").alias("by_table"))
+    rows = ml.predict(model, test).select(*key, "label", "prediction").join(table, key)
+    wrong = lambda c: F.avg((F.col(c) != F.col("label")).cast("double"))
+    return rows.rollup("label").agg(F.count(F.lit(1)).alias("n_test"), wrong("prediction").alias("test_error"),
+                                    wrong("by_table").alias("table_error"))
+
+
+def q_rf_fitted_error(spark, d):
+    return _fitted_error(spark, d, "rf")
+
+
+def q_dt_fitted_error(spark, d):
+    return _fitted_error(spark, d, "dt")
 
 
 def q_rf_fit_check(spark, d):
@@ -307,11 +357,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feat_peak_gap": q_feat_peak_gap,
     "features": q_features,
     "labelled_features": q_labelled_features,
+    "windows_start": q_windows_start,
+    "features_start": q_features_start,
+    "labelled_strict": q_labelled_strict,
     "perfect_number": q_perfect_number,
     "train_test_split": q_train_test_split,
     "requests_parsed": q_requests_parsed,
     "requests_dead": q_requests_dead,
     "request_features": q_request_features,
+    "request_features_two_times": q_request_features_two_times,
     "moving_gate": q_moving_gate,
     "progress_latest": q_progress_latest,
     "progress_states": q_progress_states,
@@ -320,6 +374,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_with_stored_scores": q_published_with_stored_scores,
     "rf_fit_check": q_rf_fit_check,
     "dt_fit_check": q_dt_fit_check,
+    "rf_fitted_error": q_rf_fitted_error,
+    "dt_fitted_error": q_dt_fitted_error,
     "rf_predictions": q_rf_predictions,
     "dt_predictions": q_dt_predictions,
     "rf_test_error": q_rf_test_error,
@@ -356,6 +412,8 @@ AXES_R = _r(["acc_x", "acc_y", "acc_z"])
 MOTION = O.motion_prefix()
 FEAT = MOTION + ",\n" + O._feature_ctes()
 G = O.GKEY
+START = MOTION + ",\n" + O.START_MEMBERS
+START_FEAT = START + ",\n" + O._feature_ctes("smembers")
 DEVICE_UUID = f"'{fx.UUID_PREFIX}' || lpad(CAST(user_id // {fx.USERS_PER_DEVICE} AS VARCHAR), 12, '0')"
 TS_NS = "epoch_us(ts) * 1000"
 
@@ -513,6 +571,10 @@ ORACLE: dict[str, str] = {
     "features": FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11], F11, "feat"),
     "labelled_features": FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11, f"{round_sql(O._LABEL_CASE)} AS label"], F11,
                                             "feat"),
+    "windows_start": START + f"\nSELECT {G}, count(*) AS n_rows FROM smembers GROUP BY ALL",
+    "features_start": START_FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11], F11, "feat"),
+    "labelled_strict": START_FEAT + "\n" + _sel([G, "n_rows", "n_distinct_ts", *F11, f"{round_sql(O._LABEL_CASE)} AS label"], F11,
+                                               f"feat WHERE activity <> '{UNLABELLED}'"),
     "perfect_number": FEAT + f"\nSELECT {G}, {round_sql('(' + ' + '.join(F11) + f') / {C.SCORE_DIVISOR!r}::DOUBLE')} "
                              "AS perfect_number FROM feat",
     "train_test_split": FEAT + f"""\nSELECT CASE WHEN (('0x' || substr(md5(concat_ws('|', '0', user_id, activity,
@@ -539,13 +601,17 @@ ORACLE: dict[str, str] = {
     **{f"{k}_test_error": FEAT + f"""\nSELECT count(*) AS n_test, {round_sql(f'avg(CAST(prediction <> {O._LABEL_CASE} AS DOUBLE))')} AS test_error
         FROM {saved_models.prediction_sql(k, 'feat')} WHERE NOT {IN_TRAIN}""" for k in ("rf", "dt")},
     **{f"{k}_fit_check": FEAT + f"""\nSELECT count(*) FILTER ({IN_TRAIN}) AS n_train, count(*) FILTER (NOT {IN_TRAIN}) AS n_test,
-        {C.NUM_CLASSES} AS n_classes, {n} AS n_trees, true AS depth_ok, CAST(0 AS BIGINT) AS n_reload, CAST(0 AS BIGINT) AS n_refit
+        {C.NUM_CLASSES} AS n_classes, {n} AS n_trees, true AS depth_ok, CAST(0 AS BIGINT) AS n_reload, CAST(0 AS BIGINT) AS n_refit, CAST(0 AS BIGINT) AS n_table
         FROM feat""" for k, n in (("rf", C.RF_NUM_TREES), ("dt", 1))},
     "request_predictions": REQUEST_FEATURES + f"""\nSELECT request_id, user_id, start_ts, finish_ts, n_rows, {round_sql('prediction')} AS prediction
         FROM {saved_models.prediction_sql('rf', "(SELECT p.*, coalesce(f.n_rows, 0) AS n_rows, " + ', '.join('f.' + c for c in F11) + " FROM parsed p LEFT JOIN feat f USING (request_id))")}""",
 }
 
 
+# the fixture's timestamp_long runs twice as fast
+ORACLE["request_features_two_times"] = ORACLE["request_features"].replace(
+    round_sql("f.avg_time_peak_y"), round_sql("2.0::DOUBLE * f.avg_time_peak_y"))
+
 # stream twins: the stream must reproduce its batch query exactly
 ORACLE["stream_progress"] = ORACLE["progress_states"]
 ORACLE["stream_published"] = ORACLE["published_numbers"]

@@ -70,3 +70,31 @@ def test_forest_counts_votes(spark):
     for i, r in enumerate(ml.predict(model, train).select("prediction").collect()):
         votes = [s[i][0] for s in single]
         assert r[0] == min(set(votes), key=lambda v: (-votes.count(v), v))
+
+
+@pytest.mark.parametrize("kind", ["rf", "dt"])
+def test_nodes_table_answers_like_the_model(spark, kind):
+    """Values on a threshold, NaN and missing features; many classes and deep trees."""
+    import random
+
+    from stride.operators import forest_table
+    from stride.session import scratch_path
+
+    rng = random.Random(3)
+    value = lambda: rng.choice([rng.randrange(6) / 2, rng.random()])
+    rows = [(float(rng.randrange(6)), *[value() for _ in range(11)]) for _ in range(800)]
+    columns = ", ".join(f"{c} double" for c in C.FEATURE_COLUMNS)
+    train = spark.createDataFrame(rows, "label double, " + columns)
+    model = ml.fit(train, kind)
+    path = ml.save_model(model, scratch_path(spark, f"nodes-{kind}"))
+    table = forest_table.load(spark, path)
+    assert forest_table.nodes(spark, path).count() == (model.totalNumNodes if kind == "rf" else model.numNodes)
+    splits = forest_table.nodes(spark, path).where("left >= 0").limit(300).collect()
+    asked = [(float("nan"), *[value() for _ in range(10)]), (None, *[1.0] * 10)] + [tuple(value() for _ in range(11)) for _ in range(200)]
+    for s in splits:  # exactly on a threshold
+        row = [value() for _ in range(11)]
+        row[s.feature] = s.threshold
+        asked.append(tuple(row))
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(asked)], "i int, " + columns)
+    a, b = ({r.i: r.prediction for r in ml.predict(m, df).collect()} for m in (model, table))
+    assert a == b and a[1] == C.NO_PREDICTION and len(set(a.values())) >= 6

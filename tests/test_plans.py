@@ -38,3 +38,13 @@ def test_progress_plan_keeps_events_bucketed(spark):
             assert above and "_bucket" in above[-1]
             found += 1
     assert found >= 1
+
+
+def test_start_anchored_windows_need_no_range_join(spark):
+    """One scan of the readings; the carries are joined on (key, bucket) and (key, super-bucket), equalities only."""
+    plan = _final_plan(spark, R.q_features_start(spark, SF_SMALL))
+    plain = re.sub(r"#\d+L?", "", plan)
+    assert len(re.findall(r"Generate", plain)) == 0 and "NestedLoop" not in plain
+    joins = [line for line in plain.splitlines() if "SortMergeJoin" in line]
+    assert joins and all("_bucket" in j or "_super" in j for j in joins) and not any("window_lo" in j for j in joins)
+    assert len(re.findall(r"FileScan parquet", plain)) <= 2

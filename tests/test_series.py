@@ -122,3 +122,20 @@ def test_hot_key_is_split_across_tasks(spark):
     sc = series.series_scan(df, ["user_id", "activity"], "ts_ns", 100, 1000, fanout=4)
     hot = sc.filter(F.col("user_id") == "hot")
     assert hot.count() == 3000 and hot.filter("interval_id <> 0").count() == 0
+
+
+def test_interval_start_reaches_every_reading(spark):
+    """Starts are carried over buckets and super-buckets: equal to the first reading of each interval."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for u in range(3):
+        t = 0
+        for _ in range(400):
+            t += int(rng.choice([1, 20, 99, 100, 101, 700, 5000]))
+            rows.append((f"u{u}", "Walking", t * MS - 90_000 * MS))
+    df = spark.createDataFrame(rows + rows[:5], "user_id string, activity string, ts_ns long")
+    for bucket, fanout in ((100, 2), (250, 3), (5000, 1024)):
+        local = series.local_order(df, ["user_id", "activity"], "ts_ns", bucket * MS, 100 * MS, fanout=fanout)
+        got = series.series_scan(local, ["user_id", "activity"], "ts_ns", 100 * MS, bucket * MS, fanout=fanout).toPandas()
+        first = got.groupby(["user_id", "interval_id"])["ts_ns"].transform("min")
+        assert len(got) == len(rows) + 5 and (got["interval_start"] == first).all()

@@ -1,8 +1,8 @@
-"""Make the saved classifiers of ``stride/plans/models`` anew: make_models.py SF_DIR OUT_DIR.
+"""Make the saved classifiers of ``stride/plans/models`` anew: make_models.py SF_DIR OUT_DIR [MORE_SF_DIRS].
 
 The training features are moved by a small offset whose digits never end, and
 seeds are tried until no split value lies within rounding distance of a feature
-value of the table, so that other engines give the same answers.
+value of the tables, so that other engines give the same answers.
 """
 
 import os
@@ -28,26 +28,30 @@ def clear_of(model, values) -> bool:
 
 
 if __name__ == "__main__":
-    sf_dir, out = sys.argv[1:3]
+    sf_dir, out, *more = sys.argv[1:]
     spark = local_session(4, 4)
-    plan = registry._plan(spark, sf_dir)
-    rows = materialize(plan.labelled_features(), "model-rows")
-    parsed, _ = registry._requests(spark, sf_dir)
-    asked = registry.rq.request_features(parsed, registry.fx.live(registry._ev(spark, sf_dir)))
-    both = [df.select(*C.FEATURE_COLUMNS).dropna().toPandas().to_numpy() for df in (rows, asked)]  # a few thousand rows
-    values = np.concatenate(both)
+    found = []
+    for d in (sf_dir, *more):
+        rows = materialize(registry._plan(spark, d).labelled_features(), "model-rows")
+        parsed, _ = registry._requests(spark, d)
+        asked = registry.rq.request_features(parsed, registry.fx.live(registry._ev(spark, d)))
+        # a few ten thousand rows
+        found += [df.select(*C.FEATURE_COLUMNS).dropna().distinct().toPandas().to_numpy() for df in (rows, asked)]
+    values = np.concatenate(found)
+    rows = materialize(registry._plan(spark, sf_dir).labelled_features(), "model-rows")
     train, _ = ml.train_test(rows, registry.SPLIT_KEY)
     moved = train.withColumns({c: train[c] + OFFSET for c in C.FEATURE_COLUMNS})
     data = ml.assemble(ml.with_class_metadata(moved)).coalesce(1).persist()
-    for seed in range(1, 60):
-        forest = ml.forest(C.ForestParams(num_trees=5, max_depth=5, seed=seed)).fit(data)
+    # the original's size and seed; other seeds, then smaller depths, only where a split lies on a value
+    for seed in (C.RF_SEED, *range(1, 60)):
+        forest = ml.forest(C.ForestParams(seed=seed)).fit(data)
         if clear_of(forest, values):
             ml.save_model(forest, f"{out}/rf")
-            print("forest seed", seed)
+            print("forest seed", seed, "nodes", forest.totalNumNodes)
             break
-    for depth in (5, 4, 3):
+    for depth in range(C.DT_MAX_DEPTH, 0, -1):
         tree = ml.tree(C.TreeParams(max_depth=depth)).fit(data)
         if clear_of(tree, values):
             ml.save_model(tree, f"{out}/dt")
-            print("tree depth", depth)
+            print("tree depth", depth, "nodes", tree.numNodes)
             break
