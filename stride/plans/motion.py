@@ -109,7 +109,9 @@ def motion_plan(labelled: DataFrame, params: C.MotionParams | None = None, users
     """
     params = params or C.MotionParams()
     cols = [*params.keys, TS, *AXES]
-    src = labelled.select(*cols)
+    # readings of a series store carry their time bucket and lie by it
+    stored = [series.BUCKET] if series.BUCKET in labelled.columns else []
+    src = labelled.select(*cols, *stored)
     if users is not None:
         src = src.filter(F.col(params.keys[0]).isin(list(users)))
     if activities is not None:
@@ -122,5 +124,5 @@ def motion_plan(labelled: DataFrame, params: C.MotionParams | None = None, users
     local = series.local_order(whole, keys, TS, params.bucket, params.gap_ns, tie_desc="acc_y")
     # the interval scan only needs (key, ts): a narrow shuffle shared by the
     # in-bucket scan and the bucket summaries
-    series_local = series.local_order(ok.select(*keys, TS), keys, TS, params.bucket, params.gap_ns)
+    series_local = series.local_order(ok.select(*keys, TS, *stored), keys, TS, params.bucket, params.gap_ns)
     return MotionPlan(params=params, labelled=ok, rejected=bad, local=local, series_local=series_local)

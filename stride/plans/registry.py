@@ -7,6 +7,7 @@ significant digits on both sides: see ``SCALE``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from ..operators import progress as prog
 from ..operators import requests as rq
 from ..operators import series
 from ..sources import fixtures as fx
+from ..sources import series_store
 from . import oracle as O
 from ..session import materialize, scratch_path
 from . import saved_models
@@ -106,6 +108,17 @@ def q_intervals(spark, d):
     return _plan(spark, d).intervals()
 
 
+def _stored_plan(spark, d):
+    """The readings written as a bucketed, sorted table, and the plan over it."""
+    table = f"readings_{uuid.uuid4().hex[:12]}"
+    series_store.write(fx.labelled(_ev(spark, d)), table, scratch_path(spark, table), FIXTURE_PARAMS, files=8)
+    return motion_plan(series_store.read(spark, table, FIXTURE_PARAMS), FIXTURE_PARAMS)
+
+
+def q_intervals_stored(spark, d):
+    return _stored_plan(spark, d).intervals()
+
+
 def q_windows_end(spark, d):
     return _plan(spark, d).windows().select(*GKEY)
 
@@ -347,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jumps": q_jumps,
     "jump_boundaries": q_jump_boundaries,
     "intervals": q_intervals,
+    "intervals_stored": q_intervals_stored,
     "windows_end": q_windows_end,
     "window_members": q_window_members,
     "feat_mean": q_feat_mean,
@@ -608,6 +622,7 @@ ORACLE: dict[str, str] = {
 }
 
 
+ORACLE["intervals_stored"] = ORACLE["intervals"]
 # the fixture's timestamp_long runs twice as fast
 ORACLE["request_features_two_times"] = ORACLE["request_features"].replace(
     round_sql("f.avg_time_peak_y"), round_sql("2.0::DOUBLE * f.avg_time_peak_y"))

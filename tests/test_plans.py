@@ -48,3 +48,21 @@ def test_start_anchored_windows_need_no_range_join(spark):
     joins = [line for line in plain.splitlines() if "SortMergeJoin" in line]
     assert joins and all("_bucket" in j or "_super" in j for j in joins) and not any("window_lo" in j for j in joins)
     assert len(re.findall(r"FileScan parquet", plain)) <= 2
+
+
+def test_stored_series_are_scanned_without_a_shuffle(spark):
+    """The window over the readings lies on the scan itself; only summaries, one row per (key, bucket), are exchanged."""
+    plan = re.sub(r"#\d+L?", "", _final_plan(spark, R.q_intervals_stored(spark, SF_SMALL)))
+    lines = plan.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan parquet" in line]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    for i in scans:
+        assert "SelectedBucketsCount: 8 out of 8" in lines[i]
+        # from the scan upwards: the window comes before any exchange
+        above, level = [], depth(lines[i])
+        for line in reversed(lines[:i]):
+            if depth(line) < level:
+                level = depth(line)
+                above.append(line)
+        names = [n for n in above if "Window [" in n or "Exchange hash" in n]
+        assert names and "Window [" in names[0]
