@@ -23,9 +23,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stride.llm.common import map_texts, pieces
+from stride.llm.common import filter_texts, map_texts
 
 UNDETERMINED = "und"
+KEEP_CHARS = 500_000  # characters scored at a time where whole rows pass through the task
 
 
 @dataclass(frozen=True)
@@ -160,15 +161,8 @@ def keep_identified(docs: DataFrame, model: LanguageModel, min_score: float = 0.
     """The rows (all columns) whose language is learned and certain enough."""
     shared, grams = model.shared(docs.sparkSession), model.grams
 
-    @F.pandas_udf("boolean")
     def identified(texts):
-        import pandas as pd
-
-        values = [None if t is None else str(t) for t in texts]
-        kept = []
-        for a, b in pieces([len(t or "") for t in values]):
-            langs, scores = score_texts(values[a:b], *shared.value, grams)
-            kept += [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
-        return pd.Series(kept, dtype=bool)
+        langs, scores = score_texts(texts, *shared.value, grams)
+        return [x != UNDETERMINED and s >= min_score for x, s in zip(langs, scores)]
 
-    return docs.where(identified(F.col("text")))
+    return filter_texts(docs, identified, "text", KEEP_CHARS)

@@ -145,8 +145,12 @@ class ChunkCoder:
         return look
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096) -> DataFrame:
-    """One row per piece; ``salt`` spreads the pieces at random."""
+def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096, remember: bool = True) -> DataFrame:
+    """One row per piece; ``salt`` spreads the pieces at random.
+
+    With ``remember`` a worker keeps coded chunks from task to task, else it
+    gives that memory back at the end of each.
+    """
 
     def apply(ids, texts):
         import zlib
@@ -169,7 +173,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity
                     out[k].append(v)
         return out
 
-    return map_texts(docs.withColumn("text", F.col("text").cast("string")), apply, PIECES, "doc_id", "text")
+    return map_texts(docs.withColumn("text", F.col("text").cast("string")), apply, PIECES, "doc_id", "text",
+                     after=None if remember else lambda: _worker_state().pop(tokenizer_path, None))
 
 
 class Bins:
@@ -341,9 +346,9 @@ def _pack_shards(pieces: DataFrame, n_pieces: int, cfg: Packing) -> DataFrame:
     return shards.join(best, "shard").select("shard", "items", "where").mapInArrow(place, ddl)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, cfg: Packing = Packing(), end_id: int = 1) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, cfg: Packing = Packing(), end_id: int = 1, remember: bool = True) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset per piece of every document."""
-    pieces = cut(token_pieces(docs, tokenizer_path, end_id, cfg.capacity), "pieces")
+    pieces = cut(token_pieces(docs, tokenizer_path, end_id, cfg.capacity, remember), "pieces")
     first = cut(_pack_shards(pieces, pieces.count(), cfg), "packed")
     full = F.col("fill") >= int(cfg.well_filled * cfg.capacity)
     poor = cut(first.where(~full).select(pieces.columns), "poor")

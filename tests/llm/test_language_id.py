@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stride.llm import language_id as L
 from stride.llm import queries as Q
-from tests.conftest import SF_CHECK
+from tests.conftest import SF_CHECK, SF_SMALL
 
 
 @pytest.fixture(scope="module")
@@ -49,3 +49,51 @@ def test_nothing_to_learn_from(make):
     empty = L.train(docs)
     assert L.predict(docs, empty).first().lang_pred == "und"
     assert L.predict(docs.limit(0), empty).count() == 0
+
+
+def plain_buckets(text, bits=15):
+    """The hashed n-grams of a text, one character after the other."""
+    mult = [0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35]
+    chars, kept = [c if c.isalpha() else " " for c in text.lower() + " "], []
+    for k, c in enumerate(chars):
+        if c != " " or (k and chars[k - 1] != " "):
+            kept.append(ord(c))
+    out = []
+    for n in (1, 2, 3):
+        for k in range(len(kept) - n + 1):
+            if n == 1 and kept[k] == 32:
+                continue
+            h = n * 0x632BE5AB & 0xFFFFFFFF
+            for j in range(n):
+                h = (h ^ kept[k + j]) * mult[j] & 0xFFFFFFFF
+                h ^= h >> 15
+            out.append(h >> (32 - bits))
+    return out
+
+
+def test_equals_plain_naive_bayes(spark):
+    """Counts, smoothing and posteriors in plain Python, on whole texts; all rows fit the training bound."""
+    import math
+    from collections import Counter
+
+    table = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    learn = [(t, x) for d, t, x in table if d % 3 and t and x]
+    counts = {x: Counter() for _, x in learn}
+    for t, x in learn:
+        counts[x].update(plain_buckets(t))
+    names = sorted(counts)
+    size = {x: sum(counts[x].values()) + 0.5 * 2**15 for x in names}
+    model = L.train(spark.createDataFrame([(d, t, x) for d, t, x in table if d % 3], "doc_id bigint, text string, lang string"), 1_000_000)
+    got = {r.doc_id: r for r in L.predict(spark.createDataFrame([r[:2] for r in table], "doc_id bigint, text string"), model).collect()}
+    for d, t, _ in table:
+        grams = Counter(plain_buckets(t or ""))
+        if not grams:
+            assert (got[d].lang_pred, got[d].score) == ("und", 0.0)
+            continue
+        total = [sum(n * math.log((counts[x][b] + 0.5) / size[x]) for b, n in grams.items()) for x in names]
+        best = max(range(len(names)), key=lambda k: total[k])
+        # the model keeps its logarithms as 32-bit numbers
+        slack = 1e-6 * sum(grams.values())
+        assert got[d].lang_pred == names[best] or max(total) - total[names.index(got[d].lang_pred)] < slack
+        want = 1 / sum(math.exp(v - max(total)) for v in total)
+        assert got[d].score == pytest.approx(want, abs=max(1e-6, 2 * slack))
