@@ -38,7 +38,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remember=False)  # other stages' workers need the memory
 
 
 STAGES = [
