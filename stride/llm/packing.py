@@ -5,19 +5,25 @@ than a sequence are cut.  Ids are made once per distinct blank-separated chunk
 of a batch (the tokenizer's words never span a blank) and joined as bytes, so
 a piece is known by its length and the crc32 of its ids.
 
-Packing: pieces are dealt at random into shards of about ``shard_pieces``; a
-shard is packed by several islands, each with its own population of whole
+Packing: pieces are dealt at random into shards of about ``shard_pieces``.  Each
+shard's first solution is best-fit from the longest piece on; where it has
+ceil(tokens / capacity) sequences none has fewer, and the shard is done.  Every
+other shard is evolved on several islands, each with its own population of whole
 solutions.  Crossover injects whole well-filled bins of one parent into the
-other, bins holding a doubled piece are dissolved and displaced pieces placed
-best-fit; mutation dissolves the emptiest bins.  Between epochs every island
-sends its elite to the next island of the shard.  Bins that stay emptier than
-``well_filled`` are dissolved across all shards and packed once more.
+other, bins holding a doubled piece are dissolved; displaced pieces are
+exchanged for pieces of emptier bins where that fills them better, the rest
+placed best-fit; mutation dissolves the emptiest bins.  Between epochs every
+island sends its elite to the next island of the shard.  Bins that stay emptier
+than ``well_filled`` are dissolved across all shards and packed once more.
 
 Everything is a table: shards, islands and solutions are rows of bounded size.
 
 Cases: null text is empty (one piece: the end id); repeated rows and null ids
-are pieces of their own; an empty table gives no rows; other columns are
-ignored.  Which of several pieces of equal length goes where is arbitrary.
+are pieces of their own; very long texts are coded whole and cut into pieces of
+the capacity; an empty table gives no rows; other columns are ignored.  Ties:
+pieces of equal length stand in the order of id, piece, start and ids, so a
+shard's solution depends on its rows alone; rows equal in all of these differ in
+their number among the equals of a batch of rows.
 """
 
 from __future__ import annotations
@@ -38,13 +44,14 @@ class Packing:
     islands: int = 3
     population: int = 4
     epochs: int = 2
-    generations: int = 6
+    generations: int = 30
     well_filled: float = 0.98
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt bigint"
 KNOWN_CHUNKS = 600_000  # chunks a worker remembers (the first, hence the frequent ones); others are encoded per batch
 CALL_CHUNKS = 20_000  # chunks or words joined into one call
+REFILLED, REFILLED_PIECES = 200, 5  # emptiest bins, and longest pieces of each, that are offered an exchange
 SEPARATOR = "<|endoftext|>"
 WORD_END = "</w>"
 #: A lower-case Latin word and marks after it: one token run each, untouched by normalisation.  No apostrophe.
@@ -146,7 +153,7 @@ class ChunkCoder:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096, remember: bool = True) -> DataFrame:
-    """One row per piece; ``salt`` spreads the pieces at random.
+    """One row per piece; ``salt`` spreads the pieces at random, by id, piece, ids and the row's number among its equals.
 
     With ``remember`` a worker keeps coded chunks from task to task, else it
     gives that memory back at the end of each.
@@ -161,14 +168,16 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity
         chunked = [(t or "").replace("\n", " ").split(" ") for t in texts]
         look = state[tokenizer_path].code(set().union(*chunked))
         end = end_id.to_bytes(4, "little")
+        equals: dict = {}
         out: dict = {k.split()[0]: [] for k in PIECES.split(", ")}
         for i, chunks in zip(ids, chunked):
             data = b"".join(map(look.__getitem__, chunks)) + end
             for p, at in enumerate(range(0, len(data), 4 * capacity)):
                 part = data[at:at + 4 * capacity]
                 crc = zlib.crc32(part)
-                state["n"] = state.get("n", 0) + 1
-                salt = zlib.crc32(b"%d %d %d" % (i or 0, crc, state["n"]))
+                key = b"%d %d %d" % (i or 0, p, crc)
+                equals[key] = equals.get(key, 0) + 1
+                salt = zlib.crc32(b"%s %d" % (key, equals[key]))
                 for k, v in zip(out, (i, p, at // 4, len(part) // 4, crc, salt)):
                     out[k].append(v)
         return out
@@ -209,6 +218,31 @@ class Bins:
             if f > n:
                 insort(open_bins, (f - n, k))
 
+    def place(self, loose: list) -> None:
+        """Displaced pieces: exchanged where that fills a bin better, then best-fit from the longest on."""
+        self.best_fit(sorted(self.refill(loose), key=lambda i: -self.lengths[i]))
+
+    def refill(self, loose: list) -> list:
+        """Exchange one or two pieces of a bin for one or two loose ones that fill it better; returns what is loose then.
+
+        The fuller a bin gets, the smaller (and the easier to place) is what comes out.
+        """
+        loose = sorted(loose, key=lambda i: self.lengths[i])
+        for k in sorted(range(len(self.bins)), key=lambda k: -self.free[k])[:REFILLED]:
+            own = sorted(self.bins[k], key=lambda i: -self.lengths[i])[:REFILLED_PIECES]
+            best = None
+            for out in [(i,) for i in own] + [(i, j) for n, i in enumerate(own) for j in own[:n]]:
+                gone = sum(self.lengths[i] for i in out)
+                found = best_pair([self.lengths[i] for i in loose], self.free[k] + gone)
+                if found and found[0] > gone and (best is None or found[0] - gone > best[0]):
+                    best = found[0] - gone, out, found[1:]
+            if best:
+                gain, out, at = best
+                self.bins[k] = [i for i in self.bins[k] if i not in out] + [loose[n] for n in at]
+                self.free[k] -= gain
+                loose = sorted([i for n, i in enumerate(loose) if n not in at] + list(out), key=lambda i: self.lengths[i])
+        return loose
+
     def fitness(self) -> tuple:
         """Fewer bins first, then fuller ones (sum of squared fills)."""
         return -len(self.bins), sum((self.capacity - f) ** 2 for f in self.free)
@@ -228,6 +262,21 @@ class Bins:
         return cls(lengths, capacity, [b for b in bins if b])
 
 
+def best_pair(lengths: list, room: int) -> tuple | None:
+    """(sum, places) of the one or two of ascending lengths that fill the room best; None if none fits."""
+    best, b = None, len(lengths) - 1
+    for a, n in enumerate(lengths):
+        if n > room:
+            break
+        if best is None or n > best[0]:
+            best = n, a
+        while b > a and lengths[b] + n > room:
+            b -= 1
+        if b > a and lengths[b] + n > best[0]:
+            best = lengths[b] + n, a, b
+    return best
+
+
 def crossover(a: Bins, b: Bins, rng, cfg: Packing) -> Bins:
     """a with some of b's well-filled bins injected whole."""
     worst = int((1 - cfg.well_filled) * cfg.capacity)
@@ -238,7 +287,7 @@ def crossover(a: Bins, b: Bins, rng, cfg: Packing) -> Bins:
     loose = child.drop({k for k, bin_ in enumerate(child.bins) if not injected.isdisjoint(bin_)})
     child.bins += [list(b.bins[k]) for k in take]
     child.free += [b.free[k] for k in take]
-    child.best_fit(sorted((i for i in loose if i not in injected), key=lambda i: -child.lengths[i]))
+    child.place([i for i in loose if i not in injected])
     return child
 
 
@@ -248,7 +297,7 @@ def mutate(s: Bins, rng) -> Bins:
     if child.bins:
         order = sorted(range(len(child.bins)), key=lambda k: -child.free[k])
         some = set(order[: max(2, len(order) // 50)]) | set(rng.sample(order, max(1, len(order) // 50)))
-        child.best_fit(sorted(child.drop(some), key=lambda i: -child.lengths[i]))
+        child.place(child.drop(some))
     return child
 
 
@@ -299,20 +348,34 @@ def _evolve_islands(rows: DataFrame, epoch: int, cfg: Packing) -> DataFrame:
     return rows.select("shard", "island", "lengths", "population", "guest").mapInArrow(run, ISLANDS)
 
 
-def _pack_shards(pieces: DataFrame, n_pieces: int, cfg: Packing) -> DataFrame:
-    """pieces (cut) -> pieces with shard, bin, offset, fill."""
-    n = max(1, -(-n_pieces // cfg.shard_pieces))
-    item = F.struct("length", "doc_id", "piece", "start", "ids_crc32", "salt")
-    shards = cut(
-        pieces.withColumn("shard", F.pmod(F.xxhash64("salt", "ids_crc32"), F.lit(n)))
-        .groupBy("shard").agg(F.sort_array(F.collect_list(item), asc=False).alias("items")),  # about shard_pieces rows
-        "shards")
-    lengths = F.transform("items", lambda x: x["length"].cast("int"))
+def _best_fit(shards: DataFrame, cfg: Packing) -> DataFrame:
+    """(shard, lengths, where, over): best-fit from the longest on; over where that takes more bins than the tokens need."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    ddl = "shard bigint, lengths array<int>, where array<int>, over boolean"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths = row["lengths"]
+                s = Bins(lengths, cfg.capacity)
+                s.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]))
+                row |= {"where": s.assignment(), "over": len(s.bins) > -(-sum(lengths) // cfg.capacity)}
+                yield pa.RecordBatch.from_pylist([row], schema=schema)
+
+    return shards.mapInArrow(run, ddl)
+
+
+def _islands(shards: DataFrame, n: int, cfg: Packing) -> DataFrame:
+    """(shard, lengths, where) -> (shard, where) after the epochs of all islands."""
     none = F.lit(None)
-    people = shards.select("shard", F.explode(F.array(*[F.lit(k) for k in range(cfg.islands)])).alias("island"),
-                           lengths.alias("lengths"), none.cast("array<array<int>>").alias("population"),
-                           none.cast("array<int>").alias("guest"))
-    wide = max(1, min(n * cfg.islands, pieces.sparkSession.sparkContext.defaultParallelism * 8))
+    people = shards.select("shard", F.explode(F.array(*[F.lit(k) for k in range(cfg.islands)])).alias("island"), "lengths",
+                           F.array("where").alias("population"), none.cast("array<int>").alias("guest"))
+    wide = max(1, min(n * cfg.islands, shards.sparkSession.sparkContext.defaultParallelism * 8))
     for epoch in range(cfg.epochs):
         people = cut(_evolve_islands(people.repartition(wide, "shard", "island"), epoch, cfg), "islands")
         elite = people.select(F.col("shard").alias("_s"), ((F.col("island") + 1) % cfg.islands).alias("_i"),
@@ -320,8 +383,24 @@ def _pack_shards(pieces: DataFrame, n_pieces: int, cfg: Packing) -> DataFrame:
         if epoch + 1 < cfg.epochs:
             people = people.join(elite, (F.col("shard") == F.col("_s")) & (F.col("island") == F.col("_i")))
     # fewest bins; the fitness order inside an island is kept by its first solution
-    best = elite.groupBy(F.col("_s").alias("shard")).agg(
+    return elite.groupBy(F.col("_s").alias("shard")).agg(
         F.min_by("guest", F.struct(F.array_max("guest"), F.col("_i"))).alias("where"))
+
+
+def _pack_shards(pieces: DataFrame, n_pieces: int, cfg: Packing) -> DataFrame:
+    """pieces (cut) -> pieces with shard, bin, offset, fill."""
+    n = max(1, -(-n_pieces // cfg.shard_pieces))
+    item = F.struct("length", "doc_id", "piece", "start", "ids_crc32", "salt")
+    shards = cut(
+        pieces.withColumn("shard", F.pmod(F.xxhash64("salt", "ids_crc32"), F.lit(n)))
+        .groupBy("shard").agg(F.sort_array(F.collect_list(item), asc=False).alias("items")),  # about shard_pieces rows
+        "shards")
+    lengths = F.transform("items", lambda x: x["length"].cast("int"))
+    first = cut(_best_fit(shards.select("shard", lengths.alias("lengths")), cfg), "best-fit")
+    best = first.where(~F.col("over")).select("shard", "where")
+    over = first.where("over").drop("over")
+    if not over.isEmpty():
+        best = best.unionByName(_islands(over, n, cfg))
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

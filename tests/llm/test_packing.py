@@ -71,6 +71,59 @@ def test_evolution_never_loses_pieces_and_never_gets_worse():
     assert P.Bins.read(lengths, 1000, people[0]).fitness() >= first.fitness()
 
 
+@pytest.mark.parametrize("low,high,n", [(1300, 1500, 300), (700, 2100, 400), (500, 1800, 500)])
+def test_islands_save_sequences_where_best_fit_misses_the_bound(spark, low, high, n):
+    """Pieces of which two or three fit a sequence: best-fit wastes room that the genetic steps win back."""
+    rng = random.Random(5)
+    rows = [(i, 0, 0, rng.randrange(low, high), i, i) for i in range(n)]
+    bound = -(-sum(r[3] for r in rows) // 4096)
+    fit = P.Bins([r[3] for r in rows], 4096)
+    fit.best_fit(sorted(range(n), key=lambda i: -rows[i][3]))
+    pieces = spark.createDataFrame(rows, P.PIECES)
+    got = P._pack_shards(pieces, n, P.Packing(epochs=2)).collect()
+    bins = {}
+    for r in got:
+        bins.setdefault((r.shard, r.bin), []).append(r.length)
+    assert sorted(r.doc_id for r in got) == list(range(n)) and all(sum(b) <= 4096 for b in bins.values())
+    assert bound <= len(bins) < len(fit.bins)
+
+
+def test_one_island_without_migration_is_not_better():
+    """Elites that come over are at least as good as what an island finds alone."""
+    rng = random.Random(5)
+    lengths = [rng.randrange(700, 2100) for _ in range(400)]
+    cfg = P.Packing()
+    people = [[], [], []]
+    for epoch in range(2):
+        guests = [p[0] if p else None for p in people[-1:] + people[:-1]]
+        people = [P.evolve(lengths, p[: cfg.population - 1] + ([g] if g else []), k * 31 + epoch, cfg) for k, (p, g) in enumerate(zip(people, guests))]
+        bins = [max(p[0]) + 1 for p in people]
+    alone = []
+    for epoch in range(2):
+        alone = P.evolve(lengths, alone[: cfg.population - 1], epoch, cfg)
+    assert min(bins) <= max(alone[0]) + 1
+
+
+def test_salts_depend_on_rows_alone(make):
+    rows = [(i, f"text {i}") for i in range(40)] + [(None, "same")] * 5
+    a, b = ({(r.doc_id, r.ids_crc32, r.salt) for r in P.token_pieces(make(rows).coalesce(1), tokenizer_path()).collect()} for _ in range(2))
+    assert a == b and len(a) == 45
+
+
+def test_best_pair():
+    lengths = [3, 5, 8, 9]
+    assert P.best_pair(lengths, 2) is None and P.best_pair(lengths, 4) == (3, 0)
+    assert P.best_pair(lengths, 13) == (13, 1, 2) and P.best_pair(lengths, 100)[0] == 17
+    rng = random.Random(1)
+    for _ in range(300):
+        x = sorted(rng.randrange(1, 40) for _ in range(rng.randrange(7)))
+        room = rng.randrange(80)
+        sums = [v for v in x if v <= room] + [x[i] + x[j] for j in range(len(x)) for i in range(j) if x[i] + x[j] <= room]
+        got = P.best_pair(x, room)
+        assert (got[0] if got else None) == max(sums, default=None)
+        assert got is None or sum(x[k] for k in got[1:]) == got[0]
+
+
 def test_crossover_injects_whole_bins():
     rng = random.Random(9)
     lengths = [rng.randrange(50, 500) for _ in range(200)]
