@@ -6,7 +6,8 @@ sentences longer than ``long_words`` are cut further after words whose hash is
 At every sentence begins one span: the shortest run of at least ``sentences``
 sentences holding at least ``min_words`` words.  Spans are hashed (lower case,
 blanks folded) and joined globally: the first one in (doc_id, text hash,
-position) order stays, the sentences covered by any other are removed.
+position) order stays, the sentences covered by any other are removed.  Spans
+count as equal where two independent 64-bit hashes of their words agree.
 
 ``WHOLE``, the rules of op10_span_dedup, leaves no repeat of enough sentences and
 words behind.  Long sentences are cut by winnowing, after the words with the
@@ -14,7 +15,9 @@ smallest hash of any ``window`` words in a row: a cut comes every ``window``
 words at least, and a repeat of 49 words is found whatever stands beside it.
 With ``tails`` the shortest run that ends with each sentence is hashed too, so
 a repeat is covered up to its last sentence; such a run takes part only where
-the shorter span at its start is met twice.
+the shorter span at its start is met twice.  A run is looked up under its own
+text's cuts: where the same words are cut otherwise elsewhere (a long sentence
+that begins or ends differently), the sentence at a repeat's edge may stay.
 
 The first span of a hash is a pre-aggregated minimum; only hashes met twice
 are joined back, a hash with a third of all spans is split by the skew join.
@@ -22,7 +25,9 @@ are joined back, a hash with a third of all spans is split by the skew join.
 Cases: null, empty and wordless texts have no spans and stay as they are; rows
 repeated with id and text count as one document and get the same result; null
 ids come last in the order; texts without end marks are cut by word hashes;
-ties cannot occur (positions differ); other columns are ignored.
+ties cannot occur (positions differ); very long texts are read whole, in pieces
+of texts of bounded length (one text is never cut); an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -113,13 +118,13 @@ def sentence_starts(value, mark, ends_line, owner, cfg: Spans):
 
 
 def runs(texts: list, cfg: Spans):
-    """(span hash, hash of the shortest span at its start, first word, word after it, text; words count from the text's own first)."""
+    """(span hash, second hash, hash of the shortest span at its start, first word, word after it, text); words count from the text's own first."""
     import numpy as np
 
     value, mark, ends_line, owner = words_of(texts)
     starts = sentence_starts(value, mark, ends_line, owner, cfg)
     if not len(starts):
-        return *[np.zeros(0, np.uint64)] * 2, *[np.zeros(0, np.int64)] * 3
+        return *[np.zeros(0, np.uint64)] * 3, *[np.zeros(0, np.int64)] * 3
     ends = np.r_[starts[1:], len(value)]
     i = np.arange(len(starts))
     # the last sentence: enough of them, and enough words
@@ -140,30 +145,35 @@ def runs(texts: list, cfg: Spans):
         more = j[number[begin]] < last
         i, j, lead = np.r_[i, begin[more]], np.r_[j, last[more]], np.r_[lead, number[begin[more]]]
     a, b = starts[i], ends[j]
-    # polynomial prefix sums; the factor's inverse takes the position out
-    factor = np.uint64(0x100000001B3)
-    inverse = np.uint64(pow(int(factor), -1, 1 << 64))
-    power = np.cumprod(np.r_[np.uint64(1), np.full(len(value) - 1, factor, dtype=np.uint64)])
-    back = np.cumprod(np.r_[np.uint64(1), np.full(len(value) - 1, inverse, dtype=np.uint64)])
-    prefix = np.r_[np.uint64(0), np.cumsum(value * power)]
-    key = mix((prefix[b] - prefix[a]) * back[a] + (b - a).astype(np.uint64) * np.uint64(GOLDEN))
+    key = polynomial(value, a, b, 0x100000001B3)
+    check = polynomial(mix(value + np.uint64(GOLDEN)), a, b, 0x9E3779B97F4A7C55)
     text = owner[a]
     zero = np.searchsorted(owner, np.arange(len(texts)), side="left")
-    return key, key[:n][lead], a - zero[text], b - zero[text], text
+    return key, check, key[:n][lead], a - zero[text], b - zero[text], text
+
+
+def polynomial(value, a, b, factor: int):
+    """A hash of the values [a, b) for all pairs at once, wherever they stand."""
+    import numpy as np
+
+    # prefix sums; the factor's inverse takes the position out
+    powers = [np.cumprod(np.r_[np.uint64(1), np.full(len(value) - 1, f, dtype=np.uint64)]) for f in (factor, pow(factor, -1, 1 << 64))]
+    prefix = np.r_[np.uint64(0), np.cumsum(value * powers[0])]
+    return mix((prefix[b] - prefix[a]) * powers[1][a] + (b - a).astype(np.uint64) * np.uint64(GOLDEN))
 
 
 def spans(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
-    """(span, lead, _id, _hash, a, b): one row per span, a document's words [a, b); lead is the shortest span at a."""
+    """(span, check, lead, _id, _hash, a, b): one row per span, a document's words [a, b); lead is the shortest span at a."""
     import numpy as np
 
     def apply(ids, hashes, texts):
-        key, lead, a, b, text = runs(texts, cfg)
+        key, check, lead, a, b, text = runs(texts, cfg)
         at = text.tolist()
-        return {"span": key.view(np.int64), "lead": lead.view(np.int64), "_id": [ids[k] for k in at], "_hash": [hashes[k] for k in at],
+        return {"span": key.view(np.int64), "check": check.view(np.int64), "lead": lead.view(np.int64), "_id": [ids[k] for k in at], "_hash": [hashes[k] for k in at],
                 "a": a.astype(np.int32), "b": b.astype(np.int32)}
 
     rows = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").cast("string").alias("text"))
-    return map_texts(rows, apply, "span bigint, lead bigint, _id bigint, _hash bigint, a int, b int", "_id", "_hash", "text")
+    return map_texts(rows, apply, "span bigint, check bigint, lead bigint, _id bigint, _hash bigint, a int, b int", "_id", "_hash", "text")
 
 
 def repeated_ranges(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
@@ -173,16 +183,18 @@ def repeated_ranges(docs: DataFrame, cfg: Spans = Spans()) -> DataFrame:
 
     def firsts(rows: DataFrame) -> DataFrame:
         # two different places at least: the smallest and the largest differ
-        first = rows.groupBy("span").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-        return first.where(F.col("first") != F.col("last")).select(F.col("span").alias("_s"), "first")
+        first = rows.groupBy("span", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        return first.where(F.col("first") != F.col("last")).select(F.col("span").alias("_s"), F.col("check").alias("_check"), "first")
 
     first = cut(firsts(all_spans.where(F.col("span") == F.col("lead"))), "span-firsts")
-    met = all_spans.join(first, F.col("lead") == F.col("_s"))
+    # a tail only needs its lead to be met twice; a lead must be the first one's equal in both hashes
+    same = (F.col("span") != F.col("lead")) | (F.col("check") == F.col("_check"))
+    met = all_spans.join(first, (F.col("lead") == F.col("_s")) & same)
     if cfg.tails:
-        met = cut(met.select("span", "_id", "_hash", "a", "b", (F.col("span") != F.col("lead")).alias("tail"),
+        met = cut(met.select("span", "check", "_id", "_hash", "a", "b", (F.col("span") != F.col("lead")).alias("tail"),
                              (place != F.col("first")).alias("again")), "span-met")
         tails = met.where("tail").drop("again")
-        more = tails.join(firsts(tails), F.col("span") == F.col("_s")).where(place != F.col("first"))
+        more = tails.join(firsts(tails), (F.col("span") == F.col("_s")) & (F.col("check") == F.col("_check"))).where(place != F.col("first"))
         other = met.where("NOT tail AND again").select("_id", "_hash", "a", "b").unionByName(more.select("_id", "_hash", "a", "b"))
     else:
         other = met.where(place != F.col("first"))
