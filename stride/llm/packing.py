@@ -45,13 +45,15 @@ class Packing:
     population: int = 4
     epochs: int = 2
     generations: int = 30
+    patience: int = 6  # generations without a sequence saved after which an island rests
     well_filled: float = 0.98
 
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, salt bigint"
 KNOWN_CHUNKS = 600_000  # chunks a worker remembers (the first, hence the frequent ones); others are encoded per batch
 CALL_CHUNKS = 20_000  # chunks or words joined into one call
-REFILLED, REFILLED_PIECES = 200, 5  # emptiest bins, and longest pieces of each, that are offered an exchange
+REFILLED, REFILLED_PIECES = 100, 5  # emptiest bins, and longest pieces of each, that are offered an exchange
+REFILLED_LOOSE = 200  # loose pieces up to which exchanges are tried; among more, best-fit finds what fits
 SEPARATOR = "<|endoftext|>"
 WORD_END = "</w>"
 #: A lower-case Latin word and marks after it: one token run each, untouched by normalisation.  No apostrophe.
@@ -220,7 +222,9 @@ class Bins:
 
     def place(self, loose: list) -> None:
         """Displaced pieces: exchanged where that fills a bin better, then best-fit from the longest on."""
-        self.best_fit(sorted(self.refill(loose), key=lambda i: -self.lengths[i]))
+        if len(loose) <= REFILLED_LOOSE:
+            loose = self.refill(loose)
+        self.best_fit(sorted(loose, key=lambda i: -self.lengths[i]))
 
     def refill(self, loose: list) -> list:
         """Exchange one or two pieces of a bin for one or two loose ones that fill it better; returns what is loose then.
@@ -228,12 +232,13 @@ class Bins:
         The fuller a bin gets, the smaller (and the easier to place) is what comes out.
         """
         loose = sorted(loose, key=lambda i: self.lengths[i])
+        lengths = [self.lengths[i] for i in loose]
         for k in sorted(range(len(self.bins)), key=lambda k: -self.free[k])[:REFILLED]:
             own = sorted(self.bins[k], key=lambda i: -self.lengths[i])[:REFILLED_PIECES]
             best = None
             for out in [(i,) for i in own] + [(i, j) for n, i in enumerate(own) for j in own[:n]]:
                 gone = sum(self.lengths[i] for i in out)
-                found = best_pair([self.lengths[i] for i in loose], self.free[k] + gone)
+                found = best_pair(lengths, self.free[k] + gone)
                 if found and found[0] > gone and (best is None or found[0] - gone > best[0]):
                     best = found[0] - gone, out, found[1:]
             if best:
@@ -241,6 +246,7 @@ class Bins:
                 self.bins[k] = [i for i in self.bins[k] if i not in out] + [loose[n] for n in at]
                 self.free[k] -= gain
                 loose = sorted([i for n, i in enumerate(loose) if n not in at] + list(out), key=lambda i: self.lengths[i])
+                lengths = [self.lengths[i] for i in loose]
         return loose
 
     def fitness(self) -> tuple:
@@ -315,6 +321,7 @@ def evolve(lengths: list, population: list, seed: int, cfg: Packing) -> list:
         blur = 0.0 if not people else 0.15 * len(people)
         s.best_fit(order if not blur else sorted(order, key=lambda i: -lengths[i] * (1 + blur * rng.random())))
         people.append(s)
+    calm, fewest = 0, min(len(s.bins) for s in people)
     for _ in range(cfg.generations):
         people.sort(key=Bins.fitness, reverse=True)
         if len(people[0].bins) <= ideal:  # no solution has fewer
@@ -322,6 +329,9 @@ def evolve(lengths: list, population: list, seed: int, cfg: Packing) -> list:
         half = people[: max(2, cfg.population // 2)]
         children = [crossover(*rng.sample(half, 2), rng, cfg), mutate(half[0], rng)]
         people = sorted(people + children, key=Bins.fitness, reverse=True)[: cfg.population]
+        calm, fewest = (0, len(people[0].bins)) if len(people[0].bins) < fewest else (calm + 1, fewest)
+        if calm >= cfg.patience:
+            break
     people.sort(key=Bins.fitness, reverse=True)
     return [s.assignment() for s in people]
 
