@@ -25,7 +25,8 @@ expanded into all pairs.
 Cases: texts without words (null, empty, blanks) are copies of one another;
 repeated rows and null ids are ordinary members; other columns are ignored by
 :func:`classes` and kept by :func:`keep_one`; an empty table gives no rows.
-Ties are broken by the smallest id (nulls last), then by the text's hash.
+Ties are broken by the smallest id (nulls last), then by the text's hash.  Very
+long texts are signed whole.
 """
 
 from __future__ import annotations

@@ -15,8 +15,10 @@ the candidates verified in a join with the documents.
 
 Cases: null text has no words; a null or empty item has no windows; windows of
 an item without id count as hits but name no item; repeated rows, null ids and
-ids shared by different texts each give one result row per input row; other
-columns are ignored.  An empty benchmark leaves every document clean.
+ids shared by different texts each give one result row per input row; of
+equally rare shingles the first in the window is joined (ties); very long texts
+are read whole; other columns are ignored.  An empty benchmark leaves every
+document clean, an empty table of documents gives no rows.
 """
 
 from __future__ import annotations

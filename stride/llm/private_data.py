@@ -17,8 +17,10 @@ one row per distinct instance; nothing is collected.
 
 Cases: null text is empty; texts without digits or ``@`` have no candidates;
 repeated rows and null ids give one row each with the same spans (and count
-once in the graph's distinct instances); other columns are ignored; an empty
-table gives no rows.
+once in the graph's distinct instances); scores equal to a threshold pass, and a
+pattern equally sure of several kinds stands for the alphabetically last (ties);
+very long texts are read whole; other columns are ignored; an empty table gives
+no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,9 @@ characters, or that fails the base counts, is rejected.
 
 Cases: null text counts as empty; a text without words has zero counts, is
 ``base_failed`` and not kept; repeated rows and null ids give one result row
-each; other columns of the input are ignored.
+each; equal lines get equal verdicts, and a document that loses exactly the
+limit is kept (ties); very long texts are read whole, in pieces of texts of
+bounded length; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

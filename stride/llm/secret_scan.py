@@ -9,8 +9,10 @@ within the scope of a linked secret completes them.  The interval join runs on
 join: no pairs are emitted, and only documents holding both roles take part.
 
 Cases: null text is empty; repeated rows and null ids give one row each with
-the same spans; other columns are ignored; overlapping weak parts of one role
-cannot occur, and a weak part that overlaps a base span is not repeated.
+the same spans; overlapping weak parts of one role cannot occur, a weak part
+that overlaps a base span is not repeated, and spans that begin together stand
+in the order of kinds (ties); very long texts are read whole, their parts meet
+by bucket; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -21,7 +21,10 @@ hash of the id (a documented bound).
 
 Cases: null or wordless texts score the model's value for "no landmark seen";
 null labels or ids are never learned from, a document labelled more than once
-takes its highest label; repeated rows give repeated results; without both
+takes its highest label; repeated rows give repeated results; candidates for
+landmarks that separate equally stand in alphabetical order (ties); very long
+texts are scored whole, memory grows with one piece of texts and one slice of
+new words; an empty table gives no rows; other columns are ignored; without both
 labels among the training rows every score is their base rate (0 without any).
 """
 

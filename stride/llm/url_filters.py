@@ -16,8 +16,9 @@ Cases: a null, empty or host-less URL has no keys and is never blocked; entries
 without key, time or a known action are ignored; entries of one key at the same
 time apply in the order of entry_id, the last one counts; a capture at the very
 time of an entry sees it; a capture without fetch time matches nothing;
-repeated captures give one row each; repeated entries change nothing; an empty
-list blocks nothing; other columns are ignored.
+repeated captures give one row each; repeated entries change nothing; very long
+addresses have one key per host label and path segment; an empty list blocks
+nothing, no captures give no rows; other columns are ignored.
 """
 
 from __future__ import annotations

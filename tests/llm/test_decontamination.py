@@ -61,6 +61,15 @@ def test_empty_tables(make, broadcast_windows):
     assert D.contamination(docs.limit(0), items, broadcast_windows=broadcast_windows).count() == 0
 
 
+def test_very_long_text(make):
+    """An item at the very end of a text of 200,000 words, and one that almost occurs."""
+    item = " ".join(f"needle{n}" for n in range(12))
+    text = " ".join(f"w{n % 997}" for n in range(200_000))
+    items = make([(1, item), (2, "w5 " * 11)], "item_id bigint, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in D.contamination(make([(1, f"{text} {item}"), (2, text + " " + item[:-40])]), items).collect()}
+    assert got[1] == (200_012, 12, 1) and got[2][1:] == (0, 0)
+
+
 def test_main_path_has_no_python(make):
     plan = D.contamination(make(TEXTS), make(ITEMS, "item_id bigint, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

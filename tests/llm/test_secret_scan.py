@@ -73,6 +73,14 @@ def test_redaction(make):
     assert got == [(0, "[SECRET]'", 8), (1, "a [SECRET] b [SECRET] c", 5), (2, "nothing", 6), (3, None, 7)]
 
 
+def test_redaction_of_a_very_long_text(make):
+    """2,000 secrets in one text of 200,000 words, beside a text without any."""
+    parts = ["word " * 100 + f"token={n:024x}!" for n in range(2000)]
+    rows = [(1, " ".join(parts)), (2, "plain " * 200_000)]
+    got = {r.doc_id: r.text for r in S.redact(make(rows)).collect()}
+    assert got[2] == rows[1][1] and got[1] == " ".join("word " * 100 + "[SECRET]!" for _ in parts)
+
+
 def test_empty_and_plan(make):
     assert S.scan(make([])).count() == 0
     plan = S.digest(S.scan(make([(1, "token=abcdefg")])))._jdf.queryExecution().toString()
