@@ -56,7 +56,7 @@ def _moments(window=None) -> list:
     return out
 
 
-def _second_pass(ts: str, peak_fraction: float) -> list:
+def _second_pass(ts: str, peak_fraction: float, first: str = "first_of_ts") -> list:
     peak = java_long(F.col(Y)) > F.lit(float(peak_fraction)) * F.col("max_y")
     pts = F.when(peak, F.col(ts))
     return [
@@ -65,7 +65,7 @@ def _second_pass(ts: str, peak_fraction: float) -> list:
         F.avg(F.abs(F.col(Z) - F.col("mean_z"))).alias("avg_abs_diff_z"),
         F.min(pts).alias("_pk_first"),
         F.max(pts).alias("_pk_last"),
-        F.count(F.when(peak & F.col("first_of_ts"), F.lit(1))).alias("_pk_n"),
+        F.count(F.when(peak & F.col(first), F.lit(1))).alias("_pk_n"),
     ]
 
 
@@ -84,23 +84,26 @@ def span_moments(spans: DataFrame, readings: DataFrame, keys: Sequence[str], gro
 
 def span_features(spans: DataFrame, readings: DataFrame, keys: Sequence[str], group_cols: Sequence[str], ts: str,
                   lo: str, hi: str, closed: bool, bucket_ns: int,
-                  peak_fraction: float = C.PEAK_FRACTION) -> DataFrame:
+                  peak_fraction: float = C.PEAK_FRACTION, peak: tuple[str, str] | None = None) -> DataFrame:
     """All eleven features (plus n_rows, n_distinct_ts) per non-empty span.
 
     ``readings``: keys, ``_bucket``, ts, acc_x, acc_y, acc_z, first_of_ts
     (output of ``series.local_order`` with the same ``bucket_ns``).  Pass 1's
     rows are the spans of pass 2 and its statistics ride along (constant per
-    group), so pass 1 is computed once and no final join is needed.
+    group), so pass 1 is computed once and no final join is needed.  ``peak``
+    names the column that times peaks and the flag of its distinct values, by
+    default ts and first_of_ts.
     """
-    s2 = _two_passes(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns, peak_fraction)
+    s2 = _two_passes(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns, peak_fraction, peak)
     return s2.select(*group_cols, "n_rows", "n_distinct_ts", *C.FEATURE_COLUMNS)
 
 
-def _two_passes(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns, peak_fraction) -> DataFrame:
+def _two_passes(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns, peak_fraction, peak=None) -> DataFrame:
     s1 = span_moments(spans, readings, keys, group_cols, ts, lo, hi, closed, bucket_ns)
     carry = [c for c in s1.columns if c not in group_cols]
     m2 = range_members(s1, readings, keys, ts, lo, hi, closed, bucket_ns)
-    agg = [F.any_value(c).alias(c) for c in carry] + _second_pass(ts, peak_fraction)
+    at, first = peak or (ts, "first_of_ts")
+    agg = [F.any_value(c).alias(c) for c in carry] + _second_pass(at, peak_fraction, first)
     return m2.groupBy(*group_cols).agg(*agg).withColumn("avg_time_peak_y", peak_gap())
 
 

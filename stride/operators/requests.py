@@ -16,10 +16,15 @@ from .. import config as C
 from ..functions.scalar import floor_div, is_long_text, is_uuid
 from ..session import materialize
 from . import blocks, series
+from . import features as feat
+from .ranges import explode_range
 
 # Hex digits of the five identifier groups.
 UUID_GROUP_WIDTHS = (8, 4, 4, 4, 12)
 REQUEST_BUCKET_NS = 3_600_000_000_000  # one hour
+# Readings per request, on average, up to which requests are joined with their
+# readings; beyond it they read shared blocks.  Rows are the same either way.
+DIRECT_READINGS = 500
 
 
 def _body(value: F.Column) -> F.Column:
@@ -71,10 +76,10 @@ def parse_requests(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def live_spans(live: DataFrame) -> DataFrame:
-    """First and last reading time per (canonical) user."""
+    """First and last reading time and number of readings per (canonical) user."""
     user = F.col("user_id")
     return live.filter(is_uuid(user)).groupBy(canonical_uuid(user).alias("_live_user")).agg(
-        F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"))
+        F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"), F.count("timestamp").alias("_n"))
 
 
 def clamped(parsed: DataFrame, live) -> DataFrame:
@@ -82,7 +87,8 @@ def clamped(parsed: DataFrame, live) -> DataFrame:
 
     ``live``: the live table, or a store that knows its users' spans.
 
-    Adds ``_from`` and ``_to``; spans of users without readings, and spans
+    Adds ``_from`` and ``_to``, and ``_about``, the readings expected from the
+    user's number; spans of users without readings, and spans
     beyond all readings, disappear.  However long a request's range is, it
     then covers no more buckets than the user's readings do.
     """
@@ -91,18 +97,35 @@ def clamped(parsed: DataFrame, live) -> DataFrame:
     known = live_spans(live) if isinstance(live, DataFrame) else live.spans()
     cut = spans.join(known, F.col("user_id") == F.col("_live_user")).select(
         "user_id", "start_ts", "finish_ts", F.greatest("start_ts", "_first").alias("_from"),
-        F.least("finish_ts", "_last").alias("_to"))
-    return cut.filter(F.col("_from") <= F.col("_to"))
+        F.least("finish_ts", "_last").alias("_to"), (F.col("_n") / (F.col("_last").cast("double") - F.col("_first") + 1)).alias("_rate"))
+    return cut.filter(F.col("_from") <= F.col("_to")).select(
+        "user_id", "start_ts", "finish_ts", "_from", "_to", (F.col("_rate") * (F.col("_to").cast("double") - F.col("_from") + 1)).alias("_about"))
+
+
+def direct_bucket(spans: DataFrame, bucket_ns: int) -> int | None:
+    """Bucket for joining spans with their readings, or None where they cover so many that shared blocks are better.
+
+    The widest of bucket_ns, 2 bucket_ns, 4 bucket_ns ... that is no longer
+    than the spans and holds no more readings than they do, on average.
+    """
+    readings, length = spans.agg(F.avg("_about"), F.avg(F.col("_to").cast("double") - F.col("_from") + 1)).first()
+    if readings is None or readings > DIRECT_READINGS:
+        return None if readings is not None else bucket_ns
+    wide = bucket_ns
+    while 2 * wide <= length:
+        wide *= 2
+    return wide
 
 
 def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: DataFrame | None = None,
-                  counted: Observation | None = None) -> DataFrame:
+                  counted: Observation | None = None, shared: bool = True) -> DataFrame:
     """Live table -> bucketed readings keyed by user.
 
     The range is filtered on ``timestamp``, peaks are timed on
     ``timestamp_long`` (``timestamp`` where it is missing), which may be finer.  ``counted``
     receives ``n_read`` and ``n_rejected`` of the live rows read (no
-    identifier, time or axis) with the first action on the result.
+    identifier, time or axis) with the first action on the result.  ``shared``:
+    the spans' buckets are found through shared blocks, for spans of many buckets.
     """
     user = F.col("user_id")
     usable = is_uuid(user) & F.col("timestamp").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull() & F.col("z").isNotNull()
@@ -119,8 +142,12 @@ def live_readings(live: DataFrame, bucket_ns: int = REQUEST_BUCKET_NS, spans: Da
              & F.col("acc_y").isNotNull() & F.col("acc_z").isNotNull())
     if spans is not None:
         # only (user, bucket) pairs that a request asks about are shuffled and ordered
-        asked = blocks.touched(spans, ["user_id"], "_from", "_to", blocks.Blocks(bucket_ns)).select(
-            F.col("user_id").alias("_user"), F.col(series.BUCKET).alias("_asked"))
+        if shared:
+            asked = blocks.touched(spans, ["user_id"], "_from", "_to", blocks.Blocks(bucket_ns))
+        else:
+            asked = explode_range(spans.select("user_id", "_from", "_to"), floor_div("_from", bucket_ns), floor_div("_to", bucket_ns),
+                                  series.BUCKET).select("user_id", series.BUCKET).distinct()
+        asked = asked.select(F.col("user_id").alias("_user"), F.col(series.BUCKET).alias("_asked"))
         r = r.join(asked, (F.col("user_id") == F.col("_user")) & (floor_div("ts_ns", bucket_ns) == F.col("_asked")), "left_semi")
     local = series.local_order(r, ["user_id"], "ts_ns", bucket_ns, 0, tie_desc="acc_y", tie_asc="peak_ns")
     return local.select("user_id", series.BUCKET, "ts_ns", "peak_ns", "acc_x", "acc_y", "acc_z", "first_of_ts", "first_of_tie")
@@ -134,16 +161,21 @@ def request_features(parsed: DataFrame, live, bucket_ns: int = REQUEST_BUCKET_NS
     is asked for the spans' readings only; it is bucketed here with the same
     ``bucket_ns`` as the request spans.  A span is cut into its two edge buckets
     and whole blocks that all spans share (``operators.blocks``), so long and
-    overlapping ranges cost a few blocks each, not their readings.  Equal ranges
+    overlapping ranges cost a few blocks each, not their readings; spans of few
+    readings (``DIRECT_READINGS``) are joined with them.  Equal ranges
     of a user are computed once and joined back to every request that asks for
     them, so repeated request ids change nothing.
     """
     spans = materialize(clamped(parsed, live), "request-spans")
     rows = live if isinstance(live, DataFrame) else live.readings(spans)
-    readings = live_readings(rows, bucket_ns, spans, counted)
     gcols = ["user_id", "start_ts", "finish_ts", "_from", "_to"]
-    f = blocks.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "_from", "_to", blocks.Blocks(bucket_ns), peak_fraction,
-                             peak=("peak_ns", "first_of_tie"))
+    direct = direct_bucket(spans, bucket_ns)
+    readings = live_readings(rows, direct or bucket_ns, spans, counted, shared=direct is None)
+    peak = ("peak_ns", "first_of_tie")
+    if direct:
+        f = feat.span_features(spans.select(*gcols), readings, ["user_id"], gcols, "ts_ns", "_from", "_to", True, direct, peak_fraction, peak)
+    else:
+        f = blocks.span_features(spans, readings, ["user_id"], gcols, "ts_ns", "_from", "_to", blocks.Blocks(bucket_ns), peak_fraction, peak)
     ren = {"user_id": "_u", "start_ts": "_s", "finish_ts": "_f"}
     f = f.drop("_from", "_to").withColumnsRenamed(ren)
     same = (F.col("user_id") == F.col("_u")) & (F.col("start_ts") == F.col("_s")) & (F.col("finish_ts") == F.col("_f"))

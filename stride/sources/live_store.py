@@ -91,8 +91,9 @@ def zones(spark: SparkSession, root: str) -> DataFrame:
 
 
 def live_spans(zone_rows: DataFrame) -> DataFrame:
-    """First and last reading time per user, from the zone map (``requests.live_spans`` scans the readings)."""
-    return zone_rows.groupBy(F.col("user_id").alias("_live_user")).agg(F.min("first_ts").alias("_first"), F.max("last_ts").alias("_last"))
+    """First and last reading time and number per user, from the zone map (``requests.live_spans`` scans the readings)."""
+    return zone_rows.groupBy(F.col("user_id").alias("_live_user")).agg(
+        F.min("first_ts").alias("_first"), F.max("last_ts").alias("_last"), F.sum("n_rows").alias("_n"))
 
 
 def asked_folders(spans: DataFrame, zone_rows: DataFrame, layout: Layout = Layout()) -> DataFrame:

@@ -1,5 +1,7 @@
 """Request messages: dead letters, identifier check, range features, -1 path."""
 
+import pytest
+
 from stride.operators import model as ml
 from stride.operators import requests as rq
 
@@ -24,7 +26,13 @@ def test_parse_classes(spark):
     assert p[10].user_id == U
 
 
-def test_request_features_and_minus_one(spark):
+@pytest.fixture(params=[0, 500], ids=["blocks", "joined"])
+def both_ways(request, monkeypatch):
+    """Requests read shared blocks, or are joined with their readings."""
+    monkeypatch.setattr(rq, "DIRECT_READINGS", request.param)
+
+
+def test_request_features_and_minus_one(spark, both_ways):
     live = spark.createDataFrame(
         [(U, t, t, float(t % 3), 9.0 if t % 2 else 1.0, 0.5) for t in range(1, 11)],
         "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
@@ -78,7 +86,7 @@ def test_only_requested_users_are_ordered(spark):
     assert {r.ts_ns for r in rq.live_readings(live, 4, spans).collect()} == set(range(0, 8))
 
 
-def test_rejected_live_readings_are_counted_in_the_same_pass(spark):
+def test_rejected_live_readings_are_counted_in_the_same_pass(spark, both_ways):
     from pyspark.sql import Observation
 
     live = spark.createDataFrame([(U, t, t, 1.0, 1.0, 1.0) for t in range(10)] + [("no user", 3, 3, 1.0, 1.0, 1.0), (U, None, 3, 1.0, 1.0, 1.0), (U, 4, 4, None, 1.0, 1.0)],
@@ -89,7 +97,7 @@ def test_rejected_live_readings_are_counted_in_the_same_pass(spark):
     assert seen.get == {"n_read": 13, "n_rejected": 3}
 
 
-def test_peaks_are_timed_on_the_long_column(spark):
+def test_peaks_are_timed_on_the_long_column(spark, both_ways):
     """Ranges in milliseconds, peaks in nanoseconds: several readings share a ``timestamp``."""
     rows = [(U, t // 4, 1000 * t, 0.0, 9.0 if t % 3 == 0 else 1.0, 0.0) for t in range(24)]
     live = spark.createDataFrame(rows, "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
