@@ -8,7 +8,8 @@ covers it.
 
 Neither step orders all entries of a key in one task.  Rows are dealt by (key,
 time bucket); the next entry of a bucket's last row, and the entry in force
-when a bucket begins, come from one summary row per key and non-empty bucket.
+when a bucket begins, come from one summary row per key and non-empty bucket,
+ordered inside a day, and one row per key and day.
 The as-of join itself is a running last value over entries and captures of one
 (key, bucket) -- no pairs are formed.
 
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 
 #: Entries and captures of one key are dealt over tasks by this much time; a summary row stands for each key and non-empty bucket.
 BUCKET_SECONDS = 900
+#: Buckets of a key are ordered in groups of this many, the groups once more: no task orders all buckets of a hot key.
+GROUP_BUCKETS = 96
 
 
 def _address(url: Column) -> tuple[Column, Column]:
@@ -62,6 +65,10 @@ def _bucket(ts: Column) -> Column:
     return F.floor(F.unix_seconds(ts) / BUCKET_SECONDS)
 
 
+def _group() -> Column:
+    return F.floor(F.col("bucket") / GROUP_BUCKETS)
+
+
 def validity_intervals(entries: DataFrame) -> DataFrame:
     """entries (entry_id, key, action, ts) -> (key, valid_from, valid_to or null, entry_id), one per effective ``add``."""
     known = entries.where(F.col("key").isNotNull() & F.col("ts").isNotNull() & F.col("action").isin("add", "remove"))
@@ -69,9 +76,11 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
     at = known.groupBy("key", "ts").agg(F.max(F.struct("entry_id", "action")).alias("e"))
     rows = at.select("key", "ts", "e.entry_id", "e.action", _bucket(F.col("ts")).alias("bucket"))
     inside = Window.partitionBy("key", "bucket").orderBy("ts")
-    across = Window.partitionBy("key").orderBy("bucket")
-    begins = rows.groupBy("key", "bucket").agg(F.min("ts").alias("first_ts"))
-    following = begins.select("key", "bucket", F.lead("first_ts").over(across).alias("_next"))
+    begins = rows.groupBy("key", "bucket").agg(F.min("ts").alias("first_ts")).withColumn("group", _group())
+    days = begins.groupBy("key", "group").agg(F.min("first_ts").alias("first_ts"))
+    days = days.select("key", "group", F.lead("first_ts").over(Window.partitionBy("key").orderBy("group")).alias("_later"))
+    following = begins.select("key", "group", "bucket", F.lead("first_ts").over(Window.partitionBy("key", "group").orderBy("bucket")).alias("_next"))
+    following = following.join(days, ["key", "group"]).select("key", "bucket", F.coalesce("_next", "_later").alias("_next"))
     nexts = rows.withColumn("_in", F.lead("ts").over(inside)).join(following, ["key", "bucket"])
     return nexts.where(F.col("action") == "add").select(
         "key", F.col("ts").alias("valid_from"), F.coalesce("_in", "_next").alias("valid_to"), "entry_id")
@@ -92,8 +101,13 @@ def as_of(captures: DataFrame, intervals: DataFrame) -> DataFrame:
     summary = starts.groupBy("key", "bucket").agg(F.max("entry").alias("_last")).unionByName(
         asks.select("key", "bucket", F.lit(None).cast(starts.schema["entry"].dataType).alias("_last")).distinct())
     summary = summary.groupBy("key", "bucket").agg(F.max("_last").alias("_last"))
-    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select("key", "bucket", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    summary = summary.withColumn("group", _group())
+    last = F.last("_last", ignorenulls=True)
+    day = Window.partitionBy("key", "group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("key").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    days = summary.groupBy("key", "group").agg(F.max("_last").alias("_last")).select("key", "group", last.over(earlier).alias("_before"))
+    carry = summary.select("key", "group", "bucket", last.over(day).alias("_in_day")).join(days, ["key", "group"]).select(
+        "key", "bucket", F.coalesce("_in_day", "_before").alias("_carry"))
     carry = carry.where(F.col("_carry").isNotNull())
     found = inside.join(carry, ["key", "bucket"], "left").withColumn("_entry", F.coalesce("_in", "_carry"))
     active = F.col("_entry").isNotNull() & (F.col("_entry.valid_to").isNull() | (F.col("ts") < F.col("_entry.valid_to")))
