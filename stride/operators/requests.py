@@ -21,6 +21,9 @@ from .ranges import explode_range
 
 # Hex digits of the five identifier groups.
 UUID_GROUP_WIDTHS = (8, 4, 4, 4, 12)
+CANONICAL_UUID = r"\A" + "-".join(f"[0-9a-f]{{{w}}}" for w in UUID_GROUP_WIDTHS) + r"\z"
+# the lowest digits of each group, once twelve zeros stand in front of it
+LOWEST_DIGITS = r"\A" + "-".join(f"[^-]*([^-]{{{w}}})" for w in UUID_GROUP_WIDTHS) + r"\z"
 REQUEST_BUCKET_NS = 3_600_000_000_000  # one hour
 # Readings per request, on average, up to which requests are joined with their
 # readings; beyond it they read shared blocks.  Rows are the same either way.
@@ -32,10 +35,11 @@ def _body(value: F.Column) -> F.Column:
 
 
 def classify(msgs: DataFrame) -> DataFrame:
-    """Adds the split fields and a ``dead_reason`` (NULL for a parsed message)."""
+    """Adds the split fields, ``start_ts`` and ``finish_ts`` (NULL where no long) and a ``dead_reason`` (NULL for a parsed message)."""
     body = _body(F.col("value"))
     parts = F.split(body, C.REQUEST_SEPARATOR, -1)
     m = msgs.withColumn("_body", body).withColumn("_parts", parts)
+    m = m.withColumns({"start_ts": F.get(F.col("_parts"), 1).try_cast("bigint"), "finish_ts": F.get(F.col("_parts"), 2).try_cast("bigint")})
     start_txt = F.get(F.col("_parts"), 1)
     finish_txt = F.get(F.col("_parts"), 2)
     reason = (
@@ -43,43 +47,59 @@ def classify(msgs: DataFrame) -> DataFrame:
         .when(F.size("_parts") <= 2, F.lit("too_few_fields"))
         .when(~(is_long_text(start_txt) & is_long_text(finish_txt)), F.lit("bad_number"))
         # in pattern but beyond the long range
-        .when(start_txt.try_cast("bigint").isNull() | finish_txt.try_cast("bigint").isNull(), F.lit("bad_number"))
+        .when(F.col("start_ts").isNull() | F.col("finish_ts").isNull(), F.lit("bad_number"))
     )
     return m.withColumn("dead_reason", reason)
 
 
 def canonical_uuid(txt: F.Column) -> F.Column:
     """Lower-case 8-4-4-4-12 form; like a UUID parser, a group is its lowest digits, zeros in front."""
-    g = F.split(txt, "-", -1)
-    groups = [F.right(F.concat(F.lit("0" * w), F.get(g, i)), F.lit(w)) for i, w in enumerate(UUID_GROUP_WIDTHS)]
-    return F.lower(F.concat_ws("-", *groups))
+    # most texts are in this form already; two replacements for the others, since a split per group
+    # makes the generated method too long for the JVM to compile
+    padded = F.regexp_replace(txt, r"(\A|-)", "$1" + "0" * max(UUID_GROUP_WIDTHS))
+    return F.when(txt.rlike(CANONICAL_UUID), txt).otherwise(F.lower(F.regexp_replace(padded, LOWEST_DIGITS, "$1-$2-$3-$4-$5")))
 
 
-def parse_requests(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed, dead) for a DataFrame of ``request_id, request_ts, value``."""
-    c = classify(msgs)
-    dead = c.filter(F.col("dead_reason").isNotNull()).select("request_id", "request_ts", "_body", "dead_reason")
-    dead = dead.withColumnRenamed("_body", "value")
-    ok = c.filter(F.col("dead_reason").isNull())
+PARSED = ("request_id", "request_ts", "user_text", "valid_user", "user_id", "start_ts", "finish_ts")
+
+
+def request_fields(msgs: DataFrame) -> DataFrame:
+    """Every message (``request_id, request_ts, value``) with its fields and ``dead_reason`` (NULL for a parsed message)."""
     user_txt = F.get(F.col("_parts"), 0)
-    parsed = ok.select(
+    return classify(msgs).select(
         "request_id",
         "request_ts",
+        F.col("_body").alias("value"),
+        "dead_reason",
         user_txt.alias("user_text"),
         is_uuid(user_txt).alias("valid_user"),
         F.when(is_uuid(user_txt), canonical_uuid(user_txt)).alias("user_id"),
-        # try_cast: the optimizer may evaluate these before the dead-letter filter
-        F.get(F.col("_parts"), 1).try_cast("bigint").alias("start_ts"),
-        F.get(F.col("_parts"), 2).try_cast("bigint").alias("finish_ts"),
+        "start_ts",
+        "finish_ts",
     )
-    return parsed, dead
+
+
+def split_requests(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed, dead) for the messages of ``request_fields``."""
+    parsed = fields.filter(F.col("dead_reason").isNull()).select(*PARSED)
+    return parsed, fields.filter(F.col("dead_reason").isNotNull()).select("request_id", "request_ts", "value", "dead_reason")
+
+
+def parse_requests(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(parsed, dead) for a DataFrame of ``request_id, request_ts, value``."""
+    return split_requests(request_fields(msgs))
 
 
 def live_spans(live: DataFrame) -> DataFrame:
-    """First and last reading time and number of readings per (canonical) user."""
+    """First and last reading time and number of readings per (canonical) user.
+
+    Readings are grouped by the stored text; only the groups' texts are matched and made canonical.
+    """
     user = F.col("user_id")
-    return live.filter(is_uuid(user)).groupBy(canonical_uuid(user).alias("_live_user")).agg(
+    stored = live.groupBy("user_id").agg(
         F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"), F.count("timestamp").alias("_n"))
+    return stored.filter(is_uuid(user)).groupBy(canonical_uuid(user).alias("_live_user")).agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
 
 
 def clamped(parsed: DataFrame, live) -> DataFrame:

@@ -56,8 +56,9 @@ def run_scoring_stream(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "stream-scoring")
     model = saved_models.load(spark, "rf")  # loaded once for the whole stream
     ev = fx.events(spark, sf_dir)
+    fx.live(ev).write.parquet(f"{root}/live")  # the stored live table, which every batch reads in its time span
     _chunked_runs(spark, fx.requests(ev), "request_ts", root, REQUEST_SCHEMA,
-                  sscore.scoring_writer(lambda: fx.live(fx.events(spark, sf_dir)), model, f"{root}/out"))
+                  sscore.scoring_writer(lambda: spark.read.parquet(f"{root}/live"), model, f"{root}/out"))
     return f"{root}/out"
 
 

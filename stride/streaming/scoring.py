@@ -27,7 +27,12 @@ def score_batch(msgs: DataFrame, live, model, bucket_ns: int = rq.REQUEST_BUCKET
     the users and time buckets asked for.  A live store opens the folders that
     are asked for.
     """
-    parsed, dead = rq.parse_requests(msgs)
+    return score_fields(rq.request_fields(msgs), live, model, bucket_ns)
+
+
+def score_fields(fields: DataFrame, live, model, bucket_ns: int = rq.REQUEST_BUCKET_NS):
+    """``score_batch`` of messages that are parsed already (``requests.request_fields``)."""
+    parsed, dead = rq.split_requests(fields)
     if not isinstance(live, DataFrame):
         return ml.predict(model, rq.request_features(parsed, live, bucket_ns)), dead
     lo, hi = parsed.filter("valid_user AND start_ts <= finish_ts").agg(F.min("start_ts"), F.max("finish_ts")).first()
@@ -44,12 +49,17 @@ def score_step(msgs: DataFrame, batch_id: int, read_live: Callable[[], DataFrame
     """Score one micro-batch against the live table as it is now; returns the written results.
 
     Results and dead letters go to ``batch_id=N`` folders (overwritten by a
-    retry).
+    retry).  Messages are parsed once: time span, asked spans, results and dead
+    letters all read the parsed fields.
     """
-    scored, dead = score_batch(msgs, read_live(), model, bucket_ns)
     part = f"batch_id={batch_id}"
-    scored.write.mode("overwrite").parquet(f"{out_dir}/results/{part}")
-    dead.write.mode("overwrite").parquet(f"{out_dir}/dead/{part}")
+    fields = rq.request_fields(msgs).persist()
+    try:
+        scored, dead = score_fields(fields, read_live(), model, bucket_ns)
+        scored.write.mode("overwrite").parquet(f"{out_dir}/results/{part}")
+        dead.write.mode("overwrite").parquet(f"{out_dir}/dead/{part}")
+    finally:
+        fields.unpersist()
     return msgs.sparkSession.read.parquet(f"{out_dir}/results/{part}")
 
 
@@ -57,11 +67,7 @@ def scoring_writer(read_live: Callable[[], DataFrame], model, out_dir: str, buck
     """foreachBatch function: scoring alone."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
-        finally:
-            batch.unpersist()
+        score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
 
     return fn
 
@@ -71,12 +77,8 @@ def service_writer(read_live: Callable[[], DataFrame], model, out_dir: str, buck
     """foreachBatch function of the live service: score, then advance the progress of the moving users."""
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            results = score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
-            progress.step(moving_events(results), batch_id, f"{out_dir}/progress", compact_every=compact_every)
-        finally:
-            batch.unpersist()
+        results = score_step(batch, batch_id, read_live, model, out_dir, bucket_ns)
+        progress.step(moving_events(results), batch_id, f"{out_dir}/progress", compact_every=compact_every)
 
     return fn
 

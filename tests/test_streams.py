@@ -60,3 +60,40 @@ def test_progress_steps_with_prior_scores_equal_batch(spark):
     clean = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.select(*cols).collect())
     assert clean(got) == clean(batch) and got.count() == 240
     assert spark.read.parquet(f"{root}/scores").count() == batch.filter("saved").count()
+
+
+def test_a_batch_is_parsed_once(spark):
+    """Time span, asked spans, results and dead letters read the parsed fields, not the messages again."""
+    from pyspark.sql import functions as F
+
+    from stride.plans import saved_models
+    from stride.session import scratch_path
+    from stride.streaming import scoring
+
+    user = "00000000-0000-0000-0000-000000000001"
+    bodies = [f"{user},0,9", f"{user},5,3", "", f"{user},x,9", "not-a-uuid,0,9", "0-0-0-0-1,0,9"]
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def read(body):
+        reads.add(1)
+        return body
+
+    live = spark.createDataFrame([(user, t, t, float(t), 9.0, -1.0) for t in range(20)],
+                                 "user_id string, timestamp long, timestamp_long long, x double, y double, z double")
+    msgs = spark.createDataFrame([(i, 0, b) for i, b in enumerate(bodies)], "request_id long, request_ts long, value string")
+    out = scratch_path(spark, "parsed-once")
+    scoring.score_step(msgs.withColumn("value", read("value")), 0, lambda: live, saved_models.load(spark, "rf"), out)
+    results = {r.request_id: r for r in spark.read.parquet(f"{out}/results").collect()}
+    assert {i: r.n_rows for i, r in results.items()} == {0: 10, 1: 0, 4: 0, 5: 10}
+    assert results[5].user_id == user and results[5].prediction == results[0].prediction != -1.0 == results[4].prediction
+    dead = {(r.request_id, r.value, r.dead_reason) for r in spark.read.parquet(f"{out}/dead").collect()}
+    assert dead == {(2, "", "empty"), (3, f"{user},x,9", "bad_number")}
+    assert reads.value == len(bodies)
+
+
+def test_the_scoring_stream_stores_its_live_table_once(spark):
+    """Batches read the stored table, not the fixture's mapping of every event, batch after batch."""
+    root = S.run_scoring_stream(spark, SF_SMALL).rsplit("/", 1)[0]
+    cols = ["user_id", "timestamp", "timestamp_long", "x", "y", "z"]
+    assert _rows(spark.read.parquet(f"{root}/live"), cols) == _rows(S.fx.live(S.fx.events(spark, SF_SMALL)), cols)
