@@ -107,10 +107,15 @@ def predict(model, rows: DataFrame) -> DataFrame:
 
 
 def majority(votes: Sequence[str], num_classes: int) -> F.Column:
-    """The class most trees voted for; of equally many the smallest class."""
-    n = [sum((F.col(v) == F.lit(float(c))).cast("int") for v in votes) for c in range(num_classes)]
-    most = F.greatest(*n) if len(n) > 1 else n[0]
-    return F.coalesce(*[F.when(n[c] == most, F.lit(float(c))) for c in range(num_classes)])
+    """The class most trees voted for (fewest others); of equally many the smallest class.
+
+    Every class counts the votes once, over an array: compared one by one, and once
+    more for the maximum, they make a generated method too long for the JVM to compile.
+    """
+    given = F.array(*[F.col(v) for v in votes])
+    others = [F.struct(F.size(F.array_remove(given, F.lit(float(c)))).alias("others"), F.lit(float(c)).alias("class"))
+              for c in range(num_classes)]
+    return F.array_min(F.array(*others))["class"]
 
 
 def test_error(pred: DataFrame) -> DataFrame:

@@ -14,6 +14,19 @@ def split(spark):
     return train.persist(), test.persist()
 
 
+def test_a_vote_is_counted_once_per_class(spark):
+    """A forest's votes stay one short expression: 10 trees and 6 classes once took 42 comparisons of each vote."""
+    from pyspark.sql import functions as F
+
+    names = [f"t{i}_" for i in range(10)]
+    rows = [tuple(float((i * i + r) % 6) for i in range(10)) for r in range(12)] + [tuple([5.0] * 5 + [4.0] * 5)]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    best = [r[0] for r in df.select(ml.majority(names, 6)).collect()]
+    assert best == [min(set(v), key=lambda c: (-v.count(c), c)) for v in rows]
+    plan = df.select(F.col("*"), ml.majority(names, 6).alias("best"))._jdf.queryExecution().analyzed().expressions().mkString()
+    assert 0 < plan.count("t3_") <= 7
+
+
 @pytest.mark.parametrize("kind", ["rf", "dt"])
 def test_six_classes_and_reload(spark, split, kind, tmp_path_factory):
     train, test = split
